@@ -19,7 +19,12 @@ from quoteline.functions.timegrid import epoch_ms, format_time_col, parse_time_c
 from quoteline.operators import catalog as cat
 from quoteline.operators import liquidity as liq
 from quoteline.operators.event_count import event_count, time_range
+from quoteline.plans.runner import register_builtin_modules, run_analysis
+from quoteline.session import scratch_path
 from quoteline.sources import bookmap
+from quoteline.sources.importing import import_dataset
+from quoteline.sources.registry import Catalog
+from quoteline.sources.sinks import save_dataset, save_features
 
 # Fixed query parameters (epoch ms).  Event count: 2024-01-01 00:00:00.500 to 2024-01-21, hourly.
 EVENTS_START, EVENTS_END, EVENTS_INTERVAL = 1704067200500, 1705795200000, 3600000
@@ -185,6 +190,63 @@ def q_current_modules(spark, d):
     )
 
 
+# ---- sinks, import and run-by-name: write to a new folder under spark.checkpoint.dir -------
+
+def _fresh_catalog(spark, label):
+    root = scratch_path(spark, label)
+    return root, Catalog(spark, f"{root}/catalog")
+
+
+def q_save_dataset_roundtrip(spark, d):
+    root, catalog = _fresh_catalog(spark, "save-dataset")
+    path = save_dataset(catalog, bookmap.book_orders(spark, d), f"{root}/files", "orders", f"{d}/book.src")
+    assert catalog.dataset("book_ORDERS")["filepath"] == path
+    return spark.read.parquet(path)
+
+
+def q_save_features_roundtrip(spark, d):
+    root, catalog = _fresh_catalog(spark, "save-features")
+    register_builtin_modules(catalog)
+    catalog.create_dataset("events", f"{d}/events.parquet", "", fileformat="parquet")
+    params = {"start_time": EVENTS_START, "end_time": EVENTS_END, "interval": EVENTS_INTERVAL, "time_column": "ts"}
+    counts = event_count(_events(spark, d), EVENTS_START, EVENTS_END, EVENTS_INTERVAL, time_col="ts", sort=False)
+    path = save_features(catalog, counts, f"{root}/features", "events_hourly", "EventCount", params, ["events"])
+    return spark.read.parquet(path)
+
+
+def q_import_book_roundtrip(spark, d):
+    # The three tables are laid out as a source of per-period files, then imported.
+    root, catalog = _fresh_catalog(spark, "import")
+    source = f"{root}/incoming/book.src"
+    month = F.date_format(F.timestamp_millis(F.col("created")), "yyyy-MM")
+    bookmap.book_orders(spark, d).withColumn("month", month).write.partitionBy("month").parquet(f"{source}/ORDERS")
+    bookmap.book_cancels(spark, d).write.parquet(f"{source}/CANCELS")
+    bookmap.book_trades(spark, d).write.parquet(f"{source}/TRADES")
+    written = import_dataset(spark, catalog, [source], f"{root}/files")
+    return spark.read.parquet(written["book_ORDERS"])
+
+
+def q_run_event_count(spark, d):
+    _, catalog = _fresh_catalog(spark, "run-event-count")
+    register_builtin_modules(catalog)
+    catalog.create_dataset("events", f"{d}/events.parquet", "", fileformat="parquet")
+    params = {"start_time": EVENTS_START, "end_time": EVENTS_END, "interval": EVENTS_INTERVAL, "time_column": "ts"}
+    return run_analysis(spark, catalog, "EventCount", params, ["events"])
+
+
+def q_run_liquidity_curve(spark, d):
+    root, catalog = _fresh_catalog(spark, "run-liquidity")
+    register_builtin_modules(catalog)
+    save_dataset(catalog, bookmap.book_orders(spark, d), f"{root}/files", "orders", f"{d}/book.src")
+    params = {"start_time": CURVE_START, "end_time": CURVE_END, "interval": CURVE_INTERVAL}
+    curve = run_analysis(spark, catalog, "Liquid", params, ["book_ORDERS"])
+    return curve.select(
+        "timestamp",
+        liq.curve_text(F.col("curve_buy")).alias("curve_buy"),
+        liq.curve_text(F.col("curve_sell")).alias("curve_sell"),
+    )
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "event_count": q_event_count,
     "scan_orders": q_scan_orders,
@@ -211,6 +273,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "resolve_inputs": q_resolve_inputs,
     "current_datasets": q_current_datasets,
     "current_modules": q_current_modules,
+    "save_dataset_roundtrip": q_save_dataset_roundtrip,
+    "save_features_roundtrip": q_save_features_roundtrip,
+    "import_book_roundtrip": q_import_book_roundtrip,
+    "run_event_count": q_run_event_count,
+    "run_liquidity_curve": q_run_liquidity_curve,
 }
 
 
@@ -390,5 +457,13 @@ _ORACLES = {
 }
 
 
+# Round trips and runs return what the base query returns, so they share its oracle.
+_ORACLES["save_dataset_roundtrip"] = _ORACLES["import_orders"]
+_ORACLES["save_features_roundtrip"] = _ORACLES["event_count"]
+_ORACLES["import_book_roundtrip"] = _ORACLES["import_orders"]
+_ORACLES["run_event_count"] = _ORACLES["event_count"]
+_ORACLES["run_liquidity_curve"] = _ORACLES["liquidity_curve"]
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: v for k, v in _ORACLES.items() if k in _QUERIES}
