@@ -35,7 +35,9 @@ def read_book_table(spark: SparkSession, source: str, table: str, fmt: str = "pa
     if table not in TABLE_SCHEMAS:
         raise CatalogError(f"unknown table {table!r}; expected one of {sorted(TABLE_SCHEMAS)}")
     schema = TABLE_SCHEMAS[table]
-    reader = spark.read.format(fmt).options(**dict(options or {}))
+    # Per-day files may sit in per-day folders of any name, so the listing is recursive.
+    opts = {"recursiveFileLookup": "true", **dict(options or {})}
+    reader = spark.read.format(fmt).options(**opts)
     if fmt in _TEXT_FORMATS:
         reader = reader.schema(schema)
     return conform(reader.load(join_path(source, table)), schema)

@@ -28,7 +28,8 @@ def ingest_table(spark: SparkSession, source: str, table: str, target_path: str,
     """
     table = table.upper()
     schema = TABLE_SCHEMAS[table]
-    reader = spark.readStream.schema(schema).format(fmt)
+    # Per-day files may sit in per-day folders of any name, so the listing is recursive.
+    reader = spark.readStream.schema(schema).format(fmt).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     typed = conform(reader.load(join_path(source, table)), schema)
