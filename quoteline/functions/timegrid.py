@@ -104,13 +104,21 @@ def floor_div(num: Column, den: int) -> Column:
     return F.call_function("div", num - F.pmod(num, F.lit(den)), F.lit(den))
 
 
-def _epoch_ntz() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
 def epoch_micros_ntz(ts: Column) -> Column:
-    """Microseconds since the epoch of a TIMESTAMP_NTZ column, independent of the session zone."""
-    return F.timestamp_diff("MICROSECOND", _epoch_ntz(), ts)
+    """Microseconds since the epoch of a TIMESTAMP_NTZ column, read as UTC.
+
+    Built from zone-free parts (the NTZ date and its time-of-day fields), because functions
+    that take TIMESTAMP would first convert the value through the session zone, which shifts
+    it by the DST offset outside UTC.
+    """
+    days = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    secs = F.date_part(F.lit("SECOND"), ts)  # decimal(8,6): seconds with microseconds
+    return (
+        days * F.lit(86_400_000_000)
+        + F.hour(ts).cast("long") * F.lit(3_600_000_000)
+        + F.minute(ts).cast("long") * F.lit(60_000_000)
+        + (secs * F.lit(1_000_000)).cast("long")
+    )
 
 
 def epoch_ms(col: Column, dtype: T.DataType) -> Column:
@@ -160,9 +168,22 @@ def parse_time_col(text: Column) -> Column:
 
 
 def format_time_col(ms: Column) -> Column:
-    """Epoch milliseconds as ``YYYY-mm-dd_HH:MM:SS.mmm`` text (UTC, zone-free)."""
-    ntz = F.timestamp_add("MILLISECOND", ms, _epoch_ntz())
-    return F.date_format(ntz, "yyyy-MM-dd_HH:mm:ss.SSS")
+    """Epoch milliseconds as ``YYYY-mm-dd_HH:MM:SS.mmm`` text (UTC), from integer parts only so
+    that no session-zone conversion (and no DST gap) is involved."""
+    days = floor_div(ms, MS_PER_DAY)
+    rem = F.pmod(ms, F.lit(MS_PER_DAY))
+    date = F.date_add(F.lit("1970-01-01").cast("date"), days.cast("int")).cast("string")
+
+    def part(value: Column, width: int) -> Column:
+        return F.lpad(value.cast("string"), width, "0")
+
+    return F.concat(
+        date, F.lit("_"),
+        part(F.call_function("div", rem, F.lit(3_600_000)), 2), F.lit(":"),
+        part(F.pmod(F.call_function("div", rem, F.lit(60_000)), F.lit(60)), 2), F.lit(":"),
+        part(F.pmod(F.call_function("div", rem, F.lit(1_000)), F.lit(60)), 2), F.lit("."),
+        part(F.pmod(rem, F.lit(1_000)), 3),
+    )
 
 
 def bucket_start(t: Column, start: int, interval: int | float) -> Column:

@@ -92,13 +92,19 @@ def test_fractional_bucket_follows_float_rule(spark):
 def test_epoch_ms_of_timestamps_is_zone_free(spark):
     import datetime as dt
 
-    rows = [(dt.datetime(2024, 1, 1, 0, 0, 7, 179575),), (dt.datetime(1969, 12, 31, 23, 59, 59, 999500),)]
+    rows = [(dt.datetime(2024, 1, 1, 0, 0, 7, 179575),), (dt.datetime(1969, 12, 31, 23, 59, 59, 999500),),
+            (dt.datetime(2024, 7, 1, 12, 30, 0, 1000),), (dt.datetime(2024, 3, 10, 2, 30, 0),)]
     df = spark.createDataFrame(rows, T.StructType([T.StructField("ts", T.TimestampNTZType())]))
     prev = spark.conf.get("spark.sql.session.timeZone")
     try:
+        expect = [1704067207179, -1, 1719837000001, 1710037800000]
         for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
             spark.conf.set("spark.sql.session.timeZone", zone)
             got = [r[0] for r in df.select(epoch_ms(F.col("ts"), T.TimestampNTZType())).collect()]
-            assert got == [1704067207179, -1]
+            assert got == expect, zone
+            text = [r[0] for r in df.select(format_time_col(epoch_ms(F.col("ts"), T.TimestampNTZType()))).collect()]
+            assert [parse_time(x) for x in text] == expect, zone
+            back = df.select(parse_time_col(format_time_col(epoch_ms(F.col("ts"), T.TimestampNTZType()))))
+            assert [r[0] for r in back.collect()] == expect, zone
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
