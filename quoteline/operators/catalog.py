@@ -97,11 +97,12 @@ def requested_names(spark: SparkSession, names: Iterable[str] | DataFrame) -> Da
     return spark.createDataFrame(rows, schema)
 
 
-def resolve_inputs(datasets: DataFrame, names: DataFrame, check: bool = True) -> DataFrame:
+def resolve_inputs(datasets: DataFrame, names: DataFrame, check: bool = True, unique: bool = False) -> DataFrame:
     """The dataset row for each requested name (``name``, ``id`` and any other columns).
 
     Unknown names are an error that lists them (the first 20 and their number), instead of
-    being skipped.  Where a name occurs twice in ``datasets`` the smallest id wins.
+    being skipped.  Where a name occurs twice in ``datasets`` the row with the smallest
+    ``(id, ...)`` wins; ``unique=True`` skips that step when names are known to be unique.
     """
     wanted = names.select("name").distinct()
     if check:
@@ -110,11 +111,9 @@ def resolve_inputs(datasets: DataFrame, names: DataFrame, check: bool = True) ->
         if sample:
             total = missing.count()
             raise CatalogError(f"{total} input dataset(s) not found: {sorted(sample)}")
+    matched = datasets.join(wanted, "name", "left_semi")
+    if unique:
+        return matched
     cols = [c for c in datasets.columns if c != "name"]
     best = F.min(F.struct(*[F.col(c) for c in cols])).alias("_best")
-    return (
-        datasets.join(wanted, "name", "left_semi")
-        .groupBy("name")
-        .agg(best)
-        .select("name", *[F.col(f"_best.{c}").alias(c) for c in cols])
-    )
+    return matched.groupBy("name").agg(best).select("name", *[F.col(f"_best.{c}").alias(c) for c in cols])

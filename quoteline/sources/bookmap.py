@@ -37,11 +37,14 @@ def _lines(spark: SparkSession, sf_dir: str, flag: str | None = None) -> DataFra
     )
     if flag is not None:
         li = li.where(F.col("l_returnflag") == F.lit(flag))
-    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    odate = epoch_ms(F.col("o_orderdate"), T.TimestampNTZType())
+    # The order date is converted on the orders side, before the join: predicates that later
+    # reach the join condition then refer to one column instead of repeating the conversion.
+    od = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", epoch_ms(F.col("o_orderdate"), T.TimestampNTZType()).alias("o_orderdate_ms")
+    )
     return (
         li.join(od, li["l_orderkey"] == od["o_orderkey"])
-        .withColumn("base", odate + F.col("l_linenumber").cast("long") * F.lit(HOUR_MS))
+        .withColumn("base", F.col("o_orderdate_ms") + F.col("l_linenumber").cast("long") * F.lit(HOUR_MS))
     )
 
 

@@ -115,23 +115,37 @@ class Catalog:
 
     def resolve(self, names: Iterable[str] | DataFrame) -> DataFrame:
         """J5 over the store: one row per requested name; unknown names raise."""
-        return resolve_inputs(self.datasets(), requested_names(self.spark, names))
+        # current rows are one per name already (latest_state), so no de-duplication is needed
+        return resolve_inputs(self.datasets(), requested_names(self.spark, names), unique=True)
 
     # -- changes --------------------------------------------------------------------------------
     def register_module(self, name: str, entrypoint: str, description: str = "", details: str = "",
                         filepath: str = "", parameters: str = "", inputs: str = "", outputs: str = "") -> str:
         """Record a module; its code is the importable function ``entrypoint``
         (``package.module:function``).  A current module of the same name is an error."""
-        if not name:
-            raise CatalogError("a module needs a name")
-        if self.module(name) is not None:
-            raise CatalogError(f"Analysis {name} already exists")
-        mid = uuid.uuid4().hex
-        self._append("analyses", [dict(
-            id=mid, name=name, description=description, details=details, filepath=filepath, entrypoint=entrypoint,
-            created=_now(), user=_user(), parameters=parameters, inputs=inputs, outputs=outputs, op="put", seq=_seq(),
-        )])
-        return mid
+        return self.register_modules([dict(name=name, entrypoint=entrypoint, description=description, details=details,
+                                           filepath=filepath, parameters=parameters, inputs=inputs,
+                                           outputs=outputs)])[0]
+
+    def register_modules(self, modules: list[dict]) -> list[str]:
+        """C6 for several modules: one lookup and one append for all of them."""
+        names = [m.get("name") for m in modules]
+        if not all(names) or len(set(names)) != len(names):
+            raise CatalogError("every module needs a distinct name")
+        taken = [r["name"] for r in self.analyses().where(F.col("name").isin(names)).select("name").collect()]
+        if taken:
+            raise CatalogError(f"Analysis {', '.join(sorted(taken))} already exists")
+        rows, seq, now, user = [], _seq(), _now(), _user()
+        for m in modules:
+            rows.append(dict({"description": "", "details": "", "filepath": "", "parameters": "", "inputs": "",
+                              "outputs": ""}, **m, id=uuid.uuid4().hex, created=now, user=user, op="put", seq=seq))
+        self._append("analyses", rows)
+        return [r["id"] for r in rows]
+
+    def module_names(self, names: Iterable[str]) -> set[str]:
+        """Which of ``names`` are current modules (one query)."""
+        names = list(names)
+        return {r["name"] for r in self.analyses().where(F.col("name").isin(names)).select("name").collect()}
 
     def drop_module(self, name: str) -> None:
         """Tombstone a module; an unknown name is an error."""
