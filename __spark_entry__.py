@@ -19,7 +19,7 @@ from quoteline.functions.timegrid import epoch_ms, format_time_col, parse_time_c
 from quoteline.operators import catalog as cat
 from quoteline.operators import liquidity as liq
 from quoteline.operators.event_count import event_count, time_range
-from quoteline.plans.runner import register_builtin_modules, run_analysis
+from quoteline.plans.runner import register_builtin_modules, run_analysis, sql_over
 from quoteline.session import scratch_path
 from quoteline.sources import bookmap
 from quoteline.sources.importing import import_dataset
@@ -86,6 +86,15 @@ def q_filter_time_range(spark, d):
     return time_range(bookmap.book_orders(spark, d).select("id", "created"), CURVE_START, CURVE_END)
 
 
+def q_sql_time_range(spark, d):
+    # F1 written as the module author's SQL over a view, parameters bound by Spark
+    return sql_over(
+        spark, {"ORDERS": bookmap.book_orders(spark, d)},
+        "SELECT id, created FROM ORDERS WHERE created >= :start AND created < :end",
+        {"start": CURVE_START, "end": CURVE_END},
+    )
+
+
 def q_filter_live_orders(spark, d):
     return liq.live_orders(q_scan_orders(spark, d), CURVE_START, CURVE_END)
 
@@ -257,6 +266,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parent_names": q_parent_names,
     "parse_time_param": q_parse_time_param,
     "filter_time_range": q_filter_time_range,
+    "sql_time_range": q_sql_time_range,
     "filter_live_orders": q_filter_live_orders,
     "filter_side_buy": q_filter_side_buy,
     "filter_side_sell": q_filter_side_sell,
@@ -458,6 +468,8 @@ _ORACLES = {
 
 
 # Round trips and runs return what the base query returns, so they share its oracle.
+_ORACLES["sql_time_range"] = "WITH " + _BOOK + f"""
+        SELECT id, created FROM book WHERE {CURVE_START} <= created AND created < {CURVE_END}"""
 _ORACLES["save_dataset_roundtrip"] = _ORACLES["import_orders"]
 _ORACLES["save_features_roundtrip"] = _ORACLES["event_count"]
 _ORACLES["import_book_roundtrip"] = _ORACLES["import_orders"]

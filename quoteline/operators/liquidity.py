@@ -11,10 +11,12 @@ Plan at scale (``depth_by_price``): the naive plan explodes each order to every
 covers, so its shuffle grows with ``orders * lifetime / interval``.  Here each order emits two
 change events instead (``+q`` at its first grid point, ``-q`` after its last); the events are
 pre-aggregated by ``(side, price, t)`` map-side, so the shuffle holds at most one row per grid
-point per price level per map task, however many orders share a price.  A running sum per price
-level (window partitions bounded by the number of grid points, not by the data) gives the depth
-at each change point, and only the runs between change points are expanded.  Expansion is done
-in blocks so no single array grows with the grid.
+point per price level per map task, however many orders share a price.  Running sums per price
+level give the depth at each change point, and only the runs between change points are
+expanded.  The running sums are split by time chunk (a prefix sum over per-chunk totals seeds
+each chunk), so a hot price level is spread over many window tasks of bounded size.  Expansion
+is done in blocks, spread over tasks for long grids, so no single array or task grows with the
+grid.
 """
 
 from __future__ import annotations
@@ -32,6 +34,9 @@ SIDES = {"buy": BUY, "sell": SELL}
 
 # Grid points expanded per generated array; bounds the size of any one array in a task.
 GRID_BLOCK = 4096
+# Grid points per window partition of one price level; bounds the rows any one window task
+# sorts, however many orders share the level.
+CHUNK_POINTS = 65536
 
 BOOK_COLUMNS = ("created", "destroyed", "side", "price", "quantity")
 
@@ -72,23 +77,24 @@ def with_grid_bounds(df: DataFrame, start: int, end: int, interval: int) -> Data
     return df.withColumn("lo", lo).withColumn("hi", hi).where(F.col("lo") <= F.col("hi"))
 
 
-def explode_grid(df: DataFrame, lo: str, hi: str, interval: int, out: str = "timestamp") -> DataFrame:
-    """One row per grid point from ``lo`` to ``hi`` (inclusive, step ``interval``).
+def explode_grid(df: DataFrame, lo: str, hi: str, interval: int, out: str = "timestamp",
+                 spread: bool = False) -> DataFrame:
+    """One row per grid point from ``lo`` to ``hi`` (inclusive, step ``interval``; ``lo <= hi``).
 
     Two generators: first the blocks of :data:`GRID_BLOCK` points, then the points of each
-    block, so a long run never becomes one huge array.
+    block, so a long run never becomes one huge array.  With ``spread`` the block rows are
+    hash-partitioned before the second generator, so one long run is expanded by many tasks.
     """
     span = interval * GRID_BLOCK
     step = F.lit(interval).cast("long")
     blocks = F.sequence(F.lit(0).cast("long"), floor_div(F.col(hi) - F.col(lo), span))
     block_lo = F.col(lo) + F.col("_blk") * F.lit(span)
     points = F.sequence(F.col("_blk_lo"), F.least(F.col(hi), F.col("_blk_lo") + F.lit(span - interval)), step)
-    return (
-        df.withColumn("_blk", F.explode(blocks))
-        .withColumn("_blk_lo", block_lo)
-        .withColumn(out, F.explode(points))
-        .drop("_blk", "_blk_lo")
-    )
+    blocked = df.withColumn("_blk", F.explode(blocks)).withColumn("_blk_lo", block_lo)
+    if spread:
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        blocked = blocked.repartition(n, "_blk_lo", *[c for c in ("side", "price") if c in df.columns])
+    return blocked.withColumn(out, F.explode(points)).drop("_blk", "_blk_lo")
 
 
 # ---------------------------------------------------------------------------------------------
@@ -110,15 +116,24 @@ def grid_expand(df: DataFrame, start, end, interval) -> DataFrame:
     return explode_grid(with_grid_bounds(live, start_ms, end_ms, iv), "lo", "hi", iv).drop("lo", "hi")
 
 
-def depth_by_price(df: DataFrame, start, end, interval) -> DataFrame:
+def depth_by_price(df: DataFrame, start, end, interval, chunk_points: int = CHUNK_POINTS) -> DataFrame:
     """A2: live quantity per ``(timestamp, side, price)``; buy and sell sides only.
 
     Output columns ``timestamp`` (bigint), ``side`` (int), ``price`` (int), ``quantity``
     (bigint; null only when every live order at that price has a null quantity).
+
+    Each price level's timeline is cut into chunks of ``chunk_points`` grid points.  The running
+    sums are taken per (level, chunk), seeded with the state carried in from earlier chunks (a
+    prefix sum over per-chunk totals), so no window partition holds more than
+    ``chunk_points + 1`` rows, however hot the level.  Stretches of chunks without any change
+    become single runs.
     """
     start_ms, end_ms, iv = validate_window(start, end, interval, integral=True)
+    if chunk_points < 1:
+        raise ValueError("chunk_points must be positive")
     orders = with_grid_bounds(book_orders(df, start_ms, end_ms), start_ms, end_ms, iv)
 
+    # change events, pre-aggregated map-side: one row per (level, grid point) per map task
     q = F.col("quantity").cast("long")
     has_q = F.when(q.isNotNull(), F.lit(1)).otherwise(F.lit(0))
     change = lambda t, sign: F.struct(
@@ -126,28 +141,74 @@ def depth_by_price(df: DataFrame, start, end, interval) -> DataFrame:
     )
     changes = F.array(change(F.col("lo"), 1), change(F.col("hi") + F.lit(iv), -1))
     events = orders.select("side", "price", F.inline(F.filter(changes, lambda e: e["t"] < F.lit(end_ms))))
+    span = iv * chunk_points
+    steps = (
+        events.groupBy("side", "price", "t")
+        .agg(F.sum("dq").alias("dq"), F.sum("dn").alias("dn"), F.sum("dv").alias("dv"))
+        .withColumn("chunk", floor_div(F.col("t") - F.lit(start_ms), span))
+    )
 
-    steps = events.groupBy("side", "price", "t").agg(
-        F.sum("dq").alias("dq"), F.sum("dn").alias("dn"), F.sum("dv").alias("dv")
+    def chunk_start(c: Column) -> Column:
+        return F.lit(start_ms) + c * F.lit(span)
+
+    n_chunks = max(1, -(-(end_ms - start_ms) // span))
+    in_chunk = Window.partitionBy("side", "price", "chunk").orderBy("t")
+    running = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    chunk_end = F.least(chunk_start(F.col("chunk") + 1), F.lit(end_ms))
+    within = steps.select("side", "price", "chunk", "t", "dq", "dn", "dv")
+    gaps = None
+    if n_chunks > 1:
+        # state carried into each chunk: prefix sums over per-chunk totals (levels x chunks rows)
+        totals = steps.groupBy("side", "price", "chunk").agg(
+            F.sum("dq").alias("tq"), F.sum("dn").alias("tn"), F.sum("dv").alias("tv")
+        )
+        by_chunk = Window.partitionBy("side", "price").orderBy("chunk")
+        before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
+        upto = by_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        zero = F.lit(0).cast("long")
+        carry = totals.select(
+            "side", "price", "chunk",
+            F.coalesce(F.sum("tq").over(before), zero).alias("cq"),
+            F.coalesce(F.sum("tn").over(before), zero).alias("cn"),
+            F.coalesce(F.sum("tv").over(before), zero).alias("cv"),
+            F.sum("tq").over(upto).alias("eq"),
+            F.sum("tn").over(upto).alias("en"),
+            F.sum("tv").over(upto).alias("ev"),
+            F.lead("chunk").over(by_chunk).alias("next_chunk"),
+        )
+        # a seed row at each chunk start carries the incoming state into the chunk's window
+        seeds = carry.where(F.col("cn") > 0).select(
+            "side", "price", "chunk", chunk_start(F.col("chunk")).alias("t"),
+            F.col("cq").alias("dq"), F.col("cn").alias("dn"), F.col("cv").alias("dv"),
+        )
+        within = within.unionByName(seeds)
+        # chunks with no change at all inside a live stretch: one run from the next chunk's start
+        gap_lo = chunk_start(F.col("chunk") + 1)
+        gap_end = F.least(chunk_start(F.coalesce(F.col("next_chunk"), F.lit(n_chunks))), F.lit(end_ms))
+        gaps = carry.where((F.col("en") > 0) & (gap_lo < gap_end)).select(
+            "side", "price", gap_lo.alias("lo"), F.col("eq").alias("qty"), F.col("en").alias("n_live"),
+            F.col("ev").alias("n_valued"), floor_to_grid(gap_end - 1, start_ms, iv).alias("hi"),
+        )
+
+    runs = (
+        within.select(
+            "side", "price", F.col("t").alias("lo"),
+            F.sum("dq").over(running).alias("qty"),
+            F.sum("dn").over(running).alias("n_live"),
+            F.sum("dv").over(running).alias("n_valued"),
+            F.coalesce(F.lead("t").over(in_chunk), chunk_end).alias("next_t"),
+        )
+        .where(F.col("n_live") > 0)
+        .select("side", "price", "lo", "qty", "n_live", "n_valued",
+                floor_to_grid(F.col("next_t") - 1, start_ms, iv).alias("hi"))
     )
-    by_level = Window.partitionBy("side", "price").orderBy("t")
-    running = by_level.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    levels = steps.select(
-        "side",
-        "price",
-        F.col("t").alias("lo"),
-        F.sum("dq").over(running).alias("qty"),
-        F.sum("dn").over(running).alias("n_live"),
-        F.sum("dv").over(running).alias("n_valued"),
-        F.lead("t").over(by_level).alias("next_t"),
-    ).where(F.col("n_live") > 0)
-    levels = levels.withColumn("hi", floor_to_grid(F.coalesce(F.col("next_t"), F.lit(end_ms)) - 1, start_ms, iv))
-
-    return explode_grid(levels, "lo", "hi", iv).select(
-        "timestamp",
-        "side",
-        "price",
-        F.when(F.col("n_valued") > 0, F.col("qty")).alias("quantity"),
+    if gaps is not None:
+        runs = runs.unionByName(gaps)
+
+    spread = (end_ms - start_ms) // iv > 4 * GRID_BLOCK
+    expanded = explode_grid(runs.where(F.col("lo") <= F.col("hi")), "lo", "hi", iv, spread=spread)
+    return expanded.select(
+        "timestamp", "side", "price", F.when(F.col("n_valued") > 0, F.col("qty")).alias("quantity")
     )
 
 

@@ -50,6 +50,14 @@ def open_inputs(spark: SparkSession, catalog: Catalog, inputs: Sequence[str]) ->
     return {n: spark.read.format(rows[n]["fileformat"] or "parquet").load(rows[n]["filepath"]) for n in inputs}
 
 
+def sql_over(spark: SparkSession, frames: Mapping[str, DataFrame], text: str, args: Mapping | None = None) -> DataFrame:
+    """S2 + F4: register each DataFrame as a temporary view under its key, then run ``text``
+    with named parameters (``:name``) bound by Spark, never spliced into the text."""
+    for view, df in frames.items():
+        df.createOrReplaceTempView(view)
+    return spark.sql(text, args=dict(args or {}))
+
+
 def test_analysis(spark: SparkSession, module: Module | str, params: Mapping, inputs: Mapping[str, DataFrame]) -> DataFrame:
     """K3: run a module function (or entry point) on given DataFrames; nothing is looked up or
     saved."""

@@ -116,6 +116,10 @@ def test_depth_equals_brute_force(spark, rows, start, span, iv):
     got = {(r["timestamp"], r["side"], r["price"]): r["quantity"]
            for r in liq.depth_by_price(df, start, end, iv).collect()}
     assert got == brute_depth(rows, start, end, iv)
+    for chunk in (1, 2, 5):
+        chunked = {(r["timestamp"], r["side"], r["price"]): r["quantity"]
+                   for r in liq.depth_by_price(df, start, end, iv, chunk_points=chunk).collect()}
+        assert chunked == got, chunk
     naive = {(r["timestamp"], r["side"], r["price"]): r["quantity"]
              for r in liq.depth_by_price_naive(df, start, end, iv).collect()}
     assert naive == got
@@ -132,6 +136,25 @@ def test_long_runs_expand_across_blocks(spark):
     assert grid.count() == n + n - 8
 
 
+def test_hot_level_long_grid_is_split(spark):
+    # one price level holds almost all orders; long-lived orders leave change-free stretches
+    rows = [(k * 7, k * 7 + 5000, 66, 1, 1) for k in range(300)] + [(0, 20000, 83, 2, 3), (15000, 0, 66, 3, 4)]
+    df = spark.createDataFrame(rows, BOOK)
+    expect = brute_depth(rows, 0, 20000, 10)
+    for chunk in (3, 64, liq.CHUNK_POINTS):
+        got = {(r["timestamp"], r["side"], r["price"]): r["quantity"]
+               for r in liq.depth_by_price(df, 0, 20000, 10, chunk_points=chunk).collect()}
+        assert got == expect, chunk
+
+
+def test_spread_expansion_matches(spark):
+    n = liq.GRID_BLOCK * 5 + 3
+    df = spark.createDataFrame([(0, n, 66, 1, 2)], BOOK)
+    depth = liq.depth_by_price(df, 0, n, 1)
+    assert depth.count() == n
+    assert depth.agg({"timestamp": "max"}).collect()[0][0] == n - 1
+
+
 def test_plan_stays_in_the_jvm(spark):
     df = spark.createDataFrame(EXAMPLE, BOOK)
     plan = liq.liquidity_curve(df, 1000, 1300, 100)._jdf.queryExecution().executedPlan().toString()
