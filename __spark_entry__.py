@@ -165,6 +165,11 @@ def q_dataset_parents(spark, d):
     )
 
 
+def q_dataset_parent_edges(spark, d):
+    datasets, _, lineage = _catalog(spark, d)
+    return cat.parent_edges(datasets, lineage)
+
+
 def q_dataset_derived(spark, d):
     datasets, _, lineage = _catalog(spark, d)
     return cat.dataset_derived(datasets, lineage)
@@ -279,6 +284,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_datasets": q_search_datasets,
     "search_modules": q_search_modules,
     "dataset_parents": q_dataset_parents,
+    "dataset_parent_edges": q_dataset_parent_edges,
     "dataset_derived": q_dataset_derived,
     "resolve_inputs": q_resolve_inputs,
     "current_datasets": q_current_datasets,
@@ -455,6 +461,9 @@ _ORACLES = {
         SELECT f.id, f.name, string_agg(p.name, '|' ORDER BY p.name) AS parents, count(*) AS n_parents
         FROM lin l JOIN ds f ON f.id = l.left_fs_id JOIN ds p ON p.id = l.right_ds_id
         GROUP BY f.id, f.name""",
+    "dataset_parent_edges": "WITH " + _CATALOG + """
+        SELECT f.id, f.name, p.id AS parent_id, p.name AS parent_name
+        FROM lin l, ds f, ds p WHERE f.id = l.left_fs_id AND p.id = l.right_ds_id""",
     "dataset_derived": "WITH " + _CATALOG + """
         SELECT p.id, p.name, count(*) AS n_derived
         FROM lin l JOIN ds p ON p.id = l.right_ds_id

@@ -65,6 +65,20 @@ def search_datasets(datasets: DataFrame, analyses: DataFrame, lineage: DataFrame
     )
 
 
+def parent_edges(datasets: DataFrame, lineage: DataFrame) -> DataFrame:
+    """J3 in long form: one row per (feature set, parent) with both names; no grouping, so it
+    scales with the number of edges whatever their distribution."""
+    names = datasets.select("id", "name")
+    fs = names.withColumnRenamed("id", "left_fs_id")
+    parent = names.withColumnRenamed("id", "right_ds_id").withColumnRenamed("name", "parent_name")
+    return (
+        lineage.select("left_fs_id", "right_ds_id")
+        .join(fs, "left_fs_id")
+        .join(parent, "right_ds_id")
+        .select(F.col("left_fs_id").alias("id"), "name", F.col("right_ds_id").alias("parent_id"), "parent_name")
+    )
+
+
 def dataset_parents(datasets: DataFrame, lineage: DataFrame) -> DataFrame:
     """J3 + A4: for each feature set, its parent names (sorted) and their number.
 
