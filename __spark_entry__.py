@@ -190,18 +190,23 @@ def _action_log(spark, d, key: Column):
     )
 
 
-def q_current_datasets(spark, d):
-    log = _action_log(spark, d, F.col("user_id").cast("string"))
-    return cat.latest_state(log, "key", ["ts", "event_id"], F.col("is_drop"), ["ts", "event_id", "event_type"]).select(
-        "key", F.col("ts").alias("last_ts"), F.col("event_id").alias("last_event_id"), F.col("event_type").alias("action")
+def _current(log):
+    state = cat.latest_state(log, "key", ["ts", "event_id"], F.col("is_drop"), ["ts", "event_id", "event_type"])
+    return state.select(
+        "key",
+        epoch_ms(F.col("ts"), T.TimestampNTZType()).alias("last_ts"),
+        F.col("event_id").alias("last_event_id"),
+        F.col("event_type").alias("action"),
     )
 
 
+def q_current_datasets(spark, d):
+    # events as a catalogue action log: key = user, an 'error' event drops the key
+    return _current(_action_log(spark, d, F.col("user_id").cast("string")))
+
+
 def q_current_modules(spark, d):
-    log = _action_log(spark, d, F.col("props"))
-    return cat.latest_state(log, "key", ["ts", "event_id"], F.col("is_drop"), ["ts", "event_id", "event_type"]).select(
-        "key", F.col("ts").alias("last_ts"), F.col("event_id").alias("last_event_id"), F.col("event_type").alias("action")
-    )
+    return _current(_action_log(spark, d, F.col("props")))
 
 
 # ---- sinks, import and run-by-name: write to a new folder under spark.checkpoint.dir -------
@@ -373,7 +378,7 @@ WITH log AS (
          row_number() OVER (PARTITION BY {key} ORDER BY ts DESC, event_id DESC) AS rn
   FROM events
 )
-SELECT key, ts AS last_ts, event_id AS last_event_id, event_type AS action
+SELECT key, epoch_us(ts) // 1000 AS last_ts, event_id AS last_event_id, event_type AS action
 FROM log WHERE rn = 1 AND event_type <> 'error'
 """
 

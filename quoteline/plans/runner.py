@@ -46,7 +46,7 @@ def open_inputs(spark: SparkSession, catalog: Catalog, inputs: Sequence[str]) ->
     The list of names is the user's (driver-side, short); their catalogue rows are fetched in
     one query.  Every unknown name is reported.
     """
-    rows = {r["name"]: r for r in catalog.resolve(list(inputs)).select("name", "filepath", "fileformat").collect()}
+    rows = catalog.lookup(inputs)
     return {n: spark.read.format(rows[n]["fileformat"] or "parquet").load(rows[n]["filepath"]) for n in inputs}
 
 

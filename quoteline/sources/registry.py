@@ -101,17 +101,34 @@ class Catalog:
             .join(ids.withColumnRenamed("id", "right_ds_id"), "right_ds_id", "left_semi")
         )
 
-    def _first(self, df: DataFrame, name: str) -> Row | None:
-        rows = df.where(F.col("name") == F.lit(name)).limit(1).collect()
-        return rows[0] if rows else None
+    def _current_row(self, table: str, name: str) -> Row | None:
+        """Latest log row of one name, unless it is a tombstone.  The name predicate reaches the
+        Parquet scan and the top row is taken without a shuffle (``orderBy(...).limit(1)``)."""
+        rows = (
+            self.log(table).where(F.col("name") == F.lit(name))
+            .orderBy(F.col("seq").desc(), F.col("id").desc()).limit(1).collect()
+        )
+        if not rows or rows[0]["op"] == "drop":
+            return None
+        return Row(**{k: v for k, v in rows[0].asDict().items() if k not in ("op", "seq")})
 
     def module(self, name: str) -> Row | None:
         """The current module of that name, or None."""
-        return self._first(self.analyses(), name)
+        return self._current_row("analyses", name)
 
     def dataset(self, name: str) -> Row | None:
         """The current dataset of that name, or None."""
-        return self._first(self.datasets(), name)
+        return self._current_row("datasets", name)
+
+    def lookup(self, names: Iterable[str]) -> dict[str, Row]:
+        """J5 for a user's list of names (driver-side, short): their current dataset rows in one
+        query; every unknown name is reported."""
+        wanted = list(dict.fromkeys(str(n) for n in names))
+        rows = {r["name"]: r for r in self.datasets().where(F.col("name").isin(wanted)).collect()}
+        missing = [n for n in wanted if n not in rows]
+        if missing:
+            raise CatalogError(f"{len(missing)} input dataset(s) not found: {sorted(missing)[:20]}")
+        return rows
 
     def resolve(self, names: Iterable[str] | DataFrame) -> DataFrame:
         """J5 over the store: one row per requested name; unknown names raise."""

@@ -57,7 +57,7 @@ def save_features(catalog: Catalog, df: DataFrame, target_dir: str, name: str, m
         raise CatalogError("No Such Module")
     catalog.check_new_dataset(name)
     parents = parent_dataset_names(inputs)
-    parent_ids = [r["id"] for r in catalog.resolve(parents).select("id").collect()] if parents else []
+    parent_ids = [r["id"] for r in catalog.lookup(parents).values()] if parents else []
     path = join_path(target_dir, f"{name}.parquet")
     df.write.mode("errorifexists").parquet(path)
     params = module_parameters if isinstance(module_parameters, str) else json.dumps(module_parameters, sort_keys=True)
