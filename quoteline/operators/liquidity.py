@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timegrid import ceil_to_grid, end_of_day, floor_div, floor_to_grid, validate_window
+from ..session import cut_lineage
 from ..sources.schemas import require_columns
 
 # Side codes (ASCII 'B' and 'S'); other codes are on neither side.
@@ -238,14 +239,18 @@ def side_curve(depth: DataFrame, side: int | str) -> DataFrame:
     return side_orders(depth, code).groupBy("timestamp").agg(_levels().alias(name))
 
 
-def liquidity_curve(df: DataFrame, start, end, interval, sort: bool = True) -> DataFrame:
+def liquidity_curve(df: DataFrame, start, end, interval, sort: bool = True, checkpoint: bool = False) -> DataFrame:
     """The two-sided curve: ``timestamp``, ``curve_buy``, ``curve_sell`` (J1 semantics).
 
     One aggregation over the depth builds both sides at once; requiring both arrays to be
     non-empty gives exactly the inner join of the two one-sided curves on ``timestamp``
-    without scanning and expanding the input twice.
+    without scanning and expanding the input twice.  ``checkpoint=True`` materialises the depth
+    in the shared checkpoint folder first, so a lost executor in the curve stages never sends
+    the job back to the scan.
     """
     depth = depth_by_price(df, start, end, interval)
+    if checkpoint:
+        depth = cut_lineage(depth)
     side = F.col("side")
     out = (
         depth.groupBy("timestamp")

@@ -58,3 +58,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unique sub-folder of the shared checkpoint folder (never reused)."""
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df, eager: bool = True):
+    """Materialise ``df`` in the shared checkpoint folder and return it with its lineage cut.
+
+    Uses ``DataFrame.checkpoint`` (reliable: files in ``spark.checkpoint.dir``, which survive
+    the loss of any executor), never a local checkpoint.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=eager)

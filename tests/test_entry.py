@@ -34,3 +34,15 @@ def test_entry_runs(spark):
 def test_query_matches_oracle(spark, name):
     con = duck(SF)
     assert compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF)
+
+
+FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF",
+             "CartesianProduct", "BroadcastNestedLoopJoin")
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
+def test_no_python_or_cartesian_nodes_in_any_plan(spark):
+    for name, fn in E.queries().items():
+        plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        bad = [f for f in FORBIDDEN if f in plan]
+        assert not bad, (name, bad)

@@ -39,6 +39,14 @@ def test_worked_example(spark):
     ]
 
 
+def test_checkpointed_curve_is_equal(spark):
+    df = spark.createDataFrame(EXAMPLE, BOOK)
+    plain = _curve_rows(liq.liquidity_curve(df, 1000, 1300, 100))
+    cut = liq.liquidity_curve(df, 1000, 1300, 100, checkpoint=True)
+    assert "LogicalRDD" in cut._jdf.queryExecution().optimizedPlan().toString()
+    assert _curve_rows(cut) == plain
+
+
 def test_curve_types(spark):
     df = spark.createDataFrame(EXAMPLE, BOOK)
     out = liq.liquidity_curve(df, 1000, 1300, 100)

@@ -133,3 +133,16 @@ def test_dry_run_of_a_function(spark):
     assert [tuple(r) for r in out.collect()] == [(1000, 2)]
     with pytest.raises(RuntimeError):
         dry_run(spark, "no.such.module:fn", {}, {"x": df})
+
+
+def test_csv_source_uses_fixed_schema(spark, workdir):
+    src = f"{workdir}/incoming/CD01.csv"
+    os.makedirs(f"{src}/ORDERS/2012-10-02")
+    with open(f"{src}/ORDERS/2012-10-02/part.csv", "w") as fh:
+        fh.write("1,1,1,1000,1250,66,10,5,0,,,1\n2,1,1,1050,0,83,11,7,0,,,1\n")
+    catalog = Catalog(spark, f"{workdir}/catalog")
+    written = import_dataset(spark, catalog, [src], f"{workdir}/files", fmt="csv", tables=["ORDERS"])
+    back = spark.read.parquet(written["CD01_ORDERS"])
+    assert back.schema == ORDERS_SCHEMA
+    assert sorted(tuple(r) for r in back.collect()) == [
+        (1, 1, 1, 1000, 1250, 66, 10, 5, 0, None, None, 1), (2, 1, 1, 1050, 0, 83, 11, 7, 0, None, None, 1)]
