@@ -72,3 +72,28 @@ def test_bad_parameters(spark):
         event_count(df, 10, 5, 1)
     with pytest.raises(ValueError):
         event_count(df, 0, 5, 0)
+
+
+def test_equals_window_function(spark):
+    # The bucket equals Spark's tumbling window with a start offset, on real timestamps
+    from pyspark.sql import functions as F
+
+    from quoteline.functions.timegrid import epoch_ms
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    start, end, iv = 1704067200500, 1705795200000, 3600000
+    ours = {tuple(r) for r in event_count(ev, start, end, iv, time_col="ts", sort=False).collect()}
+    ms = epoch_ms(F.col("ts"), T.TimestampNTZType())
+    win = (
+        ev.where((ms >= start) & (ms < end))
+        .groupBy(F.window("ts", "3600000 milliseconds", "3600000 milliseconds", f"{start % iv} milliseconds"))
+        .agg(F.count("*").alias("count"))
+        .select(epoch_ms(F.col("window.start"), T.TimestampNTZType()).alias("timestamp"), "count")
+    )
+    assert ours == {tuple(r) for r in win.collect()}
+    assert len(ours) > 0
+
+
+def test_negative_times(spark):
+    df = spark.createDataFrame([(t,) for t in (-301, -300, -1, 0, 99)], SCHEMA)
+    assert _rows(event_count(df, -300, 100, 100)) == [(-300, 1), (-100, 1), (0, 2)]

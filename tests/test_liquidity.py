@@ -167,3 +167,27 @@ def test_plan_stays_in_the_jvm(spark):
     df = spark.createDataFrame(EXAMPLE, BOOK)
     plan = liq.liquidity_curve(df, 1000, 1300, 100)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_boundaries(spark):
+    # grid 1000, 1100, 1200 (end 1300)
+    rows = [
+        (1000, 1100, 66, 1, 1),   # created = start, destroyed on a grid point: live at 1000 only
+        (1100, 1200, 66, 2, 1),   # created on the grid: live at 1100 only
+        (1300, 1400, 66, 3, 1),   # created = end: never on the grid
+        (1299, 1400, 66, 4, 1),   # created just before end: no grid point left
+        (999, 1000, 66, 5, 1),    # destroyed = start: gone at 1000
+        (1200, 1201, 66, 6, 1),   # short life on the last point
+    ]
+    df = spark.createDataFrame(rows, BOOK)
+    got = sorted((r["timestamp"], r["price"]) for r in liq.depth_by_price(df, 1000, 1300, 100).collect())
+    assert got == [(1000, 1), (1100, 2), (1200, 6)]
+    assert sorted((r["timestamp"], r["price"]) for r in liq.grid_expand(df, 1000, 1300, 100).collect()) == got
+
+
+def test_negative_epoch(spark):
+    rows = [(-250, -50, 66, 1, 2), (-150, 0, 83, 2, 3)]   # the open order ends at -1 (end of 1969-12-31)
+    df = spark.createDataFrame(rows, BOOK)
+    got = {(r["timestamp"], r["side"], r["price"]): r["quantity"]
+           for r in liq.depth_by_price(df, -300, 100, 100).collect()}
+    assert got == brute_depth(rows, -300, 100, 100) == {(-200, 66, 1): 2, (-100, 66, 1): 2, (-100, 83, 2): 3}
