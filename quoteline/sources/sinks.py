@@ -17,6 +17,18 @@ from ..operators.catalog import CatalogError
 from .registry import Catalog
 
 
+class SinkError(CatalogError):
+    """The data could not be written (bad target, existing folder, storage failure); nothing
+    was recorded in the catalogue."""
+
+
+def _write(df: DataFrame, path: str) -> None:
+    try:
+        df.write.mode("errorifexists").parquet(path)
+    except Exception as exc:  # storage and analysis errors alike: report, record nothing
+        raise SinkError(f"cannot write {path}: {str(exc).splitlines()[0] if str(exc) else type(exc).__name__}") from exc
+
+
 def save_dataset(catalog: Catalog, df: DataFrame, target_dir: str, table: str, source_path: str,
                  description: str = "", details: str = "") -> str:
     """K1: write ``df`` as ``<target_dir>/<identifier>/<identifier>_<TABLE>.parquet`` and record it.
@@ -30,7 +42,7 @@ def save_dataset(catalog: Catalog, df: DataFrame, target_dir: str, table: str, s
     name = dataset_name(identifier, table)
     path = join_path(target_dir, identifier, f"{name}.parquet")
     catalog.check_new_dataset(name)
-    df.write.mode("errorifexists").parquet(path)
+    _write(df, path)
     catalog.create_dataset(name, path, df.schema.json(), identifier=identifier, description=description,
                            details=details)
     return path
@@ -59,7 +71,7 @@ def save_features(catalog: Catalog, df: DataFrame, target_dir: str, name: str, m
     parents = parent_dataset_names(inputs)
     parent_ids = [r["id"] for r in catalog.lookup(parents).values()] if parents else []
     path = join_path(target_dir, f"{name}.parquet")
-    df.write.mode("errorifexists").parquet(path)
+    _write(df, path)
     params = module_parameters if isinstance(module_parameters, str) else json.dumps(module_parameters, sort_keys=True)
     fs_id = catalog.create_featureset(name, module_name, path, df.schema.json(), params,
                                       description=description, details=details)

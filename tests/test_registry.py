@@ -119,6 +119,13 @@ def test_sink_checks_leave_no_orphans(spark, workdir):
     with pytest.raises(RuntimeError, match="not found"):
         save_features(catalog, df, f"{workdir}/other", "feat", "EventCount", {}, ["missing_parent"])
     assert not os.path.exists(f"{workdir}/other")
+    # a target on an unknown file system (a wrong container) fails the write; nothing is recorded
+    with pytest.raises(RuntimeError, match="cannot write"):
+        save_dataset(catalog, df, "nosuchfs://wrongContainer.Test", "orders", "/path/to/other.h5")
+    assert catalog.dataset("other_ORDERS") is None
+    with pytest.raises(RuntimeError, match="cannot write"):
+        save_features(catalog, df, "nosuchfs://wrongContainer.Test", "feat", "EventCount", {}, ["file_ORDERS"])
+    assert catalog.dataset("feat") is None
     # parents may be given as dataset paths: the base name is the dataset name
     save_features(catalog, df, f"{workdir}/feats", "feat", "EventCount", [12345, 56789], [path])
     assert catalog.lineage().count() == 1
