@@ -14,12 +14,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..functions.paths import BOOK_TABLES, dataset_name, identifier_of, join_path
+from ..functions.paths import BOOK_TABLES, dataset_name, identifier_col, identifier_of, join_path
 from ..operators.catalog import CatalogError
 from .registry import Catalog
 from .schemas import TABLE_SCHEMAS, conform
-from .sinks import save_dataset
+from .sinks import SinkError, save_dataset
 
 _TEXT_FORMATS = {"csv", "json", "text"}
 
@@ -43,15 +44,38 @@ def read_book_table(spark: SparkSession, source: str, table: str, fmt: str = "pa
     return conform(reader.load(join_path(source, table)), schema)
 
 
+def read_book_tables(spark: SparkSession, sources: Sequence[str], table: str, fmt: str = "parquet",
+                     options: Mapping[str, str] | None = None) -> DataFrame:
+    """One table of many sources in one scan, with an ``identifier`` column taken from each
+    row's file path (the source folder's word before its extension)."""
+    table = table.upper()
+    schema = TABLE_SCHEMAS[table]
+    opts = {"recursiveFileLookup": "true", **dict(options or {})}
+    reader = spark.read.format(fmt).options(**opts)
+    if fmt in _TEXT_FORMATS:
+        reader = reader.schema(schema)
+    raw = reader.load([join_path(src, table) for src in sources])
+    source_dir = F.regexp_extract(F.input_file_name(), rf"^(.*)/{table}/", 1)
+    return conform(raw, schema).withColumn("identifier", identifier_col(source_dir))
+
+
 def import_dataset(spark: SparkSession, catalog: Catalog, paths: Sequence[str], target_dir: str,
                    description: str = "", details: str = "", fmt: str = "parquet",
                    tables: Sequence[str] = BOOK_TABLES, partitions: int | None = None,
-                   options: Mapping[str, str] | None = None) -> dict[str, str]:
+                   options: Mapping[str, str] | None = None, layout: str = "by_source") -> dict[str, str]:
     """Import every table of every source; returns ``{dataset name: path}``.
 
-    ``partitions`` repartitions each table before writing (the reference's import
-    parallelism); by default the file splits decide.
+    ``layout="by_source"`` writes ``<target>/<identifier>/<identifier>_<TABLE>.parquet``, one
+    job per (source, table).  ``layout="partitioned"`` runs one job per table for all sources
+    together and writes ``<target>/<TABLE>/identifier=<identifier>``, each folder being one
+    dataset; use it for many sources.  ``partitions`` repartitions before writing (the import
+    parallelism setting); by default the file splits decide.
     """
+    if layout == "partitioned":
+        return _import_partitioned(spark, catalog, paths, target_dir, description, details, fmt, tables,
+                                   partitions, options)
+    if layout != "by_source":
+        raise ValueError(f"unknown layout {layout!r}")
     if not paths:
         raise CatalogError("Please ensure paths is not None or empty")
     if not target_dir:
@@ -59,12 +83,10 @@ def import_dataset(spark: SparkSession, catalog: Catalog, paths: Sequence[str],
     plan = []
     for source in paths:
         ident = identifier_of(source.rstrip("/"))
-        for table in tables:
-            name = dataset_name(ident, table)
-            catalog.check_new_dataset(name)
-            plan.append((source, table, name))
+        plan.extend((source, table, dataset_name(ident, table)) for table in tables)
     if len({name for _, _, name in plan}) != len(plan):
         raise CatalogError("two sources share an identifier")
+    catalog.check_new_datasets([name for _, _, name in plan])
     out = {}
     for source, table, name in plan:
         df = read_book_table(spark, source, table, fmt, options)
@@ -72,3 +94,38 @@ def import_dataset(spark: SparkSession, catalog: Catalog, paths: Sequence[str],
             df = df.repartition(int(partitions))
         out[name] = save_dataset(catalog, df, target_dir, table, source.rstrip("/"), description, details)
     return out
+
+
+def _import_partitioned(spark, catalog, paths, target_dir, description, details, fmt, tables, partitions,
+                        options) -> dict[str, str]:
+    if not paths:
+        raise CatalogError("Please ensure paths is not None or empty")
+    if not target_dir:
+        raise CatalogError("a target folder is required")
+    sources = [p.rstrip("/") for p in paths]
+    idents = [identifier_of(p) for p in sources]
+    if len(set(idents)) != len(idents):
+        raise CatalogError("two sources share an identifier")
+    entries = [(t.upper(), i) for t in tables for i in idents]
+    catalog.check_new_datasets([dataset_name(i, t) for t, i in entries])
+    out = {}
+    for table in dict.fromkeys(t for t, _ in entries):
+        df = read_book_tables(spark, sources, table, fmt, options)
+        if partitions:
+            df = df.repartition(int(partitions), "identifier")
+        folder = join_path(target_dir, table)
+        try:
+            # append: earlier imports of other sources may share the table folder; the names
+            # checked above guarantee no identifier folder is written twice
+            df.write.mode("append").partitionBy("identifier").parquet(folder)
+        except Exception as exc:
+            raise SinkError(f"cannot write {folder}: {str(exc).splitlines()[0]}") from exc
+        for ident in idents:
+            out[dataset_name(ident, table)] = f"{folder}/identifier={ident}"
+    schema_of = {t: TABLE_SCHEMAS[t].json() for t, _ in entries}
+    catalog.create_datasets([
+        dict(name=dataset_name(i, t), filepath=out[dataset_name(i, t)], schema=schema_of[t], identifier=i,
+             description=description, details=details)
+        for t, i in entries
+    ])
+    return out

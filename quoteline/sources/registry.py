@@ -184,6 +184,27 @@ class Catalog:
         )])
         return did
 
+    def create_datasets(self, entries: list[dict]) -> list[str]:
+        """C1 for several datasets: one lookup and one append.  Each entry has ``name``,
+        ``filepath``, ``schema`` and optionally the other ``datasets`` columns."""
+        names = [e["name"] for e in entries]
+        if not all(names) or len(set(names)) != len(names):
+            raise CatalogError("every dataset needs a distinct name")
+        self.check_new_datasets(names)
+        seq, now, user = _seq(), _now(), _user()
+        rows = [dict({"fileformat": "parquet", "identifier": "", "description": "", "details": "",
+                      "module_id": None, "module_parameters": ""}, **e,
+                     id=uuid.uuid4().hex, created=now, user=user, op="put", seq=seq) for e in entries]
+        self._append("datasets", rows)
+        return [r["id"] for r in rows]
+
+    def check_new_datasets(self, names: Iterable[str]) -> None:
+        """Every name must be free (one query for the whole list)."""
+        names = list(names)
+        taken = sorted(r["name"] for r in self.datasets().where(F.col("name").isin(names)).select("name").collect())
+        if taken:
+            raise CatalogError(f"The dataset with name {', '.join(taken)} already exists")
+
     def check_new_dataset(self, name: str) -> None:
         if not name:
             raise CatalogError("a dataset needs a name")

@@ -153,3 +153,21 @@ def test_csv_source_uses_fixed_schema(spark, workdir):
     assert back.schema == ORDERS_SCHEMA
     assert sorted(tuple(r) for r in back.collect()) == [
         (1, 1, 1, 1000, 1250, 66, 10, 5, 0, None, None, 1), (2, 1, 1, 1050, 0, 83, 11, 7, 0, None, None, 1)]
+
+
+def test_partitioned_import_of_many_sources(spark, workdir):
+    sources = []
+    for ident, n in (("AB00", 2), ("CD01", 3)):
+        src = f"{workdir}/incoming/{ident}.h5"
+        rows = [(k, 1, 1, 1000 + k, 1250, 66, 10, 5, 0, None, None, 1) for k in range(n)]
+        spark.createDataFrame(rows, ORDERS_SCHEMA).write.parquet(f"{src}/ORDERS/day=1")
+        sources.append(src)
+    catalog = Catalog(spark, f"{workdir}/catalog")
+    written = import_dataset(spark, catalog, sources, f"{workdir}/files", tables=["ORDERS"], layout="partitioned")
+    assert written == {"AB00_ORDERS": f"{workdir}/files/ORDERS/identifier=AB00",
+                       "CD01_ORDERS": f"{workdir}/files/ORDERS/identifier=CD01"}
+    for name, n in (("AB00_ORDERS", 2), ("CD01_ORDERS", 3)):
+        back = spark.read.parquet(catalog.dataset(name)["filepath"])
+        assert back.schema == ORDERS_SCHEMA and back.count() == n
+    with pytest.raises(RuntimeError, match="already exists"):
+        import_dataset(spark, catalog, sources[:1], f"{workdir}/files", tables=["ORDERS"], layout="partitioned")
