@@ -11,20 +11,24 @@ query keeps running and picks up new files every ``every``.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.paths import join_path
+from ..functions.paths import identifier_col, join_path
 from ..session import scratch_path
 from ..sources.schemas import TABLE_SCHEMAS, conform
 
 
 def ingest_table(spark: SparkSession, source: str, table: str, target_path: str, checkpoint: str | None = None,
                  fmt: str = "parquet", available_now: bool = True, every: str = "1 minute",
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = None, by_identifier: bool = False) -> StreamingQuery:
     """Start the incremental import of ``<source>/<TABLE>`` into ``target_path``.
 
-    ``checkpoint`` must be a shared folder; by default a new folder under the session's
-    ``spark.checkpoint.dir``.
+    ``source`` may be a glob over many sources (``/incoming/*.h5``); with ``by_identifier`` each
+    row gets its source's identifier and the output is partitioned by it
+    (``<target>/identifier=<id>``, the layout of the partitioned batch import), so one query
+    serves every source.  ``checkpoint`` must be a shared folder; by default a new folder under
+    the session's ``spark.checkpoint.dir``.
     """
     table = table.upper()
     schema = TABLE_SCHEMAS[table]
@@ -33,10 +37,15 @@ def ingest_table(spark: SparkSession, source: str, table: str, target_path: str,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     typed = conform(reader.load(join_path(source, table)), schema)
+    if by_identifier:
+        source_dir = F.regexp_extract(F.input_file_name(), rf"^(.*)/{table}/", 1)
+        typed = typed.withColumn("identifier", identifier_col(source_dir))
     writer = (
         typed.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint or scratch_path(spark, f"ingest-{table.lower()}"))
     )
+    if by_identifier:
+        writer = writer.partitionBy("identifier")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
     return writer.start(target_path)

@@ -17,3 +17,19 @@ def test_incremental_import_reads_each_file_once(spark, workdir):
     back = spark.read.parquet(out)
     assert back.count() == 3
     assert back.schema == ORDERS_SCHEMA
+
+
+def test_many_sources_by_identifier(spark, workdir):
+    out, ckpt = f"{workdir}/ORDERS", f"{workdir}/ckpt-many"
+    spark.createDataFrame([ROW], ORDERS_SCHEMA).write.parquet(f"{workdir}/in/AB00.h5/ORDERS/day1")
+    spark.createDataFrame([ROW, ROW], ORDERS_SCHEMA).write.parquet(f"{workdir}/in/CD01.h5/ORDERS/day1")
+    q = ingest_table(spark, f"{workdir}/in/*.h5", "orders", out, checkpoint=ckpt, by_identifier=True)
+    q.awaitTermination(120)
+    assert spark.read.parquet(f"{out}/identifier=AB00").count() == 1
+    assert spark.read.parquet(f"{out}/identifier=CD01").count() == 2
+    spark.createDataFrame([ROW], ORDERS_SCHEMA).write.parquet(f"{workdir}/in/AB00.h5/ORDERS/day2")
+    q = ingest_table(spark, f"{workdir}/in/*.h5", "orders", out, checkpoint=ckpt, by_identifier=True)
+    q.awaitTermination(120)
+    counts = {r["identifier"]: r["count"] for r in spark.read.parquet(out).groupBy("identifier").count().collect()}
+    assert counts == {"AB00": 2, "CD01": 2}
+    assert spark.read.parquet(f"{out}/identifier=AB00").schema == ORDERS_SCHEMA
