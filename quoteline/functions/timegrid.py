@@ -144,7 +144,9 @@ def time_literal(ms: int, dtype: T.DataType) -> Column:
     ``epoch_ms(ts) >= ms`` because the conversion truncates.
     """
     if isinstance(dtype, _INTEGRAL):
-        return F.lit(int(ms)).cast(dtype)
+        # a long literal: Catalyst unwraps the widening cast of a narrower column for pushdown,
+        # and folds bounds outside the column's range instead of overflowing
+        return F.lit(int(ms)).cast("long")
     if isinstance(dtype, T.TimestampNTZType):
         seconds, millis = divmod(int(ms), MS_PER_SECOND)
         stamp = _dt.datetime(1970, 1, 1) + _dt.timedelta(seconds=seconds, milliseconds=millis)

@@ -97,3 +97,12 @@ def test_equals_window_function(spark):
 def test_negative_times(spark):
     df = spark.createDataFrame([(t,) for t in (-301, -300, -1, 0, 99)], SCHEMA)
     assert _rows(event_count(df, -300, 100, 100)) == [(-300, 1), (-100, 1), (0, 2)]
+
+
+def test_int_time_column_with_large_bounds(spark, workdir):
+    spark.createDataFrame([(5,), (15,), (2147483647,)], "created int").write.parquet(f"{workdir}/ints")
+    df = spark.read.parquet(f"{workdir}/ints")
+    assert _rows(event_count(df, 0, 1 << 40, 10)) == [(0, 1), (10, 1), (2147483640, 1)]
+    assert _rows(event_count(df, 1 << 33, 1 << 40, 10)) == []
+    plan = time_range(df, 0, 20)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(created,0)" in plan and "LessThan(created,20)" in plan
