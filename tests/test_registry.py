@@ -3,7 +3,6 @@ import os
 
 import pytest
 
-from quoteline.operators.catalog import CatalogError
 from quoteline.plans.runner import register_builtin_modules, run_analysis, test_analysis as dry_run
 from quoteline.functions.paths import PathNameError
 from quoteline.sources.importing import import_dataset
