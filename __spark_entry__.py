@@ -8,23 +8,30 @@ instead of generated grids, ``string_agg`` instead of array sorting, ``row_numbe
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quoteline.functions.paths import base_name_col, dataset_name_col, identifier_col
-from quoteline.functions.timegrid import epoch_ms, format_time_col, parse_time_col
-from quoteline.operators import catalog as cat
-from quoteline.operators import liquidity as liq
-from quoteline.operators.event_count import event_count, time_range
-from quoteline.plans.runner import register_builtin_modules, run_analysis, sql_over
-from quoteline.session import scratch_path
-from quoteline.sources import bookmap
-from quoteline.sources.importing import import_dataset
-from quoteline.sources.registry import Catalog
-from quoteline.sources.sinks import save_dataset, save_features
+# the package sits next to this file; make it importable from any working directory
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
+from quoteline.functions.paths import base_name_col, dataset_name_col, identifier_col  # noqa: E402
+from quoteline.functions.timegrid import epoch_ms, format_time_col, parse_time_col  # noqa: E402
+from quoteline.operators import catalog as cat  # noqa: E402
+from quoteline.operators import liquidity as liq  # noqa: E402
+from quoteline.operators.event_count import event_count, time_range  # noqa: E402
+from quoteline.plans.runner import register_builtin_modules, run_analysis, sql_over  # noqa: E402
+from quoteline.session import scratch_path  # noqa: E402
+from quoteline.sources import bookmap  # noqa: E402
+from quoteline.sources.importing import import_dataset  # noqa: E402
+from quoteline.sources.registry import Catalog  # noqa: E402
+from quoteline.sources.sinks import save_dataset, save_features  # noqa: E402
 
 # Fixed query parameters (epoch ms).  Event count: 2024-01-01 00:00:00.500 to 2024-01-21, hourly.
 EVENTS_START, EVENTS_END, EVENTS_INTERVAL = 1704067200500, 1705795200000, 3600000
