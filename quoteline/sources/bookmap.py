@@ -11,9 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.timegrid import epoch_ms
+from ..functions.timegrid import epoch_ms_ntz_sql
 from .schemas import CANCELS_SCHEMA, ORDERS_SCHEMA, TRADES_SCHEMA, conform
 
 # Fixed values of the mapping: one hour per line number, one day per unit of quantity, and
@@ -39,51 +38,48 @@ def _lines(spark: SparkSession, sf_dir: str, flag: str | None = None) -> DataFra
         li = li.where(F.col("l_returnflag") == F.lit(flag))
     # The order date is converted on the orders side, before the join: predicates that later
     # reach the join condition then refer to one column instead of repeating the conversion.
-    od = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", epoch_ms(F.col("o_orderdate"), T.TimestampNTZType()).alias("o_orderdate_ms")
-    )
-    return (
-        li.join(od, li["l_orderkey"] == od["o_orderkey"])
-        .withColumn("base", F.col("o_orderdate_ms") + F.col("l_linenumber").cast("long") * F.lit(HOUR_MS))
+    od = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_custkey", f"{epoch_ms_ntz_sql('o_orderdate')} AS o_orderdate_ms"
     )
+    return li.join(od, li["l_orderkey"] == od["o_orderkey"])
 
 
-def _common() -> dict:
-    flag = F.col("l_returnflag")
-    side = F.when(flag == "A", F.lit(SIDE_OF_FLAG["A"])).when(flag == "R", F.lit(SIDE_OF_FLAG["R"])).otherwise(
-        F.lit(OTHER_SIDE)
-    )
-    return {
-        "id": (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("int"),
-        "side": side,
-        "price": (F.col("l_partkey") % PRICE_LEVELS).cast("int"),
-        "quantity": F.col("l_quantity").cast("int"),
-        "ob_id": F.col("l_partkey").cast("int"),
-        "past_id": F.lit(None).cast("int"),
-        "new_id": F.lit(None).cast("int"),
-    }
+# Column expressions of the mapping, as SQL text (each projection is parsed once).
+_BASE = f"(o_orderdate_ms + CAST(l_linenumber AS BIGINT) * {HOUR_MS})"
+_COMMON = {
+    "id": "CAST(l_orderkey * 8 + l_linenumber AS INT)",
+    "side": (f"CASE l_returnflag WHEN 'A' THEN {SIDE_OF_FLAG['A']} WHEN 'R' THEN {SIDE_OF_FLAG['R']} "
+             f"ELSE {OTHER_SIDE} END"),
+    "price": f"CAST(l_partkey % {PRICE_LEVELS} AS INT)",
+    "quantity": "CAST(l_quantity AS INT)",
+    "ob_id": "CAST(l_partkey AS INT)",
+    "past_id": "CAST(NULL AS INT)",
+    "new_id": "CAST(NULL AS INT)",
+}
+
+
+def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
 
 
 def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ORDERS rows before ``conform`` (columns in any order, wider types)."""
-    c = _common()
-    destroyed = F.when((F.col("l_linenumber") == 1) & (F.col("l_returnflag") == "A"), F.lit(0).cast("long")).otherwise(
-        F.col("base") + F.col("l_quantity").cast("long") * F.lit(DAY_MS)
-    )
-    return _lines(spark, sf_dir).select(
-        F.col("o_custkey").alias("p_id"),
-        c["price"].alias("price"),
-        c["quantity"].alias("quantity"),
-        F.when(c["quantity"] % 10 == 0, F.lit(1)).otherwise(F.lit(0)).alias("is_round"),
-        c["past_id"].alias("past_id"),
-        c["new_id"].alias("new_id"),
-        c["id"].alias("id"),
-        F.col("l_suppkey").alias("ref"),
-        c["ob_id"].alias("ob_id"),
-        F.col("base").alias("created"),
-        destroyed.alias("destroyed"),
-        c["side"].alias("side"),
-    )
+    """ORDERS rows before ``conform``."""
+    c = _COMMON
+    return _select(_lines(spark, sf_dir), {
+        "id": c["id"],
+        "ref": "l_suppkey",
+        "ob_id": c["ob_id"],
+        "created": _BASE,
+        "destroyed": (f"CASE WHEN l_linenumber = 1 AND l_returnflag = 'A' THEN CAST(0 AS BIGINT) "
+                      f"ELSE {_BASE} + CAST(l_quantity AS BIGINT) * {DAY_MS} END"),
+        "side": c["side"],
+        "price": c["price"],
+        "quantity": c["quantity"],
+        "is_round": f"CASE WHEN {c['quantity']} % 10 = 0 THEN 1 ELSE 0 END",
+        "past_id": c["past_id"],
+        "new_id": c["new_id"],
+        "p_id": "o_custkey",
+    })
 
 
 def book_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,31 +89,23 @@ def book_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def book_cancels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CANCELS with the fixed schema: the lines with return flag R."""
-    c = _common()
-    lines = _lines(spark, sf_dir, flag="R")
-    return conform(
-        lines.select(
-            c["id"].alias("id"), c["past_id"].alias("past_id"), c["new_id"].alias("new_id"), c["ob_id"].alias("ob_id"),
-            epoch_ms(F.col("l_shipdate"), T.TimestampNTZType()).alias("timestamp"),
-            c["side"].alias("side"), c["price"].alias("price"), c["quantity"].alias("quantity"),
-        ),
-        CANCELS_SCHEMA,
-    )
+    c = _COMMON
+    return conform(_select(_lines(spark, sf_dir, flag="R"), {
+        "id": c["id"], "past_id": c["past_id"], "new_id": c["new_id"], "ob_id": c["ob_id"],
+        "timestamp": epoch_ms_ntz_sql("l_shipdate"),
+        "side": c["side"], "price": c["price"], "quantity": c["quantity"],
+    }), CANCELS_SCHEMA)
 
 
 def book_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TRADES with the fixed schema: the lines with return flag A."""
-    c = _common()
-    lines = _lines(spark, sf_dir, flag="A")
-    return conform(
-        lines.select(
-            c["id"].alias("id"), F.col("l_suppkey").alias("ref"), F.col("l_orderkey").alias("o_id"),
-            c["ob_id"].alias("ob_id"), epoch_ms(F.col("l_shipdate"), T.TimestampNTZType()).alias("timestamp"),
-            c["side"].alias("side"), c["quantity"].alias("quantity"), c["price"].alias("price"),
-            F.col("o_custkey").alias("p_id"), F.col("l_suppkey").alias("cp_id"),
-        ),
-        TRADES_SCHEMA,
-    )
+    c = _COMMON
+    return conform(_select(_lines(spark, sf_dir, flag="A"), {
+        "id": c["id"], "ref": "l_suppkey", "o_id": "l_orderkey", "ob_id": c["ob_id"],
+        "timestamp": epoch_ms_ntz_sql("l_shipdate"),
+        "side": c["side"], "quantity": c["quantity"], "price": c["price"],
+        "p_id": "o_custkey", "cp_id": "l_suppkey",
+    }), TRADES_SCHEMA)
 
 
 # ---------------------------------------------------------------------------------------------

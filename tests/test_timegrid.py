@@ -7,6 +7,7 @@ from quoteline.functions.timegrid import (
     ceil_to_grid,
     end_of_day,
     epoch_ms,
+    epoch_ms_ntz_sql,
     floor_to_grid,
     format_time,
     format_time_col,
@@ -102,6 +103,8 @@ def test_epoch_ms_of_timestamps_is_zone_free(spark):
             spark.conf.set("spark.sql.session.timeZone", zone)
             got = [r[0] for r in df.select(epoch_ms(F.col("ts"), T.TimestampNTZType())).collect()]
             assert got == expect, zone
+            as_text = [r[0] for r in df.selectExpr(epoch_ms_ntz_sql("ts")).collect()]
+            assert as_text == expect, zone
             text = [r[0] for r in df.select(format_time_col(epoch_ms(F.col("ts"), T.TimestampNTZType()))).collect()]
             assert [parse_time(x) for x in text] == expect, zone
             back = df.select(parse_time_col(format_time_col(epoch_ms(F.col("ts"), T.TimestampNTZType()))))
