@@ -93,8 +93,9 @@ def explode_grid(df: DataFrame, lo: str, hi: str, interval: int, out: str = "tim
     points = F.sequence(F.col("_blk_lo"), F.least(F.col(hi), F.col("_blk_lo") + F.lit(span - interval)), step)
     blocked = df.withColumn("_blk", F.explode(blocks)).withColumn("_blk_lo", block_lo)
     if spread:
+        # hash on every column: blocks of different runs never collide on one key
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        blocked = blocked.repartition(n, "_blk_lo", *[c for c in ("side", "price") if c in df.columns])
+        blocked = blocked.repartition(n, *blocked.columns)
     return blocked.withColumn(out, F.explode(points)).drop("_blk", "_blk_lo")
 
 
@@ -114,7 +115,8 @@ def grid_expand(df: DataFrame, start, end, interval) -> DataFrame:
     ``timestamp``.  Open orders are resolved first; all side codes are kept."""
     start_ms, end_ms, iv = validate_window(start, end, interval, integral=True)
     live = live_orders(df, start_ms, end_ms)
-    return explode_grid(with_grid_bounds(live, start_ms, end_ms, iv), "lo", "hi", iv).drop("lo", "hi")
+    spread = (end_ms - start_ms) // iv > 4 * GRID_BLOCK
+    return explode_grid(with_grid_bounds(live, start_ms, end_ms, iv), "lo", "hi", iv, spread=spread).drop("lo", "hi")
 
 
 def depth_by_price(df: DataFrame, start, end, interval, chunk_points: int = CHUNK_POINTS) -> DataFrame:

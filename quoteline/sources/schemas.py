@@ -21,6 +21,8 @@ CANCELS_SCHEMA = _fields("id past_id new_id ob_id timestamp side price quantity"
 TRADES_SCHEMA = _fields("id ref o_id ob_id timestamp side quantity price p_id cp_id", {"timestamp"})
 
 TABLE_SCHEMAS = {"ORDERS": ORDERS_SCHEMA, "CANCELS": CANCELS_SCHEMA, "TRADES": TRADES_SCHEMA}
+# Time column of each table: imported files are sorted by it within each task.
+TIME_COLUMNS = {"ORDERS": "created", "CANCELS": "timestamp", "TRADES": "timestamp"}
 
 EVENT_COUNT_SCHEMA = T.StructType([
     T.StructField("timestamp", T.LongType(), True),
