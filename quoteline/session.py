@@ -46,7 +46,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     On a cluster this setting names a shared file system folder and is read, never changed.
     Only when it is unset (local tests) is a fresh folder created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no context: read the setting only
+        sc = None
+    if sc is None:
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if current:
+            return current.rstrip("/")
+        local = tempfile.mkdtemp(prefix="quoteline-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", local)
+        return local
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
         return current.rstrip("/")
