@@ -65,6 +65,21 @@ def search_datasets(datasets: DataFrame, analyses: DataFrame, lineage: DataFrame
     )
 
 
+def dataset_listing(datasets: DataFrame, analyses: DataFrame, lineage: DataFrame, pattern: str = "") -> DataFrame:
+    """C4 as the full listing: each matching dataset with its description and details and, for
+    feature sets, the module name, the module parameters and the sorted parent names (null for
+    imported datasets).  Parent lists are bounded by the inputs of the producing run."""
+    hits = datasets.where(contains_match(F.col("name"), pattern))
+    modules = analyses.select(F.col("id").alias("module_id"), F.col("name").alias("module_name"))
+    parents = dataset_parents(datasets, lineage).select("id", "parent_names")
+    extra = [c for c in ("description", "details", "module_parameters") if c in datasets.columns]
+    return (
+        hits.join(modules, "module_id", "left")
+        .join(parents, "id", "left")
+        .select("id", "name", *extra, "module_name", "parent_names")
+    )
+
+
 def parent_edges(datasets: DataFrame, lineage: DataFrame) -> DataFrame:
     """J3 in long form: one row per (feature set, parent) with both names; no grouping, so it
     scales with the number of edges whatever their distribution."""

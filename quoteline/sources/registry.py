@@ -24,7 +24,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.paths import join_path
-from ..operators.catalog import CatalogError, latest_state, requested_names, resolve_inputs
+from ..operators.catalog import (
+    CatalogError,
+    contains_match,
+    dataset_listing,
+    latest_state,
+    requested_names,
+    resolve_inputs,
+)
 
 _S, _TS, _L = T.StringType(), T.TimestampType(), T.LongType()
 
@@ -120,6 +127,16 @@ class Catalog:
         """The current dataset of that name, or None."""
         return self._current_row("datasets", name)
 
+    def list_modules(self, pattern: str = "") -> DataFrame:
+        """C5 listing: name, description and details of modules whose name contains ``pattern``."""
+        hits = self.analyses().where(contains_match(F.col("name"), pattern))
+        return hits.select("name", "description", "details", "entrypoint").orderBy("name")
+
+    def list_datasets(self, pattern: str = "") -> DataFrame:
+        """C4 listing: datasets whose name contains ``pattern``; feature sets also show their
+        module, parameters and parents."""
+        return dataset_listing(self.datasets(), self.analyses(), self.lineage(), pattern).orderBy("name")
+
     def lookup(self, names: Iterable[str]) -> dict[str, Row]:
         """J5 for a user's list of names (driver-side, short): their current dataset rows in one
         query; every unknown name is reported."""

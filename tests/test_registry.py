@@ -85,6 +85,16 @@ def test_import_run_and_save(spark, workdir, book_source):
     with pytest.raises(RuntimeError, match="already exists"):
         run_analysis(spark, catalog, "EventCount", params, ["AB00_ORDERS"],
                      save={"target_dir": f"{workdir}/features", "name": "feat"})
+
+    listing = {r["name"]: r for r in catalog.list_datasets().collect()}
+    assert sorted(listing) == ["AB00_CANCELS", "AB00_ORDERS", "AB00_TRADES", "feat"]
+    assert listing["feat"]["module_name"] == "EventCount" and listing["feat"]["parent_names"] == ["AB00_ORDERS"]
+    assert json.loads(listing["feat"]["module_parameters"]) == params
+    assert listing["AB00_ORDERS"]["module_name"] is None and listing["AB00_ORDERS"]["parent_names"] is None
+    assert listing["AB00_ORDERS"]["description"] == "demo"
+    assert [r["name"] for r in catalog.list_datasets("ab00_o").collect()] == ["AB00_ORDERS"]
+    assert [r["name"] for r in catalog.list_modules("Ev").collect()] == ["EventCount"]
+    assert [r["name"] for r in catalog.list_modules().collect()] == ["EventCount", "Liquid"]
     catalog.drop_dataset("AB00_ORDERS")
     assert catalog.lineage().count() == 0
     with pytest.raises(RuntimeError):
