@@ -32,6 +32,7 @@ from quoteline.sources import bookmap  # noqa: E402
 from quoteline.sources.importing import import_dataset  # noqa: E402
 from quoteline.sources.registry import Catalog  # noqa: E402
 from quoteline.sources.sinks import save_dataset, save_features  # noqa: E402
+from quoteline.streaming.ingest import ingest_table  # noqa: E402
 
 # Fixed query parameters (epoch ms).  Event count: 2024-01-01 00:00:00.500 to 2024-01-21, hourly.
 EVENTS_START, EVENTS_END, EVENTS_INTERVAL = 1704067200500, 1705795200000, 3600000
@@ -252,6 +253,20 @@ def q_import_book_roundtrip(spark, d):
     return spark.read.parquet(written["book_ORDERS"])
 
 
+def q_stream_import_roundtrip(spark, d):
+    # per-period ORDERS files of two sources picked up by the incremental (streaming) import
+    root = scratch_path(spark, "stream-import")
+    orders = bookmap.book_orders(spark, d)
+    month = F.date_format(F.timestamp_millis(F.col("created")), "yyyy-MM")
+    flagged = orders.withColumn("month", month)
+    flagged.where(F.col("side") == 66).write.partitionBy("month").parquet(f"{root}/incoming/buys.src/ORDERS")
+    flagged.where(F.col("side") != 66).write.partitionBy("month").parquet(f"{root}/incoming/rest.src/ORDERS")
+    orders.where(F.col("side").isNull()).write.parquet(f"{root}/incoming/rest.src/ORDERS/nulls")
+    query = ingest_table(spark, f"{root}/incoming/*.src", "orders", f"{root}/ORDERS", by_identifier=True)
+    query.awaitTermination()
+    return spark.read.parquet(f"{root}/ORDERS").drop("identifier")
+
+
 def q_run_event_count(spark, d):
     _, catalog = _fresh_catalog(spark, "run-event-count")
     register_builtin_modules(catalog)
@@ -304,6 +319,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "save_dataset_roundtrip": q_save_dataset_roundtrip,
     "save_features_roundtrip": q_save_features_roundtrip,
     "import_book_roundtrip": q_import_book_roundtrip,
+    "stream_import_roundtrip": q_stream_import_roundtrip,
     "run_event_count": q_run_event_count,
     "run_liquidity_curve": q_run_liquidity_curve,
 }
@@ -494,6 +510,7 @@ _ORACLES["sql_time_range"] = "WITH " + _BOOK + f"""
 _ORACLES["save_dataset_roundtrip"] = _ORACLES["import_orders"]
 _ORACLES["save_features_roundtrip"] = _ORACLES["event_count"]
 _ORACLES["import_book_roundtrip"] = _ORACLES["import_orders"]
+_ORACLES["stream_import_roundtrip"] = _ORACLES["import_orders"]
 _ORACLES["run_event_count"] = _ORACLES["event_count"]
 _ORACLES["run_liquidity_curve"] = _ORACLES["liquidity_curve"]
 
