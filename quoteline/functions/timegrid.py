@@ -225,3 +225,21 @@ def floor_to_grid(t: Column, start: int, interval: int) -> Column:
 def end_of_day(t: Column) -> Column:
     """23:59:59.999 of the UTC day holding ``t`` (epoch milliseconds)."""
     return t - F.pmod(t, F.lit(MS_PER_DAY)) + F.lit(MS_PER_DAY - 1)
+
+
+# SQL-text forms of the grid expressions above, for wide projections written with selectExpr
+# (one parse instead of many column calls).  Numbers are parenthesised so negatives stay safe.
+
+def end_of_day_sql(t: str) -> str:
+    """:func:`end_of_day` as SQL text."""
+    return f"({t} - pmod({t}, {MS_PER_DAY}L) + {MS_PER_DAY - 1}L)"
+
+
+def ceil_to_grid_sql(t: str, start: int, interval: int) -> str:
+    """:func:`ceil_to_grid` as SQL text."""
+    return f"({t} + pmod(({start}L) - {t}, {interval}L))"
+
+
+def floor_to_grid_sql(t: str, start: int, interval: int) -> str:
+    """:func:`floor_to_grid` as SQL text."""
+    return f"({t} - pmod({t} - ({start}L), {interval}L))"
