@@ -12,6 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.paths import join_path
 from ..operators.catalog import CatalogError
 from ..sources.registry import Catalog
 from ..sources.sinks import save_features
@@ -71,9 +72,10 @@ def run_analysis(spark: SparkSession, catalog: Catalog, module_name: str | None
                  inputs: Sequence[str] | None = None, save: Mapping | None = None) -> DataFrame:
     """Run the module ``module_name`` on the datasets named in ``inputs``.
 
-    Without ``save`` the result is returned unsaved (a dry run).  With ``save`` =
-    ``{"target_dir", "name"[, "description", "details"]}`` the result is written as a feature
-    set with its module, parameters and parent datasets, and the saved data is returned.
+    With ``save=None`` the result is returned unsaved (a dry run).  With ``save`` =
+    ``{"name"[, "target_dir", "description", "details"]}`` the result is written as a feature
+    set with its module, parameters and parent datasets (by default under
+    ``<catalogue root>/features``), and the saved data is returned.
     """
     if not module_name or params is None or not inputs:
         raise CatalogError("Modulename, params and inputs are necessary")
@@ -82,11 +84,11 @@ def run_analysis(spark: SparkSession, catalog: Catalog, module_name: str | None
         raise CatalogError("Analysis module not found")
     frames = open_inputs(spark, catalog, inputs)
     result = test_analysis(spark, module["entrypoint"], params, frames)
-    if not save:
+    if save is None:
         return result
-    missing = [k for k in ("target_dir", "name") if not save.get(k)]
-    if missing:
-        raise CatalogError(f"saving a feature set needs {missing}")
-    path = save_features(catalog, result, save["target_dir"], save["name"], module_name, dict(params), list(inputs),
+    if not save.get("name"):
+        raise CatalogError("saving a feature set needs a name")
+    target_dir = save.get("target_dir") or join_path(catalog.root, "features")
+    path = save_features(catalog, result, target_dir, save["name"], module_name, dict(params), list(inputs),
                          save.get("description", ""), save.get("details", ""))
     return spark.read.parquet(path)

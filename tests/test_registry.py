@@ -85,9 +85,14 @@ def test_import_run_and_save(spark, workdir, book_source):
     with pytest.raises(RuntimeError, match="already exists"):
         run_analysis(spark, catalog, "EventCount", params, ["AB00_ORDERS"],
                      save={"target_dir": f"{workdir}/features", "name": "feat"})
+    with pytest.raises(RuntimeError, match="needs a name"):
+        run_analysis(spark, catalog, "EventCount", params, ["AB00_ORDERS"], save={})
+    default = run_analysis(spark, catalog, "EventCount", params, ["AB00_ORDERS"], save={"name": "feat2"})
+    assert default.count() == 1
+    assert catalog.dataset("feat2")["filepath"] == f"{workdir}/catalog/features/feat2.parquet"
 
     listing = {r["name"]: r for r in catalog.list_datasets().collect()}
-    assert sorted(listing) == ["AB00_CANCELS", "AB00_ORDERS", "AB00_TRADES", "feat"]
+    assert sorted(listing) == ["AB00_CANCELS", "AB00_ORDERS", "AB00_TRADES", "feat", "feat2"]
     assert listing["feat"]["module_name"] == "EventCount" and listing["feat"]["parent_names"] == ["AB00_ORDERS"]
     assert json.loads(listing["feat"]["module_parameters"]) == params
     assert listing["AB00_ORDERS"]["module_name"] is None and listing["AB00_ORDERS"]["parent_names"] is None
