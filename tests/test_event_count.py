@@ -106,3 +106,26 @@ def test_int_time_column_with_large_bounds(spark, workdir):
     assert _rows(event_count(df, 1 << 33, 1 << 40, 10)) == []
     plan = time_range(df, 0, 20)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(created,0)" in plan and "LessThan(created,20)" in plan
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(times=st.lists(st.one_of(st.none(), st.integers(-5000, 5000)), max_size=40),
+       start=st.integers(-3000, 3000), span=st.integers(0, 6000),
+       interval=st.one_of(st.integers(1, 700), st.floats(0.5, 700.0).map(lambda x: round(x, 3))))
+def test_counts_equal_definition(spark, times, start, span, interval):
+    end = start + span
+    df = spark.createDataFrame([(t,) for t in times], SCHEMA)
+    got = _rows(event_count(df, start, end, interval))
+    expect = {}
+    for t in times:
+        if t is not None and start <= t < end:
+            if isinstance(interval, int) or float(interval).is_integer():
+                b = start + (t - start) // int(interval) * int(interval)
+            else:
+                b = int(start + int((t - start) / interval) * interval)
+            expect[b] = expect.get(b, 0) + 1
+    assert got == sorted(expect.items())
