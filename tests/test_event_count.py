@@ -129,3 +129,18 @@ def test_counts_equal_definition(spark, times, start, span, interval):
                 b = int(start + int((t - start) / interval) * interval)
             expect[b] = expect.get(b, 0) + 1
     assert got == sorted(expect.items())
+
+
+def test_zone_aware_timestamp_input(spark, workdir):
+    import datetime as dt
+
+    rows = [(dt.datetime(2024, 1, 1, 0, 0, 0, 500000, tzinfo=dt.timezone.utc),),
+            (dt.datetime(2024, 1, 1, 0, 59, 59, 999999, tzinfo=dt.timezone.utc),),
+            (dt.datetime(2024, 1, 1, 1, 0, 0, 500000, tzinfo=dt.timezone.utc),)]
+    schema = T.StructType([T.StructField("ts", T.TimestampType())])
+    spark.createDataFrame(rows, schema).write.parquet(f"{workdir}/ltz")
+    df = spark.read.parquet(f"{workdir}/ltz")
+    start = 1704067200500
+    out = event_count(df, start, start + 7200000, 3600000, time_col="ts")
+    assert _rows(out) == [(start, 2), (start + 3600000, 1)]
+    assert "GreaterThanOrEqual(ts" in out._jdf.queryExecution().executedPlan().toString()
