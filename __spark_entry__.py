@@ -166,20 +166,24 @@ def q_search_modules(spark, d):
     return cat.search_modules(bookmap.catalog_analyses(spark, d), MODULE_PATTERN).select("id", "name")
 
 
+def _datasets_lineage(spark, d):
+    return bookmap.catalog_datasets(spark, d), bookmap.catalog_lineage(spark, d)
+
+
 def q_dataset_parents(spark, d):
-    datasets, _, lineage = _catalog(spark, d)
+    datasets, lineage = _datasets_lineage(spark, d)
     return cat.dataset_parents(datasets, lineage).select(
         "id", "name", F.array_join("parent_names", "|").alias("parents"), "n_parents"
     )
 
 
 def q_dataset_parent_edges(spark, d):
-    datasets, _, lineage = _catalog(spark, d)
+    datasets, lineage = _datasets_lineage(spark, d)
     return cat.parent_edges(datasets, lineage)
 
 
 def q_dataset_derived(spark, d):
-    datasets, _, lineage = _catalog(spark, d)
+    datasets, lineage = _datasets_lineage(spark, d)
     return cat.dataset_derived(datasets, lineage)
 
 
