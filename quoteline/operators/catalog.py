@@ -3,8 +3,7 @@
 The catalogue is three tables: ``analyses`` (id, name, ...), ``datasets`` (id, name, module_id,
 ...) and ``lineage`` (left_fs_id, right_ds_id), one edge from a feature set to each parent.
 They may come from the Parquet store (:mod:`quoteline.sources.registry`) or from any other
-DataFrames with these columns.  Every operator is a join/aggregate plan; nothing is collected
-except the names of unresolved inputs when raising an error.
+DataFrames with these columns.  Every operator is a join/aggregate plan; nothing is collected.
 """
 
 from __future__ import annotations
@@ -129,18 +128,24 @@ def requested_names(spark: SparkSession, names: Iterable[str] | DataFrame) -> Da
 def resolve_inputs(datasets: DataFrame, names: DataFrame, check: bool = True, unique: bool = False) -> DataFrame:
     """The dataset row for each requested name (``name``, ``id`` and any other columns).
 
-    Unknown names are an error that lists them (the first 20 and their number), instead of
-    being skipped.  Where a name occurs twice in ``datasets`` the row with the smallest
-    ``(id, ...)`` wins; ``unique=True`` skips that step when names are known to be unique.
+    An unknown name is an error, not skipped.  The check runs inside the same single pass (a left
+    join with a match marker; an unmatched name raises ``input dataset not found: <name>`` when
+    the result is computed), so large requested sets cost one join, not two.  For a short list
+    given by a user, :meth:`Catalog.lookup` reports every missing name at once instead.  Where a
+    name occurs twice in ``datasets`` the row with the smallest ``(id, ...)`` wins;
+    ``unique=True`` skips that step when names are known to be unique.
     """
     wanted = names.select("name").distinct()
     if check:
-        missing = wanted.join(datasets.select("name"), "name", "left_anti")
-        sample = [r["name"] for r in missing.limit(20).collect()]
-        if sample:
-            total = missing.count()
-            raise CatalogError(f"{total} input dataset(s) not found: {sorted(sample)}")
-    matched = datasets.join(wanted, "name", "left_semi")
+        marked = datasets.withColumn("_hit", F.lit(True))
+        missing = F.raise_error(F.concat(F.lit("input dataset not found: "), F.col("name")))
+        matched = (
+            wanted.join(marked, "name", "left")
+            .where(F.coalesce(F.col("_hit"), missing.cast("boolean")))
+            .drop("_hit")
+        )
+    else:
+        matched = datasets.join(wanted, "name", "left_semi")
     if unique:
         return matched
     cols = [c for c in datasets.columns if c != "name"]

@@ -57,8 +57,10 @@ def test_resolve_inputs(spark, stub):
     datasets, _, _ = stub
     got = cat.resolve_inputs(datasets, cat.requested_names(spark, ["AB00", "FeatSet01"]))
     assert sorted((r["name"], r["id"]) for r in got.collect()) == [("AB00", "d1"), ("FeatSet01", "f1")]
-    with pytest.raises(cat.CatalogError, match="dataset0"):
-        cat.resolve_inputs(datasets, cat.requested_names(spark, ["AB00", "dataset0", "dataset00"]))
+    with pytest.raises(Exception, match="input dataset not found: dataset0"):
+        cat.resolve_inputs(datasets, cat.requested_names(spark, ["AB00", "dataset0"])).collect()
+    unchecked = cat.resolve_inputs(datasets, cat.requested_names(spark, ["AB00", "dataset0"]), check=False)
+    assert [r["name"] for r in unchecked.collect()] == ["AB00"]
 
 
 def test_latest_state(spark):
