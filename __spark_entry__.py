@@ -162,6 +162,12 @@ def q_search_datasets(spark, d):
     return cat.search_datasets(datasets, analyses, lineage, SEARCH_PATTERN)
 
 
+def q_dataset_listing(spark, d):
+    datasets, analyses, lineage = _catalog(spark, d)
+    listing = cat.dataset_listing(datasets, analyses, lineage, SEARCH_PATTERN)
+    return listing.select("id", "name", "module_name", F.array_join("parent_names", "|").alias("parents"))
+
+
 def q_search_modules(spark, d):
     return cat.search_modules(bookmap.catalog_analyses(spark, d), MODULE_PATTERN).select("id", "name")
 
@@ -313,6 +319,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "curve_sell": q_curve_sell,
     "liquidity_curve": q_liquidity_curve,
     "search_datasets": q_search_datasets,
+    "dataset_listing": q_dataset_listing,
     "search_modules": q_search_modules,
     "dataset_parents": q_dataset_parents,
     "dataset_parent_edges": q_dataset_parent_edges,
@@ -487,6 +494,15 @@ _ORACLES = {
         FROM ds d LEFT JOIN an a ON d.module_id = a.id LEFT JOIN lin l ON l.left_fs_id = d.id
         WHERE d.name ILIKE '%{SEARCH_PATTERN}%'
         GROUP BY d.id, d.name, a.name""",
+    "dataset_listing": "WITH " + _CATALOG + f""",
+        parents AS (
+          SELECT l.left_fs_id AS id, string_agg(p.name, '|' ORDER BY p.name) AS parents
+          FROM lin l JOIN ds p ON p.id = l.right_ds_id JOIN ds f ON f.id = l.left_fs_id
+          GROUP BY l.left_fs_id
+        )
+        SELECT d.id, d.name, a.name AS module_name, pa.parents
+        FROM ds d LEFT JOIN an a ON d.module_id = a.id LEFT JOIN parents pa ON pa.id = d.id
+        WHERE d.name ILIKE '%{SEARCH_PATTERN}%'""",
     "search_modules": "WITH " + _CATALOG + f"""
         SELECT id, name FROM an WHERE contains(lower(name), lower('{MODULE_PATTERN}'))""",
     "dataset_parents": "WITH " + _CATALOG + """
