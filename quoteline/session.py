@@ -23,6 +23,24 @@ SESSION_DEFAULTS = {
 }
 
 
+# Suggested settings for a large cluster over ~100 TB of Parquet (applied by the caller, e.g. as
+# ``--conf`` options; the library never changes a cluster session's settings):
+#  * 512 MB input splits keep the scan at about 200k tasks;
+#  * a high initial shuffle width that AQE coalesces to ~256 MB partitions, so the widest shuffle
+#    (a join of the two largest tables, or the depth output) never spills per task;
+#  * AQE skew-join splitting for hot join keys; the default broadcast threshold, never raised.
+CLUSTER_SETTINGS = {
+    **SESSION_DEFAULTS,
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.autoBroadcastJoinThreshold": "10m",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "quoteline") -> SparkSession:
     """A local session for tests and the bench (UI off, UTC, AQE on)."""
     builder = (
