@@ -34,11 +34,10 @@ def load_entrypoint(spec: str) -> Module:
 
 def register_builtin_modules(catalog: Catalog) -> None:
     """Record the built-in modules that are not yet in the catalogue."""
-    present = catalog.module_names(BUILTIN_MODULES)
-    missing = [dict(name=n, entrypoint=spec, description=f"built-in module {n}")
-               for n, spec in BUILTIN_MODULES.items() if n not in present]
-    if missing:
-        catalog.register_modules(missing)
+    catalog.register_modules(
+        [dict(name=n, entrypoint=spec, description=f"built-in module {n}") for n, spec in BUILTIN_MODULES.items()],
+        skip_existing=True,
+    )
 
 
 def open_inputs(spark: SparkSession, catalog: Catalog, inputs: Sequence[str]) -> dict[str, DataFrame]:

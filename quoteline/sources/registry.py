@@ -161,14 +161,18 @@ class Catalog:
                                            filepath=filepath, parameters=parameters, inputs=inputs,
                                            outputs=outputs)])[0]
 
-    def register_modules(self, modules: list[dict]) -> list[str]:
-        """C6 for several modules: one lookup and one append for all of them."""
+    def register_modules(self, modules: list[dict], skip_existing: bool = False) -> list[str]:
+        """C6 for several modules: one lookup and one append for all of them.  A taken name is an
+        error, or with ``skip_existing`` that module is left as it is (register if absent)."""
         names = [m.get("name") for m in modules]
         if not all(names) or len(set(names)) != len(names):
             raise CatalogError("every module needs a distinct name")
         taken = [r["name"] for r in self.analyses().where(F.col("name").isin(names)).select("name").collect()]
-        if taken:
+        if taken and not skip_existing:
             raise CatalogError(f"Analysis {', '.join(sorted(taken))} already exists")
+        modules = [m for m in modules if m["name"] not in taken]
+        if not modules:
+            return []
         rows, seq, now, user = [], _seq(), _now(), _user()
         for m in modules:
             rows.append(dict({"description": "", "details": "", "filepath": "", "parameters": "", "inputs": "",
