@@ -148,7 +148,8 @@ class Catalog:
         return rows
 
     def resolve(self, names: Iterable[str] | DataFrame) -> DataFrame:
-        """J5 over the store: one row per requested name; unknown names raise."""
+        """J5 over the store for any number of names (a list or a DataFrame): one row per requested
+        name; an unknown name raises when the result is computed (see :func:`resolve_inputs`)."""
         # current rows are one per name already (latest_state), so no de-duplication is needed
         return resolve_inputs(self.datasets(), requested_names(self.spark, names), unique=True)
 
