@@ -100,6 +100,10 @@ def test_import_run_and_save(spark, workdir, book_source):
     assert [r["name"] for r in catalog.list_datasets("ab00_o").collect()] == ["AB00_ORDERS"]
     assert [r["name"] for r in catalog.list_modules("Ev").collect()] == ["EventCount"]
     assert [r["name"] for r in catalog.list_modules().collect()] == ["EventCount", "Liquid"]
+    resolved = catalog.resolve(["AB00_ORDERS", "feat"]).select("name", "filepath").collect()
+    assert sorted(r["name"] for r in resolved) == ["AB00_ORDERS", "feat"]
+    with pytest.raises(Exception, match="input dataset not found: nope"):
+        catalog.resolve(["AB00_ORDERS", "nope"]).collect()
     catalog.drop_dataset("AB00_ORDERS")
     assert catalog.lineage().count() == 0
     with pytest.raises(RuntimeError):
