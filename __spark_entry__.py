@@ -196,7 +196,8 @@ def q_dataset_derived(spark, d):
 def q_resolve_inputs(spark, d):
     # The requested inputs are the datasets of every part that appears in an order line.
     datasets = bookmap.catalog_datasets(spark, d)
-    used = bookmap.table(spark, d, "lineitem").select(F.col("l_partkey").alias("id"))
+    # distinct first: a partial aggregate collapses a hot part key map-side, before the semi join
+    used = bookmap.table(spark, d, "lineitem").select(F.col("l_partkey").alias("id")).distinct()
     wanted = datasets.join(used, "id", "left_semi").select("name")
     return cat.resolve_inputs(datasets.select("name", "id"), wanted)
 
