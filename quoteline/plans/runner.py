@@ -58,11 +58,18 @@ def sql_over(spark: SparkSession, frames: Mapping[str, DataFrame], text: str, ar
     return spark.sql(text, args=dict(args or {}))
 
 
-def test_analysis(spark: SparkSession, module: Module | str, params: Mapping, inputs: Mapping[str, DataFrame]) -> DataFrame:
-    """K3: run a module function (or entry point) on given DataFrames; nothing is looked up or
-    saved."""
-    if module is None or params is None or inputs is None:
+def test_analysis(spark: SparkSession, module: Module | str, params: Mapping,
+                  inputs: Mapping[str, DataFrame] | Sequence[str], catalog: Catalog | None = None) -> DataFrame:
+    """K3: run a module function (or entry point) without registering or saving anything.
+
+    ``inputs`` are DataFrames by name, or dataset names resolved through ``catalog``.
+    """
+    if module is None or params is None or not inputs:
         raise CatalogError("module, params and inputs are necessary")
+    if not isinstance(inputs, Mapping):
+        if catalog is None:
+            raise CatalogError("dataset names as inputs need a catalogue")
+        inputs = open_inputs(spark, catalog, list(inputs))
     fn = load_entrypoint(module) if isinstance(module, str) else module
     return fn(spark, dict(inputs), dict(params))
 

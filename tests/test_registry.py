@@ -69,6 +69,8 @@ def test_import_run_and_save(spark, workdir, book_source):
     assert not os.path.exists(f"{workdir}/files2")
 
     params = {"start_time": 1000, "end_time": 1300, "interval": 100}
+    dry = dry_run(spark, "quoteline.plans.modules:event_count_module", params, ["AB00_ORDERS"], catalog=catalog)
+    assert [tuple(r) for r in dry.collect()] == [(1000, 2)]
     curve = run_analysis(spark, catalog, "Liquid", params, ["AB00_ORDERS"])
     assert [r["timestamp"] for r in curve.collect()] == [1000, 1100, 1200]
 
