@@ -22,7 +22,12 @@ if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
 from quoteline.functions.paths import base_name_col, dataset_name_col, identifier_col  # noqa: E402
-from quoteline.functions.timegrid import epoch_ms, format_time_col, parse_time_col  # noqa: E402
+from quoteline.functions.timegrid import (  # noqa: E402
+    epoch_ms,
+    epoch_ms_ntz_sql,
+    format_time_sql,
+    parse_time_sql,
+)
 from quoteline.operators import catalog as cat  # noqa: E402
 from quoteline.operators import liquidity as liq  # noqa: E402
 from quoteline.operators.event_count import event_count, time_range  # noqa: E402
@@ -83,11 +88,10 @@ def q_parent_names(spark, d):
 
 
 def q_parse_time_param(spark, d):
+    # every event time written as a time parameter, then read back
     ev = _events(spark, d)
-    text = format_time_col(epoch_ms(F.col("ts"), T.TimestampNTZType()))
-    return ev.select("event_id", text.alias("param")).select(
-        "event_id", "param", parse_time_col(F.col("param")).alias("epoch_ms")
-    )
+    text = ev.selectExpr("event_id", f"{format_time_sql(epoch_ms_ntz_sql('ts'))} AS param")
+    return text.selectExpr("event_id", "param", f"{parse_time_sql('param')} AS epoch_ms")
 
 
 def q_filter_time_range(spark, d):

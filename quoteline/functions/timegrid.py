@@ -243,3 +243,22 @@ def ceil_to_grid_sql(t: str, start: int, interval: int) -> str:
 def floor_to_grid_sql(t: str, start: int, interval: int) -> str:
     """:func:`floor_to_grid` as SQL text."""
     return f"({t} - pmod({t} - ({start}L), {interval}L))"
+
+
+def format_time_sql(ms: str) -> str:
+    """:func:`format_time_col` as SQL text (UTC, from integer parts only)."""
+    rem = f"pmod({ms}, {MS_PER_DAY}L)"
+    day = f"CAST(({ms} - {rem}) DIV {MS_PER_DAY}L AS INT)"
+    return (
+        f"concat(CAST(date_add(DATE'1970-01-01', {day}) AS STRING), '_',"
+        f" lpad(CAST({rem} DIV 3600000 AS STRING), 2, '0'), ':',"
+        f" lpad(CAST(pmod({rem} DIV 60000, 60) AS STRING), 2, '0'), ':',"
+        f" lpad(CAST(pmod({rem} DIV 1000, 60) AS STRING), 2, '0'), '.',"
+        f" lpad(CAST(pmod({rem}, 1000) AS STRING), 3, '0'))"
+    )
+
+
+def parse_time_sql(text: str) -> str:
+    """:func:`parse_time_col` as SQL text (zone-free)."""
+    head = f"to_timestamp_ntz(substr({text}, 1, length({text}) - 4), '{SPARK_PARAM_LAYOUT}')"
+    return f"({epoch_ms_ntz_sql(head)} + CAST(substr({text}, length({text}) - 2, 3) AS BIGINT))"

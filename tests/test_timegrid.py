@@ -11,9 +11,11 @@ from quoteline.functions.timegrid import (
     floor_to_grid,
     format_time,
     format_time_col,
+    format_time_sql,
     parse_interval,
     parse_time,
     parse_time_col,
+    parse_time_sql,
     validate_window,
 )
 
@@ -109,5 +111,8 @@ def test_epoch_ms_of_timestamps_is_zone_free(spark):
             assert [parse_time(x) for x in text] == expect, zone
             back = df.select(parse_time_col(format_time_col(epoch_ms(F.col("ts"), T.TimestampNTZType()))))
             assert [r[0] for r in back.collect()] == expect, zone
+            sql_text = df.selectExpr(f"{format_time_sql(epoch_ms_ntz_sql('ts'))} AS p").selectExpr(
+                "p", f"{parse_time_sql('p')} AS back")
+            assert [(r["p"], r["back"]) for r in sql_text.collect()] == list(zip(text, expect)), zone
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
