@@ -22,7 +22,15 @@ from .registry import Catalog
 from .schemas import TABLE_SCHEMAS, TIME_COLUMNS, conform
 from .sinks import SinkError, save_dataset
 
-_TEXT_FORMATS = {"csv", "json", "text"}
+# Formats without a stored schema: read with the table's fixed schema given up front.
+_TEXT_FORMATS = {"csv", "json"}
+
+
+def _table_name(table: str) -> str:
+    name = table.upper()
+    if name not in TABLE_SCHEMAS:
+        raise CatalogError(f"unknown table {table!r}; expected one of {sorted(TABLE_SCHEMAS)}")
+    return name
 
 
 def read_book_table(spark: SparkSession, source: str, table: str, fmt: str = "parquet",
@@ -32,9 +40,7 @@ def read_book_table(spark: SparkSession, source: str, table: str, fmt: str = "pa
     Text formats are read with the schema given up front (no inference pass); self-describing
     formats are read as stored and then cast.
     """
-    table = table.upper()
-    if table not in TABLE_SCHEMAS:
-        raise CatalogError(f"unknown table {table!r}; expected one of {sorted(TABLE_SCHEMAS)}")
+    table = _table_name(table)
     schema = TABLE_SCHEMAS[table]
     # Per-day files may sit in per-day folders of any name, so the listing is recursive.
     opts = {"recursiveFileLookup": "true", **dict(options or {})}
@@ -55,7 +61,7 @@ def read_book_tables(spark: SparkSession, sources: Sequence[str], table: str, fm
                      options: Mapping[str, str] | None = None) -> DataFrame:
     """One table of many sources in one scan, with an ``identifier`` column taken from each
     row's file path (the source folder's word before its extension)."""
-    table = table.upper()
+    table = _table_name(table)
     schema = TABLE_SCHEMAS[table]
     opts = {"recursiveFileLookup": "true", **dict(options or {})}
     reader = spark.read.format(fmt).options(**opts)
