@@ -262,3 +262,20 @@ def parse_time_sql(text: str) -> str:
     """:func:`parse_time_col` as SQL text (zone-free)."""
     head = f"to_timestamp_ntz(substr({text}, 1, length({text}) - 4), '{SPARK_PARAM_LAYOUT}')"
     return f"({epoch_ms_ntz_sql(head)} + CAST(substr({text}, length({text}) - 2, 3) AS BIGINT))"
+
+
+def epoch_ms_sql(name: str, dtype: T.DataType) -> str:
+    """:func:`epoch_ms` as SQL text for the column ``name``."""
+    q = f"`{name}`"
+    if isinstance(dtype, _INTEGRAL):
+        return f"CAST({q} AS BIGINT)"
+    if isinstance(dtype, T.TimestampNTZType):
+        return epoch_ms_ntz_sql(q)
+    if isinstance(dtype, T.TimestampType):
+        return f"unix_millis({q})"
+    raise TypeError(f"cannot read epoch milliseconds from a {dtype.simpleString()} column")
+
+
+def bucket_start_sql(t: str, start: int, interval: int) -> str:
+    """:func:`bucket_start` as SQL text, for a whole ``interval``."""
+    return f"(({start}L) + (({t} - ({start}L)) - pmod({t} - ({start}L), {interval}L)))"

@@ -11,14 +11,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timegrid import bucket_start, epoch_ms, time_literal, validate_window
+from ..functions.timegrid import (
+    bucket_start,
+    bucket_start_sql,
+    epoch_ms,
+    epoch_ms_sql,
+    time_literal,
+    validate_window,
+)
 
 
 def time_range(df: DataFrame, start, end, time_col: str = "created") -> DataFrame:
     """rows with ``start <= t < end``; ``t`` is ``time_col`` in epoch milliseconds.
 
-    Adds the column ``created_ms`` only when ``time_col`` is a timestamp; the predicate is
-    always stated on the stored column so the scan can skip row groups.
+    The predicate is stated on the stored column (a timestamp literal for timestamp columns,
+    exactly equivalent because the conversion truncates), so the scan can skip row groups.
     """
     start_ms, end_ms, _ = validate_window(start, end, 1)
     dtype = df.schema[time_col].dataType
@@ -35,10 +42,13 @@ def event_count(df: DataFrame, start, end, interval, time_col: str = "created",
     """
     start_ms, end_ms, iv = validate_window(start, end, interval)
     dtype = df.schema[time_col].dataType
-    t = epoch_ms(F.col(time_col), dtype)
+    if isinstance(iv, int):  # exact integer arithmetic, one parsed expression
+        bucket = F.expr(bucket_start_sql(epoch_ms_sql(time_col, dtype), start_ms, iv))
+    else:  # the float rule of a fractional interval
+        bucket = bucket_start(epoch_ms(F.col(time_col), dtype), start_ms, iv)
     out = (
         time_range(df.select(time_col), start_ms, end_ms, time_col)
-        .select(bucket_start(t, start_ms, iv).alias("timestamp"))
+        .select(bucket.alias("timestamp"))
         .groupBy("timestamp")
         .agg(F.count(F.lit(1)).alias("count"))
     )
