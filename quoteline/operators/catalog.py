@@ -103,7 +103,7 @@ def dataset_parents(datasets: DataFrame, lineage: DataFrame) -> DataFrame:
     parents = lineage.join(names.withColumnRenamed("id", "right_ds_id").withColumnRenamed("name", "parent_name"),
                            "right_ds_id")
     per_set = parents.groupBy(F.col("left_fs_id").alias("id")).agg(
-        F.array_sort(F.collect_list("parent_name")).alias("parent_names"),
+        F.sort_array(F.collect_list("parent_name")).alias("parent_names"),
         F.count(F.lit(1)).alias("n_parents"),
     )
     return names.join(per_set, "id")
