@@ -191,3 +191,14 @@ def test_negative_epoch(spark):
     got = {(r["timestamp"], r["side"], r["price"]): r["quantity"]
            for r in liq.depth_by_price(df, -300, 100, 100).collect()}
     assert got == brute_depth(rows, -300, 100, 100) == {(-200, 66, 1): 2, (-100, 66, 1): 2, (-100, 83, 2): 3}
+
+
+def test_event_generator_stays_in_generated_code(spark, workdir):
+    import re
+
+    spark.createDataFrame(EXAMPLE, BOOK).write.parquet(f"{workdir}/book")
+    df = liq.liquidity_curve(spark.read.parquet(f"{workdir}/book"), 1000, 1300, 100)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"\*\(\d+\) Generate explode\(array\(", plan), plan
+    assert re.search(r"\*\(\d+\) Generate explode\(sequence\(", plan), plan
