@@ -78,12 +78,12 @@ def side_orders(df: DataFrame, side: int | str) -> DataFrame:
     return df.where(F.col("side") == F.lit(code))
 
 
-def with_grid_bounds(df: DataFrame, start: int, end: int, interval: int) -> DataFrame:
+def with_grid_bounds(df: DataFrame, start: int, end: int, interval: int, lo: str = "lo", hi: str = "hi") -> DataFrame:
     """Adds ``lo`` / ``hi``: first and last grid point in ``[start, end)`` where the order is
     live; rows without any such point are dropped.  All-integer (E3)."""
-    lo = f"greatest(({start}L), {ceil_to_grid_sql('created', start, interval)}) AS lo"
-    hi = f"{floor_to_grid_sql(f'(least(destroyed, ({end}L)) - 1)', start, interval)} AS hi"
-    return df.selectExpr("*", lo, hi).where("lo <= hi")
+    first = f"greatest(({start}L), {ceil_to_grid_sql('created', start, interval)}) AS `{lo}`"
+    last = f"{floor_to_grid_sql(f'(least(destroyed, ({end}L)) - 1)', start, interval)} AS `{hi}`"
+    return df.selectExpr("*", first, last).where(f"`{lo}` <= `{hi}`")
 
 
 def explode_grid(df: DataFrame, lo: str, hi: str, interval: int, out: str = "timestamp",
@@ -124,7 +124,8 @@ def grid_expand(df: DataFrame, start, end, interval) -> DataFrame:
     start_ms, end_ms, iv = validate_window(start, end, interval, integral=True)
     live = live_orders(df, start_ms, end_ms)
     spread = (end_ms - start_ms) // iv > 4 * GRID_BLOCK
-    return explode_grid(with_grid_bounds(live, start_ms, end_ms, iv), "lo", "hi", iv, spread=spread).drop("lo", "hi")
+    bounded = with_grid_bounds(live, start_ms, end_ms, iv, lo="_grid_lo", hi="_grid_hi")
+    return explode_grid(bounded, "_grid_lo", "_grid_hi", iv, spread=spread).drop("_grid_lo", "_grid_hi")
 
 
 def depth_by_price(df: DataFrame, start, end, interval, chunk_points: int = CHUNK_POINTS) -> DataFrame:

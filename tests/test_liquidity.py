@@ -202,3 +202,10 @@ def test_event_generator_stays_in_generated_code(spark, workdir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"\*\(\d+\) Generate explode\(array\(", plan), plan
     assert re.search(r"\*\(\d+\) Generate explode\(sequence\(", plan), plan
+
+
+def test_grid_expand_keeps_caller_columns(spark):
+    df = spark.createDataFrame([(1000, 1250, 66, 10, 5, "x", 7, 8)], BOOK + ", note string, lo int, hi int")
+    out = liq.grid_expand(df, 1000, 1300, 100)
+    assert out.columns == ["created", "destroyed", "side", "price", "quantity", "note", "lo", "hi", "timestamp"]
+    assert sorted((r["timestamp"], r["lo"], r["hi"]) for r in out.collect()) == [(1000, 7, 8), (1100, 7, 8), (1200, 7, 8)]
