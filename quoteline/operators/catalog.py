@@ -54,9 +54,11 @@ def search_datasets(datasets: DataFrame, analyses: DataFrame, lineage: DataFrame
     (null for imported datasets) and their number of parents."""
     hits = datasets.where(contains_match(F.col("name"), pattern))
     modules = analyses.select(F.col("id").alias("module_id"), F.col("name").alias("module_name"))
+    # only the edges of matching datasets are counted (semi join before the grouping)
+    hit_edges = lineage.join(hits.select(F.col("id").alias("left_fs_id")), "left_fs_id", "left_semi")
     return (
         hits.join(modules, "module_id", "left")
-        .join(parent_counts(lineage), "id", "left")
+        .join(parent_counts(hit_edges), "id", "left")
         .select(
             "id", "name", "module_name",
             F.coalesce(F.col("n_parents"), F.lit(0).cast("long")).alias("n_parents"),
@@ -70,7 +72,9 @@ def dataset_listing(datasets: DataFrame, analyses: DataFrame, lineage: DataFrame
     imported datasets).  Parent lists are bounded by the inputs of the producing run."""
     hits = datasets.where(contains_match(F.col("name"), pattern))
     modules = analyses.select(F.col("id").alias("module_id"), F.col("name").alias("module_name"))
-    parents = dataset_parents(datasets, lineage).select("id", "parent_names")
+    # only the edges of matching feature sets are aggregated (semi join before the grouping)
+    hit_edges = lineage.join(hits.select(F.col("id").alias("left_fs_id")), "left_fs_id", "left_semi")
+    parents = dataset_parents(datasets, hit_edges).select("id", "parent_names")
     extra = [c for c in ("description", "details", "module_parameters") if c in datasets.columns]
     return (
         hits.join(modules, "module_id", "left")
