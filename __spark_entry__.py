@@ -346,8 +346,20 @@ def entry(spark: SparkSession) -> DataFrame:
     return liq.liquidity_curve(bookmap.book_orders(spark, FLAGSHIP_DIR), CURVE_START, CURVE_END, CURVE_INTERVAL)
 
 
+# The training-data operators and the pipeline over them are optional: without their files the
+# queries above stand alone.  An import error inside those files is not hidden.
+_LLM = all(os.path.exists(os.path.join(_HERE, p)) for p in ("quoteline/llm/queries.py", "corpus_pipeline.py"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    found = dict(_QUERIES)
+    if _LLM:
+        import corpus_pipeline
+        from quoteline.llm import queries as llm
+
+        found |= llm.QUERIES
+        found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 # ---------------------------------------------------------------------------------------------
@@ -541,4 +553,12 @@ _ORACLES["run_liquidity_curve"] = _ORACLES["liquidity_curve"]
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in _ORACLES.items() if k in _QUERIES}
+    found = {k: v for k, v in _ORACLES.items() if k in _QUERIES}
+    if _LLM:
+        import corpus_pipeline
+        from quoteline.llm import queries as llm
+
+        found |= llm.ORACLES
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
