@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import sentencepiece_codec, token_counts, token_store
+from . import decontamination, language_id, sentencepiece_codec, token_counts, token_store
 from .common import table
 
 
@@ -18,6 +18,15 @@ def op3_token_store(spark: SparkSession, d: str) -> DataFrame:
     return token_store.read_documents(spark, path)
 
 
+def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontamination.digests(
+        decontamination.find_contamination(table(spark, d, "documents"), table(spark, d, "benchmark")))
+
+
+def op5_language_id(spark: SparkSession, d: str) -> DataFrame:
+    return language_id.identify(table(spark, d, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return token_counts.token_counts(table(spark, d, "documents"))
 
@@ -28,8 +37,45 @@ def op10_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_store": op3_token_store,
+    "op4_decontamination": op4_decontamination,
+    "op5_language_id": op5_language_id,
     "op7_token_counts": op7_token_counts,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
-ORACLES: dict[str, str] = {}
+# Words, the windows of every item and the places where they occur, as lists of words joined by spaces.
+_OP4 = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+),
+cut AS (
+  SELECT item_id, words, least(10, len(words)) AS n, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i
+  FROM b WHERE len(words) > 0
+),
+pat AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(words, i, i + n - 1), ' ') AS p FROM cut),
+sizes AS (SELECT DISTINCT n FROM pat),
+place AS (
+  SELECT doc_id, n, i, array_to_string(list_slice(words, i, i + n - 1), ' ') AS p
+  FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM w, sizes WHERE len(words) >= n)
+),
+found AS (SELECT doc_id, item_id, place.n, i FROM place JOIN pat ON place.p = pat.p AND place.n = pat.n),
+hit AS (
+  SELECT doc_id, count(DISTINCT k) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM found) GROUP BY doc_id
+),
+own AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS s
+        FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(s, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN own USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op4_decontamination": _OP4}

@@ -26,7 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Memo, tokenizer_path
+from .common import Memo, slices, tokenizer_path
+from .words import BYTE_BASES, range_hashes
 
 MAGIC = b"DAC1"
 RANK_STEP = 512
@@ -120,17 +121,28 @@ def decode_segment(blob: bytes) -> tuple[list, np.ndarray, Codes]:
 
 # --- tokenisation ------------------------------------------------------------------------------
 
-# A chunk ends before an ASCII space or line break that follows something else.  The pre-tokenizer never
-# joins characters across such a place, so chunks may be encoded apart.  Texts with other white space
-# (vertical tab, no-break space, ...) are encoded whole.
-_CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+# A chunk ends before an ASCII space or line break that follows something else, and before an ASCII mark that
+# follows a Latin letter.  The pre-tokenizer never joins characters across such places, so chunks may be
+# encoded apart.  Texts with other white space (vertical tab, no-break space, ...) or with an added token's
+# string are encoded whole.
 _OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
-_JOINABLE = re.compile(r" [^ \t\n\r]+")  # a chunk that keeps its tokens when such chunks stand in a row
+_JOINABLE = re.compile(rb" [^ \t\n\r]+")  # a chunk that keeps its tokens when such chunks stand in a row
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, 0x09, 0x0A, 0x0D]] = True
+_MARK = np.zeros(256, dtype=bool)
+_MARK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_LATIN = np.zeros(256, dtype=bool)  # second bytes after C3: U+00C0 to U+00FF without the two signs
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
 
 
 class ByteTokenizer:
-    """Exact ids of a byte-level tokenizer file through the ``tokenizers`` library.  Each distinct chunk
-    is encoded once while it stays in a bounded table."""
+    """Exact ids of a byte-level tokenizer file through the ``tokenizers`` library.
+
+    The chunks of a slice of texts are hashed together, each distinct one is looked up once in a bounded
+    table of ids (and encoded if it is not there), and the ids are gathered back by position."""
 
     def __init__(self, path: str, memo_size: int = 400_000):
         from tokenizers import Tokenizer
@@ -138,6 +150,7 @@ class ByteTokenizer:
         self.tok = Tokenizer.from_file(path)
         self.memo = Memo(memo_size)
         size = self.tok.get_vocab_size(with_added_tokens=True)
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.lengths = np.zeros(size, dtype=np.int64)
         added = self.tok.get_added_tokens_decoder()
         for piece, i in self.tok.get_vocab(with_added_tokens=True).items():
@@ -147,42 +160,80 @@ class ByteTokenizer:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: list[str]) -> None:
-        young = self.memo.young
-        plain = [c for c in chunks if _JOINABLE.fullmatch(c)]
-        odd = [c for c in chunks if not _JOINABLE.fullmatch(c)]
-        young.update(zip(odd, self._whole(odd), strict=True))
+    def _learn(self, chunks: list[bytes]) -> None:
+        young, plain, odd = self.memo.young, [], []
+        for c in chunks:
+            (plain if _JOINABLE.fullmatch(c) else odd).append(c)
+        young.update(zip(odd, self._whole([c.decode() for c in odd]), strict=True))
         # plain chunks in rows of about 64 kB: one library call each, cut by the tokens' byte lengths
         for s in range(0, len(plain), 8000):
             part = plain[s : s + 8000]
-            ids = np.array(self.tok.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ids = np.array(self.tok.encode_batch_fast([b"".join(part).decode()], add_special_tokens=False)[0].ids,
+                           dtype="<u4")
             ends = np.cumsum(self.lengths[ids])
-            want = np.cumsum([len(c.encode()) for c in part])
+            want = np.cumsum([len(c) for c in part])
             cut = np.searchsorted(ends, want) + 1
             if not len(ids) or not np.array_equal(ends[np.minimum(cut, len(ends)) - 1], want):
-                young.update(zip(part, self._whole(part), strict=True))  # a token spans chunks: encode each
+                young.update(zip(part, self._whole([c.decode() for c in part]), strict=True))  # encode each
                 continue
             raw, a = ids.tobytes(), 0
             for chunk, b in zip(part, (cut * 4).tolist(), strict=True):
                 young[chunk] = raw[a:b]
                 a = b
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        out: list = [None] * len(texts)
-        plain, odd = [], []
-        for i, t in enumerate(texts):
-            (odd if _OTHER_SPACE.search(t) else plain).append(i)
-        chunks = [_CHUNK.findall(texts[i]) for i in plain]
-        missing = self.memo.missing(chunks)
-        if missing:
+    def _joined(self, raw: list[bytes]) -> list[np.ndarray]:
+        """Ids of texts without other white space, none of them empty."""
+        joined = b"".join(raw)
+        data = np.frombuffer(joined, dtype=np.uint8)
+        ends_of_texts = np.cumsum([len(r) for r in raw])
+        space = _SPACE[data]
+        begin = np.zeros(len(data), dtype=bool)
+        letter = _LETTER[data]
+        letter[1:] |= _LATIN[data[1:]] & (data[:-1] == 0xC3)
+        begin[1:] = (space[1:] & ~space[:-1]) | (_MARK[data[1:]] & letter[:-1])
+        begin[0] = True
+        begin[ends_of_texts[:-1]] = True
+        starts = np.flatnonzero(begin)
+        ends = np.append(starts[1:], len(data))
+        values = data.astype(np.uint64) + np.uint64(1)
+        hashes = range_hashes(values, starts, ends, BYTE_BASES[0])
+        _, rep, place = np.unique(hashes, return_index=True, return_inverse=True)
+        second = range_hashes(values, starts, ends, BYTE_BASES[1])
+        if not np.array_equal(second, second[rep][place]):  # two chunks with one hash: no table for this slice
+            return [np.frombuffer(b, dtype="<u4") for b in self._whole([r.decode() for r in raw])]
+        keys = [joined[a:b] for a, b in zip(starts[rep].tolist(), ends[rep].tolist(), strict=True)]
+        young = self.memo.young
+        found = list(map(young.get, keys))
+        unknown = [i for i, ids in enumerate(found) if ids is None]
+        if unknown:
+            missing = self.memo.missing([[keys[i] for i in unknown]])
             self._learn(missing)
-        get = self.memo.young.__getitem__
-        for i, own in zip(plain, chunks, strict=True):
-            out[i] = b"".join(map(get, own))
-        for i, ids in zip(odd, self._whole([texts[i] for i in odd]), strict=True):
-            out[i] = ids
+            for i in unknown:
+                found[i] = young[keys[i]]
         self.memo.trim()
+        ids = np.frombuffer(b"".join(found), dtype="<u4")
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) >> 2
+        offsets = np.cumsum(sizes) - sizes
+        own = sizes[place]
+        out_ends = np.cumsum(own)
+        out = ids[np.repeat(offsets[place] - out_ends + own, own) + np.arange(out_ends[-1])]
+        cuts = out_ends[np.searchsorted(starts, ends_of_texts) - 1]
+        return np.split(out, cuts[:-1])
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, as unsigned 32-bit integers."""
+        out: list = [np.zeros(0, dtype="<u4")] * len(texts)
+        for a, b in slices(texts, 2_000_000):
+            plain, odd = [], []
+            for i in range(a, b):
+                if texts[i]:
+                    t = texts[i]
+                    (odd if _OTHER_SPACE.search(t) or any(x in t for x in self.added) else plain).append(i)
+            if plain:
+                for i, ids in zip(plain, self._joined([texts[i].encode() for i in plain]), strict=True):
+                    out[i] = ids
+            for i, ids in zip(odd, self._whole([texts[i] for i in odd]), strict=True):
+                out[i] = np.frombuffer(ids, dtype="<u4")
         return out
 
 
@@ -209,24 +260,23 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, id_co
         names = [f.split()[0] for f in SEGMENT_SCHEMA.split(", ")]
         types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
         docs_in, blobs, held, start, number = [], [], 0, 0, 0
-        end = struct.pack("<I", end_id)
+        end = np.array([end_id], dtype="<u4")
 
         def flush():
             nonlocal docs_in, blobs, held, start, number
-            lengths = [len(b) // 4 for b in blobs]
-            ids = np.frombuffer(b"".join(blobs), dtype="<u4")
+            lengths = [len(b) + 1 for b in blobs]
+            ids = np.concatenate([x for b in blobs for x in (b, end)])
             row = (part, number, start, held, docs_in[0], docs_in[-1], encode_segment(docs_in, lengths, ids))
             start, number, docs_in, blobs, held = start + held, number + 1, [], [], 0
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], names)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                rows = batch.slice(at, 256)
-                texts = [t or "" for t in rows.column(1).to_pylist()]
-                for doc, ids in zip(rows.column(0).to_pylist(), tok.encode(texts), strict=True):
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for a, b in slices(texts, 2_000_000):
+                for doc, ids in zip(batch.column(0).slice(a, b - a).to_pylist(), tok.encode(texts[a:b]), strict=True):
                     docs_in.append(doc)
-                    blobs.append(ids + end)
-                    held += len(ids) // 4 + 1
+                    blobs.append(ids)
+                    held += len(ids) + 1
                     if held >= segment_tokens:
                         yield flush()
         if docs_in:
