@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+import os
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
@@ -13,6 +13,7 @@ from ..session import scratch_path
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, whole."""
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -31,9 +32,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str):
-    """``mapInArrow``: Arrow batches in, Arrow batches out, one pass per partition, no shuffle."""
-    return df.mapInArrow(fn, schema)
+def importable(spark: SparkSession) -> None:
+    """Let local Python workers import this package from where it lies.  On a cluster it is installed on
+    the nodes or shipped with ``--py-files``; a folder that is not there does no harm."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
 class Memo:

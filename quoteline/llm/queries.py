@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import decontamination, language_id, sentencepiece_codec, token_counts, token_store
+from . import decontamination, language_id, sentencepiece_codec, substring_dedup, token_counts, token_store
 from .common import table
 
 
@@ -31,6 +31,10 @@ def op7_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return token_counts.token_counts(table(spark, d, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, d, "documents"))
+
+
 def op10_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     return sentencepiece_codec.round_trip_digests(table(spark, d, "documents"))
 
@@ -40,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_language_id": op5_language_id,
     "op7_token_counts": op7_token_counts,
+    "op8_substring_dedup": op8_substring_dedup,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
@@ -78,4 +83,27 @@ SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_
 FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN own USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op4_decontamination": _OP4}
+# Every window of 20 words as text, the first place of each, and the words that later ones cover.
+_OP8 = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+win AS (
+  SELECT doc_id, i, array_to_string(list_slice(words, i, i + 19), ' ') AS k
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM w WHERE len(words) >= 20)
+),
+again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM win) WHERE n > 1
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS j FROM again),
+word AS (SELECT doc_id, unnest(range(1, len(words) + 1)) AS j, unnest(words) AS x FROM w),
+kept AS (
+  SELECT word.doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY word.j) AS t
+  FROM word LEFT JOIN gone ON word.doc_id = gone.doc_id AND word.j = gone.j WHERE gone.j IS NULL GROUP BY word.doc_id
+)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op4_decontamination": _OP4, "op8_substring_dedup": _OP8}
