@@ -8,10 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import decontamination, language_id, sentencepiece_codec, substring_dedup, token_counts, token_store
+from . import decontamination, language_id, line_dedup, near_dedup, sentencepiece_codec, substring_dedup, token_counts, token_store
 from .common import table
 
 
+def op1_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return line_dedup.remove_repeated_lines(table(spark, d, "documents"), digest=True)
+
+
 def op3_token_store(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "token-store")
     token_store.write_tokens(table(spark, d, "documents"), path)
@@ -35,16 +39,22 @@ def op8_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, d, "documents"))
 
 
+def op9_near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return near_dedup.classes(near_dedup.near_duplicates(table(spark, d, "documents")))
+
+
 def op10_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     return sentencepiece_codec.round_trip_digests(table(spark, d, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_token_store": op3_token_store,
     "op4_decontamination": op4_decontamination,
     "op5_language_id": op5_language_id,
     "op7_token_counts": op7_token_counts,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_near_dedup": op9_near_dedup,
     "op10_sentencepiece": op10_sentencepiece,
 }
 

@@ -92,12 +92,19 @@ def split_words(texts: list[str | None], separators: np.ndarray = SPACES, fold:
     return Words(data, starts, ends, hashes, first.astype(np.int64), doc_starts)
 
 
-def sequence_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    """64-bit hashes of the word sequences ``starts[i]:ends[i]``; ``which`` (0 or 1) picks one of two
-    independent ones, together 128 bits."""
+def sequence_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0,
+                    skip: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of the word sequences ``starts[i]:ends[i]``, without word ``skip[i]`` if given; ``which``
+    (0 or 1) picks one of two independent ones, together 128 bits."""
     length = (ends - starts).astype(np.uint64)
-    return mix(range_hashes(hashes ^ (hashes >> np.uint64(7 + 22 * which)), starts, ends, _WORD_BASES[which])
-               + length * np.uint64(0x2545F4914F6CDD1D))
+    values, base = hashes ^ (hashes >> np.uint64(7 + 22 * which)), _WORD_BASES[which]
+    if skip is None:
+        found = range_hashes(values, starts, ends, base)
+    else:
+        found = range_hashes(values, starts, skip, base) \
+            + _POWERS[base].of(len(values) + 1)[0][skip - starts] * range_hashes(values, skip + 1, ends, base)
+        length = length - _ONE
+    return mix(found + length * np.uint64(0x2545F4914F6CDD1D))
 
 
 def signed(x: np.ndarray) -> np.ndarray:
