@@ -260,7 +260,12 @@ def _verify(pairs: DataFrame, texts: DataFrame, idf, shingle: int, threshold: fl
     """Pairs (key, a, b) whose weighted Jaccard similarity is at least ``threshold``.  The pairs of a bucket
     are compared where its texts meet; a bucket of many nodes is cut into pairs of groups of about
     ``block`` nodes, so a task never holds more than two groups."""
-    ends = pairs.select("key", F.explode(F.array("a", "b")).alias("node")).distinct()
+    def nodes_of(rows: DataFrame, *keys: str) -> DataFrame:
+        """Each node once for each key; both sides are combined before the shuffle."""
+        one, two = (rows.select(*keys, F.col(c).alias("node")).distinct() for c in ("a", "b"))
+        return one.unionByName(two).distinct()
+
+    ends = nodes_of(pairs, "key")
     sizes = ends.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("groups"))
 
     def group(c: str):
@@ -268,7 +273,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, idf, shingle: int, threshold: fl
 
     placed = pairs.join(sizes, "key").withColumns({"ga": group("a"), "gb": group("b")}) \
         .select("key", "a", "b", F.least("ga", "gb").alias("g"), F.greatest("ga", "gb").alias("h"))
-    need = placed.select("key", "g", "h", F.explode(F.array("a", "b")).alias("node")).distinct()
+    need = nodes_of(placed, "key", "g", "h")
     here = need.join(texts, "node").select(*(F.col(c).alias(f"{c}_") for c in ("key", "g", "h")), "node", "text")
 
     def compare(pairs: pa.Table, here: pa.Table) -> pa.Table:
