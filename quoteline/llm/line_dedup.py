@@ -135,7 +135,7 @@ def _table(schema: str, columns: list) -> pa.Table:
     return pa.table([pa.array(c, types[t]) for c, (_, t) in zip(columns, fields, strict=True)], [n for n, _ in fields])
 
 
-def remove_repeated_lines(docs: DataFrame, min_words: int = 10, chunk_bytes: int = 8_000_000, id_col: str = "doc_id",
+def remove_repeated_lines(docs: DataFrame, min_words: int = 10, chunk_bytes: int = 4_000_000, id_col: str = "doc_id",
                           text_col: str = "text", digest: bool = False) -> DataFrame:
     """The rows of ``docs`` with the repeated lines taken out of the text, and two columns more: ``n_lines``
     (lines with words) and ``n_removed``.  With ``digest`` instead doc_id, n_lines, n_removed and kept_sha256
