@@ -16,6 +16,7 @@ each give a row.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -65,7 +66,7 @@ def _automaton(patterns: list[tuple[str, int, tuple]]):
     return found
 
 
-_BUILT: dict[int, tuple] = {}
+_BUILT: dict = {}
 
 
 def scan(text: str | None, automaton) -> tuple[int, int, list, list[tuple[int, int]]]:
@@ -93,19 +94,26 @@ def scan(text: str | None, automaton) -> tuple[int, int, list, list[tuple[int, i
     return len(words), int(hit.sum()), list(items), spans
 
 
-def _scan_block(docs: DataFrame, items: list[tuple], window: int) -> DataFrame:
+def _shared_patterns(docs: DataFrame, items: list[tuple], window: int):
     patterns = [(p, n, tuple(str(i) for i in own)) for p, (n, own) in item_windows(items, window).items()]
-    shared = docs.sparkSession.sparkContext.broadcast(patterns)
+    return docs.sparkSession.sparkContext.broadcast(patterns)
+
+
+def _built(shared):
+    """The automaton of broadcast patterns, built once in a worker."""
+    own = shared.value
+    if _BUILT.get("patterns") is not own:
+        _BUILT.update(patterns=own, automaton=_automaton(own) if own else None)
+    return _BUILT["automaton"]
+
+
+def _scan_block(docs: DataFrame, items: list[tuple], window: int) -> DataFrame:
+    shared = _shared_patterns(docs, items, window)
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = shared.id if hasattr(shared, "id") else id(shared)
-        own = shared.value
-        built = _BUILT.get(key)
-        if built is None or built[0] is not own:
-            _BUILT.clear()
-            built = _BUILT[key] = (own, _automaton(own) if own else None)
+        automaton = _built(shared)
         for batch in batches:
-            rows = [scan(t, built[1]) for t in batch.column(1).to_pylist()]
+            rows = [scan(t, automaton) for t in batch.column(1).to_pylist()]
             spans = [[{"start": a, "end": b} for a, b in r[3]] for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
@@ -137,24 +145,52 @@ def _spans_united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             ["doc_id", "n_words", "n_hit", "items", "spans"])
 
 
+def _item_blocks(benchmark: DataFrame, block_bytes: int, item_col: str, text_col: str) -> Iterator[list[tuple]]:
+    """The items, at least once and in blocks of about ``block_bytes`` of text."""
+    items = benchmark.select(F.col(item_col).cast("string").alias("item_id"), F.col(text_col).alias("text")) \
+        .where("text IS NOT NULL AND item_id IS NOT NULL")
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
+    blocks = max(1, math.ceil(size / block_bytes))
+    for b in range(blocks):
+        own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
+        yield [tuple(r) for r in own.collect()]
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 8_000_000,
+                         text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, in which no window occurs.  Blocks of items filter one after the other."""
+    at, out = docs.columns.index(text_col), docs
+
+    def clean(rows: DataFrame, items: list[tuple]) -> DataFrame:
+        shared = _shared_patterns(rows, items, window)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            automaton = _built(shared)
+            for batch in batches:
+                yield batch.filter(pa.array([not scan(t, automaton)[1] for t in batch.column(at).to_pylist()], pa.bool_()))
+
+        return rows.mapInArrow(run, rows.schema)
+
+    for n, items in enumerate(_item_blocks(benchmark, block_bytes, item_col, item_text_col)):
+        out = clean(stored(out, "decontamination-block") if n else out, items)  # a worker holds one automaton
+    return out
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 8_000_000,
                        id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                        item_text_col: str = "text") -> DataFrame:
     """Per document row: doc_id, n_words, n_hit (words inside an occurrence of a window), ``items`` (ids as
     strings, sorted, of the items found) and ``spans`` (the hit passages as character offsets of the text)."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    items = benchmark.select(F.col(item_col).cast("string").alias("item_id"), F.col(item_text_col).alias("text")) \
-        .where("text IS NOT NULL AND item_id IS NOT NULL")
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
-    blocks = max(1, math.ceil(size / block_bytes))
-    if blocks == 1:  # the benchmark fits the bound
-        return _scan_block(source, [tuple(r) for r in items.collect()], window)
+    blocks = _item_blocks(benchmark, block_bytes, item_col, item_text_col)
+    items = next(blocks)
+    more = next(blocks, None)
+    if more is None:  # the benchmark fits the bound
+        return _scan_block(source, items, window)
     # every row gets a key, so that equal rows stay apart when the blocks' hits come together
     keyed = stored(source.withColumn("row", F.monotonically_increasing_id()), "decontamination-rows")
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     found = None
-    for b in range(blocks):
-        own = [tuple(r) for r in items.where(part == b).collect()]
+    for own in itertools.chain((items, more), blocks):
         one = stored(_scan_block(keyed.select(F.col("row").alias("doc_id"), "text"), own, window).where("n_hit > 0"),
                      "decontamination-hits")
         found = one if found is None else found.unionByName(one)

@@ -197,3 +197,18 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """Train on the rows that are not held out, predict every row."""
     model = train(docs.where(~is_held_out(id_col)), max_docs, id_col=id_col, text_col=text_col, lang_col=lang_col)
     return predict(docs, model, id_col, text_col)
+
+
+def keep_identified(docs: DataFrame, model: Model | None, min_score: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is known: not ``und`` and a score of at least
+    ``min_score``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            found = predict_texts(own, batch.column(at).to_pylist())
+            yield batch.filter(pa.array([k != "und" and p >= min_score for k, p in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -1,9 +1,9 @@
 """Near-duplicate documents by improved consistent weighted sampling (ICWS).
 
 *Weights.*  A text is the set of its shingles of five words; a shingle weighs ``(1 + ln tf) * idf`` with
-``idf = ln(1 + 1 / (p + 0.05))``, ``p`` being the share of all documents that hold it.  The smoothing keeps
-shingles below a twentieth of the corpus about alike (else a family of copies would be pushed apart by its own
-frequency) and takes weight from boilerplate.  ``p`` is counted over all documents in a table of 2^20 hashed
+``idf = ln(1 + 1 / (p + 0.25))``, ``p`` being the share of all documents that hold it.  The smoothing keeps
+shingles of less than some hundredths of the corpus about alike (else a large family of copies would be pushed
+apart by its own frequency) and takes weight from boilerplate.  ``p`` is counted over all documents in a table of 2^20 hashed
 cells: a fixed size, and a shared cell adds about (shingles a document) / 2^20 to ``p`` at any corpus size.
 
 *Samples.*  ICWS draws the same (shingle, level) from two weighted sets with the probability of their weighted
@@ -35,14 +35,14 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import mix, slices, stored
 from .words import sequence_hashes, signed, split_words
 
 CELLS = 1 << 20
-SMOOTHING = 0.05
+SMOOTHING = 0.25
 _PASSES = 4
 _SCALE = 1.0 / (1 << 53)
 
@@ -300,16 +300,21 @@ def _verify(pairs: DataFrame, texts: DataFrame, idf, shingle: int, threshold: fl
         compare, "a binary, b binary")
 
 
+def _node_columns(id_col: Column, text_col: Column) -> tuple[Column, Column, Column]:
+    text = F.coalesce(text_col, F.lit(""))
+    return (F.coalesce(id_col.cast("long"), F.lit(np.iinfo(np.int64).min)), F.unhex(F.md5(text.cast("binary"))), text)
+
+
 def with_nodes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """row_id (the id, a null one as the smallest long), node (the class of equal texts) and text."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(np.iinfo(np.int64).min)).alias("row_id"),
-                       F.unhex(F.md5(text.cast("binary"))).alias("node"), text.alias("text"))
+    columns = _node_columns(F.col(id_col), F.col(text_col))
+    return docs.select(*(c.alias(n) for c, n in zip(columns, ("row_id", "node", "text"), strict=True)))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, min_agree: float = MIN_AGREE,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: row_id and node of :func:`with_nodes`, and class_id, the smallest row_id of its class."""
+    """Per row: row_id and node of :func:`with_nodes`, class_id (the smallest row_id of its class) and is_first
+    (the row, or the equal rows, that stand for the class: smallest row_id, then smallest node)."""
     source = with_nodes(docs, id_col, text_col)
     spark = docs.sparkSession
     counts, n_docs = _document_frequencies(source, shingle)
@@ -355,15 +360,30 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, m
         width *= 4
     named = signed_rows.select("row_id", "node").join(parts, "node", "left") \
         .select("row_id", "node", F.coalesce("comp", "node").alias("comp"))
-    classes = named.groupBy("comp").agg(F.min("row_id").alias("class_id"))
-    return named.join(classes, "comp").select("row_id", "node", "class_id")
+    heads = named.groupBy("comp").agg(F.min(F.struct("row_id", "node")).alias("head"))
+    return named.join(heads, "comp").select("row_id", "node", F.col("head.row_id").alias("class_id"),
+                                            (F.struct("row_id", "node") == F.col("head")).alias("is_first"))
+
+
+def one_of_each(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stand for their classes, with all their columns; of equal rows (id and text)
+    one stays."""
+    names = docs.columns
+    inner = docs.toDF(*(f"c{i}" for i in range(len(names))))
+    c_id, c_text = (F.col(f"c{names.index(c)}") for c in (id_col, text_col))
+    row_id, node, _ = _node_columns(c_id, c_text)
+    first = near_duplicates(docs, threshold, id_col=id_col, text_col=text_col).where("is_first").select("row_id", "node").distinct()
+    keyed = inner.withColumns({"row_id": row_id, "node": node}).join(first, ["row_id", "node"], "left_semi")
+    # the join has put equal rows into one partition: no further shuffle
+    once = keyed.withColumn("n", F.row_number().over(Window.partitionBy("row_id", "node").orderBy(F.lit(0)))).where("n = 1")
+    return once.select(*(f"c{i}" for i in range(len(names)))).toDF(*names)
 
 
 def classes(found: DataFrame) -> DataFrame:
-    """doc_id, class_id and is_first (the document that stays) of :func:`near_duplicates`."""
+    """doc_id, class_id and is_first of :func:`near_duplicates`, null ids as null."""
     null = F.lit(np.iinfo(np.int64).min)
     return found.select(F.nullif("row_id", null).alias("doc_id"), F.nullif("class_id", null).alias("class_id"),
-                        (F.col("row_id") == F.col("class_id")).alias("is_first"))
+                        "is_first")
 
 
 def similarity(a: str | None, b: str | None, idf: np.ndarray, shingle: int = 5) -> float:

@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import decontamination, language_id, line_dedup, near_dedup, sentencepiece_codec, substring_dedup, token_counts, token_store
+from . import (
+    ann_search,
+    decontamination,
+    language_id,
+    line_dedup,
+    near_dedup,
+    quality,
+    sentencepiece_codec,
+    substring_dedup,
+    token_counts,
+    token_store,
+)
 from .common import table
 
 
@@ -16,6 +27,10 @@ def op1_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return line_dedup.remove_repeated_lines(table(spark, d, "documents"), digest=True)
 
 
+def op2_ann_search(spark: SparkSession, d: str) -> DataFrame:
+    return ann_search.nearest(table(spark, d, "embeddings"))
+
+
 def op3_token_store(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "token-store")
     token_store.write_tokens(table(spark, d, "documents"), path)
@@ -31,6 +46,10 @@ def op5_language_id(spark: SparkSession, d: str) -> DataFrame:
     return language_id.identify(table(spark, d, "documents"))
 
 
+def op6_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.score_quality(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 def op7_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return token_counts.token_counts(table(spark, d, "documents"))
 
@@ -49,9 +68,11 @@ def op10_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_ann_search": op2_ann_search,
     "op3_token_store": op3_token_store,
     "op4_decontamination": op4_decontamination,
     "op5_language_id": op5_language_id,
+    "op6_quality": op6_quality,
     "op7_token_counts": op7_token_counts,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_near_dedup": op9_near_dedup,
