@@ -6,7 +6,8 @@ import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
@@ -42,6 +43,15 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+def stored_and_measured(df: DataFrame, label: str) -> tuple[DataFrame, int, int]:
+    """:func:`stored` with the number of rows and a checksum of them, both gathered by the write itself."""
+    seen = Observation()
+    rows = df.observe(seen, F.count(F.lit(1)).alias("n"),
+                      F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("sum"))
+    out = stored(rows, label)
+    return out, seen.get["n"], int(seen.get["sum"] or 0)
+
+
 class Memo:
     """Bounded lookup table of two generations: a full young generation becomes the old one, and what
     is still in use is copied forward.  Forgetting costs time only, never a different result."""

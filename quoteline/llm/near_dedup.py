@@ -13,7 +13,7 @@ drawn from all shingles, so an empty bin stays unbiased.
 
 *Candidates.*  Samples are banded.  Equal texts are one class from the start.  In every bucket a few pivots
 are compared with the members of other classes; what is confirmed joins classes, pivots leave the bucket, and
-the next round takes four times as many, until every bucket holds one class or no member is left to
+the next round takes sixteen times as many, until every bucket holds one class or no member is left to
 compare.  So a bucket of ``n`` copies costs ``n`` comparisons, no link between classes is lost, and no
 group is gathered in one task: pivots are minima (combined before the shuffle) and members meet them in a
 join that Spark may split.
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix, slices, stored
+from .common import mix, slices, stored, stored_and_measured
 from .words import sequence_hashes, signed, split_words
 
 CELLS = 1 << 20
@@ -239,8 +239,8 @@ def _first_common_band(a: str, b: str) -> str:
 def _components(edges: DataFrame) -> DataFrame:
     """(node, label) of the connected parts of edges (a, b), the label being the smallest node: large-star and
     small-star steps until nothing changes, each step written to the shared folder."""
-    edges = stored(edges.where("a <> b").distinct(), "near-edges")
-    while True:
+    edges, n, checksum = stored_and_measured(edges.where("a <> b").distinct(), "near-edges")
+    while n:
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -248,15 +248,14 @@ def _components(edges: DataFrame) -> DataFrame:
         low = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"),
                                            F.col("m").alias("b")).where("a <> b").distinct()
-        new = stored(small, "near-edges")
-        same = new.count() == edges.count() and new.join(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")),
-                                                         ["a", "b"], "left_anti").isEmpty()
-        edges = new
-        if same:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
+        before = (n, checksum)
+        edges, n, checksum = stored_and_measured(small, "near-edges")
+        if (n, checksum) == before:
+            break
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, idf, shingle: int, threshold: float, block: int = 1000) -> DataFrame:
+def _verify(pairs: DataFrame, texts: DataFrame, idf, shingle: int, threshold: float, block: int = 256) -> DataFrame:
     """Pairs (key, a, b) whose weighted Jaccard similarity is at least ``threshold``.  The pairs of a bucket
     are compared where its texts meet; a bucket of many nodes is cut into pairs of groups of about
     ``block`` nodes, so a task never holds more than two groups."""
@@ -335,8 +334,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, m
     while True:
         current = members.join(parts, "node")
         open_ = current.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-        active = stored(current.join(open_, "key"), "near-active")
-        if active.isEmpty():
+        active, n, _ = stored_and_measured(current.join(open_, "key"), "near-active")
+        if not n:
             break
         slot = F.pmod(F.xxhash64("node"), F.lit(width))
         pivots = stored(active.groupBy("key", slot.alias("slot")).agg(
@@ -344,11 +343,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, m
         met_now = active.alias("m").join(pivots.alias("p"), F.expr(
             f"m.key = p.key AND m.comp <> p.comp AND least(m.weight, p.weight) >= {threshold * (1 - 1e-9)} * greatest(m.weight, p.weight)"
             f" AND {agree} >= {min_agree} * {BINS} AND {first_band} = m.band"))
-        pairs = stored(met_now.select(F.col("m.key").alias("key"), F.least("m.node", "p.node").alias("a"),
+        pairs, n, _ = stored_and_measured(met_now.select(F.col("m.key").alias("key"), F.least("m.node", "p.node").alias("a"),
                                       F.greatest("m.node", "p.node").alias("b")).distinct(), "near-pairs")
-        if not pairs.isEmpty():
-            links = stored(_verify(pairs, texts, idf, shingle, threshold), "near-links")
-            if not links.isEmpty():
+        if n:
+            links, n, _ = stored_and_measured(_verify(pairs, texts, idf, shingle, threshold), "near-links")
+            if n:
                 comp = parts.select("node", "comp")
                 edges = links.join(comp.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a") \
                     .join(comp.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b") \
@@ -357,7 +356,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, m
                 parts = stored(parts.join(labels, "comp", "left").select("node", F.coalesce("label", "comp").alias("comp")),
                                "near-parts")
         members = stored(active.drop("comp").join(pivots.select("key", "node"), ["key", "node"], "left_anti"), "near-members")
-        width *= 4
+        width *= 16
+    idf.unpersist()
     named = signed_rows.select("row_id", "node").join(parts, "node", "left") \
         .select("row_id", "node", F.coalesce("comp", "node").alias("comp"))
     heads = named.groupBy("comp").agg(F.min(F.struct("row_id", "node")).alias("head"))
