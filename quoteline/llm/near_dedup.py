@@ -13,7 +13,7 @@ drawn from all shingles, so an empty bin stays unbiased.
 
 *Candidates.*  Samples are banded.  Equal texts are one class from the start.  In every bucket a few pivots
 are compared with the members of other classes; what is confirmed joins classes, pivots leave the bucket, and
-the next round takes sixteen times as many, until every bucket holds one class or no member is left to
+the next round takes four times as many, until every bucket holds one class or no member is left to
 compare.  So a bucket of ``n`` copies costs ``n`` comparisons, no link between classes is lost, and no
 group is gathered in one task: pivots are minima (combined before the shuffle) and members meet them in a
 join that Spark may split.
@@ -342,7 +342,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, m
             F.max(F.struct("pop", "node", "comp", "weight", "bands", "samples")).alias("p")).select("key", "p.*"), "near-pivots")
         met_now = active.alias("m").join(pivots.alias("p"), F.expr(
             f"m.key = p.key AND m.comp <> p.comp AND least(m.weight, p.weight) >= {threshold * (1 - 1e-9)} * greatest(m.weight, p.weight)"
-            f" AND {agree} >= {min_agree} * {BINS} AND {first_band} = m.band"))
+            f" AND {first_band} = m.band AND {agree} >= {min_agree} * {BINS}"))
         pairs, n, _ = stored_and_measured(met_now.select(F.col("m.key").alias("key"), F.least("m.node", "p.node").alias("a"),
                                       F.greatest("m.node", "p.node").alias("b")).distinct(), "near-pairs")
         if n:
@@ -356,7 +356,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, m
                 parts = stored(parts.join(labels, "comp", "left").select("node", F.coalesce("label", "comp").alias("comp")),
                                "near-parts")
         members = stored(active.drop("comp").join(pivots.select("key", "node"), ["key", "node"], "left_anti"), "near-members")
-        width *= 16
+        width *= 4
     idf.unpersist()
     named = signed_rows.select("row_id", "node").join(parts, "node", "left") \
         .select("row_id", "node", F.coalesce("comp", "node").alias("comp"))

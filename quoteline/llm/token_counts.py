@@ -58,7 +58,7 @@ def merge_count(chunk: str, rank: dict[str, float]) -> int:
 
 
 class PieceCounter:
-    def __init__(self, path: str, memo_size: int = 500_000):
+    def __init__(self, path: str, memo_size: int = 250_000):
         self.model, self.memo = PieceModel(path), Memo(memo_size)
 
     def counts(self, texts: list[str]) -> list[int]:

@@ -43,13 +43,29 @@ _POWERS = {base: _Powers(base) for base in (*BYTE_BASES, *_WORD_BASES)}
 
 
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """Polynomial hash of ``values[s:e]`` for every (s, e), whatever its place: one running sum."""
+    """Polynomial hash of ``values[s:e]`` for every (s, e), whatever its place; ranges may overlap: one running
+    sum."""
     up, down = _POWERS[base].of(len(values) + 1)
     run = np.zeros(len(values) + 1, dtype=np.uint64)
     np.cumsum(values * up[: len(values)], out=run[1:])
     return (run[ends] - run[starts]) * down[starts]
 
 
+def piece_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+    """Polynomial hash of the bytes ``data[s:e]`` of disjoint ascending ranges, none of them empty.  Powers go
+    by the place inside a range, so their table is as long as the longest range only."""
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64)
+    size = ends - starts
+    place = np.arange(int(size.sum()), dtype=np.int64)
+    begin = np.cumsum(size) - size
+    own = data if len(place) == len(data) else data[place + np.repeat(starts - begin, size)]
+    place -= np.repeat(begin, size)
+    terms = _POWERS[base].of(int(size.max()))[0][place]
+    terms *= own.astype(np.uint64) + _ONE
+    return np.add.reduceat(terms, begin)
+
+
 @dataclass
 class Words:
     """Words of ``n_docs`` texts: the bytes, each word's borders in them, its hash and its text; words of text ``i``
@@ -86,8 +102,7 @@ def split_words(texts: list[str | None], separators: np.ndarray = SPACES, fold:
     word = ~separators[data]
     edge = np.flatnonzero(np.diff(word.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
     starts, ends = edge[0::2], edge[1::2]
-    values = (data if fold is None else fold[data]).astype(np.uint64) + _ONE
-    hashes = mix(range_hashes(values, starts, ends, BYTE_BASES[0]) ^ ((ends - starts).astype(np.uint64) << np.uint64(40)))
+    hashes = mix(piece_hashes(data if fold is None else fold[data], starts, ends, BYTE_BASES[0]) ^ ((ends - starts).astype(np.uint64) << np.uint64(40)))
     first = np.searchsorted(starts, doc_starts)
     return Words(data, starts, ends, hashes, first.astype(np.int64), doc_starts)
 
