@@ -43,6 +43,8 @@ from quoteline.streaming.ingest import ingest_table  # noqa: E402
 EVENTS_START, EVENTS_END, EVENTS_INTERVAL = 1704067200500, 1705795200000, 3600000
 # Curve: 1996-01-01 to 1996-03-01, every six hours.
 CURVE_START, CURVE_END, CURVE_INTERVAL = 820454400000, 825638400000, 21600000
+LONG_INTERVAL = 75000  # over the same range: 69,120 grid points
+FEATURE_PARAMS = {"start_time": EVENTS_START, "end_time": EVENTS_END, "interval": EVENTS_INTERVAL, "time_column": "ts"}
 SEARCH_PATTERN = "RED"
 MODULE_PATTERN = "a"
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
@@ -99,10 +101,10 @@ def q_filter_time_range(spark, d):
 
 
 def q_sql_time_range(spark, d):
-    # F1 written as the module author's SQL over a view, parameters bound by Spark
+    # F1 written as the module author's SQL over a DataFrame, parameters bound by Spark
     return sql_over(
         spark, {"ORDERS": bookmap.book_orders(spark, d)},
-        "SELECT id, created FROM ORDERS WHERE created >= :start AND created < :end",
+        "SELECT id, created FROM {ORDERS} WHERE created >= :start AND created < :end",
         {"start": CURVE_START, "end": CURVE_END},
     )
 
@@ -129,8 +131,26 @@ def q_grid_expand(spark, d):
     )
 
 
+def q_grid_expand_long(spark, d):
+    # more than 65,536 grid points; every expanded row is counted and summed by price level
+    rows = liq.grid_expand(q_scan_orders(spark, d), CURVE_START, CURVE_END, LONG_INTERVAL)
+    return rows.groupBy("side", "price").agg(*_level_sums())
+
+
 def q_depth_by_price(spark, d):
-    return liq.depth_by_price(bookmap.book_orders(spark, d), CURVE_START, CURVE_END, CURVE_INTERVAL)
+    return liq.depth_by_price(bookmap.curve_orders(spark, d, CURVE_END), CURVE_START, CURVE_END, CURVE_INTERVAL)
+
+
+def q_depth_long(spark, d):
+    # more than 65,536 grid points: several chunks a price level
+    depth = liq.depth_by_price(bookmap.curve_orders(spark, d, CURVE_END), CURVE_START, CURVE_END, LONG_INTERVAL)
+    return depth.groupBy("side", "price").agg(*_level_sums())
+
+
+def _level_sums():
+    return (F.count(F.lit(1)).alias("n_points"), F.min("timestamp").alias("first_ms"), F.max("timestamp").alias("last_ms"),
+            F.sum("quantity").alias("quantity"),
+            F.sum(F.col("quantity") * F.pmod(F.col("timestamp").cast("bigint"), F.lit(1000003))).alias("checksum"))
 
 
 def _side_curve_text(spark, d, side):
@@ -149,7 +169,7 @@ def q_curve_sell(spark, d):
 
 
 def q_liquidity_curve(spark, d):
-    curve = liq.liquidity_curve(bookmap.book_orders(spark, d), CURVE_START, CURVE_END, CURVE_INTERVAL)
+    curve = liq.liquidity_curve(bookmap.curve_orders(spark, d, CURVE_END), CURVE_START, CURVE_END, CURVE_INTERVAL)
     return curve.select(
         "timestamp",
         liq.curve_text(F.col("curve_buy")).alias("curve_buy"),
@@ -206,6 +226,24 @@ def q_resolve_inputs(spark, d):
     return cat.resolve_inputs(datasets.select("name", "id"), wanted)
 
 
+def _asked_names(spark, d):
+    """Requested names, many of them repeated and some unknown: one for each order line by part, and one for
+    each by supplier that no part has."""
+    lines = bookmap.table(spark, d, "lineitem")
+    names = bookmap.catalog_datasets(spark, d).select("id", "name")
+    known = lines.select(F.col("l_partkey").alias("id")).join(names, "id").select("name")
+    return known.unionByName(lines.select(F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string")).alias("name")))
+
+
+def q_missing_inputs(spark, d):
+    return cat.missing_inputs(bookmap.catalog_datasets(spark, d), _asked_names(spark, d))
+
+
+def q_resolve_known_inputs(spark, d):
+    datasets = bookmap.catalog_datasets(spark, d).select("name", "id")
+    return cat.resolve_inputs(datasets, _asked_names(spark, d), check=False)
+
+
 def _action_log(spark, d, key: Column):
     ev = _events(spark, d)
     return ev.select(
@@ -268,6 +306,66 @@ def q_import_book_roundtrip(spark, d):
     return spark.read.parquet(written["book_ORDERS"])
 
 
+def _import_one(spark, d, frame, table):
+    root, catalog = _fresh_catalog(spark, f"import-{table.lower()}")
+    source = f"{root}/incoming/book.src"
+    frame.write.parquet(f"{source}/{table}")
+    import_dataset(spark, catalog, [source], tables=[table], layout="by_source")
+    return spark.read.parquet(catalog.dataset(f"book_{table}")["filepath"])
+
+
+def q_import_cancels_roundtrip(spark, d):
+    return _import_one(spark, d, bookmap.book_cancels(spark, d), "CANCELS")
+
+
+def q_import_trades_roundtrip(spark, d):
+    return _import_one(spark, d, bookmap.book_trades(spark, d), "TRADES")
+
+
+def q_import_partitioned_roundtrip(spark, d):
+    # two sources in one job a table, dealt evenly over tasks; read back by the recorded paths
+    root, catalog = _fresh_catalog(spark, "import-many")
+    orders = bookmap.book_orders(spark, d)
+    buys, rest = f"{root}/incoming/buys.src", f"{root}/incoming/rest.src"
+    orders.where("side = 66").write.parquet(f"{buys}/ORDERS")
+    orders.where("side <> 66").write.parquet(f"{rest}/ORDERS")
+    import_dataset(spark, catalog, [buys, rest], tables=["ORDERS"], partitions=4)
+    rows = catalog.known(["buys_ORDERS", "rest_ORDERS"]).inputs(["buys_ORDERS", "rest_ORDERS"])
+    parts = [spark.read.parquet(r["filepath"]).withColumn("identifier", F.lit(r["identifier"])) for r in rows.values()]
+    return parts[0].unionByName(parts[1])
+
+
+def _part_catalog(spark, d):
+    """A catalogue of every part and of the regions as modules, with one saved feature set whose parents are
+    the first and the last part by name."""
+    root, catalog = _fresh_catalog(spark, "part-catalog")
+    register_builtin_modules(catalog)
+    regions = [r["name"] for r in bookmap.catalog_analyses(spark, d).collect()]
+    catalog.register_modules([dict(name=n, entrypoint="quoteline.plans.modules:event_count_module") for n in regions])
+    parts = bookmap.catalog_datasets(spark, d)
+    catalog.record_datasets(parts.select("name", F.concat(F.lit("part/"), F.col("id").cast("string")).alias("filepath")))
+    ends = parts.agg(F.min("name").alias("first"), F.max("name").alias("last")).first()
+    counts = event_count(_events(spark, d), EVENTS_START, EVENTS_END, EVENTS_INTERVAL, time_col="ts", sort=False)
+    save_features(catalog, counts, f"{root}/features", "events_hourly", "EventCount", FEATURE_PARAMS, list(ends))
+    return catalog, ends, regions
+
+
+def q_catalog_features(spark, d):
+    # the recorded rows: name, module, parameters and parents
+    catalog, _, _ = _part_catalog(spark, d)
+    listing = catalog.list_datasets()
+    return listing.select("name", "module_name", "module_parameters", F.array_join("parent_names", "|").alias("parents"))
+
+
+def q_catalog_after_drops(spark, d):
+    # one dataset and one module dropped (C7, C8): what is left, and the lineage without the dropped parent
+    catalog, ends, regions = _part_catalog(spark, d)
+    catalog.drop_dataset(ends["first"])
+    catalog.drop_module(min(regions))
+    datasets = catalog.list_datasets().select(F.lit("dataset").alias("kind"), "name", F.array_join("parent_names", "|").alias("parents"))
+    return datasets.unionByName(catalog.analyses().select(F.lit("module").alias("kind"), "name", F.lit(None).cast("string").alias("parents")))
+
+
 def q_stream_import_roundtrip(spark, d):
     # per-period ORDERS files of two sources picked up by the incremental (streaming) import
     root = scratch_path(spark, "stream-import")
@@ -279,7 +377,7 @@ def q_stream_import_roundtrip(spark, d):
     orders.where(F.col("side").isNull()).write.parquet(f"{root}/incoming/rest.src/ORDERS/nulls")
     query = ingest_table(spark, f"{root}/incoming/*.src", "orders", f"{root}/ORDERS", by_identifier=True)
     query.awaitTermination()
-    return spark.read.parquet(f"{root}/ORDERS").drop("identifier")
+    return spark.read.parquet(f"{root}/ORDERS").drop("identifier", "batch")
 
 
 def q_run_event_count(spark, d):
@@ -336,6 +434,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "save_features_roundtrip": q_save_features_roundtrip,
     "import_book_roundtrip": q_import_book_roundtrip,
     "stream_import_roundtrip": q_stream_import_roundtrip,
+    "import_cancels_roundtrip": q_import_cancels_roundtrip,
+    "import_trades_roundtrip": q_import_trades_roundtrip,
+    "import_partitioned_roundtrip": q_import_partitioned_roundtrip,
+    "grid_expand_long": q_grid_expand_long,
+    "depth_long": q_depth_long,
+    "missing_inputs": q_missing_inputs,
+    "resolve_known_inputs": q_resolve_known_inputs,
+    "catalog_features": q_catalog_features,
+    "catalog_after_drops": q_catalog_after_drops,
     "run_event_count": q_run_event_count,
     "run_liquidity_curve": q_run_liquidity_curve,
 }
@@ -552,6 +659,49 @@ _ORACLES["run_event_count"] = _ORACLES["event_count"]
 _ORACLES["run_liquidity_curve"] = _ORACLES["liquidity_curve"]
 
 
+_ORACLES["import_cancels_roundtrip"] = _ORACLES["import_cancels"]
+_ORACLES["import_trades_roundtrip"] = _ORACLES["import_trades"]
+_ORACLES["import_partitioned_roundtrip"] = _ORACLES["import_orders"].replace(
+    "new_id, p_id FROM book", "new_id, p_id, CASE WHEN side = 66 THEN 'buys' ELSE 'rest' END AS identifier FROM book")
+_LONG = f"""
+long_grid AS (SELECT g AS t FROM range({CURVE_START}, {CURVE_END}, {LONG_INTERVAL}) r(g))"""
+_LEVEL_SUMS = """
+        SELECT side, price, count(*) AS n_points, min("timestamp") AS first_ms, max("timestamp") AS last_ms,
+               CAST(sum(quantity) AS BIGINT) AS quantity,
+               CAST(sum(quantity * ("timestamp" % 1000003)) AS BIGINT) AS checksum
+        FROM x GROUP BY side, price"""
+_ORACLES["grid_expand_long"] = "WITH " + _RESOLVED + "," + _LONG + f""",
+x AS (
+  SELECT r.side, r.price, r.quantity, g.t AS "timestamp"
+  FROM resolved r JOIN long_grid g ON r.created <= g.t AND g.t < r.destroyed
+  WHERE r.created <= {CURVE_END} AND r.destroyed > {CURVE_START}
+)""" + _LEVEL_SUMS
+_ORACLES["depth_long"] = "WITH " + _RESOLVED + "," + _LONG + f""",
+x AS (
+  SELECT g.t AS "timestamp", r.side, r.price, CAST(sum(r.quantity) AS BIGINT) AS quantity
+  FROM resolved r JOIN long_grid g ON r.created <= g.t AND g.t < r.destroyed
+  WHERE r.side IN (66, 83) AND r.created <= {CURVE_END} AND r.destroyed > {CURVE_START}
+  GROUP BY g.t, r.side, r.price
+)""" + _LEVEL_SUMS
+_ORACLES["missing_inputs"] = "SELECT DISTINCT 'supplier ' || l_suppkey AS name FROM lineitem"
+_ORACLES["resolve_known_inputs"] = _ORACLES["resolve_inputs"]
+_PART_CATALOG = """
+WITH names AS (SELECT p_name || ' ' || CAST(p_partkey AS VARCHAR) AS name FROM part),
+ends AS (SELECT min(name) AS first, max(name) AS last FROM names)"""
+_ORACLES["catalog_features"] = _PART_CATALOG + f"""
+        SELECT name, CAST(NULL AS VARCHAR) AS module_name, CAST(NULL AS VARCHAR) AS module_parameters,
+               CAST(NULL AS VARCHAR) AS parents FROM names
+        UNION ALL
+        SELECT 'events_hourly', 'EventCount',
+               '{{"end_time": {EVENTS_END}, "interval": {EVENTS_INTERVAL}, "start_time": {EVENTS_START}, "time_column": "ts"}}',
+               first || '|' || last FROM ends"""
+_ORACLES["catalog_after_drops"] = _PART_CATALOG + """
+        SELECT 'dataset' AS kind, name, CAST(NULL AS VARCHAR) AS parents FROM names WHERE name <> (SELECT first FROM ends)
+        UNION ALL SELECT 'dataset', 'events_hourly', last FROM ends
+        UNION ALL SELECT 'module', r_name, NULL FROM region WHERE r_name <> (SELECT min(r_name) FROM region)
+        UNION ALL SELECT 'module', unnest(['EventCount', 'Liquid']), NULL"""
+
+
 def oracle_sql() -> dict[str, str]:
     found = {k: v for k, v in _ORACLES.items() if k in _QUERIES}
     if _LLM:

@@ -7,11 +7,9 @@ with ``timestamp_diff``, and day boundaries are UTC days computed with integer a
 
 from __future__ import annotations
 
-import calendar
 import datetime as _dt
 import math
 import re
-import time
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,10 +19,13 @@ from pyspark.sql import types as T
 MS_PER_SECOND = 1_000
 MS_PER_DAY = 86_400_000
 
-# Fixed value: text layout of a time parameter before its last four characters; any one
-# character may separate the seconds from the three millisecond digits.
-TIME_PARAM_LAYOUT = "%Y-%m-%d_%H:%M:%S"
+# Text layout of a time parameter; any one character may separate the seconds from
+# the three millisecond digits.
 SPARK_PARAM_LAYOUT = "yyyy-MM-dd_HH:mm:ss"
+_PARAM_TEXT = re.compile(r"(\d{4})-(\d\d)-(\d\d)_(\d\d):(\d\d):(\d\d).(\d{3})", re.ASCII | re.DOTALL)
+
+_INTEGER_TEXT = re.compile(r"-?\d+", re.ASCII)
+_EPOCH = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
 
 _INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
 
@@ -51,22 +52,17 @@ def parse_time(value) -> int:
     if not isinstance(value, str):
         raise TypeError(f"cannot read a time from {type(value).__name__}")
     text = value.strip()
-    if re.fullmatch(r"-?\d+", text):
+    if _INTEGER_TEXT.fullmatch(text):
         return int(text)
-    if len(text) < 5 or not text[-3:].isdigit():
-        raise ValueError(f"time parameter {value!r} does not end in three millisecond digits")
+    match = _PARAM_TEXT.fullmatch(text)
+    if not match:
+        raise ValueError(f"time parameter {value!r} is not laid out as YYYY-mm-dd_HH:MM:SS.mmm")
+    *fields, millis = (int(g) for g in match.groups())
     try:
-        seconds = calendar.timegm(time.strptime(text[:-4], TIME_PARAM_LAYOUT))
+        moment = _dt.datetime(*fields, tzinfo=_dt.timezone.utc)
     except ValueError as exc:
-        raise ValueError(f"time parameter {value!r} is not laid out as YYYY-mm-dd_HH:MM:SS.mmm") from exc
-    return seconds * MS_PER_SECOND + int(text[-3:])
-
-
-def format_time(ms: int) -> str:
-    """Epoch milliseconds as time parameter text (inverse of :func:`parse_time`)."""
-    seconds, millis = divmod(int(ms), MS_PER_SECOND)
-    stamp = _dt.datetime(1970, 1, 1) + _dt.timedelta(seconds=seconds)
-    return f"{stamp.strftime(TIME_PARAM_LAYOUT)}.{millis:03d}"
+        raise ValueError(f"time parameter {value!r} names no moment: {exc}") from exc
+    return (moment - _EPOCH) // _dt.timedelta(milliseconds=1) + millis
 
 
 def parse_interval(interval, integral: bool = False) -> int | float:
@@ -150,9 +146,10 @@ def epoch_ms(col: Column, dtype: T.DataType) -> Column:
 def time_literal(ms: int, dtype: T.DataType) -> Column:
     """A literal of ``dtype`` at ``ms`` epoch milliseconds.
 
-    Used to state a range predicate on the *stored* column so that it reaches the Parquet scan
-    as a pushed filter.  For timestamps, ``ts >= literal(ms)`` holds exactly when
-    ``epoch_ms(ts) >= ms`` because the conversion truncates.
+    Used to state a range predicate on the *stored* column so that the Parquet reader can skip row
+    groups: it does for integers and TIMESTAMP (microseconds).  It does not for TIMESTAMP_NTZ, nor for
+    INT96 files: there the filter is listed in the plan but every row group is read.  For timestamps,
+    ``ts >= literal(ms)`` holds exactly when ``epoch_ms(ts) >= ms`` because the conversion truncates.
     """
     if isinstance(dtype, _INTEGRAL):
         # a long literal: Catalyst unwraps the widening cast of a narrower column for pushdown,
@@ -167,38 +164,6 @@ def time_literal(ms: int, dtype: T.DataType) -> Column:
     raise TypeError(f"no time literal for a {dtype.simpleString()} column")
 
 
-def parse_time_col(text: Column) -> Column:
-    """E1 as a column: ``YYYY-mm-dd_HH:MM:SS?mmm`` text to epoch milliseconds (UTC, zone-free).
-
-    The head is parsed as TIMESTAMP_NTZ; the last three characters are the milliseconds and
-    are added as a number.  Text that does not parse raises, as a bad parameter does.
-    """
-    n = F.length(text)
-    head = F.substr(text, F.lit(1), n - 4)
-    parsed = F.to_timestamp_ntz(head, F.lit(SPARK_PARAM_LAYOUT))
-    millis = F.substr(text, n - 2, F.lit(3)).cast("int")
-    return floor_div(epoch_micros_ntz(parsed), 1000) + millis.cast("long")
-
-
-def format_time_col(ms: Column) -> Column:
-    """Epoch milliseconds as ``YYYY-mm-dd_HH:MM:SS.mmm`` text (UTC), from integer parts only so
-    that no session-zone conversion (and no DST gap) is involved."""
-    days = floor_div(ms, MS_PER_DAY)
-    rem = F.pmod(ms, F.lit(MS_PER_DAY))
-    date = F.date_add(F.lit("1970-01-01").cast("date"), days.cast("int")).cast("string")
-
-    def part(value: Column, width: int) -> Column:
-        return F.lpad(value.cast("string"), width, "0")
-
-    return F.concat(
-        date, F.lit("_"),
-        part(F.call_function("div", rem, F.lit(3_600_000)), 2), F.lit(":"),
-        part(F.pmod(F.call_function("div", rem, F.lit(60_000)), F.lit(60)), 2), F.lit(":"),
-        part(F.pmod(F.call_function("div", rem, F.lit(1_000)), F.lit(60)), 2), F.lit("."),
-        part(F.pmod(rem, F.lit(1_000)), 3),
-    )
-
-
 def bucket_start(t: Column, start: int, interval: int | float) -> Column:
     """Start of the fixed bucket holding ``t`` on a grid anchored at ``start``.
 
@@ -212,31 +177,21 @@ def bucket_start(t: Column, start: int, interval: int | float) -> Column:
     return (F.lit(float(start)) + k * F.lit(float(interval))).cast("long")
 
 
-def ceil_to_grid(t: Column, start: int, interval: int) -> Column:
-    """First grid point ``start + k * interval`` at or after ``t`` (any integer ``k``)."""
-    return t + F.pmod(F.lit(start) - t, F.lit(interval))
-
-
 def floor_to_grid(t: Column, start: int, interval: int) -> Column:
     """Last grid point at or before ``t``."""
     return t - F.pmod(t - F.lit(start), F.lit(interval))
 
 
-def end_of_day(t: Column) -> Column:
-    """23:59:59.999 of the UTC day holding ``t`` (epoch milliseconds)."""
-    return t - F.pmod(t, F.lit(MS_PER_DAY)) + F.lit(MS_PER_DAY - 1)
-
-
-# SQL-text forms of the grid expressions above, for wide projections written with selectExpr
-# (one parse instead of many column calls).  Numbers are parenthesised so negatives stay safe.
+# Grid and parameter expressions as SQL text, for wide projections written with selectExpr (one
+# parse instead of many column calls).  Numbers are parenthesised so negatives stay safe.
 
 def end_of_day_sql(t: str) -> str:
-    """:func:`end_of_day` as SQL text."""
+    """23:59:59.999 of the UTC day holding ``t`` (epoch milliseconds)."""
     return f"({t} - pmod({t}, {MS_PER_DAY}L) + {MS_PER_DAY - 1}L)"
 
 
 def ceil_to_grid_sql(t: str, start: int, interval: int) -> str:
-    """:func:`ceil_to_grid` as SQL text."""
+    """First grid point ``start + k * interval`` at or after ``t`` (any integer ``k``)."""
     return f"({t} + pmod(({start}L) - {t}, {interval}L))"
 
 
@@ -246,7 +201,8 @@ def floor_to_grid_sql(t: str, start: int, interval: int) -> str:
 
 
 def format_time_sql(ms: str) -> str:
-    """:func:`format_time_col` as SQL text (UTC, from integer parts only)."""
+    """Epoch milliseconds as ``YYYY-mm-dd_HH:MM:SS.mmm`` text (UTC), from integer parts only, so that no
+    session-zone conversion (and no DST gap) is involved."""
     rem = f"pmod({ms}, {MS_PER_DAY}L)"
     day = f"CAST(({ms} - {rem}) DIV {MS_PER_DAY}L AS INT)"
     return (
@@ -259,9 +215,11 @@ def format_time_sql(ms: str) -> str:
 
 
 def parse_time_sql(text: str) -> str:
-    """:func:`parse_time_col` as SQL text (zone-free)."""
+    """E1 as SQL text: ``YYYY-mm-dd_HH:MM:SS?mmm`` to epoch milliseconds (UTC, zone-free).  The last three
+    characters must be digits; text that does not parse raises, as a bad parameter does."""
     head = f"to_timestamp_ntz(substr({text}, 1, length({text}) - 4), '{SPARK_PARAM_LAYOUT}')"
-    return f"({epoch_ms_ntz_sql(head)} + CAST(substr({text}, length({text}) - 2, 3) AS BIGINT))"
+    millis = f"regexp_extract({text}, '.([0-9]{{3}})$', 1)"  # empty, and so an error, unless three digits
+    return f"({epoch_ms_ntz_sql(head)} + CAST({millis} AS BIGINT))"
 
 
 def epoch_ms_sql(name: str, dtype: T.DataType) -> str:

@@ -20,8 +20,10 @@ class CatalogError(RuntimeError):
 
 
 def contains_match(col: Column, pattern: str) -> Column:
-    """E5: case-insensitive contains-match; ``%`` and ``_`` in the pattern act as wildcards."""
-    return col.ilike(f"%{pattern or ''}%")
+    """E5: case-insensitive contains-match; ``%`` and ``_`` in the pattern act as wildcards, a
+    backslash stands for itself."""
+    escaped = (pattern or "").replace("\\", "\\\\")
+    return col.ilike(f"%{escaped}%")
 
 
 def latest_state(log: DataFrame, key: str | Sequence[str], order: Sequence[str], dropped: Column,
@@ -100,8 +102,9 @@ def parent_edges(datasets: DataFrame, lineage: DataFrame) -> DataFrame:
 def dataset_parents(datasets: DataFrame, lineage: DataFrame) -> DataFrame:
     """J3 + A4: for each feature set, its parent names (sorted) and their number.
 
-    The parents of one feature set are the inputs named in the run that produced it, a list
-    the user passed on the driver, so the per-set array is bounded by that list.
+    The array of one feature set is gathered in one task.  For sets made by a run it is as long as the
+    list of inputs the user named; for lineage from elsewhere use :func:`parent_edges`, the long form,
+    which gathers nothing.
     """
     names = datasets.select("id", "name")
     parents = lineage.join(names.withColumnRenamed("id", "right_ds_id").withColumnRenamed("name", "parent_name"),
@@ -129,6 +132,11 @@ def requested_names(spark: SparkSession, names: Iterable[str] | DataFrame) -> Da
     return spark.createDataFrame(rows, schema)
 
 
+def missing_inputs(datasets: DataFrame, names: DataFrame) -> DataFrame:
+    """The requested names (each once) that no dataset has."""
+    return names.select("name").distinct().join(datasets.select("name"), "name", "left_anti")
+
+
 def resolve_inputs(datasets: DataFrame, names: DataFrame, check: bool = True, unique: bool = False) -> DataFrame:
     """The dataset row for each requested name (``name``, ``id`` and any other columns).
 

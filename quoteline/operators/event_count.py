@@ -1,7 +1,7 @@
 """Event count: number of rows whose time falls in each fixed interval of ``[start, end)``.
 
-Plan: one scan with the range predicate pushed to Parquet on the stored column, a projection
-to the bucket start, and a partial + final hash aggregate on that single long key.  The shuffle
+Plan: one scan with the range predicate stated on the stored column (row groups are skipped for integer
+and TIMESTAMP columns; for TIMESTAMP_NTZ Spark's reader reads them all), a projection to the bucket start, and a partial + final hash aggregate on that single long key.  The shuffle
 carries at most one row per bucket per map task, whatever the skew of the input, so the job
 scales with the scan.  Empty buckets are absent (the result is sparse).
 """
@@ -25,7 +25,8 @@ def time_range(df: DataFrame, start, end, time_col: str = "created") -> DataFram
     """rows with ``start <= t < end``; ``t`` is ``time_col`` in epoch milliseconds.
 
     The predicate is stated on the stored column (a timestamp literal for timestamp columns,
-    exactly equivalent because the conversion truncates), so the scan can skip row groups.
+    exactly equivalent because the conversion truncates), so the scan can skip row groups where the
+    column is an integer or a TIMESTAMP.  Imported tables hold integers.
     """
     start_ms, end_ms, _ = validate_window(start, end, 1)
     dtype = df.schema[time_col].dataType

@@ -123,9 +123,8 @@ def grid_expand(df: DataFrame, start, end, interval) -> DataFrame:
     ``timestamp``.  Open orders are resolved first; all side codes are kept."""
     start_ms, end_ms, iv = validate_window(start, end, interval, integral=True)
     live = live_orders(df, start_ms, end_ms)
-    spread = (end_ms - start_ms) // iv > 4 * GRID_BLOCK
     bounded = with_grid_bounds(live, start_ms, end_ms, iv, lo="_grid_lo", hi="_grid_hi")
-    return explode_grid(bounded, "_grid_lo", "_grid_hi", iv, spread=spread).drop("_grid_lo", "_grid_hi")
+    return explode_grid(bounded, "_grid_lo", "_grid_hi", iv).drop("_grid_lo", "_grid_hi")
 
 
 def depth_by_price(df: DataFrame, start, end, interval, chunk_points: int = CHUNK_POINTS) -> DataFrame:
@@ -226,19 +225,6 @@ def depth_by_price(df: DataFrame, start, end, interval, chunk_points: int = CHUN
     )
 
 
-def depth_by_price_naive(df: DataFrame, start, end, interval) -> DataFrame:
-    """A2 the direct way (pre-aggregate by lifetime bounds, explode, sum); kept as a second
-    formulation for tests and for measurements against :func:`depth_by_price`."""
-    start_ms, end_ms, iv = validate_window(start, end, interval, integral=True)
-    orders = with_grid_bounds(book_orders(df, start_ms, end_ms), start_ms, end_ms, iv)
-    spans = orders.groupBy("side", "price", "lo", "hi").agg(F.sum(F.col("quantity").cast("long")).alias("q"))
-    return (
-        explode_grid(spans, "lo", "hi", iv)
-        .groupBy("timestamp", "side", "price")
-        .agg(F.sum("q").alias("quantity"))
-    )
-
-
 def _levels(side: Column | None = None) -> Column:
     # sort_array (no comparator lambda, so no interpreted fallback); collect_list drops nulls,
     # so every element is a (price, quantity) struct and the order is price, then quantity

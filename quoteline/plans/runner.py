@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.paths import join_path
 from ..operators.catalog import CatalogError
 from ..sources.registry import Catalog
-from ..sources.sinks import save_features
+from ..sources.sinks import parent_dataset_names, save_features
 from .modules import BUILTIN_MODULES
 
 Module = Callable[[SparkSession, Mapping[str, DataFrame], Mapping], DataFrame]
@@ -46,16 +46,17 @@ def open_inputs(spark: SparkSession, catalog: Catalog, inputs: Sequence[str]) ->
     The list of names is the user's (driver-side, short); their catalogue rows are fetched in
     one query.  Every unknown name is reported.
     """
-    rows = catalog.lookup(inputs)
+    return _open(spark, catalog.lookup(inputs), inputs)
+
+
+def _open(spark: SparkSession, rows: Mapping, inputs: Sequence[str]) -> dict[str, DataFrame]:
     return {n: spark.read.format(rows[n]["fileformat"] or "parquet").load(rows[n]["filepath"]) for n in inputs}
 
 
 def sql_over(spark: SparkSession, frames: Mapping[str, DataFrame], text: str, args: Mapping | None = None) -> DataFrame:
-    """S2 + F4: register each DataFrame as a temporary view under its key, then run ``text``
-    with named parameters (``:name``) bound by Spark, never spliced into the text."""
-    for view, df in frames.items():
-        df.createOrReplaceTempView(view)
-    return spark.sql(text, args=dict(args or {}))
+    """S2 + F4: run ``text`` over the DataFrames, each written as ``{key}`` in the text, with named
+    parameters (``:name``) bound by Spark, never spliced in.  No view of the session is touched."""
+    return spark.sql(text, args=dict(args or {}), **frames)
 
 
 def test_analysis(spark: SparkSession, module: Module | str, params: Mapping,
@@ -65,7 +66,7 @@ def test_analysis(spark: SparkSession, module: Module | str, params: Mapping,
     ``inputs`` are DataFrames by name, or dataset names resolved through ``catalog``.
     """
     if module is None or params is None or not inputs:
-        raise CatalogError("module, params and inputs are necessary")
+        raise CatalogError("a dry run needs a module, its parameters and at least one input")
     if not isinstance(inputs, Mapping):
         if catalog is None:
             raise CatalogError("dataset names as inputs need a catalogue")
@@ -84,17 +85,18 @@ def run_analysis(spark: SparkSession, catalog: Catalog, module_name: str | None
     ``<catalogue root>/features``), and the saved data is returned.
     """
     if not module_name or params is None or not inputs:
-        raise CatalogError("Modulename, params and inputs are necessary")
-    module = catalog.module(module_name)
-    if module is None:
-        raise CatalogError("Analysis module not found")
-    frames = open_inputs(spark, catalog, inputs)
+        raise CatalogError("a run needs a module name, its parameters and at least one input dataset")
+    new_name = (save or {}).get("name")
+    # one catalogue query for the module, the inputs, the parents and the new name
+    known = catalog.known([*inputs, *parent_dataset_names(inputs), new_name or ""], [module_name])
+    module = known.module(module_name)
+    frames = _open(spark, known.inputs(inputs), inputs)
     result = test_analysis(spark, module["entrypoint"], params, frames)
     if save is None:
         return result
-    if not save.get("name"):
+    if not new_name:
         raise CatalogError("saving a feature set needs a name")
     target_dir = save.get("target_dir") or join_path(catalog.root, "features")
     path = save_features(catalog, result, target_dir, save["name"], module_name, dict(params), list(inputs),
-                         save.get("description", ""), save.get("details", ""))
+                         save.get("description", ""), save.get("details", ""), known=known)
     return spark.read.parquet(path)

@@ -7,6 +7,7 @@ tests, the bench and command-line use.  On a cluster the caller's session is use
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -61,8 +62,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared file system folder and is read, never changed.
-    Only when it is unset (local tests) is a fresh folder created and registered.
+    On a cluster this setting names a shared file system folder and is read, never changed; where it
+    is unset there, that is an error, because executors do not share the driver's disk.  Only a local
+    session without it (tests) gets a fresh folder.
     """
     try:
         sc = spark.sparkContext
@@ -72,12 +74,12 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if current:
             return current.rstrip("/")
-        local = tempfile.mkdtemp(prefix="quoteline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", local)
-        return local
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
         return current.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="quoteline-ckpt-")
     sc.setCheckpointDir(local)
     return (sc.getCheckpointDir() or local).rstrip("/")

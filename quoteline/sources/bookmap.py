@@ -30,17 +30,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _lines(spark: SparkSession, sf_dir: str, flag: str | None = None) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str, flags: tuple[str, ...] = (), until: int | None = None) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"
     )
-    if flag is not None:
-        li = li.where(F.col("l_returnflag") == F.lit(flag))
+    if flags:
+        li = li.where(F.col("l_returnflag").isin(*flags))
     # The order date is converted on the orders side, before the join: predicates that later
     # reach the join condition then refer to one column instead of repeating the conversion.
     od = table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey", "o_custkey", f"{epoch_ms_ntz_sql('o_orderdate')} AS o_orderdate_ms"
     )
+    if until is not None:  # an order line is created after its order: bound the join's input
+        od = od.where(f"o_orderdate_ms <= {int(until)}L")
     return li.join(od, li["l_orderkey"] == od["o_orderkey"])
 
 
@@ -62,10 +64,10 @@ def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.selectExpr(*[f"{expr} AS {name}" for name, expr in columns.items()])
 
 
-def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_raw(spark: SparkSession, sf_dir: str, flags: tuple[str, ...] = (), until: int | None = None) -> DataFrame:
     """ORDERS rows before ``conform``."""
     c = _COMMON
-    return _select(_lines(spark, sf_dir), {
+    return _select(_lines(spark, sf_dir, flags, until), {
         "id": c["id"],
         "ref": "l_suppkey",
         "ob_id": c["ob_id"],
@@ -87,10 +89,16 @@ def book_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(orders_raw(spark, sf_dir), ORDERS_SCHEMA)
 
 
+def curve_orders(spark: SparkSession, sf_dir: str, end: int) -> DataFrame:
+    """ORDERS that a curve up to ``end`` can use: the two sides (a filter that reaches the scan of
+    ``lineitem``) and orders dated up to ``end`` (before the join)."""
+    return conform(orders_raw(spark, sf_dir, tuple(SIDE_OF_FLAG), end), ORDERS_SCHEMA)
+
+
 def book_cancels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CANCELS with the fixed schema: the lines with return flag R."""
     c = _COMMON
-    return conform(_select(_lines(spark, sf_dir, flag="R"), {
+    return conform(_select(_lines(spark, sf_dir, flags=("R",)), {
         "id": c["id"], "past_id": c["past_id"], "new_id": c["new_id"], "ob_id": c["ob_id"],
         "timestamp": epoch_ms_ntz_sql("l_shipdate"),
         "side": c["side"], "price": c["price"], "quantity": c["quantity"],
@@ -100,7 +108,7 @@ def book_cancels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def book_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TRADES with the fixed schema: the lines with return flag A."""
     c = _COMMON
-    return conform(_select(_lines(spark, sf_dir, flag="A"), {
+    return conform(_select(_lines(spark, sf_dir, flags=("A",)), {
         "id": c["id"], "ref": "l_suppkey", "o_id": "l_orderkey", "ob_id": c["ob_id"],
         "timestamp": epoch_ms_ntz_sql("l_shipdate"),
         "side": c["side"], "quantity": c["quantity"], "price": c["price"],

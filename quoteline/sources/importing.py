@@ -5,24 +5,29 @@ A source is a folder ``.../<identifier>.<ext>`` holding one sub-folder per table
 partition folders).  Spark lists the files and splits them into tasks; the fixed schema is
 applied by ``conform``.  Each (source, table) becomes one dataset ``<identifier>_<TABLE>``.
 
-All names are derived and checked before the first write, so a bad path or a taken name stops
-the import before anything is written.
+An import is all or nothing.  Every name is derived and checked, and every (source, table) is opened
+and checked against its schema, before the first write.  Data goes to a folder of its own for each
+import (``<target>/import-<id>``) and all datasets are recorded in one append after the last
+write, so what a failed attempt has written is never read, and a retry starts anew.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.paths import BOOK_TABLES, dataset_name, identifier_col, identifier_of, join_path
 from ..operators.catalog import CatalogError
 from .registry import Catalog
 from .schemas import TABLE_SCHEMAS, TIME_COLUMNS, conform
-from .sinks import SinkError, save_dataset
+from .sinks import SinkError
 
-# Formats without a stored schema: read with the table's fixed schema given up front.
+# Formats without a stored schema: read with the table's columns given up front.
 _TEXT_FORMATS = {"csv", "json"}
 
 
@@ -33,28 +38,26 @@ def _table_name(table: str) -> str:
     return name
 
 
+def _reader(spark: SparkSession, table: str, fmt: str, options: Mapping[str, str] | None):
+    # Per-day files may sit in per-day folders of any name, so the listing is recursive.
+    opts = {"recursiveFileLookup": "true", **dict(options or {})}
+    if fmt not in _TEXT_FORMATS:
+        return spark.read.format(fmt).options(**opts)
+    # Text: no inference pass, and a value that is no number fails the import instead of becoming
+    # null.  Columns are read as bigint, so that the cast to int reports an overflow.
+    wide = T.StructType([T.StructField(f.name, T.LongType(), True) for f in TABLE_SCHEMAS[table].fields])
+    return spark.read.format(fmt).options(**{"mode": "FAILFAST", **opts}).schema(wide)
+
+
 def read_book_table(spark: SparkSession, source: str, table: str, fmt: str = "parquet",
                     options: Mapping[str, str] | None = None) -> DataFrame:
     """All per-day files of one table of one source, with the table's fixed schema.
 
-    Text formats are read with the schema given up front (no inference pass); self-describing
-    formats are read as stored and then cast.
+    Self-describing formats are read as stored and then cast.  In text formats a malformed value or
+    an int overflow raises when the data is read (``options={"mode": ...}`` overrides the first).
     """
     table = _table_name(table)
-    schema = TABLE_SCHEMAS[table]
-    # Per-day files may sit in per-day folders of any name, so the listing is recursive.
-    opts = {"recursiveFileLookup": "true", **dict(options or {})}
-    reader = spark.read.format(fmt).options(**opts)
-    if fmt in _TEXT_FORMATS:
-        reader = reader.schema(schema)
-    return conform(reader.load(join_path(source, table)), schema)
-
-
-def _time_sorted(df: DataFrame, table: str, *leading: str) -> DataFrame:
-    """Sort each task's rows by the table's time column before writing (a local sort, no
-    shuffle): the Parquet min/max statistics of every row group then cover a narrow time span,
-    so the range predicates of event counts and curves skip most row groups."""
-    return df.sortWithinPartitions(*leading, TIME_COLUMNS[table.upper()])
+    return conform(_reader(spark, table, fmt, options).load(join_path(source, table)), TABLE_SCHEMAS[table])
 
 
 def read_book_tables(spark: SparkSession, sources: Sequence[str], table: str, fmt: str = "parquet",
@@ -62,85 +65,95 @@ def read_book_tables(spark: SparkSession, sources: Sequence[str], table: str, fm
     """One table of many sources in one scan, with an ``identifier`` column taken from each
     row's file path (the source folder's word before its extension)."""
     table = _table_name(table)
-    schema = TABLE_SCHEMAS[table]
-    opts = {"recursiveFileLookup": "true", **dict(options or {})}
-    reader = spark.read.format(fmt).options(**opts)
-    if fmt in _TEXT_FORMATS:
-        reader = reader.schema(schema)
-    raw = reader.load([join_path(src, table) for src in sources])
+    raw = _reader(spark, table, fmt, options).load([join_path(src, table) for src in sources])
     source_dir = F.regexp_extract(F.input_file_name(), rf"^(.*)/{table}/", 1)
-    return conform(raw, schema).withColumn("identifier", identifier_col(source_dir))
+    return conform(raw, TABLE_SCHEMAS[table]).withColumn("identifier", identifier_col(source_dir))
+
+
+def _checked(spark: SparkSession, sources: Sequence[str], tables: Sequence[str], fmt: str, options) -> None:
+    """Open every (source, table): a missing folder or column is reported before anything is written.
+    Only listings and footers are read, several at a time."""
+    def open_one(pair):
+        source, table = pair
+        try:
+            read_book_table(spark, source, table, fmt, options)
+        except Exception as exc:
+            return f"{join_path(source, table)}: {exc}"
+
+    with ThreadPoolExecutor(8) as pool:
+        bad = [e for e in pool.map(open_one, [(s, t) for s in sources for t in tables]) if e]
+    if bad:
+        raise CatalogError("cannot read " + "; ".join(bad))
+
+
+def _write(df: DataFrame, folder: str, by_identifier: bool) -> None:
+    writer = df.write.mode("errorifexists")
+    try:
+        (writer.partitionBy("identifier") if by_identifier else writer).parquet(folder)
+    except Exception as exc:
+        raise SinkError(f"cannot write {folder}: {exc}") from exc
 
 
-def import_dataset(spark: SparkSession, catalog: Catalog, paths: Sequence[str], target_dir: str,
+def import_dataset(spark: SparkSession, catalog: Catalog, paths: Sequence[str], target_dir: str | None = None,
                    description: str = "", details: str = "", fmt: str = "parquet",
                    tables: Sequence[str] = BOOK_TABLES, partitions: int | None = None,
-                   options: Mapping[str, str] | None = None, layout: str = "by_source") -> dict[str, str]:
+                   options: Mapping[str, str] | None = None, layout: str = "partitioned") -> dict[str, str]:
     """Import every table of every source; returns ``{dataset name: path}``.
 
-    ``layout="by_source"`` writes ``<target>/<identifier>/<identifier>_<TABLE>.parquet``, one
-    job per (source, table).  ``layout="partitioned"`` runs one job per table for all sources
-    together and writes ``<target>/<TABLE>/identifier=<identifier>``, each folder being one
-    dataset; use it for many sources.  ``partitions`` repartitions before writing (the import
-    parallelism setting); by default the file splits decide.
+    ``layout="partitioned"`` runs one job per table for all sources together and writes
+    ``<target>/import-<id>/<TABLE>/identifier=<identifier>``, each folder being one dataset.
+    ``layout="by_source"`` writes ``<target>/import-<id>/<identifier>/<identifier>_<TABLE>.parquet``,
+    one job per (source, table).  ``partitions`` deals the rows evenly over that many tasks before
+    writing, whatever the sources' sizes; by default the file splits decide.  Without ``target_dir``
+    the data goes under ``<catalogue root>/files``.  Every failure is a :class:`CatalogError`, after
+    which nothing is recorded.
     """
-    if layout == "partitioned":
-        return _import_partitioned(spark, catalog, paths, target_dir, description, details, fmt, tables,
-                                   partitions, options)
-    if layout != "by_source":
+    if layout not in ("partitioned", "by_source"):
         raise ValueError(f"unknown layout {layout!r}")
     if not paths:
-        raise CatalogError("Please ensure paths is not None or empty")
-    if not target_dir:
-        raise CatalogError("a target folder is required")
-    plan = []
-    for source in paths:
-        ident = identifier_of(source.rstrip("/"))
-        plan.extend((source, table, dataset_name(ident, table)) for table in tables)
-    if len({name for _, _, name in plan}) != len(plan):
+        raise CatalogError("an import needs at least one source path")
+    sources = [p.rstrip("/") for p in paths]
+    names = list(dict.fromkeys(_table_name(t) for t in tables))
+    ident_of = {s: identifier_of(s) for s in sources}
+    if len(set(ident_of.values())) != len(paths):
         raise CatalogError("two sources share an identifier")
-    catalog.check_new_datasets([name for _, _, name in plan])
-    out = {}
-    for source, table, name in plan:
-        df = read_book_table(spark, source, table, fmt, options)
-        if partitions:
-            df = df.repartition(int(partitions))
-        df = _time_sorted(df, table)
-        out[name] = save_dataset(catalog, df, target_dir, table, source.rstrip("/"), description, details)
-    return out
+    entries = [(s, t, dataset_name(ident_of[s], t)) for t in names for s in sources]
+    catalog.check_new_datasets([name for _, _, name in entries])
+    _checked(spark, sources, names, fmt, options)
 
+    root = join_path(target_dir or join_path(catalog.root, "files"), f"import-{uuid.uuid4().hex}")
+
+    def ready(df: DataFrame, table: str, *leading: str) -> DataFrame:
+        if partitions:  # round robin: no source, however large, lands in one task
+            df = df.repartition(int(partitions))
+        # a local sort (no shuffle): the row groups' time ranges stay narrow, so range predicates skip most
+        return df.sortWithinPartitions(*leading, TIME_COLUMNS[table])
 
-def _import_partitioned(spark, catalog, paths, target_dir, description, details, fmt, tables, partitions,
-                        options) -> dict[str, str]:
-    if not paths:
-        raise CatalogError("Please ensure paths is not None or empty")
-    if not target_dir:
-        raise CatalogError("a target folder is required")
-    sources = [p.rstrip("/") for p in paths]
-    idents = [identifier_of(p) for p in sources]
-    if len(set(idents)) != len(idents):
-        raise CatalogError("two sources share an identifier")
-    entries = [(t.upper(), i) for t in tables for i in idents]
-    catalog.check_new_datasets([dataset_name(i, t) for t, i in entries])
     out = {}
-    for table in dict.fromkeys(t for t, _ in entries):
-        df = read_book_tables(spark, sources, table, fmt, options)
-        if partitions:
-            df = df.repartition(int(partitions), "identifier")
-        df = _time_sorted(df, table, "identifier")
-        folder = join_path(target_dir, table)
-        try:
-            # append: earlier imports of other sources may share the table folder; the names
-            # checked above guarantee no identifier folder is written twice
-            df.write.mode("append").partitionBy("identifier").parquet(folder)
-        except Exception as exc:
-            raise SinkError(f"cannot write {folder}: {str(exc).splitlines()[0]}") from exc
-        for ident in idents:
-            out[dataset_name(ident, table)] = f"{folder}/identifier={ident}"
-    schema_of = {t: TABLE_SCHEMAS[t].json() for t, _ in entries}
+    if layout == "partitioned":
+        for table in names:
+            folder = join_path(root, table)
+            _write(ready(read_book_tables(spark, sources, table, fmt, options), table, "identifier"), folder, True)
+            out |= {dataset_name(i, table): f"{folder}/identifier={i}" for i in ident_of.values()}
+        out = _with_empty_sources(spark, out)
+    else:
+        for source, table, name in entries:
+            out[name] = join_path(root, ident_of[source], f"{name}.parquet")
+            _write(ready(read_book_table(spark, source, table, fmt, options), table), out[name], False)
     catalog.create_datasets([
-        dict(name=dataset_name(i, t), filepath=out[dataset_name(i, t)], schema=schema_of[t], identifier=i,
+        dict(name=name, filepath=out[name], schema=TABLE_SCHEMAS[table].json(), identifier=ident_of[source],
              description=description, details=details)
-        for t, i in entries
-    ])
+        for source, table, name in entries
+    ], checked=True)
     return out
+
+
+def _with_empty_sources(spark: SparkSession, written: dict[str, str]) -> dict[str, str]:
+    """A source without rows in a table has no partition folder: give its dataset an empty one."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    for name, path in written.items():
+        folder = fs_path(path)
+        if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            table = name.rsplit("_", 1)[1]
+            spark.createDataFrame([], TABLE_SCHEMAS[table]).write.parquet(path)
+    return written

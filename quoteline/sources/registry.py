@@ -40,6 +40,7 @@ def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+# The columns of the three catalogue tables (``op`` and ``seq`` are the log's own).
 ANALYSES_SCHEMA = _schema(
     ("id", _S), ("name", _S), ("description", _S), ("details", _S), ("filepath", _S), ("entrypoint", _S),
     ("created", _TS), ("user", _S), ("parameters", _S), ("inputs", _S), ("outputs", _S), ("op", _S), ("seq", _L),
@@ -140,12 +141,22 @@ class Catalog:
     def lookup(self, names: Iterable[str]) -> dict[str, Row]:
         """J5 for a user's list of names (driver-side, short): their current dataset rows in one
         query; every unknown name is reported."""
-        wanted = list(dict.fromkeys(str(n) for n in names))
-        rows = {r["name"]: r for r in self.datasets().where(F.col("name").isin(wanted)).collect()}
-        missing = [n for n in wanted if n not in rows]
-        if missing:
-            raise CatalogError(f"{len(missing)} input dataset(s) not found: {sorted(missing)[:20]}")
-        return rows
+        return self.known(list(names)).inputs(names)
+
+    def known(self, datasets: Iterable[str] = (), modules: Iterable[str] = ()) -> Known:
+        """Current rows of the given dataset and module names (driver-side, short lists), with one
+        query over both logs; the name predicates reach the Parquet scans."""
+        logs = []
+        for table, names in (("datasets", datasets), ("analyses", modules)):
+            wanted = list(dict.fromkeys(str(n) for n in names if n))
+            if wanted:
+                logs.append(self.log(table).where(F.col("name").isin(wanted)).withColumn("table", F.lit(table)))
+        state: dict[tuple[str, str], Row] = {}
+        if logs:
+            both = logs[0] if len(logs) == 1 else logs[0].unionByName(logs[1], allowMissingColumns=True)
+            for row in sorted(both.collect(), key=lambda r: (r["seq"], r["id"])):
+                state[row["table"], row["name"]] = row
+        return Known({k: r for k, r in state.items() if r["op"] != "drop"})
 
     def resolve(self, names: Iterable[str] | DataFrame) -> DataFrame:
         """J5 over the store for any number of names (a list or a DataFrame): one row per requested
@@ -170,7 +181,7 @@ class Catalog:
             raise CatalogError("every module needs a distinct name")
         taken = [r["name"] for r in self.analyses().where(F.col("name").isin(names)).select("name").collect()]
         if taken and not skip_existing:
-            raise CatalogError(f"Analysis {', '.join(sorted(taken))} already exists")
+            raise CatalogError(f"module name taken: {', '.join(sorted(taken))}")
         modules = [m for m in modules if m["name"] not in taken]
         if not modules:
             return []
@@ -181,16 +192,11 @@ class Catalog:
         self._append("analyses", rows)
         return [r["id"] for r in rows]
 
-    def module_names(self, names: Iterable[str]) -> set[str]:
-        """Which of ``names`` are current modules (one query)."""
-        names = list(names)
-        return {r["name"] for r in self.analyses().where(F.col("name").isin(names)).select("name").collect()}
-
     def drop_module(self, name: str) -> None:
         """Tombstone a module; an unknown name is an error."""
         row = self.module(name)
         if row is None:
-            raise CatalogError(f"Module {name} does not exist")
+            raise CatalogError(f"no module named {name!r}")
         self._append("analyses", [dict(row.asDict(), op="drop", seq=_seq())])
 
     def create_dataset(self, name: str, filepath: str, schema: str, identifier: str = "", description: str = "",
@@ -206,13 +212,14 @@ class Catalog:
         )])
         return did
 
-    def create_datasets(self, entries: list[dict]) -> list[str]:
-        """C1 for several datasets: one lookup and one append.  Each entry has ``name``,
-        ``filepath``, ``schema`` and optionally the other ``datasets`` columns."""
+    def create_datasets(self, entries: list[dict], checked: bool = False) -> list[str]:
+        """C1 for several datasets: one lookup (none if the names are ``checked``) and one append.
+        Each entry has ``name``, ``filepath``, ``schema`` and optionally the other ``datasets`` columns."""
         names = [e["name"] for e in entries]
         if not all(names) or len(set(names)) != len(names):
             raise CatalogError("every dataset needs a distinct name")
-        self.check_new_datasets(names)
+        if not checked:
+            self.check_new_datasets(names)
         seq, now, user = _seq(), _now(), _user()
         rows = [dict({"fileformat": "parquet", "identifier": "", "description": "", "details": "",
                       "module_id": None, "module_parameters": ""}, **e,
@@ -220,25 +227,50 @@ class Catalog:
         self._append("datasets", rows)
         return [r["id"] for r in rows]
 
+    def record_datasets(self, rows: DataFrame) -> None:
+        """C1 in bulk, for entries held in a DataFrame: ``name``, ``filepath`` and any other columns of
+        the ``datasets`` table; what is missing is null, a missing ``id`` is made from the name.  Names
+        must be new and distinct (checked by one aggregation); nothing is collected."""
+        have = {c: F.col(c) for c in rows.columns}
+        given = {"id": F.md5(F.col("name").cast("binary")), "fileformat": F.lit("parquet"), **have, "op": F.lit("put"),
+                 "seq": F.lit(_seq()), "created": F.lit(_now()), "user": F.lit(_user())}
+        entries = rows.select(*(given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in DATASETS_SCHEMA))
+        names = entries.select("name", F.lit(1).alias("n")).unionByName(self.datasets().select("name", F.lit(1).alias("n")))
+        twice = names.groupBy("name").agg(F.sum("n").alias("n")).where("n > 1 OR name IS NULL")
+        bad = twice.agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("name")).first()
+        if bad["n"]:
+            raise CatalogError(f"{bad['n']} dataset name(s) taken, given twice or null; the first: {bad['name']}")
+        entries.write.mode("append").parquet(self.path("datasets"))
+
+    def compact(self, root: str) -> Catalog:
+        """The current state in a new folder, one file a table: appends are one small file each, so a
+        long-lived catalogue is moved to a compacted one now and then (no file is changed in place)."""
+        new = Catalog(self.spark, root)
+        for table, rows in (("analyses", self.analyses()), ("datasets", self.datasets())):
+            rows.withColumns({"op": F.lit("put"), "seq": F.lit(_seq())}).select(*SCHEMAS[table].names) \
+                .coalesce(1).write.parquet(new.path(table))
+        self.lineage().withColumn("seq", F.lit(_seq())).coalesce(1).write.parquet(new.path("lineage"))
+        return new
+
     def check_new_datasets(self, names: Iterable[str]) -> None:
         """Every name must be free (one query for the whole list)."""
         names = list(names)
         taken = sorted(r["name"] for r in self.datasets().where(F.col("name").isin(names)).select("name").collect())
         if taken:
-            raise CatalogError(f"The dataset with name {', '.join(taken)} already exists")
+            raise CatalogError(f"dataset name taken: {', '.join(taken)}")
 
     def check_new_dataset(self, name: str) -> None:
         if not name:
             raise CatalogError("a dataset needs a name")
         if self.dataset(name) is not None:
-            raise CatalogError(f"The dataset with name {name} already exists")
+            raise CatalogError(f"dataset name taken: {name}")
 
     def create_featureset(self, name: str, module_name: str, filepath: str, schema: str,
                           module_parameters: Mapping | str = "", description: str = "", details: str = "") -> str:
         """Record a feature set made by ``module_name`` (which must exist)."""
         module = self.module(module_name)
         if module is None:
-            raise CatalogError("No Such Module")
+            raise CatalogError(f"no module named {module_name!r}")
         params = module_parameters if isinstance(module_parameters, str) else json.dumps(module_parameters)
         return self.create_dataset(name, filepath, schema, description=description, details=details,
                                    module_id=module["id"], module_parameters=params)
@@ -255,10 +287,38 @@ class Catalog:
         :meth:`lineage` because they are joined with the current datasets."""
         row = self.dataset(name)
         if row is None:
-            raise CatalogError(f"Dataset {name} does not exist")
+            raise CatalogError(f"no dataset named {name!r}")
         self._append("datasets", [dict(row.asDict(), op="drop", seq=_seq())])
 
 
+class Known:
+    """Current catalogue rows of a few names, fetched together (:meth:`Catalog.known`)."""
+
+    def __init__(self, state: Mapping[tuple[str, str], Row]):
+        self._state = state
+
+    def module(self, name: str) -> Row:
+        """The module row; an unknown name is an error."""
+        row = self._state.get(("analyses", name))
+        if row is None:
+            raise CatalogError(f"no module named {name!r}")
+        return row
+
+    def require_free(self, name: str) -> None:
+        if not name:
+            raise CatalogError("a dataset needs a name")
+        if ("datasets", name) in self._state:
+            raise CatalogError(f"dataset name taken: {name}")
+
+    def inputs(self, names: Iterable[str]) -> dict[str, Row]:
+        """Dataset rows by name; every unknown name is reported."""
+        wanted = list(dict.fromkeys(str(n) for n in names))
+        missing = [n for n in wanted if ("datasets", n) not in self._state]
+        if missing:
+            raise CatalogError(f"{len(missing)} input dataset(s) not found: {sorted(missing)}")
+        return {n: self._state["datasets", n] for n in wanted}
+
+
 def _now():
     import datetime as dt
 

@@ -1,4 +1,4 @@
-"""Fixed schemas of the order-book tables and of the results, plus ``conform``."""
+"""Fixed schemas of the order-book tables, plus ``conform``."""
 
 from __future__ import annotations
 
@@ -24,17 +24,6 @@ TABLE_SCHEMAS = {"ORDERS": ORDERS_SCHEMA, "CANCELS": CANCELS_SCHEMA, "TRADES": T
 # Time column of each table: imported files are sorted by it within each task.
 TIME_COLUMNS = {"ORDERS": "created", "CANCELS": "timestamp", "TRADES": "timestamp"}
 
-EVENT_COUNT_SCHEMA = T.StructType([
-    T.StructField("timestamp", T.LongType(), True),
-    T.StructField("count", T.LongType(), False),
-])
-
-LEVEL_TYPE = T.StructType([
-    T.StructField("price", T.IntegerType(), True),
-    T.StructField("quantity", T.LongType(), True),
-])
-CURVE_TYPE = T.ArrayType(LEVEL_TYPE, False)
-
 
 class SchemaError(ValueError):
     """Input columns missing or not castable to a fixed schema."""

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from ..functions.paths import base_name, dataset_name, identifier_of, join_path
 from ..operators.catalog import CatalogError
-from .registry import Catalog
+from .registry import Catalog, Known
 
 
 class SinkError(CatalogError):
@@ -26,7 +26,7 @@ def _write(df: DataFrame, path: str) -> None:
     try:
         df.write.mode("errorifexists").parquet(path)
     except Exception as exc:  # storage and analysis errors alike: report, record nothing
-        raise SinkError(f"cannot write {path}: {str(exc).splitlines()[0] if str(exc) else type(exc).__name__}") from exc
+        raise SinkError(f"cannot write {path}: {str(exc) or type(exc).__name__}") from exc
 
 
 def save_dataset(catalog: Catalog, df: DataFrame, target_dir: str, table: str, source_path: str,
@@ -43,8 +43,8 @@ def save_dataset(catalog: Catalog, df: DataFrame, target_dir: str, table: str, s
     path = join_path(target_dir, identifier, f"{name}.parquet")
     catalog.check_new_dataset(name)
     _write(df, path)
-    catalog.create_dataset(name, path, df.schema.json(), identifier=identifier, description=description,
-                           details=details)
+    catalog.create_datasets([dict(name=name, filepath=path, schema=df.schema.json(), identifier=identifier,
+                                  description=description, details=details)], checked=True)
     return path
 
 
@@ -56,24 +56,27 @@ def parent_dataset_names(inputs: Sequence[str]) -> list[str]:
 
 def save_features(catalog: Catalog, df: DataFrame, target_dir: str, name: str, module_name: str,
                   module_parameters: Mapping | str, inputs: Sequence[str], description: str = "",
-                  details: str = "") -> str:
+                  details: str = "", known: Known | None = None) -> str:
     """K2: write ``df`` as ``<target_dir>/<name>.parquet``, record it as a feature set of
     ``module_name`` with its parameters, and one lineage edge per parent input.
 
     The module and every parent must exist and the name must be new, all checked before the
-    write.  Returns the feature-set path.
+    write with one catalogue query (``known`` passes the rows of an earlier one on).  Returns the
+    feature-set path.
     """
     if not target_dir:
         raise CatalogError("a target folder is required")
-    if catalog.module(module_name) is None:
-        raise CatalogError("No Such Module")
-    catalog.check_new_dataset(name)
     parents = parent_dataset_names(inputs)
-    parent_ids = [r["id"] for r in catalog.lookup(parents).values()] if parents else []
+    if known is None:
+        known = catalog.known([name, *parents], [module_name])
+    module = known.module(module_name)
+    known.require_free(name)
+    parent_ids = [r["id"] for r in known.inputs(parents).values()]
     path = join_path(target_dir, f"{name}.parquet")
     _write(df, path)
     params = module_parameters if isinstance(module_parameters, str) else json.dumps(module_parameters, sort_keys=True)
-    fs_id = catalog.create_featureset(name, module_name, path, df.schema.json(), params,
-                                      description=description, details=details)
+    fs_id = catalog.create_datasets([dict(name=name, filepath=path, schema=df.schema.json(), description=description,
+                                          details=details, module_id=module["id"], module_parameters=params)],
+                                    checked=True)[0]
     catalog.create_relation(fs_id, parent_ids)
     return path

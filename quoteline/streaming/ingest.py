@@ -2,21 +2,34 @@
 
 The batch import (:mod:`quoteline.sources.importing`) reads a whole source once.  When per-day
 files keep arriving, the same conform step runs as a Structured Streaming query over the
-table's folder: the file source remembers which files it has read in the checkpoint, so each
-file is imported exactly once, and a lost executor only repeats its unfinished micro-batch.
-``available_now=True`` processes what is there and stops (a scheduled batch); otherwise the
-query keeps running and picks up new files every ``every``.
+table's folder: the file source remembers which files it has read in the checkpoint.  Each micro-batch
+is written to a folder of its own, ``<target>/batch=<number>``, which a repeated batch overwrites, so
+every file is imported exactly once and the target is an ordinary Parquet dataset (with the batch
+number as a partition column).  The target must be new or made by this query: a folder with other data
+is refused.  ``available_now=True`` processes what is there and stops (a scheduled batch); otherwise
+the query keeps running and picks up new files every ``every``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.paths import identifier_col, join_path
 from ..session import scratch_path
 from ..sources.schemas import TABLE_SCHEMAS, conform
+from ..sources.sinks import SinkError
+
+
+def _refuse_other_data(spark: SparkSession, target: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(folder):
+        other = [n for n in (s.getPath().getName() for s in fs.listStatus(folder))
+                 if not n.startswith(("batch=", "_", "."))]
+        if other:
+            raise SinkError(f"{target} holds data of another kind ({other[0]}); the ingest needs a folder of its own")
 
 
 def ingest_table(spark: SparkSession, source: str, table: str, target_path: str, checkpoint: str | None = None,
@@ -25,27 +38,38 @@ def ingest_table(spark: SparkSession, source: str, table: str, target_path: str,
     """Start the incremental import of ``<source>/<TABLE>`` into ``target_path``.
 
     ``source`` may be a glob over many sources (``/incoming/*.h5``); with ``by_identifier`` each
-    row gets its source's identifier and the output is partitioned by it
-    (``<target>/identifier=<id>``, the layout of the partitioned batch import), so one query
-    serves every source.  ``checkpoint`` must be a shared folder; by default a new folder under
-    the session's ``spark.checkpoint.dir``.
+    row gets its source's identifier and every batch is partitioned by it, so one query serves
+    every source.  A file without one of the table's columns stops the query with a ``SchemaError``.
+    ``checkpoint`` must be a shared folder; by default a new folder under the session's
+    ``spark.checkpoint.dir``.
     """
     table = table.upper()
     schema = TABLE_SCHEMAS[table]
+    _refuse_other_data(spark, target_path)
     # Per-day files may sit in per-day folders of any name, so the listing is recursive.
     reader = spark.readStream.schema(schema).format(fmt).option("recursiveFileLookup", "true")
+    if fmt in ("csv", "json"):
+        reader = reader.option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     typed = conform(reader.load(join_path(source, table)), schema)
     if by_identifier:
         source_dir = F.regexp_extract(F.input_file_name(), rf"^(.*)/{table}/", 1)
         typed = typed.withColumn("identifier", identifier_col(source_dir))
-    writer = (
-        typed.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint or scratch_path(spark, f"ingest-{table.lower()}"))
-    )
-    if by_identifier:
-        writer = writer.partitionBy("identifier")
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
-    return writer.start(target_path)
+
+    typed = typed.withColumn("_file", F.input_file_name())
+
+    def save(batch: DataFrame, number: int) -> None:
+        if fmt not in ("csv", "json"):  # the stream's schema is given, so each file's own one is checked here
+            for row in batch.select("_file").distinct().collect():  # the files of one micro-batch
+                conform(batch.sparkSession.read.format(fmt).load(row["_file"]), schema)
+        batch = batch.drop("_file")
+        writer = batch.write.mode("overwrite")
+        if by_identifier:
+            writer = writer.partitionBy("identifier")
+        writer.parquet(f"{target_path.rstrip('/')}/batch={number}")
+
+    query = typed.writeStream.foreachBatch(save).option(
+        "checkpointLocation", checkpoint or scratch_path(spark, f"ingest-{table.lower()}"))
+    query = query.trigger(availableNow=True) if available_now else query.trigger(processingTime=every)
+    return query.start()

@@ -144,3 +144,22 @@ def test_zone_aware_timestamp_input(spark, workdir):
     out = event_count(df, start, start + 7200000, 3600000, time_col="ts")
     assert _rows(out) == [(start, 2), (start + 3600000, 1)]
     assert "GreaterThanOrEqual(ts" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_range_skips_row_groups_of_integer_times(spark, workdir):
+    """Rows that leave the scan, against the table's rows, on a file of many row groups."""
+    from quoteline.operators.event_count import time_range
+
+    path = f"{workdir}/many-groups"
+    spark.range(200_000).selectExpr("id AS created").coalesce(1).write.option("parquet.block.size", 65_536) \
+        .option("parquet.page.row.count.limit", 2_000).parquet(path)
+    found = time_range(spark.read.parquet(path), 1000, 2000)
+    assert found.count() == 1000
+    plan = found._jdf.queryExecution().executedPlan()
+    assert "GreaterThanOrEqual(created,1000)" in plan.toString()
+    found.collect()
+    scan = found.select("created")
+    scan.collect()
+    leaves = scan._jdf.queryExecution().executedPlan().collectLeaves()
+    rows = leaves.apply(0).metrics().apply("numOutputRows").value()
+    assert rows < 100_000

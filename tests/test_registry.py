@@ -7,7 +7,8 @@ from quoteline.plans.runner import register_builtin_modules, run_analysis, test_
 from quoteline.functions.paths import PathNameError
 from quoteline.sources.importing import import_dataset
 from quoteline.sources.registry import Catalog
-from quoteline.sources.schemas import ORDERS_SCHEMA
+from quoteline.operators.catalog import CatalogError
+from quoteline.sources.schemas import CANCELS_SCHEMA, ORDERS_SCHEMA
 from quoteline.sources.sinks import save_dataset, save_features
 
 ORDERS = [
@@ -53,7 +54,8 @@ def test_import_run_and_save(spark, workdir, book_source):
     register_builtin_modules(catalog)
     written = import_dataset(spark, catalog, [book_source], f"{workdir}/files", "demo", "details")
     assert sorted(written) == ["AB00_CANCELS", "AB00_ORDERS", "AB00_TRADES"]
-    assert written["AB00_ORDERS"] == f"{workdir}/files/AB00/AB00_ORDERS.parquet"
+    assert written["AB00_ORDERS"].startswith(f"{workdir}/files/import-")
+    assert catalog.dataset("AB00_ORDERS")["filepath"] == written["AB00_ORDERS"]
     orders = spark.read.parquet(written["AB00_ORDERS"])
     assert orders.schema == ORDERS_SCHEMA and orders.count() == 3
     # each written file is sorted by time (row-group statistics stay narrow)
@@ -64,7 +66,7 @@ def test_import_run_and_save(spark, workdir, book_source):
         created = pq.read_table(f, columns=["created"]).column("created").to_pylist()
         assert created == sorted(created)
     # a second import of the same source is refused before anything is written
-    with pytest.raises(RuntimeError, match="already exists"):
+    with pytest.raises(RuntimeError, match="name taken"):
         import_dataset(spark, catalog, [book_source], f"{workdir}/files2")
     assert not os.path.exists(f"{workdir}/files2")
 
@@ -84,7 +86,7 @@ def test_import_run_and_save(spark, workdir, book_source):
     lineage = catalog.lineage().collect()
     assert [(r["left_fs_id"], r["right_ds_id"]) for r in lineage] == [(fs["id"], catalog.dataset("AB00_ORDERS")["id"])]
 
-    with pytest.raises(RuntimeError, match="already exists"):
+    with pytest.raises(RuntimeError, match="name taken"):
         run_analysis(spark, catalog, "EventCount", params, ["AB00_ORDERS"],
                      save={"target_dir": f"{workdir}/features", "name": "feat"})
     with pytest.raises(RuntimeError, match="needs a name"):
@@ -115,17 +117,17 @@ def test_import_run_and_save(spark, workdir, book_source):
 def test_run_errors(spark, workdir):
     catalog = Catalog(spark, f"{workdir}/catalog")
     register_builtin_modules(catalog)
-    catalog.create_dataset("existing_dataset", f"{workdir}/nowhere", "")
+    catalog.create_dataset("present", f"{workdir}/nowhere", "")
     params = {"start_time": 0, "end_time": 1, "interval": 1}
-    with pytest.raises(RuntimeError, match="not found"):
-        run_analysis(spark, catalog, "wrongmodule", params, ["existing_dataset"])
-    with pytest.raises(RuntimeError, match="dataset0"):
-        run_analysis(spark, catalog, "EventCount", params, ["dataset0", "dataset00"])
-    with pytest.raises(RuntimeError, match="dataset0"):
-        run_analysis(spark, catalog, "EventCount", params, ["existing_dataset", "dataset0"])
+    with pytest.raises(RuntimeError, match="no module named"):
+        run_analysis(spark, catalog, "unlisted", params, ["present"])
+    with pytest.raises(RuntimeError, match="absent_a"):
+        run_analysis(spark, catalog, "EventCount", params, ["absent_a", "absent_b"])
+    with pytest.raises(RuntimeError, match="absent_a"):
+        run_analysis(spark, catalog, "EventCount", params, ["present", "absent_a"])
     for args in ({}, {"module_name": "EventCount"}, {"module_name": "EventCount", "params": params},
-                 {"params": params, "inputs": ["existing_dataset"]},
-                 {"module_name": "EventCount", "inputs": ["existing_dataset"]}):
+                 {"params": params, "inputs": ["present"]},
+                 {"module_name": "EventCount", "inputs": ["present"]}):
         with pytest.raises(RuntimeError):
             run_analysis(spark, catalog, **args)
 
@@ -137,26 +139,26 @@ def test_sink_checks_leave_no_orphans(spark, workdir):
     path = save_dataset(catalog, df, f"{workdir}/files", "orders", "/path/to/file.h5", "d", "x")
     assert path == f"{workdir}/files/file/file_ORDERS.parquet"
     assert catalog.dataset("file_ORDERS")["identifier"] == "file"
-    with pytest.raises(RuntimeError, match="already exists"):
+    with pytest.raises(RuntimeError, match="name taken"):
         save_dataset(catalog, df, f"{workdir}/other", "orders", "/path/to/file.h5")
     with pytest.raises(PathNameError):
         save_dataset(catalog, df, f"{workdir}/other", "orders", "wrong/path/or/a-b.h5")
-    with pytest.raises(RuntimeError, match="No Such Module"):
-        save_features(catalog, df, f"{workdir}/other", "feat", "wrong_module", {}, ["file_ORDERS"])
+    with pytest.raises(RuntimeError, match="no module named"):
+        save_features(catalog, df, f"{workdir}/other", "feat", "unlisted", {}, ["file_ORDERS"])
     with pytest.raises(RuntimeError, match="not found"):
         save_features(catalog, df, f"{workdir}/other", "feat", "EventCount", {}, ["missing_parent"])
     assert not os.path.exists(f"{workdir}/other")
     # a target on an unknown file system (a wrong container) fails the write; nothing is recorded
     with pytest.raises(RuntimeError, match="cannot write"):
-        save_dataset(catalog, df, "nosuchfs://wrongContainer.Test", "orders", "/path/to/other.h5")
+        save_dataset(catalog, df, "nosuchfs://bucket", "orders", "/path/to/other.h5")
     assert catalog.dataset("other_ORDERS") is None
     with pytest.raises(RuntimeError, match="cannot write"):
-        save_features(catalog, df, "nosuchfs://wrongContainer.Test", "feat", "EventCount", {}, ["file_ORDERS"])
+        save_features(catalog, df, "nosuchfs://bucket", "feat", "EventCount", {}, ["file_ORDERS"])
     assert catalog.dataset("feat") is None
     # parents may be given as dataset paths: the base name is the dataset name
-    save_features(catalog, df, f"{workdir}/feats", "feat", "EventCount", [12345, 56789], [path])
+    save_features(catalog, df, f"{workdir}/feats", "feat", "EventCount", {"level": 3}, [path])
     assert catalog.lineage().count() == 1
-    with pytest.raises(RuntimeError, match="already exists"):
+    with pytest.raises(RuntimeError, match="name taken"):
         save_features(catalog, df, f"{workdir}/feats2", "feat", "EventCount", {}, [path])
 
 
@@ -175,7 +177,8 @@ def test_csv_source_uses_fixed_schema(spark, workdir):
     with open(f"{src}/ORDERS/2012-10-02/part.csv", "w") as fh:
         fh.write("1,1,1,1000,1250,66,10,5,0,,,1\n2,1,1,1050,0,83,11,7,0,,,1\n")
     catalog = Catalog(spark, f"{workdir}/catalog")
-    written = import_dataset(spark, catalog, [src], f"{workdir}/files", fmt="csv", tables=["ORDERS"])
+    written = import_dataset(spark, catalog, [src], f"{workdir}/files", fmt="csv", tables=["ORDERS"],
+                             layout="by_source")
     back = spark.read.parquet(written["CD01_ORDERS"])
     assert back.schema == ORDERS_SCHEMA
     assert sorted(tuple(r) for r in back.collect()) == [
@@ -191,10 +194,106 @@ def test_partitioned_import_of_many_sources(spark, workdir):
         sources.append(src)
     catalog = Catalog(spark, f"{workdir}/catalog")
     written = import_dataset(spark, catalog, sources, f"{workdir}/files", tables=["ORDERS"], layout="partitioned")
-    assert written == {"AB00_ORDERS": f"{workdir}/files/ORDERS/identifier=AB00",
-                       "CD01_ORDERS": f"{workdir}/files/ORDERS/identifier=CD01"}
+    assert sorted(written) == ["AB00_ORDERS", "CD01_ORDERS"]
+    assert all(p.endswith(f"/ORDERS/identifier={n[:4]}") for n, p in written.items())
     for name, n in (("AB00_ORDERS", 2), ("CD01_ORDERS", 3)):
         back = spark.read.parquet(catalog.dataset(name)["filepath"])
         assert back.schema == ORDERS_SCHEMA and back.count() == n
-    with pytest.raises(RuntimeError, match="already exists"):
+    with pytest.raises(RuntimeError, match="name taken"):
         import_dataset(spark, catalog, sources[:1], f"{workdir}/files", tables=["ORDERS"], layout="partitioned")
+
+
+def _book(spark, folder, rows, tables=("ORDERS", "CANCELS")):
+    spark.createDataFrame(rows, ORDERS_SCHEMA).write.parquet(f"{folder}/ORDERS/d")
+    if "CANCELS" in tables:
+        spark.createDataFrame([(1, None, None, 1, 1100, 66, 10, 5)], CANCELS_SCHEMA).write.parquet(f"{folder}/CANCELS/d")
+
+
+@pytest.mark.parametrize("layout", ["partitioned", "by_source"])
+def test_failed_import_leaves_nothing_and_can_be_retried(spark, workdir, layout):
+    src = f"{workdir}/in/EF02.h5"
+    _book(spark, src, ORDERS, tables=("ORDERS",))
+    catalog = Catalog(spark, f"{workdir}/catalog")
+    with pytest.raises(CatalogError, match="CANCELS"):
+        import_dataset(spark, catalog, [src], f"{workdir}/files", tables=["ORDERS", "CANCELS"], layout=layout)
+    assert catalog.datasets().count() == 0 and not os.path.exists(f"{workdir}/files")
+    spark.createDataFrame([(1, None, None, 1, 1100, 66, 10, 5)], CANCELS_SCHEMA).write.parquet(f"{src}/CANCELS/d")
+    import_dataset(spark, catalog, [src], tables=["ORDERS", "CANCELS"], layout=layout)  # the default target
+    row = catalog.dataset("EF02_ORDERS")
+    assert row["filepath"].startswith(f"{workdir}/catalog/files/import-")
+    assert spark.read.parquet(row["filepath"]).count() == len(ORDERS)
+
+
+def test_import_write_failure_records_nothing(spark, workdir):
+    src = f"{workdir}/in/EF02.h5"
+    _book(spark, src, ORDERS)
+    catalog = Catalog(spark, f"{workdir}/catalog")
+    with pytest.raises(CatalogError, match="cannot write"):
+        import_dataset(spark, catalog, [src], "nosuchfs://bucket", tables=["ORDERS"])
+    assert catalog.datasets().count() == 0
+
+
+def test_missing_columns_and_bad_text_fail_the_import(spark, workdir):
+    catalog = Catalog(spark, f"{workdir}/catalog")
+    spark.range(3).write.parquet(f"{workdir}/in/AA01.h5/ORDERS/d")
+    with pytest.raises(CatalogError, match="missing columns"):
+        import_dataset(spark, catalog, [f"{workdir}/in/AA01.h5"], tables=["ORDERS"])
+    for n, line in enumerate(("1,1,1,1000,1250,66,abc,5,0,,,1", "1,1,1,1000,1250,66,10,99999999999,0,,,1",
+                              "id,ref,ob_id,created,destroyed,side,price,quantity,is_round,past_id,new_id,p_id")):
+        src = f"{workdir}/in/BB0{n}.csv"
+        os.makedirs(f"{src}/ORDERS")
+        with open(f"{src}/ORDERS/part.csv", "w") as fh:
+            fh.write(line + "\n")
+        with pytest.raises(CatalogError):
+            import_dataset(spark, catalog, [src], fmt="csv", tables=["ORDERS"])
+    assert catalog.datasets().count() == 0
+
+
+def test_import_deals_a_large_source_over_tasks(spark, workdir):
+    import glob
+
+    src = f"{workdir}/in/HOT1.h5"
+    rows = [(k, 1, 1, 1000 + k, 0, 66, 10, 5, 0, None, None, 1) for k in range(4000)]
+    spark.createDataFrame(rows, ORDERS_SCHEMA).coalesce(1).write.parquet(f"{src}/ORDERS/d")
+    catalog = Catalog(spark, f"{workdir}/catalog")
+    path = import_dataset(spark, catalog, [src], tables=["ORDERS"], partitions=4)["HOT1_ORDERS"]
+    assert len(glob.glob(f"{path}/*.parquet")) == 4 and spark.read.parquet(path).count() == 4000
+
+
+def test_every_missing_name_is_reported(spark, workdir):
+    catalog = Catalog(spark, f"{workdir}/catalog")
+    names = [f"nowhere_{i:02d}" for i in range(30)]
+    with pytest.raises(CatalogError) as caught:
+        catalog.lookup(names)
+    assert all(n in str(caught.value) for n in names)
+
+
+def test_bulk_record_and_compaction(spark, workdir):
+    catalog = Catalog(spark, f"{workdir}/catalog")
+    rows = spark.createDataFrame([("x1", "p/1"), ("x2", "p/2")], "name string, filepath string")
+    catalog.record_datasets(rows)
+    with pytest.raises(CatalogError, match="x1"):
+        catalog.record_datasets(rows.limit(1))
+    with pytest.raises(CatalogError):
+        catalog.record_datasets(spark.createDataFrame([("y", "a"), ("y", "b")], "name string, filepath string"))
+    catalog.drop_dataset("x2")
+    moved = catalog.compact(f"{workdir}/compacted")
+    assert [r["name"] for r in moved.list_datasets().collect()] == ["x1"]
+    moved.create_dataset("x2", "p/3", "")
+    assert moved.dataset("x2")["filepath"] == "p/3"
+
+
+def test_search_treats_a_backslash_as_itself(spark):
+    from quoteline.operators.catalog import search_modules
+
+    names = spark.createDataFrame([("a\\b",), ("ab",), ("A\\Bc",)], "name string")
+    assert sorted(r["name"] for r in search_modules(names, "a\\b").collect()) == ["A\\Bc", "a\\b"]
+
+
+def test_sql_over_leaves_no_view(spark):
+    from quoteline.plans.runner import sql_over
+
+    spark.range(3).createOrReplaceTempView("ORDERS")
+    got = sql_over(spark, {"ORDERS": spark.range(10)}, "SELECT count(*) AS n FROM {ORDERS} WHERE id >= :low", {"low": 4})
+    assert got.first()["n"] == 6 and spark.table("ORDERS").count() == 3
+    spark.catalog.dropTempView("ORDERS")

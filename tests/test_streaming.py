@@ -1,4 +1,7 @@
+import pytest
+
 from quoteline.sources.schemas import ORDERS_SCHEMA
+from quoteline.sources.sinks import SinkError
 from quoteline.streaming.ingest import ingest_table
 
 ROW = (1, 1, 1, 1000, 1250, 66, 10, 5, 0, None, None, 1)
@@ -7,14 +10,12 @@ ROW = (1, 1, 1, 1000, 1250, 66, 10, 5, 0, None, None, 1)
 def test_incremental_import_reads_each_file_once(spark, workdir):
     src, out, ckpt = f"{workdir}/AB00.h5", f"{workdir}/AB00_ORDERS.parquet", f"{workdir}/ckpt"
     spark.createDataFrame([ROW], ORDERS_SCHEMA).write.parquet(f"{src}/ORDERS/day1")
-    q = ingest_table(spark, src, "orders", out, checkpoint=ckpt)
-    q.awaitTermination(120)
+    ingest_table(spark, src, "orders", out, checkpoint=ckpt).awaitTermination(120)
     assert spark.read.parquet(out).count() == 1
     # a new day arrives; the restarted query picks up only the new file
     spark.createDataFrame([ROW, ROW], ORDERS_SCHEMA).write.parquet(f"{src}/ORDERS/day2")
-    q = ingest_table(spark, src, "orders", out, checkpoint=ckpt)
-    q.awaitTermination(120)
-    back = spark.read.parquet(out)
+    ingest_table(spark, src, "orders", out, checkpoint=ckpt).awaitTermination(120)
+    back = spark.read.parquet(out).drop("batch")
     assert back.count() == 3
     assert back.schema == ORDERS_SCHEMA
 
@@ -23,13 +24,22 @@ def test_many_sources_by_identifier(spark, workdir):
     out, ckpt = f"{workdir}/ORDERS", f"{workdir}/ckpt-many"
     spark.createDataFrame([ROW], ORDERS_SCHEMA).write.parquet(f"{workdir}/in/AB00.h5/ORDERS/day1")
     spark.createDataFrame([ROW, ROW], ORDERS_SCHEMA).write.parquet(f"{workdir}/in/CD01.h5/ORDERS/day1")
-    q = ingest_table(spark, f"{workdir}/in/*.h5", "orders", out, checkpoint=ckpt, by_identifier=True)
-    q.awaitTermination(120)
-    assert spark.read.parquet(f"{out}/identifier=AB00").count() == 1
-    assert spark.read.parquet(f"{out}/identifier=CD01").count() == 2
-    spark.createDataFrame([ROW], ORDERS_SCHEMA).write.parquet(f"{workdir}/in/AB00.h5/ORDERS/day2")
-    q = ingest_table(spark, f"{workdir}/in/*.h5", "orders", out, checkpoint=ckpt, by_identifier=True)
-    q.awaitTermination(120)
-    counts = {r["identifier"]: r["count"] for r in spark.read.parquet(out).groupBy("identifier").count().collect()}
+    for _ in range(2):
+        ingest_table(spark, f"{workdir}/in/*.h5", "orders", out, checkpoint=ckpt, by_identifier=True).awaitTermination(120)
+        counts = {r["identifier"]: r["count"] for r in spark.read.parquet(out).groupBy("identifier").count().collect()}
+        spark.createDataFrame([ROW], ORDERS_SCHEMA).write.mode("append").parquet(f"{workdir}/in/AB00.h5/ORDERS/day2")
     assert counts == {"AB00": 2, "CD01": 2}
-    assert spark.read.parquet(f"{out}/identifier=AB00").schema == ORDERS_SCHEMA
+
+
+def test_ingest_refuses_a_folder_with_other_data(spark, workdir):
+    spark.createDataFrame([ROW], ORDERS_SCHEMA).write.parquet(f"{workdir}/files/identifier=AB00")
+    spark.createDataFrame([ROW], ORDERS_SCHEMA).write.parquet(f"{workdir}/AB00.h5/ORDERS/day1")
+    with pytest.raises(SinkError, match="identifier=AB00"):
+        ingest_table(spark, f"{workdir}/AB00.h5", "orders", f"{workdir}/files")
+
+
+def test_file_without_a_column_stops_the_ingest(spark, workdir):
+    spark.createDataFrame([ROW], ORDERS_SCHEMA).drop("price").write.parquet(f"{workdir}/AB00.h5/ORDERS/day1")
+    query = ingest_table(spark, f"{workdir}/AB00.h5", "orders", f"{workdir}/out")
+    with pytest.raises(Exception, match="missing columns"):
+        query.awaitTermination(120)
