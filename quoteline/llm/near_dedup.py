@@ -209,7 +209,7 @@ def _sign(source: DataFrame, idf, shingle: int) -> DataFrame:
                 doc, hashes, tf = shingles(texts[a:b], shingle)
                 w = weights(hashes, tf, table)
                 samples = signatures(doc, hashes, w, b - a, BINS)
-                total = np.bincount(doc, weights=w, minlength=b - a)
+                total = np.bincount(doc, weights=w, minlength=b - a).astype(np.float64)
                 keys = band_keys(samples[:, : ROWS * BANDS], ROWS)
                 packed = (samples >> np.uint64(56)).astype(np.uint8).view("<i8")
                 yield pa.RecordBatch.from_arrays(
