@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +28,20 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def release() -> None:
+    """Give memory that a worker has freed back to the system.  Workers live on after a task, and the allocators
+    of C and Arrow keep what was freed; with many stages one after the other that adds up."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, with :func:`release` once they are over."""
+    yield from batches
+    release()
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder (``spark.checkpoint.dir``) and read back: its lineage is
     cut, and the loss of an executor afterwards costs nothing."""
@@ -33,9 +50,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def importable(spark: SparkSession) -> None:
-    """Let local Python workers import this package from where it lies.  On a cluster it is installed on
+    """Prepare a session: Arrow batches of 2,000 rows, unless it has a number of its own, and local Python
+    workers that import this package from where it lies.  On a cluster it is installed on
     the nodes or shipped with ``--py-files``; a folder that is not there does no harm."""
+    if spark.conf.get(_BATCH_ROWS, "10000") == "10000":  # the default: whole texts make such batches large
+        spark.conf.set(_BATCH_ROWS, "2000")
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import released, stored
 
 # Fixed by the definition of a word: digits, letters a to z and every byte above 7F; A-Z are lowered.
 _TABLE = bytes(
@@ -112,7 +112,7 @@ def _scan_block(docs: DataFrame, items: list[tuple], window: int) -> DataFrame:
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _built(shared)
-        for batch in batches:
+        for batch in released(batches):
             rows = [scan(t, automaton) for t in batch.column(1).to_pylist()]
             spans = [[{"start": a, "end": b} for a, b in r[3]] for r in rows]
             yield pa.RecordBatch.from_arrays(
@@ -126,7 +126,7 @@ def _scan_block(docs: DataFrame, items: list[tuple], window: int) -> DataFrame:
 
 def _spans_united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hits of several blocks of one row: spans merged, words counted in the text again."""
-    for batch in batches:
+    for batch in released(batches):
         rows = []
         for text, groups in zip(batch.column("text").to_pylist(), batch.column("groups").to_pylist(), strict=True):
             marks = sorted((s["start"], s["end"]) for g in groups or [] for s in g)
@@ -166,7 +166,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             automaton = _built(shared)
-            for batch in batches:
+            for batch in released(batches):
                 yield batch.filter(pa.array([not scan(t, automaton)[1] for t in batch.column(at).to_pylist()], pa.bool_()))
 
         return rows.mapInArrow(run, rows.schema)

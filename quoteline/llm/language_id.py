@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import released, slices
 
 PREDICTION_SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 _PAD = b"\n\n\n"  # context in front of a text
@@ -68,7 +68,7 @@ def is_held_out(id_col: str = "doc_id", folds: int = 3, fold: int = 1):
 
 def _context_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(language, three bytes and the next one as a number, how often) for each slice of texts."""
-    for batch in batches:
+    for batch in released(batches):
         langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for lang in sorted(set(langs)):
             own = [t for k, t in zip(langs, texts, strict=True) if k == lang]
@@ -181,7 +181,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
+        for batch in released(batches):
             found = predict_texts(own, batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([k for k, _ in found], pa.string()),
@@ -207,7 +207,7 @@ def keep_identified(docs: DataFrame, model: Model | None, min_score: float = 0.3
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in batches:
+        for batch in released(batches):
             found = predict_texts(own, batch.column(at).to_pylist())
             yield batch.filter(pa.array([k != "und" and p >= min_score for k, p in found], pa.bool_()))
 

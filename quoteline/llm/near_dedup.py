@@ -19,8 +19,8 @@ group is gathered in one task: pivots are minima (combined before the shuffle) a
 join that Spark may split.
 
 *Verification.*  A pair is compared in the first bucket that it shares.  If its total weights already exclude
-the threshold, or its samples agree in fewer than ``min_agree`` of the 128 bins (a pair at the threshold falls
-below that about once in 3,000 times), it is left out; all others are verified by the exact weighted Jaccard
+the threshold, or its 256 samples put it below ``min_agree`` (four bits of each are compared; a pair at the
+threshold falls below that about once in 2,000 times), it is left out; all others are verified by the exact weighted Jaccard
 similarity of their whole texts, bucket by bucket, a large bucket cut into blocks of bounded size.
 
 Edge cases: a text of fewer than five words is one shingle of all its words; texts without words (null,
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix, slices, stored, stored_and_measured
+from .common import mix, released, slices, stored, stored_and_measured
 from .words import sequence_hashes, signed, split_words
 
 CELLS = 1 << 20
@@ -162,7 +162,7 @@ def band_keys(samples: np.ndarray, rows: int) -> np.ndarray:
 
 # --- Spark ---------------------------------------------------------------------------------------
 
-BINS, ROWS, BANDS, MIN_AGREE = 128, 4, 16, 0.68
+BINS, ROWS, BANDS, MIN_AGREE = 256, 4, 16, 0.715
 _SLICES = 256
 _SIGNED = "row_id long, node binary, weight double, bands array<long>, samples array<long>"
 
@@ -173,7 +173,7 @@ def _document_frequencies(source: DataFrame, shingle: int) -> tuple[np.ndarray,
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows = np.zeros(CELLS, dtype=np.int64), 0
-        for batch in batches:
+        for batch in released(batches):
             texts = batch.column(0).to_pylist()
             rows += len(texts)
             for a, b in slices(texts, 2_000_000):
@@ -199,11 +199,11 @@ def _document_frequencies(source: DataFrame, shingle: int) -> tuple[np.ndarray,
 
 
 def _sign(source: DataFrame, idf, shingle: int) -> DataFrame:
-    """Per row its total weight, band keys and samples (8 bits each, 8 in a long)."""
+    """Per row its total weight, band keys and samples (four bits each, 16 in a long)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = idf.value
-        for batch in batches:
+        for batch in released(batches):
             texts = batch.column(2).to_pylist()
             for a, b in slices(texts, 1_000_000):
                 doc, hashes, tf = shingles(texts[a:b], shingle)
@@ -211,25 +211,26 @@ def _sign(source: DataFrame, idf, shingle: int) -> DataFrame:
                 samples = signatures(doc, hashes, w, b - a, BINS)
                 total = np.bincount(doc, weights=w, minlength=b - a).astype(np.float64)
                 keys = band_keys(samples[:, : ROWS * BANDS], ROWS)
-                packed = (samples >> np.uint64(56)).astype(np.uint8).view("<i8")
+                bits = (samples >> np.uint64(60)).astype(np.uint8)
+                packed = (bits[:, 0::2] | bits[:, 1::2] << 4).view("<i8")
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(total),
                      pa.FixedSizeListArray.from_arrays(pa.array(signed(keys).ravel()), BANDS).cast(pa.list_(pa.int64())),
-                     pa.FixedSizeListArray.from_arrays(pa.array(packed.ravel()), BINS // 8).cast(pa.list_(pa.int64()))],
+                     pa.FixedSizeListArray.from_arrays(pa.array(packed.ravel()), BINS // 16).cast(pa.list_(pa.int64()))],
                     ["row_id", "node", "weight", "bands", "samples"])
 
     return source.select("row_id", "node", "text").mapInArrow(run, _SIGNED)
 
 
 def _agreement(a: str, b: str) -> str:
-    """SQL: bins in which the samples agree.  A byte of x = a ^ b is zero where they do: its eight bits are
-    brought together in its lowest one."""
+    """SQL: the similarity that the samples show.  Four bits of x = a ^ b are zero where two samples agree (or,
+    once in 16 times, by chance): they are brought together in the lowest of the four."""
     parts = []
-    for i in range(BINS // 8):
+    for i in range(BINS // 16):
         x = f"({a}.samples[{i}] ^ {b}.samples[{i}])"
-        bits = " | ".join([x, *(f"shiftrightunsigned({x}, {k})" for k in range(1, 8))])
-        parts.append(f"bit_count(({bits}) & 72340172838076673L)")
-    return f"({BINS} - (" + " + ".join(parts) + "))"
+        bits = " | ".join([x, *(f"shiftrightunsigned({x}, {k})" for k in (1, 2, 3))])
+        parts.append(f"bit_count(({bits}) & 1229782938247303441L)")
+    return f"(1 - ({' + '.join(parts)}) * {16 / 15 / BINS})"
 
 
 def _first_common_band(a: str, b: str) -> str:
@@ -339,10 +340,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, m
             break
         slot = F.pmod(F.xxhash64("node"), F.lit(width))
         pivots = stored(active.groupBy("key", slot.alias("slot")).agg(
-            F.max(F.struct("pop", "node", "comp", "weight", "bands", "samples")).alias("p")).select("key", "p.*"), "near-pivots")
-        met_now = active.alias("m").join(pivots.alias("p"), F.expr(
-            f"m.key = p.key AND m.comp <> p.comp AND least(m.weight, p.weight) >= {threshold * (1 - 1e-9)} * greatest(m.weight, p.weight)"
-            f" AND {first_band} = m.band AND {agree} >= {min_agree} * {BINS}"))
+            F.max(F.struct("pop", "node", "band", "comp", "weight", "bands", "samples")).alias("p")).select("key", "p.*"), "near-pivots")
+        rest = stored(active.join(pivots.select("key", "node"), ["key", "node"], "left_anti"), "near-rest")
+        columns = ("key", "band", "node", "pop", "weight", "bands", "samples", "comp")
+        both = rest.select(*columns, F.lit(True).alias("other")) \
+            .unionByName(pivots.select(*columns, F.lit(False).alias("other")))  # pivots meet each other once
+        met_now = both.alias("m").join(pivots.alias("p"), F.expr(
+            f"m.key = p.key AND m.comp <> p.comp AND (m.other OR m.node < p.node) AND least(m.weight, p.weight) >= {threshold * (1 - 1e-9)} * greatest(m.weight, p.weight)"
+            f" AND {first_band} = m.band AND {agree} >= {min_agree}"))
         pairs, n, _ = stored_and_measured(met_now.select(F.col("m.key").alias("key"), F.least("m.node", "p.node").alias("a"),
                                       F.greatest("m.node", "p.node").alias("b")).distinct(), "near-pairs")
         if n:
@@ -355,7 +360,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, m
                 labels = _components(edges).select(F.col("node").alias("comp"), "label")
                 parts = stored(parts.join(labels, "comp", "left").select("node", F.coalesce("label", "comp").alias("comp")),
                                "near-parts")
-        members = stored(active.drop("comp").join(pivots.select("key", "node"), ["key", "node"], "left_anti"), "near-members")
+        members = rest.drop("comp")
         width *= 4
     idf.unpersist()
     named = signed_rows.select("row_id", "node").join(parts, "node", "left") \

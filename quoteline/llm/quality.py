@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored
+from .common import released, slices, stored
 from .words import split_words
 
 STATS = ("log_bytes", "log_words", "lines", "word_bytes", "long_words", "upper", "lower", "digit", "space", "mark", "stop",
@@ -249,7 +249,7 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """doc_id and a column for each of :data:`STATS`, from whole texts, in one pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             texts = batch.column(1).to_pylist()
             for a, b in slices(texts, 1_000_000):
                 x = statistics(texts[a:b])

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, slices, tokenizer_path
+from .common import Memo, released, slices, tokenizer_path
 from .piece_bpe import MARK, PieceModel
 
 DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -93,7 +93,7 @@ def encode(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(path)
-        for batch in batches:
+        for batch in released(batches):
             texts = batch.column(1).to_pylist()
             for a, b in slices(texts, 1_000_000):
                 ids = codec.encode([t or "" for t in texts[a:b]])
@@ -109,7 +109,7 @@ def decode(ids: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lib = _codec(path).model.lib
-        for batch in batches:
+        for batch in released(batches):
             rows = [r or [] for r in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([lib.decode(r) if r else "" for r in rows], pa.string())],
                                              ["doc_id", "text"])
@@ -126,7 +126,7 @@ def round_trip_digests(docs: DataFrame, tokenizer: str | None = None, id_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(path)
-        for batch in batches:
+        for batch in released(batches):
             texts = batch.column(1).to_pylist()
             for a, b in slices(texts, 1_000_000):
                 csv, decoded = codec.encode_csv([t or "" for t in texts[a:b]])

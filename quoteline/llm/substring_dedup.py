@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix
+from .common import mix, release
 from .words import Words, sequence_hashes, signed, split_words
 
 RESULT_SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string"
@@ -103,6 +103,7 @@ class _Chunk:
     """The documents of a chunk in (id, bytes of text) order, their words and windows."""
 
     def __init__(self, table: pa.Table, window: int):
+        release()  # of the chunk before
         ids = table.column("doc_id").to_pylist()
         texts = table.column("text").to_pylist()
         raw = [b"" if t is None else t.encode("utf-8", "replace") for t in texts]

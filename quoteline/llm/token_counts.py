@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, slices, tokenizer_path
+from .common import Memo, released, slices, tokenizer_path
 from .piece_bpe import PieceModel
 
 COUNT_SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
@@ -84,7 +84,7 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = 409
         if path not in _COUNTERS:
             _COUNTERS[path] = PieceCounter(path)
         counter = _COUNTERS[path]
-        for batch in batches:
+        for batch in released(batches):
             texts, sizes = batch.column(1).to_pylist(), batch.column(2)
             counts: list[int] = []
             for a, b in slices(texts, 1_000_000):

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Memo, slices, tokenizer_path
+from .common import Memo, released, slices, tokenizer_path
 from .words import BYTE_BASES, piece_hashes
 
 MAGIC = b"DAC1"
@@ -269,7 +269,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, id_co
             start, number, docs_in, blobs, held = start + held, number + 1, [], [], 0
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], names)
 
-        for batch in batches:
+        for batch in released(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in slices(texts, 2_000_000):
                 for doc, ids in zip(batch.column(0).slice(a, b - a).to_pylist(), tok.encode(texts[a:b]), strict=True):
@@ -292,7 +292,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     ids_crc32, all computed from the files."""
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for part, start, blob in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 doc_ids, ends, codes = decode_segment(blob)
                 ids = codes.all().astype("<u4", copy=False)
