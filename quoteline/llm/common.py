@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,23 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+_RESIDENT: dict = {}
+
+
+def resident(key, make: Callable):
+    """A large object that a worker keeps from task to task (a model with its word table, an automaton).  A worker
+    keeps one at a time: another operator's stage in the same worker takes its place."""
+    if key not in _RESIDENT:
+        drop_residents()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
+
+
+def drop_residents() -> None:
+    _RESIDENT.clear()
+    release()
+
+
 def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches, with :func:`release` once they are over."""
     yield from batches

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import released, stored
+from .common import released, resident, stored
 
 # Fixed by the definition of a word: digits, letters a to z and every byte above 7F; A-Z are lowered.
 _TABLE = bytes(
@@ -66,9 +66,6 @@ def _automaton(patterns: list[tuple[str, int, tuple]]):
     return found
 
 
-_BUILT: dict = {}
-
-
 def scan(text: str | None, automaton) -> tuple[int, int, list, list[tuple[int, int]]]:
     """Words, words hit, items found and the hit passages as character spans of the original text."""
     words = normalised_words(text)
@@ -102,9 +99,8 @@ def _shared_patterns(docs: DataFrame, items: list[tuple], window: int):
 def _built(shared):
     """The automaton of broadcast patterns, built once in a worker."""
     own = shared.value
-    if _BUILT.get("patterns") is not own:
-        _BUILT.update(patterns=own, automaton=_automaton(own) if own else None)
-    return _BUILT["automaton"]
+    # the patterns are kept beside the automaton, so their identity stays theirs
+    return resident(("automaton", id(own)), lambda: (own, _automaton(own) if own else None))[1]
 
 
 def _scan_block(docs: DataFrame, items: list[tuple], window: int) -> DataFrame:

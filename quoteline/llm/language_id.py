@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import released, slices
+from .common import drop_residents, released, slices
 
 PREDICTION_SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 _PAD = b"\n\n\n"  # context in front of a text
@@ -180,6 +180,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_residents()
         own = shared.value
         for batch in released(batches):
             found = predict_texts(own, batch.column(2).to_pylist())
@@ -206,6 +207,7 @@ def keep_identified(docs: DataFrame, model: Model | None, min_score: float = 0.3
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_residents()
         own = shared.value
         for batch in released(batches):
             found = predict_texts(own, batch.column(at).to_pylist())

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import release
+from .common import drop_residents
 from .words import sequence_hashes, signed, split_words
 
 _NULL_ID = np.iinfo(np.int64).min
@@ -153,7 +153,7 @@ def remove_repeated_lines(docs: DataFrame, min_words: int = 10, chunk_bytes: int
     chunks = source.withColumn("chunk", F.pmod(F.xxhash64(F.col(c_id).cast("long")), F.lit(n_chunks)).cast("int"))
 
     def lines_of(table: pa.Table) -> _Lines:
-        release()  # of the chunk before
+        drop_residents()
         return _Lines(table.column(c_id).cast(pa.int64()).to_pylist(), table.column(c_text).to_pylist(), min_words)
 
     def chunk_of(table: pa.Table) -> int:

@@ -13,13 +13,13 @@ drawn from all shingles, so an empty bin stays unbiased.
 
 *Candidates.*  Samples are banded.  Equal texts are one class from the start.  In every bucket a few pivots
 are compared with the members of other classes; what is confirmed joins classes, pivots leave the bucket, and
-the next round takes four times as many, until every bucket holds one class or no member is left to
+the next round takes eight times as many, until every bucket holds one class or no member is left to
 compare.  So a bucket of ``n`` copies costs ``n`` comparisons, no link between classes is lost, and no
 group is gathered in one task: pivots are minima (combined before the shuffle) and members meet them in a
 join that Spark may split.
 
 *Verification.*  A pair is compared in the first bucket that it shares.  If its total weights already exclude
-the threshold, or its 256 samples put it below ``min_agree`` (four bits of each are compared; a pair at the
+the threshold, or its 192 samples put it below ``min_agree`` (four bits of each are compared; a pair at the
 threshold falls below that about once in 2,000 times), it is left out; all others are verified by the exact weighted Jaccard
 similarity of their whole texts, bucket by bucket, a large bucket cut into blocks of bounded size.
 
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix, released, slices, stored, stored_and_measured
+from .common import drop_residents, mix, released, slices, stored, stored_and_measured
 from .words import sequence_hashes, signed, split_words
 
 CELLS = 1 << 20
@@ -162,7 +162,7 @@ def band_keys(samples: np.ndarray, rows: int) -> np.ndarray:
 
 # --- Spark ---------------------------------------------------------------------------------------
 
-BINS, ROWS, BANDS, MIN_AGREE = 256, 4, 16, 0.715
+BINS, ROWS, BANDS, MIN_AGREE = 192, 4, 16, 0.70
 _SLICES = 256
 _SIGNED = "row_id long, node binary, weight double, bands array<long>, samples array<long>"
 
@@ -172,6 +172,7 @@ def _document_frequencies(source: DataFrame, shingle: int) -> tuple[np.ndarray,
     fixed size and sends it in slices, which are summed by slice."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_residents()
         total, rows = np.zeros(CELLS, dtype=np.int64), 0
         for batch in released(batches):
             texts = batch.column(0).to_pylist()
@@ -257,21 +258,18 @@ def _components(edges: DataFrame) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, idf, shingle: int, threshold: float, block: int = 256) -> DataFrame:
-    """Pairs (key, a, b) whose weighted Jaccard similarity is at least ``threshold``.  The pairs of a bucket
-    are compared where its texts meet; a bucket of many nodes is cut into pairs of groups of about
+    """Pairs (key, n, a, b) whose weighted Jaccard similarity is at least ``threshold``.  The pairs of a bucket
+    are compared where its texts meet; a bucket of many nodes (``n``) is cut into pairs of groups of about
     ``block`` nodes, so a task never holds more than two groups."""
     def nodes_of(rows: DataFrame, *keys: str) -> DataFrame:
         """Each node once for each key; both sides are combined before the shuffle."""
         one, two = (rows.select(*keys, F.col(c).alias("node")).distinct() for c in ("a", "b"))
         return one.unionByName(two).distinct()
 
-    ends = nodes_of(pairs, "key")
-    sizes = ends.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("groups"))
-
     def group(c: str):
-        return F.pmod(F.xxhash64(c), F.col("groups")).cast("int")
+        return F.pmod(F.xxhash64(c), F.ceil(F.col("n") / block)).cast("int")
 
-    placed = pairs.join(sizes, "key").withColumns({"ga": group("a"), "gb": group("b")}) \
+    placed = pairs.withColumns({"ga": group("a"), "gb": group("b")}) \
         .select("key", "a", "b", F.least("ga", "gb").alias("g"), F.greatest("ga", "gb").alias("h"))
     need = nodes_of(placed, "key", "g", "h")
     here = need.join(texts, "node").select(*(F.col(c).alias(f"{c}_") for c in ("key", "g", "h")), "node", "text")
@@ -326,7 +324,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, m
     met = stored(banded.join(sizes, "key"), "near-buckets")
     # the text that most copies come from shares the most buckets: it makes the best pivot
     popular = met.groupBy("node").agg(F.sum("n").alias("pop"))
-    members = stored(met.select("key", "band", "node").join(popular.join(nodes, "node"), "node"), "near-members")
+    members = stored(met.select("key", "band", "node", "n").join(popular.join(nodes, "node"), "node"), "near-members")
     texts = stored(source.select("node", "text").join(popular.select("node"), "node", "left_semi").dropDuplicates(["node"]),
                    "near-texts")
     parts = stored(popular.select("node", F.col("node").alias("comp")), "near-parts")
@@ -340,15 +338,15 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, m
             break
         slot = F.pmod(F.xxhash64("node"), F.lit(width))
         pivots = stored(active.groupBy("key", slot.alias("slot")).agg(
-            F.max(F.struct("pop", "node", "band", "comp", "weight", "bands", "samples")).alias("p")).select("key", "p.*"), "near-pivots")
+            F.max(F.struct("pop", "node", "n", "band", "comp", "weight", "bands", "samples")).alias("p")).select("key", "p.*"), "near-pivots")
         rest = stored(active.join(pivots.select("key", "node"), ["key", "node"], "left_anti"), "near-rest")
-        columns = ("key", "band", "node", "pop", "weight", "bands", "samples", "comp")
+        columns = ("key", "n", "band", "node", "pop", "weight", "bands", "samples", "comp")
         both = rest.select(*columns, F.lit(True).alias("other")) \
             .unionByName(pivots.select(*columns, F.lit(False).alias("other")))  # pivots meet each other once
         met_now = both.alias("m").join(pivots.alias("p"), F.expr(
             f"m.key = p.key AND m.comp <> p.comp AND (m.other OR m.node < p.node) AND least(m.weight, p.weight) >= {threshold * (1 - 1e-9)} * greatest(m.weight, p.weight)"
             f" AND {first_band} = m.band AND {agree} >= {min_agree}"))
-        pairs, n, _ = stored_and_measured(met_now.select(F.col("m.key").alias("key"), F.least("m.node", "p.node").alias("a"),
+        pairs, n, _ = stored_and_measured(met_now.select(F.col("m.key").alias("key"), "m.n", F.least("m.node", "p.node").alias("a"),
                                       F.greatest("m.node", "p.node").alias("b")).distinct(), "near-pairs")
         if n:
             links, n, _ = stored_and_measured(_verify(pairs, texts, idf, shingle, threshold), "near-links")
@@ -361,7 +359,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, m
                 parts = stored(parts.join(labels, "comp", "left").select("node", F.coalesce("label", "comp").alias("comp")),
                                "near-parts")
         members = rest.drop("comp")
-        width *= 4
+        width *= 8
     idf.unpersist()
     named = signed_rows.select("row_id", "node").join(parts, "node", "left") \
         .select("row_id", "node", F.coalesce("comp", "node").alias("comp"))

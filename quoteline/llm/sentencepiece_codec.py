@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, released, slices, tokenizer_path
+from .common import Memo, released, resident, slices, tokenizer_path
 from .piece_bpe import MARK, PieceModel
 
 DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -28,7 +28,7 @@ DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 s
 class WordCodec:
     """Exact ids and decoded texts from the table of distinct words."""
 
-    def __init__(self, path: str, memo_size: int = 200_000):
+    def __init__(self, path: str, memo_size: int = 120_000):
         self.model, self.memo = PieceModel(path), Memo(memo_size)
         self.odd: dict[str, str] = {}  # words of the batch whose decoded text is not the word itself
 
@@ -74,13 +74,8 @@ class WordCodec:
         return [[int(i) for i in csv.split(",")] if csv else [] for csv in self.encode_csv(texts)[0]]
 
 
-_CODECS: dict[str, WordCodec] = {}
-
-
 def _codec(path: str) -> WordCodec:
-    if path not in _CODECS:
-        _CODECS[path] = WordCodec(path)
-    return _CODECS[path]
+    return resident(("codec", path), lambda: WordCodec(path))
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

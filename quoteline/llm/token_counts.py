@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, released, slices, tokenizer_path
+from .common import Memo, released, resident, slices, tokenizer_path
 from .piece_bpe import PieceModel
 
 COUNT_SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
@@ -72,18 +72,13 @@ class PieceCounter:
         return out
 
 
-_COUNTERS: dict[str, PieceCounter] = {}
-
-
 def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = 4096, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_bytes (UTF-8), n_tokens and over_limit (n_tokens above ``limit``)."""
     path = tokenizer or tokenizer_path("piece_bpe_32k.model")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _COUNTERS:
-            _COUNTERS[path] = PieceCounter(path)
-        counter = _COUNTERS[path]
+        counter = resident(("counter", path), lambda: PieceCounter(path))
         for batch in released(batches):
             texts, sizes = batch.column(1).to_pylist(), batch.column(2)
             counts: list[int] = []

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Memo, released, slices, tokenizer_path
+from .common import Memo, released, resident, slices, tokenizer_path
 from .words import BYTE_BASES, piece_hashes
 
 MAGIC = b"DAC1"
@@ -236,13 +236,8 @@ class ByteTokenizer:
         return out
 
 
-_TOKENIZERS: dict[str, ByteTokenizer] = {}
-
-
 def _tokenizer(path: str) -> ByteTokenizer:
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = ByteTokenizer(path)
-    return _TOKENIZERS[path]
+    return resident(("byte tokenizer", path), lambda: ByteTokenizer(path))
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, id_col: str = "doc_id",
