@@ -57,12 +57,14 @@ def piece_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: i
     if not len(starts):
         return np.zeros(0, dtype=np.uint64)
     size = ends - starts
-    place = np.arange(int(size.sum()), dtype=np.int64)
-    begin = np.cumsum(size) - size
-    own = data if len(place) == len(data) else data[place + np.repeat(starts - begin, size)]
+    total = int(size.sum())
+    kind = np.int32 if total < 1 << 31 else np.int64
+    begin = (np.cumsum(size) - size).astype(kind)
+    place = np.arange(total, dtype=kind)
+    own = data if total == len(data) else data[place + np.repeat((starts - begin).astype(kind), size)]
     place -= np.repeat(begin, size)
     terms = _POWERS[base].of(int(size.max()))[0][place]
-    terms *= own.astype(np.uint64) + _ONE
+    terms *= own + _ONE
     return np.add.reduceat(terms, begin)
 
 
