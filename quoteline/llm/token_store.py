@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Memo, released, resident, slices, tokenizer_path
-from .words import BYTE_BASES, range_hashes
+from .words import tile_hashes
 
 MAGIC = b"DAC1"
 RANK_STEP = 512
@@ -195,10 +195,8 @@ class ByteTokenizer:
         begin[ends_of_texts[:-1]] = True
         starts = np.flatnonzero(begin)
         ends = np.append(starts[1:], len(data))
-        values = data.astype(np.uint64) + np.uint64(1)
-        hashes = range_hashes(values, starts, ends, BYTE_BASES[0])
+        hashes, second = tile_hashes(data, starts, ends)
         _, rep, place = np.unique(hashes, return_index=True, return_inverse=True)
-        second = range_hashes(values, starts, ends, BYTE_BASES[1])
         if not np.array_equal(second, second[rep][place]):  # two chunks with one hash: no table for this slice
             return [np.frombuffer(b, dtype="<u4") for b in self._whole([r.decode() for r in raw])]
         keys = [joined[a:b] for a, b in zip(starts[rep].tolist(), ends[rep].tolist(), strict=True)]

@@ -68,6 +68,21 @@ def piece_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: i
     return np.add.reduceat(terms, begin)
 
 
+def tile_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 17) -> tuple[np.ndarray, ...]:
+    """Two polynomial hashes of the bytes ``data[s:e]`` of ranges that follow each other without a gap, in blocks of
+    ranges of about ``block`` bytes, so that power tables and running sums stay small."""
+    out = tuple(np.empty(len(starts), dtype=np.uint64) for _ in BYTE_BASES)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + block, side="right")))
+        a, b = int(starts[i]), int(ends[j - 1])
+        values = data[a:b].astype(np.uint64) + _ONE
+        for hashes, base in zip(out, BYTE_BASES, strict=True):
+            hashes[i:j] = range_hashes(values, starts[i:j] - a, ends[i:j] - a, base)
+        i = j
+    return out
+
+
 @dataclass
 class Words:
     """Words of ``n_docs`` texts: the bytes, each word's borders in them, its hash and its text; words of text ``i``
