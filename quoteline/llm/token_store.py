@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Memo, released, resident, slices, tokenizer_path
-from .words import tile_hashes
+from .words import BYTE_BASES, block_hashes
 
 MAGIC = b"DAC1"
 RANK_STEP = 512
@@ -195,7 +195,7 @@ class ByteTokenizer:
         begin[ends_of_texts[:-1]] = True
         starts = np.flatnonzero(begin)
         ends = np.append(starts[1:], len(data))
-        hashes, second = tile_hashes(data, starts, ends)
+        hashes, second = (block_hashes(data, starts, ends, base) for base in BYTE_BASES)
         _, rep, place = np.unique(hashes, return_index=True, return_inverse=True)
         if not np.array_equal(second, second[rep][place]):  # two chunks with one hash: no table for this slice
             return [np.frombuffer(b, dtype="<u4") for b in self._whole([r.decode() for r in raw])]

@@ -51,34 +51,18 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base:
     return (run[ends] - run[starts]) * down[starts]
 
 
-def piece_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """Polynomial hash of the bytes ``data[s:e]`` of disjoint ascending ranges, none of them empty.  Powers go
-    by the place inside a range, so their table is as long as the longest range only."""
-    if not len(starts):
-        return np.zeros(0, dtype=np.uint64)
-    size = ends - starts
-    total = int(size.sum())
-    kind = np.int32 if total < 1 << 31 else np.int64
-    begin = (np.cumsum(size) - size).astype(kind)
-    place = np.arange(total, dtype=kind)
-    own = data if total == len(data) else data[place + np.repeat((starts - begin).astype(kind), size)]
-    place -= np.repeat(begin, size)
-    terms = _POWERS[base].of(int(size.max()))[0][place]
-    terms *= own + _ONE
-    return np.add.reduceat(terms, begin)
-
-
-def tile_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 17) -> tuple[np.ndarray, ...]:
-    """Two polynomial hashes of the bytes ``data[s:e]`` of ranges that follow each other without a gap, in blocks of
-    ranges of about ``block`` bytes, so that power tables and running sums stay small."""
-    out = tuple(np.empty(len(starts), dtype=np.uint64) for _ in BYTE_BASES)
+def block_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int, block: int = 1 << 16) -> np.ndarray:
+    """:func:`range_hashes` of the bytes ``data[s:e]`` of disjoint ascending ranges, taken in blocks of ranges of about
+    ``block`` bytes: power tables and running sums stay small, whatever the length of the data (a longer range is a
+    block of its own)."""
+    out = np.empty(len(starts), dtype=np.uint64)
     i = 0
     while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + block, side="right")))
-        a, b = int(starts[i]), int(ends[j - 1])
-        values = data[a:b].astype(np.uint64) + _ONE
-        for hashes, base in zip(out, BYTE_BASES, strict=True):
-            hashes[i:j] = range_hashes(values, starts[i:j] - a, ends[i:j] - a, base)
+        a = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(ends, a + block, side="right")))
+        values = data[a : int(ends[j - 1])].astype(np.uint64)
+        values += _ONE
+        out[i:j] = range_hashes(values, starts[i:j] - a, ends[i:j] - a, base)
         i = j
     return out
 
@@ -116,10 +100,11 @@ def split_words(texts: list[str | None], separators: np.ndarray = SPACES, fold:
     np.cumsum([len(r) + 1 for r in raw], out=doc_starts[1:])
     if not raw:
         data = data[:0]
-    word = ~separators[data]
-    edge = np.flatnonzero(np.diff(word.view(np.int8), prepend=np.int8(0), append=np.int8(0)))
+    word = np.zeros(len(data) + 2, dtype=bool)
+    np.logical_not(separators[data], out=word[1:-1])
+    edge = np.flatnonzero(word[1:] != word[:-1])
     starts, ends = edge[0::2], edge[1::2]
-    hashes = mix(piece_hashes(data if fold is None else fold[data], starts, ends, BYTE_BASES[0]) ^ ((ends - starts).astype(np.uint64) << np.uint64(40)))
+    hashes = mix(block_hashes(data if fold is None else fold[data], starts, ends, BYTE_BASES[0]) ^ ((ends - starts).astype(np.uint64) << np.uint64(40)))
     first = np.searchsorted(starts, doc_starts)
     return Words(data, starts, ends, hashes, first.astype(np.int64), doc_starts)
 
