@@ -136,10 +136,12 @@ def signatures(doc: np.ndarray, hashes: np.ndarray, w: np.ndarray, n_docs: int,
     row, column = np.nonzero(~full[some])
     sizes = (end - begin)[row]
     total = np.cumsum(sizes)
-    for lo in range(0, len(row), 50_000):
-        hi = min(lo + 50_000, len(row))
+    hi = 0
+    while hi < len(row):  # about 250,000 draws at a time
+        lo, done = hi, total[hi - 1] if hi else 0
+        hi = max(lo + 1, int(np.searchsorted(total, done + 250_000, side="right")))
         own = sizes[lo:hi]
-        stop = total[lo:hi] - (total[lo - 1] if lo else 0)
+        stop = total[lo:hi] - done
         item = np.repeat(begin[row[lo:hi]] - stop + own, own) + np.arange(stop[-1])
         cell = np.repeat(np.arange(hi - lo), own)
         key = mix(hashes[item] + np.uint64(77) + column[lo:hi][cell].astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -177,7 +179,7 @@ def _document_frequencies(source: DataFrame, shingle: int) -> tuple[np.ndarray,
         for batch in released(batches):
             texts = batch.column(0).to_pylist()
             rows += len(texts)
-            for a, b in slices(texts, 2_000_000):
+            for a, b in slices(texts, 500_000):
                 total += np.bincount(cells(shingles(texts[a:b], shingle)[1]), minlength=CELLS)
         if rows:
             parts = total.reshape(_SLICES, -1)
@@ -206,7 +208,7 @@ def _sign(source: DataFrame, idf, shingle: int) -> DataFrame:
         table = idf.value
         for batch in released(batches):
             texts = batch.column(2).to_pylist()
-            for a, b in slices(texts, 1_000_000):
+            for a, b in slices(texts, 500_000):
                 doc, hashes, tf = shingles(texts[a:b], shingle)
                 w = weights(hashes, tf, table)
                 samples = signatures(doc, hashes, w, b - a, BINS)

@@ -28,7 +28,7 @@ DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 s
 class WordCodec:
     """Exact ids and decoded texts from the table of distinct words."""
 
-    def __init__(self, path: str, memo_size: int = 120_000):
+    def __init__(self, path: str, memo_size: int = 80_000):
         self.model, self.memo = PieceModel(path), Memo(memo_size)
         self.odd: dict[str, str] = {}  # words of the batch whose decoded text is not the word itself
 
