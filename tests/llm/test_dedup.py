@@ -165,3 +165,32 @@ def test_samples_estimate_the_weighted_similarity():
             agree.append((s[0] == s[1]).mean())
             true.append(near_dedup.similarity(a, b, idf))
         assert abs(np.mean(agree) - np.mean(true)) < 0.03
+
+
+def test_samples_of_uneven_weights():
+    """Shingles that weigh much in both texts beside many light ones in one: weighted similarity 0.85, 0.53 of the
+    shingles."""
+    rng = np.random.default_rng(3)
+    w = np.concatenate((np.full(45, 1 + np.log(50)), np.ones(40))) * np.log1p(4)
+    true = w[:45].sum() / w.sum()
+    agree, met = [], []
+    for _ in range(60):
+        heavy, light = np.sort(rng.integers(1, 2**63, 45)).astype(np.uint64), rng.integers(1, 2**63, 40).astype(np.uint64)
+        doc = np.repeat([0, 1], [85, 45])
+        s = near_dedup.signatures(doc, np.concatenate((heavy, light, heavy)), np.concatenate((w, w[:45])), 2, near_dedup.BINS)
+        keys = near_dedup.band_keys(s[:, : near_dedup.ROWS * near_dedup.BANDS], near_dedup.ROWS)
+        agree.append((s[0] == s[1]).mean())
+        met.append((keys[0] == keys[1]).any())
+    assert abs(np.mean(agree) - true) < 0.01 and min(agree) >= near_dedup.MIN_AGREE and all(met)
+
+
+def test_near_copies_of_uneven_weights(sp):
+    """Pairs of texts with a passage said 50 times; one of them has words more, said once."""
+    rnd = random.Random(8)
+    rows = []
+    for i in range(20):
+        often = " ".join([" ".join(f"p{i}_{k}" for k in range(45))] * 50)
+        rows += [(2 * i, often), (2 * i + 1, often + " " + " ".join(f"q{rnd.randrange(10**9)}" for _ in range(36)))]
+    want = sorted(near_dedup.brute_force(rows))
+    assert len({c for _, c in want}) == 20
+    assert sorted(tuple(r)[:2] for r in near_dedup.classes(near_dedup.near_duplicates(texts(sp, rows))).collect()) == want
