@@ -42,7 +42,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination (4): documents that hold a window of a test item go."""
     importable(spark)
-    return decontamination.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.without_contaminated(docs, table(spark, sf_dir, "benchmark"), null_items=True)
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,9 @@ for each block and the hits of the blocks are united, so memory never grows with
 
 Edge cases: a text or item without words (null, empty, punctuation) has no hits; an item of fewer words
 than the window is one window; equal items and repeated item ids count once per id; repeated document rows
-each give a row.
+each give a row.  Items with a null id are left out unless ``null_items`` is set, as the query and the pipeline do:
+then their windows are hits as all others, together they count as one item (a null in ``items``), and they add nothing to
+the digest of the ids.
 """
 
 from __future__ import annotations
@@ -92,7 +94,7 @@ def scan(text: str | None, automaton) -> tuple[int, int, list, list[tuple[int, i
 
 
 def _shared_patterns(docs: DataFrame, items: list[tuple], window: int):
-    patterns = [(p, n, tuple(str(i) for i in own)) for p, (n, own) in item_windows(items, window).items()]
+    patterns = [(p, n, tuple(None if i is None else str(i) for i in own)) for p, (n, own) in item_windows(items, window).items()]
     return docs.sparkSession.sparkContext.broadcast(patterns)
 
 
@@ -113,7 +115,7 @@ def _scan_block(docs: DataFrame, items: list[tuple], window: int) -> DataFrame:
             spans = [[{"start": a, "end": b} for a, b in r[3]] for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-                 pa.array([sorted(r[2]) for r in rows], pa.list_(pa.string())),
+                 pa.array([sorted(r[2], key=lambda i: (i is None, i)) for r in rows], pa.list_(pa.string())),
                  pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
                 ["doc_id", "n_words", "n_hit", "items", "spans"])
 
@@ -141,10 +143,11 @@ def _spans_united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             ["doc_id", "n_words", "n_hit", "items", "spans"])
 
 
-def _item_blocks(benchmark: DataFrame, block_bytes: int, item_col: str, text_col: str) -> Iterator[list[tuple]]:
+def _item_blocks(benchmark: DataFrame, block_bytes: int, item_col: str, text_col: str,
+                 null_items: bool) -> Iterator[list[tuple]]:
     """The items, at least once and in blocks of about ``block_bytes`` of text."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item_id"), F.col(text_col).alias("text")) \
-        .where("text IS NOT NULL AND item_id IS NOT NULL")
+        .where("text IS NOT NULL" if null_items else "text IS NOT NULL AND item_id IS NOT NULL")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, math.ceil(size / block_bytes))
     for b in range(blocks):
@@ -153,7 +156,8 @@ def _item_blocks(benchmark: DataFrame, block_bytes: int, item_col: str, text_col
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 8_000_000,
-                         text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+                         text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+                         null_items: bool = False) -> DataFrame:
     """The rows of ``docs``, all columns, in which no window occurs.  Blocks of items filter one after the other."""
     at, out = docs.columns.index(text_col), docs
 
@@ -167,18 +171,18 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10
 
         return rows.mapInArrow(run, rows.schema)
 
-    for n, items in enumerate(_item_blocks(benchmark, block_bytes, item_col, item_text_col)):
+    for n, items in enumerate(_item_blocks(benchmark, block_bytes, item_col, item_text_col, null_items)):
         out = clean(stored(out, "decontamination-block") if n else out, items)  # a worker holds one automaton
     return out
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 8_000_000,
                        id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                       item_text_col: str = "text") -> DataFrame:
+                       item_text_col: str = "text", null_items: bool = False) -> DataFrame:
     """Per document row: doc_id, n_words, n_hit (words inside an occurrence of a window), ``items`` (ids as
     strings, sorted, of the items found) and ``spans`` (the hit passages as character offsets of the text)."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    blocks = _item_blocks(benchmark, block_bytes, item_col, item_text_col)
+    blocks = _item_blocks(benchmark, block_bytes, item_col, item_text_col, null_items)
     items = next(blocks)
     more = next(blocks, None)
     if more is None:  # the benchmark fits the bound

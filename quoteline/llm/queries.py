@@ -39,7 +39,7 @@ def op3_token_store(spark: SparkSession, d: str) -> DataFrame:
 
 def op4_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontamination.digests(
-        decontamination.find_contamination(table(spark, d, "documents"), table(spark, d, "benchmark")))
+        decontamination.find_contamination(table(spark, d, "documents"), table(spark, d, "benchmark"), null_items=True))
 
 
 def op5_language_id(spark: SparkSession, d: str) -> DataFrame:

@@ -201,3 +201,29 @@ def test_contamination_of_empty_tables(sp, nothing, awkward):
     empty = sp.createDataFrame([], "item_id long, text string")
     assert decontamination.find_contamination(awkward, empty).where("n_hit > 0").count() == 0
     assert decontamination.without_contaminated(awkward, empty).columns == awkward.columns
+
+
+@pytest.mark.parametrize("block_bytes", [8_000_000, 60])
+def test_contamination_by_items_without_id(sp, tmp_path, block_bytes):
+    """The query's call against its SQL: a passage of an item with a null id is a hit."""
+    import duckdb
+
+    from quoteline.llm.queries import ORACLES
+
+    nameless = [*ITEMS, (None, "A passage whose row has lost its id but is still in the test set, twelve")]
+    rows = [(1, "no id here"), (2, "x " + nameless[-1][1] + " y"), (3, "no id, short item"), (4, "clean"), (5, None)]
+    bench = sp.createDataFrame(nameless, "item_id long, text string")
+    con = duckdb.connect()
+    for name, cols, data in (("documents", "doc_id", rows), ("benchmark", "item_id", nameless)):
+        con.execute(f"CREATE TABLE {name} ({cols} BIGINT, text VARCHAR)")
+        con.executemany(f"INSERT INTO {name} VALUES (?, ?)", data)
+    want = sorted(con.execute(ORACLES["op4_decontamination"]).fetchall())
+    assert [r[5] for r in want] == [True, True, True, False, False] and want[2][3] == 2
+    found = decontamination.find_contamination(texts(sp, rows), bench, block_bytes=block_bytes, null_items=True)
+    assert sorted(tuple(r) for r in decontamination.digests(found).collect()) == want
+    stay = decontamination.without_contaminated(texts(sp, rows), bench, block_bytes=block_bytes, null_items=True)
+    assert sorted(r["doc_id"] for r in stay.collect()) == [4, 5]
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    texts(sp, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    from quoteline.llm.queries import op4_decontamination
+    assert sorted(tuple(r) for r in op4_decontamination(sp, str(tmp_path)).collect()) == want
