@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import getpass
 import json
+import math
 import time
 import uuid
 from collections.abc import Iterable, Mapping
@@ -242,14 +243,17 @@ class Catalog:
             raise CatalogError(f"{bad['n']} dataset name(s) taken, given twice or null; the first: {bad['name']}")
         entries.write.mode("append").parquet(self.path("datasets"))
 
-    def compact(self, root: str) -> Catalog:
-        """The current state in a new folder, one file a table: appends are one small file each, so a
-        long-lived catalogue is moved to a compacted one now and then (no file is changed in place)."""
+    def compact(self, root: str, file_rows: int = 1_000_000) -> Catalog:
+        """The current state in a new folder, a file for each ``file_rows`` rows of a table: appends are one
+        small file each, so a long-lived catalogue is moved to a compacted one now and then (no file is changed
+        in place).  Rows are dealt by their keys, so the work before is not drawn into the writing tasks."""
         new = Catalog(self.spark, root)
-        for table, rows in (("analyses", self.analyses()), ("datasets", self.datasets())):
-            rows.withColumns({"op": F.lit("put"), "seq": F.lit(_seq())}).select(*SCHEMAS[table].names) \
-                .coalesce(1).write.parquet(new.path(table))
-        self.lineage().withColumn("seq", F.lit(_seq())).coalesce(1).write.parquet(new.path("lineage"))
+        put = {"op": F.lit("put"), "seq": F.lit(_seq())}
+        for table, rows, keys in (("analyses", self.analyses().withColumns(put), ["name"]),
+                                  ("datasets", self.datasets().withColumns(put), ["name"]),
+                                  ("lineage", self.lineage().withColumn("seq", F.lit(_seq())), ["left_fs_id", "right_ds_id"])):
+            files = max(1, math.ceil(rows.count() / file_rows))
+            rows.select(*SCHEMAS[table].names).repartition(files, *keys).write.parquet(new.path(table))
         return new
 
     def check_new_datasets(self, names: Iterable[str]) -> None:

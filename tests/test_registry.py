@@ -283,6 +283,17 @@ def test_bulk_record_and_compaction(spark, workdir):
     assert moved.dataset("x2")["filepath"] == "p/3"
 
 
+def test_compaction_writes_files_by_rows(spark, workdir):
+    catalog = Catalog(spark, f"{workdir}/catalog")
+    catalog.record_datasets(spark.range(200).selectExpr("concat('d', id) AS name", "concat('p/', id) AS filepath"))
+    moved = catalog.compact(f"{workdir}/compacted", file_rows=70)
+    files = spark.read.parquet(moved.path("datasets")).inputFiles()
+    assert len(files) == 3
+    assert sorted(r["name"] for r in moved.list_datasets().collect()) == sorted(f"d{i}" for i in range(200))
+    whole = catalog.compact(f"{workdir}/whole")
+    assert len(spark.read.parquet(whole.path("datasets")).inputFiles()) == 1
+
+
 def test_search_treats_a_backslash_as_itself(spark):
     from quoteline.operators.catalog import search_modules
 
