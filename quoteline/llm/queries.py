@@ -11,11 +11,14 @@ from ..session import scratch_path
 from . import (
     ann_search,
     decontamination,
+    filter_audit,
     language_id,
     line_dedup,
     near_dedup,
     quality,
     sentencepiece_codec,
+    simhash_dedup,
+    source_divergence,
     substring_dedup,
     token_counts,
     token_store,
@@ -66,6 +69,18 @@ def op10_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     return sentencepiece_codec.round_trip_digests(table(spark, d, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, d: str) -> DataFrame:
+    return source_divergence.audit(table(spark, d, "documents"))
+
+
+def op12_simhash_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(table(spark, d, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, d: str) -> DataFrame:
+    return filter_audit.audit(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_ann_search": op2_ann_search,
@@ -77,6 +92,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_near_dedup": op9_near_dedup,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_simhash_dedup": op12_simhash_dedup,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 # Words, the windows of every item and the places where they occur, as lists of words joined by spaces.
@@ -137,4 +155,90 @@ SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coales
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op4_decontamination": _OP4, "op8_substring_dedup": _OP8}
+# Every kept term of every group, zeros included, joined pair by pair.
+_OP11 = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+),
+g AS (SELECT DISTINCT lang, source FROM d),
+kept AS (
+  SELECT lang, t FROM (SELECT lang, unnest(list_distinct(terms)) AS t FROM d) GROUP BY lang, t HAVING count(*) >= 10
+),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+c AS (
+  SELECT x.lang, source, x.t, count(*) AS n FROM (SELECT lang, source, unnest(terms) AS t FROM d) x
+  JOIN kept ON x.lang = kept.lang AND x.t = kept.t GROUP BY x.lang, source, x.t
+),
+dense AS (
+  SELECT g.lang, g.source, kept.t, coalesce(c.n, 0) AS n, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS own,
+         sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, kept.t) AS all_n,
+         sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang) AS whole
+  FROM g JOIN kept ON kept.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.t = kept.t
+),
+p AS (
+  SELECT dense.lang, source, t, n, CAST(1 + 1000000000 * (n + 2) // (own + 2 * v) AS BIGINT) AS p,
+         CAST(1 + 1000000000 * (all_n + 2) // (whole + 2 * v) AS BIGINT) AS q
+  FROM dense JOIN v ON v.lang = dense.lang
+),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS BIGINT) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', t, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+WHERE part = 'pair' OR rank <= 10
+"""
+
+# Every document's failures, summed by mask and then for each order and step.
+_OP13 = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+marked AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+           FROM labels GROUP BY doc_id),
+f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CASE WHEN len(words) < 50 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * len(regexp_extract_all(x, '[A-Z]')) > 5 * length(x) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(x, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN w.doc_id > min(w.doc_id) OVER (PARTITION BY x) THEN 16 ELSE 0 END AS mask
+  FROM w LEFT JOIN marked ON marked.doc_id = w.doc_id
+),
+cell AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, mask),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l, unnest([1, 2, 4, 8, 16]) AS b),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS o, [a.b, b.b, c.b, d.b, e.b] AS bits
+  FROM letter a, letter b, letter c, letter d, letter e WHERE a.b + b.b + c.b + d.b + e.b = 31 AND a.b | b.b | c.b | d.b | e.b = 31
+),
+steps AS (SELECT o, s AS step, bits[s] AS own, list_sum(list_slice(bits, 1, s)) - bits[s] AS before
+          FROM orders, range(1, 6) r(s)),
+told AS (
+  SELECT part, o, step, own, sum(CASE WHEN mask & CAST(before + own AS INTEGER) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & own > 0 AND mask & CAST(before AS INTEGER) = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & own > 0 AND mask & CAST(before AS INTEGER) > 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & own > 0 AND mask & CAST(before AS INTEGER) = 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & own > 0 AND mask & CAST(before AS INTEGER) = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cell, steps GROUP BY part, o, step, own
+)
+SELECT part, o AS filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM told
+"""
+
+ORACLES: dict[str, str] = {"op4_decontamination": _OP4, "op8_substring_dedup": _OP8, "op11_source_divergence": _OP11,
+                           "op13_filter_audit": _OP13}

@@ -18,7 +18,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_registered():
     names = E.queries()
-    assert [n for n in names if n.startswith("op")] and {f"op{i}" for i in range(1, 11)} == {
+    assert [n for n in names if n.startswith("op")] and {f"op{i}" for i in range(1, 14)} == {
         n.split("_")[0] for n in names if n.startswith("op")}
     assert "pipeline" in names and set(E.oracle_sql()) <= set(names)
 
