@@ -4,7 +4,7 @@ import sys
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tools"), os.path.dirname(os.path.abspath(__file__))]
 
 from llm_rows import AWKWARD  # noqa: E402
 from quoteline.llm.common import importable  # noqa: E402
