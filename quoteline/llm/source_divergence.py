@@ -12,9 +12,9 @@ sum of ``f`` over all kept terms for every two sources of a language, ``term`` r
 uses more than its language does.  All arithmetic is exact (decimals for ``p``, integers for ``f``).
 
 *Distribution.*  Counts stay sparse: one row for each (lang, source, term) that occurs.  Pairs of sources
-are compared in blocks of about ``BLOCK`` sources by slices of the language's terms, at most about ``CELLS`` numbers a
-task; terms that neither source has all add the same ``f``, so their number is enough.  A hot
-source is no larger than another one after the first sum; rows a task are bounded by block and slice.
+are compared in blocks of about ``BLOCK`` sources by slices of about ``SLICE`` of the language's terms, so the rows of a task
+are bounded by block and slice; terms that neither source has all add the same ``f``, so their number is enough.
+A hot source is no larger than another one after the first sum.
 
 Edge cases: null text, lang and source are ``''``; rows count as documents, so repeated rows (or ids) count again;
 a group without terms has count 0 for every kept term; without kept terms (``V = 0``) pairs have value 0
@@ -36,8 +36,8 @@ from .common import released, stored
 
 #: Terms that a task holds before it hands on what it has counted, and their bytes.
 HELD_TERMS, HELD_BYTES = 200_000, 32_000_000
-#: Sources of a block, and numbers of a block pair's slice.
-BLOCK, CELLS = 128, 1 << 21
+#: Sources of a block, and terms of a slice.
+BLOCK, SLICE = 128, 8_192
 
 _BLANKED = bytes(
     c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
@@ -154,11 +154,11 @@ def _compare(left: pa.Table, right: pa.Table) -> pa.Table:
     })
 
 
-def _pairs(kept: DataFrame, groups: DataFrame, block: int, cells: int) -> DataFrame:
+def _pairs(kept: DataFrame, groups: DataFrame, block: int, slice_terms: int) -> DataFrame:
     """``value`` of every two sources of a language, once in each direction."""
     sizes = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("s"), F.max("v").alias("v"))
     sizes = sizes.selectExpr("lang", f"CAST(ceil(s / {block}) AS INT) AS blocks",
-                             f"CAST(greatest(1, ceil(v * least(s, {2 * block}) / {cells})) AS INT) AS slices")
+                             f"CAST(greatest(1, ceil(v / {slice_terms})) AS INT) AS slices")
     dealt = "CAST(pmod(xxhash64(source), blocks) AS INT)"
     met = ["lang", "least(block, other) AS low", "greatest(block, other) AS high", "slice", "source"]
     rows = (groups.join(sizes, "lang").selectExpr("*", f"{dealt} AS block", "explode(sequence(0, blocks - 1)) AS other")
@@ -175,7 +175,7 @@ def _pairs(kept: DataFrame, groups: DataFrame, block: int, cells: int) -> DataFr
 
 
 def audit(docs: DataFrame, min_docs: int = 10, top: int = 10, text_col: str = "text", lang_col: str = "lang",
-          source_col: str = "source", block: int = BLOCK, cells: int = CELLS) -> DataFrame:
+          source_col: str = "source", block: int = BLOCK, slice_terms: int = SLICE) -> DataFrame:
     """lang, source, part (``pair`` or ``term``), item, value and rank; see the module's text."""
     counts = stored(term_counts(docs, text_col, lang_col, source_col), "divergence-counts")
     used = counts.where("term IS NOT NULL")
@@ -196,7 +196,7 @@ def audit(docs: DataFrame, min_docs: int = 10, top: int = 10, text_col: str = "t
     def part(df: DataFrame, name: str) -> DataFrame:
         return df.select("lang", "source", F.lit(name).alias("part"), "item", "value", F.row_number().over(order).alias("rank"))
 
-    return part(_pairs(kept, groups, block, cells), "pair").unionByName(part(over, "term").where(F.col("rank") <= top))
+    return part(_pairs(kept, groups, block, slice_terms), "pair").unionByName(part(over, "term").where(F.col("rank") <= top))
 
 
 def brute_force(rows, min_docs: int = 10, top: int = 10) -> set[tuple]:

@@ -42,7 +42,7 @@ def _divergence(sp, rows, **more):
     return {tuple(r) for r in source_divergence.audit(df, **more).collect()}
 
 
-@pytest.mark.parametrize("sizes", [{}, {"block": 1, "cells": 3}, {"block": 2, "cells": 8}])
+@pytest.mark.parametrize("sizes", [{}, {"block": 1, "slice_terms": 3}, {"block": 2, "slice_terms": 5}])
 def test_divergence_is_its_definition(sp, sizes):
     rows = _sources(150)
     want = source_divergence.brute_force(rows)
