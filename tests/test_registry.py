@@ -308,3 +308,220 @@ def test_sql_over_leaves_no_view(spark):
     got = sql_over(spark, {"ORDERS": spark.range(10)}, "SELECT count(*) AS n FROM {ORDERS} WHERE id >= :low", {"low": 4})
     assert got.first()["n"] == 6 and spark.table("ORDERS").count() == 3
     spark.catalog.dropTempView("ORDERS")
+
+
+def _many_sources(spark, folder, sizes):
+    """Sources of the given numbers of rows, laid out by one write."""
+    rows = [(k, 1, 1, 1000 + k, 0, 66, 10, 5, 0, None, None, 1, name) for name, n in sizes.items() for k in range(n)]
+    columns = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in ORDERS_SCHEMA.fields] + ["src string"])
+    spark.createDataFrame(rows, columns).coalesce(3).write.partitionBy("src").parquet(f"{folder}/all")
+    for name in sizes:
+        os.makedirs(f"{folder}/{name}.h5/ORDERS")
+        os.rename(f"{folder}/all/src={name}", f"{folder}/{name}.h5/ORDERS/d")
+    return [f"{folder}/{name}.h5" for name in sizes]
+
+
+def _files(path):
+    import glob
+
+    return len(glob.glob(f"{path}/*.parquet"))
+
+
+def test_dealt_import_writes_few_files_a_source(spark, workdir):
+    """A source with half of the rows is spread over half of the tasks, each small one is one file."""
+    sizes = {f"S{i:02d}": 20 for i in range(30)} | {"HOT1": 600}
+    catalog = Catalog(spark, f"{workdir}/catalog")
+    written = import_dataset(spark, catalog, _many_sources(spark, f"{workdir}/in", sizes), tables=["ORDERS"], partitions=8)
+    assert {n: _files(p) for n, p in written.items()} == {f"{s}_ORDERS": 4 if s == "HOT1" else 1 for s in sizes}
+    for s, n in sizes.items():
+        assert spark.read.parquet(catalog.dataset(f"{s}_ORDERS")["filepath"]).count() == n
+
+
+def test_rebalanced_import_splits_large_and_joins_small_sources(spark, workdir):
+    sizes = {f"S{i:02d}": 20 for i in range(12)} | {"HOT1": 20_000}
+    sources = _many_sources(spark, f"{workdir}/in", sizes)
+    # a file is a task here, as Spark splits a large exchange by the tasks that have written it
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.files.maxPartitionBytes": "20k",
+                "spark.sql.files.openCostInBytes": "20k"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        written = import_dataset(spark, Catalog(spark, f"{workdir}/catalog"), sources, tables=["ORDERS"])
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    files = {n: _files(p) for n, p in written.items()}
+    assert files.pop("HOT1_ORDERS") > 1 and set(files.values()) == {1}
+    assert spark.read.parquet(written["HOT1_ORDERS"]).count() == 20_000
+
+
+def test_import_jobs_do_not_grow_with_the_sources(spark, workdir):
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(n):
+        group = f"import-{n}-{os.path.basename(workdir)}"
+        sources = _many_sources(spark, f"{workdir}/in{n}", {f"N{n}x{i}": 3 for i in range(n)})
+        catalog = Catalog(spark, f"{workdir}/catalog{n}")
+        spark.sparkContext.setJobGroup(group, "import")
+        try:
+            written = import_dataset(spark, catalog, sources, tables=["ORDERS"])
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert len(written) == n and catalog.datasets().count() == n
+        return len(tracker.getJobIdsForGroup(group))
+
+    # one job more than that: Spark lists more than 32 folders with a job of its own
+    few, many = jobs(2), jobs(60)
+    assert many <= few + 4
+
+
+def test_import_finds_a_column_that_single_files_lack(spark, workdir):
+    sources = _many_sources(spark, f"{workdir}/in", {"AA": 3, "BB": 3})
+    spark.read.parquet(f"{sources[1]}/ORDERS/d").drop("price").write.parquet(f"{sources[1]}/ORDERS/e")
+    catalog = Catalog(spark, f"{workdir}/catalog")
+    with pytest.raises(CatalogError, match="missing columns .*price.*BB.h5/ORDERS/e"):
+        import_dataset(spark, catalog, sources, tables=["ORDERS"])
+    assert catalog.datasets().count() == 0
+
+
+def test_import_takes_integers_of_different_widths(spark, workdir):
+    sources = _many_sources(spark, f"{workdir}/in", {"AA": 3, "BB": 2})
+    narrow = spark.read.parquet(f"{sources[1]}/ORDERS/d")
+    narrow.selectExpr(*(f"cast({c} as bigint) as {c.upper()}" for c in narrow.columns)).write.parquet(f"{workdir}/in/CC.h5/ORDERS/d")
+    written = import_dataset(spark, Catalog(spark, f"{workdir}/catalog"), [*sources, f"{workdir}/in/CC.h5"], tables=["ORDERS"])
+    back = spark.read.parquet(written["CC_ORDERS"])
+    assert back.schema == ORDERS_SCHEMA and sorted(r["id"] for r in back.collect()) == [0, 1]
+
+
+def test_sources_without_rows_share_an_empty_dataset(spark, workdir):
+    sources = _many_sources(spark, f"{workdir}/in", {"AA": 3})
+    for name in ("E1", "E2"):
+        spark.createDataFrame([], ORDERS_SCHEMA).write.parquet(f"{workdir}/in/{name}.h5/ORDERS/d")
+        sources.append(f"{workdir}/in/{name}.h5")
+    catalog = Catalog(spark, f"{workdir}/catalog")
+    import_dataset(spark, catalog, sources, tables=["ORDERS"])
+    for name, n in (("AA", 3), ("E1", 0), ("E2", 0)):
+        back = spark.read.parquet(catalog.dataset(f"{name}_ORDERS")["filepath"])
+        assert back.schema == ORDERS_SCHEMA and back.count() == n
+
+
+def test_every_missing_source_folder_is_reported(spark, workdir):
+    sources = _many_sources(spark, f"{workdir}/in", {"AA": 1, "BB": 1, "CC": 1})
+    with pytest.raises(CatalogError) as caught:
+        import_dataset(spark, Catalog(spark, f"{workdir}/catalog"), sources, tables=["ORDERS", "TRADES"])
+    assert all(f"{s}/TRADES" in str(caught.value) for s in sources)
+
+
+def test_second_of_two_writers_is_refused(spark, workdir):
+    """Both check the name while it is free; the one that records later is told that it is taken."""
+    df = spark.createDataFrame(ORDERS, ORDERS_SCHEMA)
+    one, two = Catalog(spark, f"{workdir}/catalog"), Catalog(spark, f"{workdir}/catalog")
+    register_builtin_modules(one)
+    one.create_dataset("parent", "p", "")
+    known = two.known(["a", "parent"], ["EventCount"])  # the second writer's check
+    version = two.version("datasets")
+    two.check_new_datasets(["b"])
+    save_features(one, df, f"{workdir}/one", "a", "EventCount", {}, ["parent"])
+    one.create_datasets([dict(name="b", filepath="b1", schema="")])
+    with pytest.raises(CatalogError, match="name taken: a"):
+        save_features(two, df, f"{workdir}/two", "a", "EventCount", {}, ["parent"], known=known)
+    with pytest.raises(CatalogError, match="name taken: b"):
+        two.create_datasets([dict(name="b", filepath="b2", schema="")], checked=version)
+    with pytest.raises(CatalogError, match="name taken: EventCount"):
+        two.register_module("EventCount", "x:y")
+    assert two.dataset("a")["filepath"] == f"{workdir}/one/a.parquet" and two.dataset("b")["filepath"] == "b1"
+    assert one.log("datasets").where("name in ('a', 'b')").count() == 2
+
+
+def test_writers_take_turns(spark, workdir):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def record(i):
+        try:
+            Catalog(spark, f"{workdir}/catalog").create_dataset("same", f"path{i}", "")
+            return i
+        except CatalogError:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        winners = [i for i in pool.map(record, range(4)) if i is not None]
+    catalog = Catalog(spark, f"{workdir}/catalog", lock_wait=0.2)
+    assert len(winners) == 1 and catalog.dataset("same")["filepath"] == f"path{winners[0]}"
+    other = Catalog(spark, f"{workdir}/catalog")
+    with other.writing():
+        with pytest.raises(CatalogError, match="being changed by"):
+            catalog.create_dataset("late", "p", "")
+    catalog.create_dataset("late", "p", "")
+    # the lock of a writer that died
+    assert other._create("gone", "_lock")
+    catalog.break_lock()
+    catalog.drop_dataset("late")
+
+
+def test_snapshot_and_tail_give_the_same_state(spark, workdir):
+    catalog = Catalog(spark, f"{workdir}/catalog")
+    register_builtin_modules(catalog)
+    df = spark.createDataFrame(ORDERS, ORDERS_SCHEMA)
+    for name in ("a", "b", "c"):
+        catalog.create_dataset(name, f"p/{name}", "")
+    save_features(catalog, df, f"{workdir}/f", "feat", "EventCount", {"k": 1}, ["a", "b"])
+    catalog.drop_dataset("c")
+
+    def state():
+        return (sorted((r["name"], r["id"], r["filepath"]) for r in catalog.datasets().collect()),
+                sorted((r["name"], r["id"]) for r in catalog.analyses().collect()),
+                sorted(map(tuple, catalog.lineage().collect())))
+
+    before = state()
+    assert catalog.generation() == 0 and catalog.snapshot() == 1 and state() == before
+    old = {f for f in spark.read.parquet(catalog.path("datasets")).inputFiles()}
+    assert not old & set(catalog.log("datasets").inputFiles())  # the earlier log is not read any more
+    catalog.drop_dataset("b")
+    catalog.drop_module("Liquid")
+    catalog.create_dataset("c", "p/c2", "")
+    with pytest.raises(CatalogError, match="name taken"):
+        catalog.create_dataset("a", "p", "")
+    catalog.record_datasets(spark.createDataFrame([("bulk", "p/bulk")], "name string, filepath string"))
+    assert catalog.dataset("c")["filepath"] == "p/c2" and catalog.dataset("b") is None
+    middle = state()
+    assert [n for n, *_ in middle[0]] == ["a", "bulk", "c", "feat"] and len(middle[2]) == 1
+    # a snapshot that died before its marker is never read, and the next one takes its place
+    spark.createDataFrame(df.limit(1).collect(), df.schema).write.parquet(f"{workdir}/catalog/snapshot-2/datasets")
+    assert state() == middle and catalog.snapshot() == 2 and state() == middle
+    assert Catalog(spark, f"{workdir}/catalog").known(["a", "b"]).inputs(["a"])["a"]["filepath"] == "p/a"
+
+
+def test_orphans_are_listed_and_written_over(spark, workdir, monkeypatch):
+    from quoteline.sources.sinks import orphan_folders
+
+    catalog = Catalog(spark, f"{workdir}/catalog")
+    register_builtin_modules(catalog)
+    df = spark.createDataFrame(ORDERS, ORDERS_SCHEMA)
+    files = f"{workdir}/files"
+    assert orphan_folders(catalog, files).count() == 0  # nothing there yet
+    save_dataset(catalog, df, files, "orders", "/in/AB00.h5")
+    save_dataset(catalog, df, f"file:{files}/", "trades", "/in/AB00.h5")
+    with monkeypatch.context() as m:  # the run dies after the write
+        m.setattr(Catalog, "create_datasets", lambda *a, **k: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            save_features(catalog, df, files, "feat", "EventCount", {}, ["AB00_ORDERS"])
+        with pytest.raises(KeyboardInterrupt):
+            import_source = f"{workdir}/in/EF02.h5"
+            _book(spark, import_source, ORDERS)
+            import_dataset(spark, catalog, [import_source], files, tables=["ORDERS"])
+    found = {r["folder"]: r for r in orphan_folders(catalog, files).collect()}
+    lost = [f for f in found if f.startswith(f"{files}/import-") and f.endswith("/ORDERS/identifier=EF02")]
+    assert len(lost) == 1 and set(found) == {f"{files}/feat.parquet", lost[0]}
+    assert all(r["files"] > 0 and r["bytes"] > 0 for r in found.values())
+    with pytest.raises(RuntimeError, match="cannot write"):
+        save_features(catalog, df, files, "feat", "EventCount", {}, ["AB00_ORDERS"])
+    path = save_features(catalog, df.limit(2), files, "feat", "EventCount", {}, ["AB00_ORDERS"], over_orphan=True)
+    assert spark.read.parquet(path).count() == 2
+    assert [r["folder"] for r in orphan_folders(catalog, files).collect()] == lost
+    # what is recorded is never written over
+    catalog.create_dataset("elsewhere", f"file:{files}/other.parquet/part", "")
+    for name in ("other",):
+        with pytest.raises(RuntimeError, match="a recorded dataset lies there"):
+            save_features(catalog, df, files, name, "EventCount", {}, ["AB00_ORDERS"], over_orphan=True)
+    catalog.drop_dataset("AB00_TRADES")
+    assert f"{files}/AB00/AB00_TRADES.parquet" in {r["folder"] for r in orphan_folders(catalog, files).collect()}
