@@ -10,10 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
+#: Parent names in one array.
+PAGE_SIZE = 1_000
+
 
 class CatalogError(RuntimeError):
     """A catalogue rule is broken: unknown or duplicate name, missing module, missing input."""
@@ -70,18 +75,18 @@ def search_datasets(datasets: DataFrame, analyses: DataFrame, lineage: DataFrame
 
 def dataset_listing(datasets: DataFrame, analyses: DataFrame, lineage: DataFrame, pattern: str = "") -> DataFrame:
     """C4 as the full listing: each matching dataset with its description and details and, for
-    feature sets, the module name, the module parameters and the sorted parent names (null for
-    imported datasets).  Parent lists are bounded by the inputs of the producing run."""
+    feature sets, the module name, the module parameters, the first :data:`PAGE_SIZE` parent names in order
+    and the number of all parents (null for imported datasets); :func:`parent_pages` gives the others."""
     hits = datasets.where(contains_match(F.col("name"), pattern))
     modules = analyses.select(F.col("id").alias("module_id"), F.col("name").alias("module_name"))
     # only the edges of matching feature sets are aggregated (semi join before the grouping)
     hit_edges = lineage.join(hits.select(F.col("id").alias("left_fs_id")), "left_fs_id", "left_semi")
-    parents = dataset_parents(datasets, hit_edges).select("id", "parent_names")
+    parents = dataset_parents(datasets, hit_edges).select("id", "parent_names", "n_parents")
     extra = [c for c in ("description", "details", "module_parameters") if c in datasets.columns]
     return (
         hits.join(modules, "module_id", "left")
         .join(parents, "id", "left")
-        .select("id", "name", *extra, "module_name", "parent_names")
+        .select("id", "name", *extra, "module_name", "parent_names", "n_parents")
     )
 
 
@@ -99,21 +104,48 @@ def parent_edges(datasets: DataFrame, lineage: DataFrame) -> DataFrame:
     )
 
 
-def dataset_parents(datasets: DataFrame, lineage: DataFrame) -> DataFrame:
-    """J3 + A4: for each feature set, its parent names (sorted) and their number.
+def dataset_parents(datasets: DataFrame, lineage: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """J3 + A4: for each feature set, its parent names (sorted; the first ``page_size`` of them) and the
+    number of all its parents.
 
-    The array of one feature set is gathered in one task.  For sets made by a run it is as long as the
-    list of inputs the user named; for lineage from elsewhere use :func:`parent_edges`, the long form,
-    which gathers nothing.
+    Sets made by a run have few parents (the inputs that the user named).  For others no array grows with them:
+    the names are limited by rank, before the exchange too (each task hands on ``page_size`` names a set at most), and
+    the number is counted apart.  :func:`parent_pages` gives all names.
     """
     names = datasets.select("id", "name")
-    parents = lineage.join(names.withColumnRenamed("id", "right_ds_id").withColumnRenamed("name", "parent_name"),
-                           "right_ds_id")
-    per_set = parents.groupBy(F.col("left_fs_id").alias("id")).agg(
-        F.sort_array(F.collect_list("parent_name")).alias("parent_names"),
-        F.count(F.lit(1)).alias("n_parents"),
-    )
-    return names.join(per_set, "id")
+    parents = lineage.join(names.selectExpr("id AS right_ds_id", "name AS parent_name"), "right_ds_id").select(
+        F.col("left_fs_id").alias("id"), "parent_name")
+    order = Window.partitionBy("id").orderBy("parent_name")
+    first = (parents.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= page_size)
+             .groupBy("id").agg(F.sort_array(F.collect_list("parent_name")).alias("parent_names")))
+    counts = parents.groupBy("id").agg(F.count(F.lit(1)).alias("n_parents"))
+    return names.join(first.join(counts, "id"), "id")
+
+
+def parent_pages(datasets: DataFrame, lineage: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """A4 for sets of any number of parents: ``id``, ``page`` (from 0), ``parent_names`` (at most ``page_size``, in
+    order over all pages of the set) and ``n_parents`` of the whole set.
+
+    The rank of a parent is found in two steps, so that no task holds a set: the edges are ranged by (set,
+    name) and written to the shared checkpoint folder; within a range they are numbered, and the counts of the
+    ranges before (one row a set and range) give the offset.
+    """
+    if page_size < 1:
+        raise ValueError("page_size must be positive")
+    parents = parent_edges(datasets, lineage).select("id", "parent_id", "parent_name")
+    n = int(datasets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the range of a row must not change between its two uses, so it is stored with it
+    ranged = cut_lineage(parents.repartitionByRange(n, "id", "parent_name", "parent_id")
+                         .withColumn("_range", F.spark_partition_id()))
+    by_range = Window.partitionBy("id").orderBy("_range")
+    offsets = ranged.groupBy("id", "_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "id", "_range", F.coalesce(F.sum("_n").over(by_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.sum("_n").over(Window.partitionBy("id")).alias("n_parents"))
+    within = Window.partitionBy("id", "_range").orderBy("parent_name", "parent_id")
+    ranked = ranged.withColumn("_own", F.row_number().over(within)).join(offsets, ["id", "_range"])
+    page = F.expr(f"(_before + _own - 1) DIV {int(page_size)}").alias("page")
+    return ranked.groupBy("id", page).agg(F.sort_array(F.collect_list("parent_name")).alias("parent_names"),
+                                          F.max("n_parents").alias("n_parents"))
 
 
 def dataset_derived(datasets: DataFrame, lineage: DataFrame) -> DataFrame:

@@ -87,21 +87,24 @@ def with_grid_bounds(df: DataFrame, start: int, end: int, interval: int, lo: str
 
 
 def explode_grid(df: DataFrame, lo: str, hi: str, interval: int, out: str = "timestamp",
-                 spread: bool = False) -> DataFrame:
+                 spread: str | None = None) -> DataFrame:
     """One row per grid point from ``lo`` to ``hi`` (inclusive, step ``interval``; ``lo <= hi``).
 
     Two generators: first the blocks of :data:`GRID_BLOCK` points, then the points of each
     block, so a long run never becomes one huge array.  With ``spread`` the block rows are
-    hash-partitioned before the second generator, so one long run is expanded by many tasks.
+    dealt to all tasks before the second generator, so one long run is expanded by many of them:
+    ``"hash"`` deals by all columns (for runs that are distinct), ``"round"`` in turn (also for
+    equal rows, which a hash would send to one task).
     """
     span = interval * GRID_BLOCK
     blocked = df.selectExpr(
         "*", f"explode(sequence(0L, ({hi} - {lo} - pmod({hi} - {lo}, {span}L)) DIV {span}L)) AS _blk"
     ).selectExpr("*", f"{lo} + _blk * {span}L AS _blk_lo")
     if spread:
-        # hash on every column: blocks of different runs never collide on one key
+        # a number given here is kept: joining partitions by their bytes would undo the dealing, as a
+        # block row becomes up to GRID_BLOCK rows
         n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        blocked = blocked.repartition(n, *blocked.columns)
+        blocked = blocked.repartition(n, *(blocked.columns if spread == "hash" else ()))
     points = f"explode(sequence(_blk_lo, least({hi}, _blk_lo + {span - interval}L), {interval}L)) AS {out}"
     keep = [f"`{c}`" for c in df.columns]
     return blocked.selectExpr(*keep, points)
@@ -120,11 +123,14 @@ def book_orders(df: DataFrame, start, end) -> DataFrame:
 
 def grid_expand(df: DataFrame, start, end, interval) -> DataFrame:
     """G1: one row per (order, grid point where it is live); keeps the order's columns and adds
-    ``timestamp``.  Open orders are resolved first; all side codes are kept."""
+    ``timestamp``.  Open orders are resolved first; all side codes are kept.
+
+    The orders' blocks of grid points are dealt in turn before they are expanded, so a task makes about the
+    same number of rows whether the points belong to one order or to many, equal orders included."""
     start_ms, end_ms, iv = validate_window(start, end, interval, integral=True)
     live = live_orders(df, start_ms, end_ms)
     bounded = with_grid_bounds(live, start_ms, end_ms, iv, lo="_grid_lo", hi="_grid_hi")
-    return explode_grid(bounded, "_grid_lo", "_grid_hi", iv).drop("_grid_lo", "_grid_hi")
+    return explode_grid(bounded, "_grid_lo", "_grid_hi", iv, spread="round").drop("_grid_lo", "_grid_hi")
 
 
 def depth_by_price(df: DataFrame, start, end, interval, chunk_points: int = CHUNK_POINTS) -> DataFrame:
@@ -218,7 +224,7 @@ def depth_by_price(df: DataFrame, start, end, interval, chunk_points: int = CHUN
     if gaps is not None:
         runs = runs.unionByName(gaps)
 
-    spread = (end_ms - start_ms) // iv > 4 * GRID_BLOCK
+    spread = "hash" if (end_ms - start_ms) // iv > 4 * GRID_BLOCK else None
     expanded = explode_grid(runs.where(F.col("lo") <= F.col("hi")), "lo", "hi", iv, spread=spread)
     return expanded.select(
         "timestamp", "side", "price", F.when(F.col("n_valued") > 0, F.col("qty")).alias("quantity")

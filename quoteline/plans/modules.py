@@ -31,9 +31,10 @@ def _required(params: Mapping, *keys: str) -> list:
 def event_count_module(spark: SparkSession, inputs: Mapping[str, DataFrame], params: Mapping) -> DataFrame:
     """Rows per interval of the first input.  Parameters: ``start_time``, ``end_time`` (epoch
     ms or ``YYYY-mm-dd_HH:MM:SS.mmm``), ``interval`` (ms, may be fractional), optional
-    ``time_column`` (default ``created``)."""
+    ``time_column`` (default ``created``) and ``day_column`` (of a dataset saved by day)."""
     start, end, interval = _required(params, "start_time", "end_time", "interval")
-    return event_count(_first(inputs), start, end, interval, time_col=params.get("time_column", "created"))
+    return event_count(_first(inputs), start, end, interval, time_col=params.get("time_column", "created"),
+                       day_col=params.get("day_column"))
 
 
 def liquidity_curve_module(spark: SparkSession, inputs: Mapping[str, DataFrame], params: Mapping) -> DataFrame:

@@ -70,3 +70,23 @@ def test_latest_state(spark):
     )
     got = cat.latest_state(log, "k", ["ts", "seq"], F.col("drop"), ["ts", "seq"])
     assert sorted(tuple(r) for r in got.collect()) == [("b", 1, 2), ("c", 5, 1)]
+
+
+def test_parent_pages_of_a_large_set(spark):
+    """More parents than a page: no array is longer than one, and the pages follow each other in order."""
+    n = 2_500
+    datasets = spark.range(n + 3).selectExpr("id", "concat('d', lpad(CAST(id * 7 % 100 AS STRING), 3, '0')) AS name")
+    lineage = (spark.range(n).selectExpr(f"{n}L AS left_fs_id", "id AS right_ds_id")
+               .unionByName(spark.createDataFrame([(n + 1, 5), (n + 1, 6), (n + 1, 99_999), (77_777, 5)], "left_fs_id long, right_ds_id long")))
+    names = {r["id"]: r["name"] for r in datasets.collect()}
+    pages = {(r["id"], r["page"]): r for r in cat.parent_pages(datasets, lineage, 100).collect()}
+    assert sorted(pages) == [(n, p) for p in range(25)] + [(n + 1, 0)]
+    assert all(len(r["parent_names"]) <= 100 for r in pages.values())
+    whole = [x for p in range(25) for x in pages[n, p]["parent_names"]]
+    assert whole == sorted(names[i] for i in range(n)) and {r["n_parents"] for r in pages.values()} == {n, 2}
+    assert pages[n + 1, 0]["parent_names"] == sorted([names[5], names[6]])
+    first = {r["id"]: r for r in cat.dataset_parents(datasets, lineage, 100).collect()}
+    assert first[n]["parent_names"] == whole[:100] and first[n]["n_parents"] == n
+    assert first[n + 1]["n_parents"] == 2 and len(first) == 2
+    with pytest.raises(ValueError):
+        cat.parent_pages(datasets, lineage, 0)

@@ -1,5 +1,6 @@
 from collections import defaultdict
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -216,3 +217,18 @@ def test_grid_expand_keeps_caller_columns(spark):
     out = liq.grid_expand(df, 1000, 1300, 100)
     assert out.columns == ["created", "destroyed", "side", "price", "quantity", "note", "lo", "hi", "timestamp"]
     assert sorted((r["timestamp"], r["lo"], r["hi"]) for r in out.collect()) == [(1000, 7, 8), (1100, 7, 8), (1200, 7, 8)]
+
+
+def _rows_by_task(df):
+    return [r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+
+
+@pytest.mark.parametrize("orders, points", [(1, 300_000), (20_000, 20)])
+def test_grid_points_are_dealt_over_all_tasks(spark, orders, points):
+    """One order over the whole grid, or many equal orders of one task: no task expands twice its share."""
+    book = spark.range(orders).coalesce(1).selectExpr(
+        "0L AS created", f"{points}L AS destroyed", "66 AS side", "10 AS price", "1 AS quantity")
+    got = liq.grid_expand(book, 0, points, 1)
+    tasks = _rows_by_task(got)
+    assert sum(tasks) == orders * points
+    assert max(tasks) < 2 * sum(tasks) / int(spark.conf.get("spark.sql.shuffle.partitions"))
