@@ -8,6 +8,8 @@ instead of generated grids, ``string_agg`` instead of array sorting, ``row_numbe
 
 from __future__ import annotations
 
+import datetime
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -31,12 +33,13 @@ from quoteline.functions.timegrid import (  # noqa: E402
 from quoteline.operators import catalog as cat  # noqa: E402
 from quoteline.operators import liquidity as liq  # noqa: E402
 from quoteline.operators.event_count import event_count, time_range  # noqa: E402
+from quoteline.operators.ordering import with_positions  # noqa: E402
 from quoteline.plans.runner import register_builtin_modules, run_analysis, sql_over  # noqa: E402
-from quoteline.session import scratch_path  # noqa: E402
+from quoteline.session import cut_lineage, scratch_path  # noqa: E402
 from quoteline.sources import bookmap  # noqa: E402
 from quoteline.sources.importing import import_dataset  # noqa: E402
 from quoteline.sources.registry import Catalog  # noqa: E402
-from quoteline.sources.sinks import save_dataset, save_features  # noqa: E402
+from quoteline.sources.sinks import orphan_folders, save_by_day, save_dataset, save_features  # noqa: E402
 from quoteline.streaming.ingest import ingest_table  # noqa: E402
 
 # Fixed query parameters (epoch ms).  Event count: 2024-01-01 00:00:00.500 to 2024-01-21, hourly.
@@ -47,6 +50,8 @@ LONG_INTERVAL = 75000  # over the same range: 69,120 grid points
 FEATURE_PARAMS = {"start_time": EVENTS_START, "end_time": EVENTS_END, "interval": EVENTS_INTERVAL, "time_column": "ts"}
 SEARCH_PATTERN = "RED"
 MODULE_PATTERN = "a"
+PARENTS_A_PAGE = 8  # most parts have more suppliers than that
+N_SOURCES = 300
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 
 
@@ -359,13 +364,122 @@ def q_catalog_features(spark, d):
 
 def q_catalog_after_drops(spark, d):
     # one dataset and one module dropped (C7, C8): what is left, and the lineage without the dropped parent
-    catalog, ends, regions = _part_catalog(spark, d)
+    return _after_drops(*_part_catalog(spark, d))
+
+
+def _after_drops(catalog, ends, regions):
     catalog.drop_dataset(ends["first"])
     catalog.drop_module(min(regions))
     datasets = catalog.list_datasets().select(F.lit("dataset").alias("kind"), "name", F.array_join("parent_names", "|").alias("parents"))
     return datasets.unionByName(catalog.analyses().select(F.lit("module").alias("kind"), "name", F.lit(None).cast("string").alias("parents")))
 
 
+def q_event_count_order(spark, d):
+    # the sorted result with each row's place in it (O1)
+    return with_positions(q_event_count(spark, d))
+
+
+def q_liquidity_curve_order(spark, d):
+    # the sorted curve: place and number of price levels of each grid point (O3)
+    curve = liq.liquidity_curve(bookmap.curve_orders(spark, d, CURVE_END), CURVE_START, CURVE_END, CURVE_INTERVAL)
+    return with_positions(curve).select("position", "timestamp", F.size("curve_buy").alias("n_buy"), F.size("curve_sell").alias("n_sell"))
+
+
+def q_grid_expand_one_order(spark, d):
+    # one order over the whole long grid, made of all order lines (first creation, quantities summed): its points
+    # are dealt over all tasks block by block
+    one = bookmap.book_orders(spark, d).agg(
+        F.min("created").alias("created"), F.lit(CURVE_END).cast("long").alias("destroyed"), F.lit(liq.BUY).alias("side"),
+        F.max("price").alias("price"), F.sum("quantity").alias("quantity"))
+    rows = liq.grid_expand(one, CURVE_START, CURVE_END, LONG_INTERVAL)
+    return rows.groupBy("side", "price").agg(*_level_sums())
+
+
+def q_dataset_parent_pages(spark, d):
+    datasets, lineage = _datasets_lineage(spark, d)
+    pages = cat.parent_pages(datasets, lineage, PARENTS_A_PAGE)
+    return pages.select("id", "page", F.array_join("parent_names", "|").alias("parents"), "n_parents")
+
+
+def q_import_many_sources(spark, d):
+    # every order line in one of some hundred sources by customer, all buys in one large source; read back by the paths recorded
+    root, catalog = _fresh_catalog(spark, "import-sources")
+    source = F.when(F.col("side") == liq.BUY, "hot").otherwise(F.concat(F.lit("c"), (F.col("p_id") % N_SOURCES).cast("string")))
+    bookmap.book_orders(spark, d).withColumn("src", source).hint("rebalance", "src").write.partitionBy("src").parquet(f"{root}/laid")
+    # the sources' own folders: <identifier>.src/ORDERS
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    fs = place(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    sources = []
+    for status in fs.listStatus(place(f"{root}/laid")):
+        name = status.getPath().getName()
+        if name.startswith("src="):
+            sources.append(f"{root}/incoming/{name[4:]}.src")
+            fs.mkdirs(place(sources[-1]))
+            fs.rename(status.getPath(), place(f"{sources[-1]}/ORDERS"))
+    import_dataset(spark, catalog, sources, tables=["ORDERS"], partitions=16)
+    paths = [r["filepath"] for r in catalog.datasets().select("filepath").collect()]  # one for each source given
+    return spark.read.option("basePath", os.path.dirname(paths[0])).parquet(*paths)
+
+
+def q_event_count_by_day(spark, d):
+    # events saved by day, then counted by the module's name: only the days of the range are read
+    root, catalog = _fresh_catalog(spark, "events-by-day")
+    register_builtin_modules(catalog)
+    save_by_day(catalog, _events(spark, d).select("event_id", "ts"), f"{root}/files", "events", f"{root}/log.src", "ts")
+    params = {"start_time": EVENTS_START, "end_time": EVENTS_END, "interval": EVENTS_INTERVAL, "time_column": "ts", "day_column": "day"}
+    return run_analysis(spark, catalog, "EventCount", params, ["log_EVENTS"])
+
+
+def q_catalog_snapshot_tail(spark, d):
+    # catalog_after_drops read from a snapshot and the log after it
+    catalog, ends, regions = _part_catalog(spark, d)
+    catalog.snapshot()
+    return _after_drops(catalog, ends, regions)
+
+
+def q_catalog_two_writers(spark, d):
+    # two writers check the names of all parts while they are free; the second to record is refused, the first one's rows stay
+    root, first = _fresh_catalog(spark, "two-writers")
+    second = Catalog(spark, first.root)
+    names = bookmap.catalog_datasets(spark, d).select("name")
+    second.check_new_datasets(names)
+    first.record_datasets(names.withColumn("filepath", F.lit("first")))
+    try:
+        second.record_datasets(names.withColumn("filepath", F.lit("second")))
+        refused = False
+    except cat.CatalogError:
+        refused = True
+    rows = first.log("datasets").groupBy("name").agg(F.count(F.lit(1)).alias("n_rows"), F.min("filepath").alias("filepath"))
+    return rows.withColumn("refused", F.lit(refused))
+
+
+def q_catalog_row_stamps(spark, d):
+    # time and id of recorded rows, as far as they are determined: written within this run, every id once
+    began = datetime.datetime.now()
+    catalog, _, _ = _part_catalog(spark, d)
+    rows = catalog.datasets().select("name", "id", "created").unionByName(catalog.analyses().select("name", "id", "created"))
+    shared = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    within = F.col("created").between(F.lit(began), F.lit(datetime.datetime.now()))
+    return rows.join(shared, "id").select("name", within.alias("in_run"), (F.col("n") == 1).alias("own_id"))
+
+
+def q_orphan_folders(spark, d):
+    # orders saved by side, two of them recorded and one left by a run that died: listed, then saved again over it
+    root, catalog = _fresh_catalog(spark, "orphans")
+    orders = bookmap.book_orders(spark, d)
+    for name, side in (("buys", liq.BUY), ("sells", liq.SELL)):
+        save_dataset(catalog, orders.where(F.col("side") == side), f"{root}/files", "orders", f"/in/{name}.src")
+    rest = orders.where(~F.col("side").isin(liq.BUY, liq.SELL))
+    rest.write.parquet(f"{root}/files/rest/rest_ORDERS.parquet")  # written, never recorded
+    lost = orphan_folders(catalog, f"{root}/files").select(F.regexp_extract("folder", "[^/]*$", 0).alias("folder"))
+    listed = cut_lineage(lost)  # as it is now
+    path = save_dataset(catalog, rest, f"{root}/files", "orders", "/in/rest.src", over_orphan=True)
+    left = orphan_folders(catalog, f"{root}/files")
+    return (listed.select(F.lit("lost").alias("what"), "folder", F.lit(None).cast("long").alias("n"))
+            .unionByName(spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n")).select(F.lit("saved").alias("what"), F.lit("rest_ORDERS").alias("folder"), "n"))
+            .unionByName(left.agg(F.count(F.lit(1)).alias("n")).select(F.lit("still lost").alias("what"), F.lit("").alias("folder"), "n")))
+
+
 def q_stream_import_roundtrip(spark, d):
     # per-period ORDERS files of two sources picked up by the incremental (streaming) import
     root = scratch_path(spark, "stream-import")
@@ -445,6 +559,16 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "catalog_after_drops": q_catalog_after_drops,
     "run_event_count": q_run_event_count,
     "run_liquidity_curve": q_run_liquidity_curve,
+    "event_count_order": q_event_count_order,
+    "liquidity_curve_order": q_liquidity_curve_order,
+    "event_count_by_day": q_event_count_by_day,
+    "grid_expand_one_order": q_grid_expand_one_order,
+    "dataset_parent_pages": q_dataset_parent_pages,
+    "import_many_sources": q_import_many_sources,
+    "catalog_snapshot_tail": q_catalog_snapshot_tail,
+    "catalog_two_writers": q_catalog_two_writers,
+    "catalog_row_stamps": q_catalog_row_stamps,
+    "orphan_folders": q_orphan_folders,
 }
 
 
@@ -453,9 +577,10 @@ def entry(spark: SparkSession) -> DataFrame:
     return liq.liquidity_curve(bookmap.book_orders(spark, FLAGSHIP_DIR), CURVE_START, CURVE_END, CURVE_INTERVAL)
 
 
-# The training-data operators and the pipeline over them are optional: without their files the
-# queries above stand alone.  An import error inside those files is not hidden.
-_LLM = all(os.path.exists(os.path.join(_HERE, p)) for p in ("quoteline/llm/queries.py", "corpus_pipeline.py"))
+# The training-data operators and the pipeline over them are optional: without their files, or without the libraries
+# that they need, the queries above stand alone.  An import error inside those files is not hidden.
+_LLM = all(os.path.exists(os.path.join(_HERE, p)) for p in ("quoteline/llm/queries.py", "corpus_pipeline.py")) and all(
+    importlib.util.find_spec(m) for m in ("numpy", "pyarrow", "xxhash"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -701,6 +826,41 @@ _ORACLES["catalog_after_drops"] = _PART_CATALOG + """
         UNION ALL SELECT 'module', r_name, NULL FROM region WHERE r_name <> (SELECT min(r_name) FROM region)
         UNION ALL SELECT 'module', unnest(['EventCount', 'Liquid']), NULL"""
 
+_ORACLES["event_count_by_day"] = _ORACLES["event_count"]
+_ORACLES["event_count_order"] = "WITH c AS (" + _ORACLES["event_count"] + """)
+        SELECT "timestamp", "count", row_number() OVER (ORDER BY "timestamp") AS position FROM c"""
+_ORACLES["liquidity_curve_order"] = "WITH " + _DEPTH + """,
+        c AS (
+          SELECT "timestamp", CAST(count(*) FILTER (WHERE side = 66) AS INTEGER) AS n_buy,
+                 CAST(count(*) FILTER (WHERE side = 83) AS INTEGER) AS n_sell
+          FROM depth GROUP BY "timestamp"
+        )
+        SELECT row_number() OVER (ORDER BY "timestamp") AS position, "timestamp", n_buy, n_sell FROM c WHERE n_buy > 0 AND n_sell > 0"""
+_ORACLES["grid_expand_one_order"] = "WITH " + _BOOK + "," + _LONG + f""",
+one AS (SELECT min(created) AS created, max(price) AS price, sum(quantity) AS quantity FROM book),
+x AS (SELECT 66 AS side, price, quantity, t AS "timestamp" FROM one JOIN long_grid ON created <= t AND t < {CURVE_END})""" + _LEVEL_SUMS
+_ORACLES["dataset_parent_pages"] = "WITH " + _CATALOG + f""",
+ranked AS (
+  SELECT f.id, p.name, (row_number() OVER (PARTITION BY f.id ORDER BY p.name, p.id) - 1) // {PARENTS_A_PAGE} AS page,
+         count(*) OVER (PARTITION BY f.id) AS n_parents
+  FROM lin l JOIN ds f ON f.id = l.left_fs_id JOIN ds p ON p.id = l.right_ds_id
+)
+        SELECT id, page, string_agg(name, '|' ORDER BY name) AS parents, n_parents FROM ranked GROUP BY id, page, n_parents"""
+_ORACLES["import_many_sources"] = _ORACLES["import_orders"].replace(
+    "new_id, p_id FROM book",
+    f"new_id, p_id, CASE WHEN side = 66 THEN 'hot' ELSE 'c' || (p_id % {N_SOURCES}) END AS identifier FROM book")
+_ORACLES["catalog_snapshot_tail"] = _ORACLES["catalog_after_drops"]
+_ORACLES["catalog_two_writers"] = _PART_CATALOG + """
+        SELECT name, CAST(1 AS BIGINT) AS n_rows, 'first' AS filepath, true AS refused FROM names"""
+_ORACLES["catalog_row_stamps"] = _PART_CATALOG + """
+        SELECT name, true AS in_run, true AS own_id FROM names
+        UNION ALL SELECT unnest(['events_hourly', 'EventCount', 'Liquid']), true, true
+        UNION ALL SELECT r_name, true, true FROM region"""
+_ORACLES["orphan_folders"] = "WITH " + _BOOK + """
+        SELECT 'lost' AS what, 'rest_ORDERS.parquet' AS folder, CAST(NULL AS BIGINT) AS n
+        UNION ALL SELECT 'saved', 'rest_ORDERS', count(*) FROM book WHERE side NOT IN (66, 83)
+        UNION ALL SELECT 'still lost', '', 0"""
+
 
 def oracle_sql() -> dict[str, str]:
     found = {k: v for k, v in _ORACLES.items() if k in _QUERIES}

@@ -33,14 +33,17 @@ def test_entry_runs(spark):
     "filter_live_orders", "grid_expand", "depth_by_price", "liquidity_curve", "search_datasets",
     "dataset_parents", "resolve_inputs", "current_datasets", "run_event_count", "missing_inputs",
     "import_cancels_roundtrip", "import_trades_roundtrip", "import_partitioned_roundtrip", "stream_import_roundtrip",
-    "depth_long", "catalog_features", "catalog_after_drops",
+    "depth_long", "catalog_features", "catalog_after_drops", "event_count_order", "liquidity_curve_order",
+    "event_count_by_day", "grid_expand_one_order", "dataset_parent_pages", "catalog_snapshot_tail", "catalog_two_writers",
+    "catalog_row_stamps", "orphan_folders", "import_many_sources",
 ])
 def test_query_matches_oracle(spark, name):
     con = duck(SF)
     assert compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF)
 
 
-FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF",
+FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF", "MapInArrow",
+             "FlatMapGroupsInArrow", "FlatMapCoGroupsInArrow", "FlatMapCoGroupsInPandas",
              "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
