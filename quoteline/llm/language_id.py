@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_residents, released, slices
+from .common import drop_residents, release, released, slices
 
 PREDICTION_SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 _PAD = b"\n\n\n"  # context in front of a text
@@ -149,9 +149,16 @@ def train(labelled: DataFrame, max_docs: int = 1500, max_cells: int = 8_000_000,
         .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     if not counted.num_rows:
         return None
-    place = {k: i for i, k in enumerate(languages)}
-    lang = np.array([place[k] for k in counted.column("lang").to_pylist()])
-    return compile_model(languages, lang, counted.column("gram").to_numpy(), counted.column("n").to_numpy(), max_cells)
+    # numbers instead of a text for each of a million rows
+    kinds = counted.column("lang").combine_chunks().dictionary_encode()
+    place = np.array([languages.index(k) for k in kinds.dictionary.to_pylist()])
+    grams = [counted.column(c).to_numpy() for c in ("gram", "n")]
+    lang = place[kinds.indices.to_numpy(zero_copy_only=False)]
+    del counted, kinds
+    model = compile_model(languages, lang, *grams, max_cells)
+    del lang, grams
+    release()
+    return model
 
 
 def predict_texts(model: Model | None, texts: list[str | None]) -> list[tuple[str, float]]:

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_residents, mix, released, slices, stored, stored_and_measured
+from .common import drop_residents, mix, release, released, slices, stored, stored_and_measured
 from .words import sequence_hashes, signed, split_words
 
 CELLS = 1 << 20
@@ -187,6 +187,8 @@ def _document_frequencies(source: DataFrame, shingle: int) -> tuple[np.ndarray,
     out = np.zeros((_SLICES, CELLS // _SLICES), dtype=np.int64)
     for r in found:
         out[r["slice"]] = np.frombuffer(bytes(r["counts"]), dtype=np.int64)
+    del found
+    release()
     return out.reshape(-1), source.count()
 
 
@@ -236,7 +238,7 @@ def _components(edges: DataFrame) -> DataFrame:
     while n:
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         down = large.where("b < a")
         low = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"),
@@ -316,8 +318,6 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, m
     # the text that most copies come from shares the most buckets: it makes the best pivot
     popular = met.groupBy("node").agg(F.sum("n").alias("pop"))
     members = stored(met.select("key", "band", "node", "n").join(popular.join(nodes, "node"), "node"), "near-members")
-    texts = stored(source.select("node", "text").join(popular.select("node"), "node", "left_semi").dropDuplicates(["node"]),
-                   "near-texts")
     parts = stored(popular.select("node", F.col("node").alias("comp")), "near-parts")
     agree, first_band = _agreement("m", "p"), _first_common_band("m", "p")
     width = 1
@@ -340,6 +340,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, m
         pairs, n, _ = stored_and_measured(met_now.select(F.col("m.key").alias("key"), "m.n", F.least("m.node", "p.node").alias("a"),
                                       F.greatest("m.node", "p.node").alias("b")).distinct(), "near-pairs")
         if n:
+            # texts of the nodes that are really compared, a small share of those that share a bucket with others
+            compared = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+            texts = source.select("node", "text").join(compared, "node", "left_semi").dropDuplicates(["node"])
             links, n, _ = stored_and_measured(_verify(pairs, texts, idf, shingle, threshold), "near-links")
             if n:
                 comp = parts.select("node", "comp")
@@ -366,11 +369,19 @@ def one_of_each(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
     inner = docs.toDF(*(f"c{i}" for i in range(len(names))))
     c_id, c_text = (F.col(f"c{names.index(c)}") for c in (id_col, text_col))
     row_id, node, _ = _node_columns(c_id, c_text)
-    first = near_duplicates(docs, threshold, id_col=id_col, text_col=text_col).where("is_first").select("row_id", "node").distinct()
-    keyed = inner.withColumns({"row_id": row_id, "node": node}).join(first, ["row_id", "node"], "left_semi")
-    # the join has put equal rows into one partition: no further shuffle
-    once = keyed.withColumn("n", F.row_number().over(Window.partitionBy("row_id", "node").orderBy(F.lit(0)))).where("n = 1")
-    return once.select(*(f"c{i}" for i in range(len(names)))).toDF(*names)
+    # what goes and what is repeated is far less than what stays: the texts are joined with those rows only, so
+    # they are not exchanged while the rows fit in a broadcast by Spark's own estimate, and once beyond that
+    found = near_duplicates(docs, threshold, id_col=id_col, text_col=text_col)
+    keys = found.groupBy("row_id", "node").agg(F.first("is_first").alias("stays"), F.count(F.lit(1)).alias("n"))
+    marked = stored(keys.where("NOT stays OR n > 1"), "near-marked")
+    keyed = inner.withColumns({"row_id": row_id, "node": node})
+    out = keyed.join(marked.select("row_id", "node"), ["row_id", "node"], "left_anti")
+    again = marked.where("stays").select("row_id", "node")
+    if not again.isEmpty():  # rows equal in id and text: one of each
+        same = Window.partitionBy("row_id", "node").orderBy(F.lit(0))
+        once = keyed.join(again, ["row_id", "node"], "left_semi").withColumn("n", F.row_number().over(same)).where("n = 1")
+        out = out.unionByName(once.select(*out.columns))
+    return out.select(*(f"c{i}" for i in range(len(names)))).toDF(*names)
 
 
 def classes(found: DataFrame) -> DataFrame:
