@@ -177,13 +177,46 @@ def test_samples_of_uneven_weights():
     for _ in range(60):
         heavy, light = np.sort(rng.integers(1, 2**63, 45)).astype(np.uint64), rng.integers(1, 2**63, 40).astype(np.uint64)
         doc = np.repeat([0, 1], [85, 45])
-        s = near_dedup.signatures(doc, np.concatenate((heavy, light, heavy)), np.concatenate((w, w[:45])), 2, near_dedup.BINS)
+        s = near_dedup.signatures(doc, np.concatenate((heavy, light, heavy)), np.concatenate((w, w[:45])), 2, near_dedup.SAMPLES)
         keys = near_dedup.band_keys(s[:, : near_dedup.ROWS * near_dedup.BANDS], near_dedup.ROWS)
         agree.append((s[0] == s[1]).mean())
         met.append((keys[0] == keys[1]).any())
     assert abs(np.mean(agree) - true) < 0.01 and min(agree) >= near_dedup.MIN_AGREE and all(met)
 
 
+def test_samples_follow_the_definition():
+    """One sample after the other, shingle by shingle, and the same sample whatever the other texts of the slice."""
+    rng = np.random.default_rng(4)
+    hashes = np.sort(rng.integers(1, 2**63, 30)).astype(np.uint64)
+    w = rng.uniform(0.1, 20, 30)
+    doc = np.repeat([0, 2], [10, 20])
+    got = near_dedup.signatures(doc, hashes, w, 4, 5)
+    assert not got[[1, 3]].any() and got[[0, 2]].all()
+    for d in (0, 2):
+        own = doc == d
+        assert (near_dedup.signatures(np.zeros(own.sum(), int), hashes[own], w[own], 1, 5)[0] == got[d]).all()
+    m = (1 << 64) - 1
+    for k in range(5):
+        best = []
+        for h, v in zip(hashes[:10].tolist(), w[:10].tolist(), strict=True):
+            x = (h + (k + 1) * near_dedup._GOLDEN) & m
+            x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & m
+            x = ((x ^ x >> 27) * 0x94D049BB133111EB) & m
+            r, c, beta = near_dedup._R[x >> 48], near_dedup._LN_C[x >> 16 & 0xFFFF], near_dedup._BETA[x >> 32 & 0xFFFF]
+            t = np.floor(np.log(v) / r + beta)
+            ln_y = r * (t - beta)
+            best.append(c - ln_y - r)
+        name = near_dedup.mix(np.array([min(best)]).view(np.uint64))
+        exact = near_dedup.signatures(doc[:10], hashes[:10], w[:10], 1, 5)[0, k]
+        near = np.array([min(best)])
+        # the same number up to the order of the sums
+        same = [near_dedup.mix(np.nextafter(near, near + s).view(np.uint64))[0] for s in (-1, 1)] + [name[0]]
+        two = [near_dedup.mix(np.nextafter(np.nextafter(near, near + s), near + s).view(np.uint64))[0] for s in (-1, 1)]
+        assert exact in same + two
+    g = near_dedup._gamma_draws(0)  # mean and variance of Gamma(2, 1) are 2
+    assert abs(g.mean() - 2) < 0.03 and abs(g.var() - 2) < 0.1
+
+
 def test_near_copies_of_uneven_weights(sp):
     """Pairs of texts with a passage said 50 times; one of them has words more, said once."""
     rnd = random.Random(8)
