@@ -14,12 +14,14 @@ gives fewer than ``k`` codes inside the radius, its radius is widened to all.
 
 *Distribution.*  Equal vectors are one entry with their ``k + 1`` smallest ids (a vector held by a third of the
 rows is one entry).  Entries are dealt into blocks of about ``block`` rows, queries into groups, and each
-(block, group) meets in one task which holds no more than those; a block gives ``k + 1`` entries for each
-query, and the smallest are chosen by a ranking that Spark combines before the shuffle.
+(block, group) meets in one task which holds no more than those; a block gives ``k + 1`` ids for each
+query, and the smallest are chosen by a ranking that Spark combines before the shuffle.  Vectors of each length
+have a rotation, a radius, blocks and groups of their own.
 
 Edge cases: vectors that are null, zero or hold null or non-finite components take no part, as query or as
-candidate; vectors whose length differs from the commonest one (the longer at a tie) take no part; fewer
-candidates than ``k`` are all returned; an empty table gives an empty result.
+candidate, nor do rows without an id; vectors are compared with those of their own length, of whatever lengths a table
+holds; a row that is repeated counts once; an id with several vectors is one query and one candidate, near by
+its largest cosine; fewer candidates than ``k`` are all returned; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -123,46 +126,46 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50, sample: int = 4000,
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v")) \
         .where("vec_id IS NOT NULL AND v IS NOT NULL")
     good = rows.where(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-                      & F.exists(v, lambda x: x != 0))
-    lengths = good.groupBy(F.size("v").alias("dims")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("dims")).first()
-    if lengths is None:
-        return spark.createDataFrame([], RESULT_SCHEMA)
-    good = good.where(F.size("v") == lengths["dims"])
-    # equal vectors: the k + 1 smallest ids (combined before the shuffle)
+                      & F.exists(v, lambda x: x != 0)).distinct()  # repeated rows are one, combined before the shuffle
+    # equal vectors: the k + 1 smallest ids.  Two vectors may have one smallest id, so a node is named by both
     first = Window.partitionBy("v").orderBy("vec_id")
     entries = stored(
         good.withColumn("r", F.row_number().over(first)).where(F.col("r") <= k + 1)
-        .groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).withColumn("node", F.col("ids")[0]),
+        .groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+        .withColumns({"node": F.concat_ws(":", F.col("ids")[0], F.xxhash64("v")), "dims": F.size("v")}),
         "ann-entries")
-    n = entries.count()
-    n_blocks = max(1, math.ceil(n / block))
-    part = min(1.0, sample / n)
-    picked = entries.where(F.pmod(F.xxhash64("node", F.lit("sample")), F.lit(1_000_000)) < int(1e6 * part) + 1) \
-        .select("v").limit(2 * sample).toArrow()
-    learnt = np.array(picked.column("v").to_pylist(), dtype=np.float64).reshape(-1, lengths["dims"])
-    coder = Coder(_units(learnt))
-    radius = learn_radius(coder, learnt, k, target)
-    shared = spark.sparkContext.broadcast((coder, radius))
-
-    asked = good.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v") \
-        .join(entries.select("v", "node"), "v").select("query_id", "node")
-    asked = stored(asked, "ann-queries")
-    nodes = asked.select("node").distinct().join(entries.select("node", "v"), "node")
-    n_queries = nodes.count()
-    groups = max(1, math.ceil(n_queries / queries_each))
-    # every query group visits every block; a visit is one task of bounded size
-    at_blocks = nodes.withColumn("g", F.pmod(F.xxhash64("node"), F.lit(groups)).cast("int")) \
-        .withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    index = entries.withColumn("b", F.pmod(F.xxhash64("node"), F.lit(n_blocks)).cast("int")) \
-        .withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    sizes = {r["dims"]: r["n"] for r in entries.groupBy("dims").agg(F.count("*").alias("n")).collect()}  # a row a length
+    if not sizes:
+        return spark.createDataFrame([], RESULT_SCHEMA)
+    share = F.create_map(*[F.lit(x) for d, n in sizes.items() for x in (d, int(1e6 * min(1.0, sample / n)) + 1)])
+    picked = entries.where(F.pmod(F.xxhash64("node", F.lit("sample")), F.lit(1_000_000)) < share[F.col("dims")]) \
+        .select("v", "dims").toArrow()  # about ``sample`` of each length
+    learnt = {}
+    for d in sizes:
+        own = picked.filter(pc.equal(picked.column("dims"), d)).column("v").combine_chunks()
+        x = own.flatten().to_numpy().reshape(-1, d)
+        coder = Coder(_units(x))
+        learnt[d] = (coder, learn_radius(coder, x, k, target))
+    shared = spark.sparkContext.broadcast(learnt)
+
+    asked = stored(good.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v")
+                   .join(entries.select("v", "node"), "v").select("query_id", "node"), "ann-queries")
+    nodes = asked.select("node").distinct().join(entries.select("node", "dims", "v"), "node")
+    n_asked = {r["dims"]: r["n"] for r in nodes.groupBy("dims").agg(F.count("*").alias("n")).collect()}
+    plan = spark.createDataFrame([(d, math.ceil(sizes[d] / block), math.ceil(n / queries_each)) for d, n in n_asked.items()],
+                                 "dims int, n_blocks int, n_groups int")
+    # every query group visits every block of its length; a visit is one task of bounded size
+    at_blocks = nodes.join(plan, "dims").withColumn("g", F.pmod(F.xxhash64("node"), F.col("n_groups")).cast("int")) \
+        .withColumn("b", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    index = entries.join(plan, "dims").withColumn("b", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")) \
+        .withColumn("g", F.explode(F.sequence(F.lit(0), F.col("n_groups") - 1)))
 
     def visit(queries: pa.Table, own: pa.Table) -> pa.Table:
-        coder, radius = shared.value
-        names = ["node", "score", "ids"]
-        types = [pa.int64(), pa.float64(), pa.list_(pa.int64())]
+        names, types = ["node", "score", "vec_id"], [pa.string(), pa.float64(), pa.int64()]
         if not queries.num_rows or not own.num_rows:
             return pa.table([pa.array([], t) for t in types], names)
-        dims = coder.mean.shape[0]
+        dims = queries.column("dims")[0].as_py()
+        coder, radius = shared.value[dims]
 
         def matrix(column) -> np.ndarray:
             return column.combine_chunks().flatten().to_numpy().reshape(-1, dims)
@@ -170,43 +173,66 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50, sample: int = 4000,
         base, asked = matrix(own.column("v_")), matrix(queries.column("v"))
         index = MultiIndex(coder.codes(_units(base)))
         codes, q_nodes = coder.codes(_units(asked)), queries.column("node").to_pylist()
-        lowest = own.column("node_").to_numpy()
+        ids = own.column("ids").combine_chunks()
+        cut, flat = ids.offsets.to_numpy() - ids.offsets[0].as_py(), ids.flatten().to_numpy()
         norms = np.linalg.norm(base, axis=1)
-        out_node, out_score, out_row = [], [], []
-        for q, node in enumerate(q_nodes):
-            hits = index.within(codes[q], radius)
-            if len(hits) < k + 1:
-                hits = index.within(codes[q], coder.bits)
+
+        def nearest_ids(q: int, hits: np.ndarray) -> list[tuple[float, int]]:
+            """The k + 1 nearest ids among the entries, each once."""
             score = (base[hits] @ asked[q]) / (norms[hits] * np.linalg.norm(asked[q]))
-            best = np.lexsort((lowest[hits], -score))[: k + 1]
+            best: dict[int, float] = {}
+            order = np.lexsort((flat[cut[hits]], -score)).tolist()
+            for i, j in enumerate(order):
+                if len(best) > k and score[j] < score[order[i - 1]]:  # entries of equal score are taken together
+                    break
+                for x in flat[cut[hits[j]] : cut[hits[j] + 1]].tolist():
+                    best.setdefault(x, float(score[j]))
+            return sorted((-s, x) for x, s in best.items())[: k + 1]
+
+        out_node, out_score, out_id = [], [], []
+        for q, node in enumerate(q_nodes):
+            best = nearest_ids(q, index.within(codes[q], radius))
+            if len(best) < k + 1:
+                best = nearest_ids(q, index.within(codes[q], coder.bits))
             out_node += [node] * len(best)
-            out_score += score[best].tolist()
-            out_row += hits[best].tolist()
-        ids = own.column("ids").combine_chunks().take(pa.array(out_row, pa.int64()))
-        return pa.table([pa.array(out_node, types[0]), pa.array(out_score, types[1]), ids.cast(types[2])], names)
-
-    found = at_blocks.select("b", "g", "node", "v").groupBy("b", "g").cogroup(
-        index.select(*(F.col(c).alias(f"{c}_") for c in ("b", "g", "node", "v")), "ids").groupBy("b_", "g_")
-    ).applyInArrow(visit, "node long, score double, ids array<long>")
+            out_score += [-s for s, _ in best]
+            out_id += [x for _, x in best]
+        return pa.table([pa.array(x, t) for x, t in zip((out_node, out_score, out_id), types, strict=True)], names)
+
+    found = at_blocks.select("dims", "b", "g", "node", "v").groupBy("dims", "b", "g").cogroup(
+        index.select(*(F.col(c).alias(f"{c}_") for c in ("dims", "b", "g", "v")), "ids").groupBy("dims_", "b_", "g_")
+    ).applyInArrow(visit, "node string, score double, vec_id long")
     # k + 1 ids for each query vector: one of them may be the query itself
+    once = found.groupBy("node", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("node").orderBy(F.desc("score"), "vec_id")
-    top = found.select("node", "score", F.explode("ids").alias("vec_id")) \
-        .withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).select("node", "score", "vec_id")
+    top = once.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
     by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return asked.join(top, "node").where("query_id <> vec_id") \
+        .groupBy("query_id", "vec_id").agg(F.max("score").alias("score")) \
         .withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")
 
 
 def brute_force(rows: list[tuple], k: int = 5, every: int = 50) -> dict[int, list[tuple[int, float]]]:
     """The definition, for tests: query id -> its nearest (vec_id, score), by exact search."""
-    good = [(i, np.array(v, dtype=np.float64)) for i, v in rows
-            if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    good: dict[int, list[np.ndarray]] = {}
+    for i, v in rows:
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            good.setdefault(i, []).append(np.array(v, dtype=np.float64))
+    by_length: dict[int, tuple[list, list]] = {}
+    for i, vs in good.items():
+        for v in vs:
+            ids, x = by_length.setdefault(len(v), ([], []))
+            ids.append(i)
+            x.append(v)
+    stacked = {d: (ids, np.stack(x)) for d, (ids, x) in by_length.items()}
     out = {}
-    if good:
-        ids, x = np.array([i for i, _ in good]), np.stack([v for _, v in good])
-        for q in np.flatnonzero(ids % every == 0):
-            score = cosines(x[q], x)
-            order = [j for j in np.lexsort((ids, -score)) if j != q][:k]
-            out[int(ids[q])] = [(int(ids[j]), float(score[j])) for j in order]
+    for q in (i for i in good if i % every == 0):
+        score: dict[int, float] = {}
+        for v in good[q]:
+            ids, x = stacked[len(v)]
+            for i, c in zip(ids, cosines(v, x).tolist(), strict=True):
+                if i != q:
+                    score[i] = max(c, score.get(i, -2.0))
+        out[q] = sorted(score.items(), key=lambda p: (-p[1], p[0]))[:k]
     return out

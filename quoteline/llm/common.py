@@ -94,26 +94,49 @@ def stored_and_measured(df: DataFrame, label: str) -> tuple[DataFrame, int, int]
 
 class Memo:
     """Bounded lookup table of two generations: a full young generation becomes the old one, and what
-    is still in use is copied forward.  Forgetting costs time only, never a different result."""
-
-    def __init__(self, size: int):
-        self.size, self.young, self.old = size, {}, {}
+    is still in use is copied forward.  Forgetting costs time only, never a different result.
+
+    A generation holds at most ``size`` entries and about ``max_bytes`` bytes of keys and values (as counted by
+    ``len``, and 150 for each entry), but for what the batch at hand brings; a key longer than ``longest`` is
+    forgotten after its batch."""
+
+    def __init__(self, size: int, max_bytes: int = 96 << 20, longest: int = 256):
+        self.size, self.max_bytes, self.longest = size, max_bytes, longest
+        self.young, self.old, self.bytes, self.once = {}, {}, 0, []
+
+    def put(self, items: Iterable[tuple]) -> None:
+        """Values for missing keys."""
+        young, longest, total, n = self.young, self.longest, 0, len(self.young)
+        for key, value in items:
+            young[key] = value
+            size = len(key)
+            if size > longest:
+                self.once.append(key)
+            total += size + (len(value) if isinstance(value, (str, bytes)) else 0)
+        self.bytes += total + 150 * (len(young) - n)
 
     def missing(self, rows: Iterable[Iterable]) -> list:
         """The distinct keys of all rows without a value; the others are in the young generation afterwards."""
-        young, old, out = self.young, self.old, []
+        young, old, out, again = self.young, self.old, [], []
         for key in set().union(*rows).difference(young):
             value = old.get(key)
             if value is None:
                 out.append(key)
             else:
-                young[key] = value
+                again.append((key, value))
+        self.put(again)
         return out
 
     def trim(self) -> None:
         """To be called between batches, when no lookup is pending."""
-        if len(self.young) > self.size:
-            self.old, self.young = self.young, {}
+        young = self.young
+        for key in self.once:
+            value = young.pop(key, None)
+            if value is not None:
+                self.bytes -= len(key) + (len(value) if isinstance(value, (str, bytes)) else 0) + 150
+        self.once = []
+        if len(young) > self.size or self.bytes > self.max_bytes:
+            self.old, self.young, self.bytes = young, {}, 0
 
 
 def slices(texts: list, limit: int = 4_000_000) -> Iterator[tuple[int, int]]:

@@ -4,13 +4,14 @@ Each language has a variable-order tree of byte contexts up to three bytes deep.
 longest known context; where it was never seen there, an escape is paid and the next shorter context is
 asked, down to a uniform choice of 256 bytes.  An escape after a context has the probability
 ``d / (n + d)`` (``d`` distinct next bytes in ``n`` visits).  The statistics are frozen after training, so
-the exact code length of a byte is a fixed number for (context, byte, language) and the trees are compiled
-to one flat table: a node for each context, a row for each byte, a column for each language.  A text goes
-to the language with the shortest code.
+the exact code length of a byte is a fixed number for (context, byte, language).  Each language holds its own trees
+as sorted tables of what it has seen: the grams of four and of three bytes with their code lengths and the contexts of three
+and of two bytes with their escapes; the shortest contexts are a full table.  So the model grows with what was
+learnt, language by language, and no context is given up however many languages there are.  The distinct grams of
+a slice of texts are looked up together.  A text goes to the language with the shortest code.
 
 Training counts contexts in Spark on a bounded sample of the labelled rows (``max_docs`` rows a language,
-chosen by a hash of the id; the bound is this parameter).  The compiled table has at most
-``max_cells`` numbers: beyond that, the rarest three-byte contexts fall back to two bytes.
+chosen by a hash of the id; the bound is this parameter).
 
 Edge cases: a null text or one without any letter is ``und`` with score 0; without labelled rows every
 text is ``und``; rows with a null id are predicted but never learnt from; invented languages of one text are
@@ -34,33 +35,65 @@ _PAD = b"\n\n\n"  # context in front of a text
 
 
 @dataclass
-class Model:
-    """Compiled trees: ``symbol`` maps bytes to the known ones, ``node`` three symbols to a context, ``bits``
-    (context * symbols + next symbol) to the code length in each language."""
+class Trees:
+    """One language.  ``grams[0]`` and ``grams[1]`` are the (sorted grams, bits) of four and three bytes, ``escapes``
+    the (sorted contexts, bits) of three and two, ``short`` the bits after each single byte."""
+
+    grams: list[tuple[np.ndarray, np.ndarray]]
+    escapes: list[tuple[np.ndarray, np.ndarray]]
+    short: np.ndarray
+
+    def bits(self, gram: np.ndarray) -> np.ndarray:
+        """Code length of the last byte of each gram (ascending, four bytes as a number) after the three others."""
+        total = np.zeros(len(gram))
+        open_ = np.arange(len(gram))
+        for (seen, bits), (contexts, escape), mask in zip(self.grams, self.escapes, (0xFFFFFFFF, 0xFFFFFF), strict=True):
+            own = gram[open_] & np.uint32(mask)
+            hit, at = _place(seen, own)
+            total[open_[hit]] += bits[at[hit]]
+            open_, own = open_[~hit], own[~hit]
+            known, at = _place(contexts, own >> np.uint32(8))
+            total[open_[known]] += escape[at[known]]
+        total[open_] += self.short[gram[open_] & np.uint32(0xFFFF)]
+        return total
+
+
+def _place(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys are in the sorted table, and where."""
+    if not len(table):
+        return np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=np.int64)
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return table[at] == keys, at
+
 
+@dataclass
+class Model:
     languages: list[str]
-    symbol: np.ndarray
-    n_symbols: int
-    node: np.ndarray
-    bits: np.ndarray
+    trees: list[Trees]
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits of each text in each language."""
-        data = np.frombuffer(b"".join([_PAD + t for t in texts]), dtype=np.uint8)
         sizes = np.array([len(t) for t in texts], dtype=np.int64)
-        begins = np.cumsum(sizes + 3) - sizes - 3  # of each text's codes, three bytes being context only
-        s = self.symbol[data]
-        a = self.n_symbols
-        place = self.node[(s[:-3] * a + s[1:-2]) * a + s[2:-1]]
-        bits = self.bits[place * a + s[3:]]
-        bits = np.concatenate((bits, np.zeros((1, bits.shape[1]), dtype=bits.dtype)))
+        gram, begins = _grams(texts)
+        distinct, place = np.unique(gram, return_inverse=True)
         edges = np.empty(2 * len(texts), dtype=np.int64)
-        edges[0::2], edges[1::2] = begins, np.minimum(begins + sizes, len(bits) - 1)
-        out = np.add.reduceat(bits, edges, axis=0, dtype=np.float64)[0::2]
+        edges[0::2], edges[1::2] = begins, begins + sizes
+        out = np.zeros((len(texts), len(self.languages)))
+        for k, trees in enumerate(self.trees):
+            bits = np.append(trees.bits(distinct)[place], 0.0)
+            out[:, k] = np.add.reduceat(bits, np.minimum(edges, len(bits) - 1))[0::2]
         out[sizes == 0] = 0
         return out
 
 
+def _grams(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Each byte of each text with the three before it, as a 32-bit number, and where each text begins; the three
+    grams between two texts, which mix them, are among the numbers."""
+    data = np.frombuffer(b"".join([_PAD + r for r in raw]), dtype=np.uint8).astype(np.uint32)
+    sizes = np.array([len(r) + 3 for r in raw], dtype=np.int64)
+    return data[:-3] << 24 | data[1:-2] << 16 | data[2:-1] << 8 | data[3:], np.cumsum(sizes) - sizes
+
+
 def is_held_out(id_col: str = "doc_id", folds: int = 3, fold: int = 1):
     """crc32 of the id as text, modulo ``folds``, is ``fold`` (false for a null id)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold, F.lit(False))
@@ -74,43 +107,27 @@ def _context_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             own = [t for k, t in zip(langs, texts, strict=True) if k == lang]
             for a, b in slices(own, 1_000_000):
                 raw = [t.encode("utf-8", "replace") for t in own[a:b]]
-                data = np.frombuffer(b"".join([_PAD + r for r in raw]), dtype=np.uint8).astype(np.uint32)
-                keep = np.ones(len(data), dtype=bool)
-                starts = np.cumsum([len(r) + 3 for r in raw]) - [len(r) + 3 for r in raw]
-                for k in range(3):
-                    keep[starts + k] = False
-                keys = (data[:-3] << 24 | data[1:-2] << 16 | data[2:-1] << 8 | data[3:])[keep[3:]]
+                keys, starts = _grams(raw)
+                keep = np.ones(len(keys) + 3, dtype=bool)
+                for k in (1, 2, 3):  # between two texts
+                    keep[np.maximum(starts - k, 0)] = starts == 0
+                keys = keys[keep[:-3]]
                 keys, n = np.unique(keys, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(keys), pa.string()), pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))],
                     ["lang", "gram", "n"])
 
 
-def compile_model(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray,
-                  max_cells: int = 8_000_000) -> Model:
-    """The trees from counted grams (three context bytes and the next byte, as a 32-bit number)."""
-    gram = gram.astype(np.uint32)
-    parts = [(gram >> np.uint32(shift) & np.uint32(255)).astype(np.int64) for shift in (24, 16, 8, 0)]
-    # symbol 0 stands for every byte that training never saw
-    seen = np.unique(np.concatenate([*parts, np.frombuffer(_PAD, dtype=np.uint8).astype(np.int64)]))
-    symbol = np.zeros(256, dtype=np.int32)
-    symbol[seen] = np.arange(1, len(seen) + 1)
-    a, n_langs = len(seen) + 1, len(languages)
-    c3, c2, c1, b = (symbol[p].astype(np.int64) for p in parts)
-    uniform = np.full(a, 1 / 256)
-    # contexts of one and two symbols always are nodes when seen; of three, the most frequent ones
-    triples = (c3 * a + c2) * a + c1
-    pairs = np.unique(c2 * a + c1)
-    unique3, where = np.unique(triples, return_inverse=True)
-    weight = np.bincount(where, weights=n)
-    room = max(0, max_cells // (a * n_langs) - a - len(pairs))
-    chosen = np.sort(unique3[np.argsort(-weight, kind="stable")[:room]])
-    node = np.tile(np.arange(a, dtype=np.int32), a * a)  # by the last symbol alone
-    by_pair = np.arange(a * a, dtype=np.int64) % a
-    by_pair[pairs] = a + np.arange(len(pairs))
-    node[:] = np.tile(by_pair, a)
-    node[chosen] = a + len(pairs) + np.arange(len(chosen))
-    bits = np.empty(((a + len(pairs) + len(chosen)) * a, n_langs), dtype=np.float32)
+def compile_trees(gram: np.ndarray, n: np.ndarray) -> Trees:
+    """The trees of a language from its counted grams (ascending; three context bytes and the next byte)."""
+    grams, escapes, gram = [], [], gram.astype(np.uint32)
+    for mask in (0xFFFFFFFF, 0xFFFFFF):
+        seen, place = np.unique(gram & np.uint32(mask), return_inverse=True)
+        times = np.bincount(place, weights=n, minlength=len(seen))
+        contexts, place, kinds = np.unique(seen >> np.uint32(8), return_inverse=True, return_counts=True)
+        total = np.bincount(place, weights=times, minlength=len(contexts)) + kinds
+        grams.append((seen, -np.log2(times / total[place])))
+        escapes.append((contexts, -np.log2(kinds / total)))
 
     def shorter(counts: np.ndarray, base: np.ndarray) -> np.ndarray:
         """Probabilities in a context from its counts and those of the next shorter one."""
@@ -118,23 +135,21 @@ def compile_model(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: n
         escape = np.where(total > 0, kinds / np.maximum(total + kinds, 1), 1.0)
         return np.where(counts > 0, counts / np.maximum(total + kinds, 1), escape * base)
 
-    for k in range(n_langs):
-        mine = lang == k
-        x2, x1, y, w, t = c2[mine], c1[mine], b[mine], n[mine].astype(np.float64), triples[mine]
-        p0 = shorter(np.bincount(y, weights=w, minlength=a), uniform)
-        p1 = shorter(np.bincount(x1 * a + y, weights=w, minlength=a * a).reshape(a, a), p0[None])
-        at = np.searchsorted(pairs, x2 * a + x1)
-        p2 = shorter(np.bincount(at * a + y, weights=w, minlength=len(pairs) * a).reshape(-1, a), p1[pairs % a])
-        at = np.searchsorted(chosen, t)
-        hit = (at < len(chosen)) & (chosen[np.minimum(at, len(chosen) - 1)] == t) if len(chosen) else np.zeros(len(t), bool)
-        c = np.bincount(at[hit] * a + y[hit], weights=w[hit], minlength=len(chosen) * a).reshape(-1, a)
-        p3 = shorter(c, p2[np.searchsorted(pairs, chosen % (a * a))])
-        bits[:, k] = -np.log2(np.concatenate((p1, p2, p3)).ravel())
-    return Model(languages, symbol, a, node, bits)
-
-
-def train(labelled: DataFrame, max_docs: int = 1500, max_cells: int = 8_000_000, id_col: str = "doc_id",
-          text_col: str = "text", lang_col: str = "lang") -> Model | None:
+    p0 = shorter(np.bincount(gram & np.uint32(0xFF), weights=n, minlength=256), np.full(256, 1 / 256))
+    p1 = shorter(np.bincount(gram & np.uint32(0xFFFF), weights=n, minlength=1 << 16).reshape(256, 256), p0[None])
+    return Trees(grams, escapes, -np.log2(p1.ravel()))
+
+
+def compile_model(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
+    """The trees of all languages from counted grams; ``lang`` is the number of a gram's language."""
+    order = np.argsort(lang, kind="stable")
+    cut = np.searchsorted(lang[order], np.arange(len(languages) + 1))
+    return Model(languages, [compile_trees(gram[order[a:b]], n[order[a:b]].astype(np.float64))
+                             for a, b in zip(cut[:-1], cut[1:], strict=True)])
+
+
+def train(labelled: DataFrame, max_docs: int = 1500, id_col: str = "doc_id", text_col: str = "text",
+          lang_col: str = "lang") -> Model | None:
     """Learn from rows with a language, a text and an id; about ``max_docs`` rows a language at most."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")) \
         .where("lang IS NOT NULL AND id IS NOT NULL AND text IS NOT NULL")
@@ -155,7 +170,7 @@ def train(labelled: DataFrame, max_docs: int = 1500, max_cells: int = 8_000_000,
     grams = [counted.column(c).to_numpy() for c in ("gram", "n")]
     lang = place[kinds.indices.to_numpy(zero_copy_only=False)]
     del counted, kinds
-    model = compile_model(languages, lang, *grams, max_cells)
+    model = compile_model(languages, lang, *grams)
     del lang, grams
     release()
     return model
@@ -182,8 +197,8 @@ def predict_texts(model: Model | None, texts: list[str | None]) -> list[tuple[st
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, held_out, lang_pred and score, from the text alone.  One pass, no shuffle; the model
-    (``max_cells`` numbers at most) is broadcast."""
+    """Per row: doc_id, held_out, lang_pred and score, from the text alone.  One pass, no shuffle; the model,
+    which grows with the training sample only, is broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

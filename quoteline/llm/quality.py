@@ -10,7 +10,8 @@ held-back fifth of the training rows.
 
 *Scoring.*  What is left is one arithmetic expression over statistic columns, run in generated code.
 
-Training uses a bounded sample: at most about ``max_rows`` labelled rows, chosen by a hash of the id.
+Training uses a bounded sample: at most about ``max_rows`` labelled ids, chosen by a hash of the id, and one row
+of each: where rows with other texts share an id, the one with the smallest statistics, in their order.
 
 Edge cases: a null text counts as empty, and an empty one is scored from its statistics like any other; without
 labels, or with one label only, every score is the smoothed share of label 1; several labels of one document
@@ -271,11 +272,13 @@ def score_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality"
     stats = stored(text_statistics(docs, id_col, text_col), "quality-stats")  # some 180 bytes a row, read twice
     own = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("label")) \
         .where("doc_id IS NOT NULL AND label IS NOT NULL").where(~is_held_out("doc_id"))
-    n = own.count()
+    n = own.select("doc_id").distinct().count()
     share = int(1_000_000 * min(1.0, max_rows / max(n, 1))) + 1
     chosen = own.where(F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1_000_000)) < share) \
         .groupBy("doc_id").agg(F.avg("label").alias("label"))
-    rows = stats.join(chosen, "doc_id").orderBy("doc_id", *STATS[:2]).toArrow()
+    # one row an id, combined before the shuffle: an id that a third of the rows share counts once
+    rows = stats.join(chosen, "doc_id").groupBy("doc_id").agg(F.min(F.struct(*STATS)).alias("s"), F.first("label").alias("label")) \
+        .select("doc_id", "s.*", "label").orderBy("doc_id").toArrow()
     x = np.stack([rows.column(c).to_numpy() for c in STATS], axis=1) if rows.num_rows else np.zeros((0, len(STATS)))
     model = fit(x, rows.column("label").to_numpy() if rows.num_rows else np.zeros(0))
     score = model.expression(list(STATS))

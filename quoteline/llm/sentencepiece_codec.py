@@ -2,12 +2,13 @@
 
 Pieces never cross the white-space marker in front of a word (checked on the model file), so a text is
 cut into marked words, each distinct word is segmented and decoded once by the sentencepiece library,
-and its ids are joined back by position.  The table is local to a worker and bounded: a table of all
+and its ids are joined back by position.  The table is local to a worker and bounded in entries and bytes: a table of all
 distinct words of the corpus would grow with it, and joining it back through a shuffle would move every
 word of every text.  A forgotten word is segmented again, with the same result.
 
 Edge cases: null and empty texts have no ids and decode to the empty text; a literal marker character
-is read as a space, as the library does; very long unbroken texts are one word and are not kept.
+is read as a space, as the library does; very long unbroken texts are one word, which
+is not kept after its batch.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ class WordCodec:
     def _learn(self, words: list[str]) -> None:
         # The library puts the first mark itself.  A word without one (a part after a line break, say) is
         # segmented behind a line break, which stands alone in every chunking that makes such words.
-        lib, young = self.model.lib, self.memo.young
+        lib = self.model.lib
         bare = [w[1:].replace(MARK, " ") if w[0] == MARK else f"\n{w.replace(MARK, ' ')}" for w in words]
         encoded = lib.encode(bare, num_threads=1)
         cut = len(lib.encode("\n"))
@@ -43,8 +44,8 @@ class WordCodec:
         encoded = [[alone] if w == MARK else ids if w[0] == MARK else ids[cut:]
                    for w, ids in zip(words, encoded, strict=True)]
         decoded = lib.decode(encoded) if encoded else []
-        for word, ids, text in zip(words, encoded, decoded, strict=True):
-            young[word] = ",".join(map(str, ids))
+        self.memo.put((word, ",".join(map(str, ids))) for word, ids in zip(words, encoded, strict=True))
+        for word, text in zip(words, decoded, strict=True):
             if text != (word[1:] if word[0] == MARK else word).replace(MARK, " "):
                 self.odd[word] = text
 
@@ -65,8 +66,7 @@ class WordCodec:
                 decoded.append("".join(m + p for m, p in zip(marks, parts, strict=True))[1:].replace(MARK, " "))
             else:
                 decoded.append(text.replace(MARK, " "))
-        for word in self.odd:  # a word whose text changes is decoded again with each batch
-            self.memo.young.pop(word, None)
+        self.memo.once += self.odd  # a word whose text changes is decoded again with each batch
         self.memo.trim()
         return csv, decoded
 

@@ -6,10 +6,11 @@ joins it and pushes the two new neighbours.  The count is the symbols at the sta
 a character that is no piece counts one for each of its UTF-8 bytes (byte fallback).
 
 Chunks are parts of a text that no piece crosses, so they are counted apart, and the count of a chunk
-is kept in a bounded table per worker.  One pass, no shuffle.
+is kept in a table per worker, bounded in entries and bytes.  One pass, no shuffle.
 
 Edge cases: null and empty texts have no bytes and no tokens; special strings inside a text are plain
-text, as the library treats them; a text without any space is one long chunk (n log n).
+text, as the library treats them; a text without any space is one long chunk (n log n), which is not
+kept after its batch.
 """
 
 from __future__ import annotations
@@ -63,10 +64,9 @@ class PieceCounter:
 
     def counts(self, texts: list[str]) -> list[int]:
         chunks = [self.model.chunks(t) for t in texts]
-        rank, young = self.model.rank, self.memo.young
-        for chunk in self.memo.missing(chunks):
-            young[chunk] = merge_count(chunk, rank)
-        get = young.__getitem__
+        rank = self.model.rank
+        self.memo.put((chunk, merge_count(chunk, rank)) for chunk in self.memo.missing(chunks))
+        get = self.memo.young.__getitem__
         out = [sum(map(get, own)) for own in chunks]
         self.memo.trim()
         return out

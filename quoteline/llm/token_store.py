@@ -141,8 +141,8 @@ _LATIN[[0x97, 0xB7]] = False
 class ByteTokenizer:
     """Exact ids of a byte-level tokenizer file through the ``tokenizers`` library.
 
-    The chunks of a slice of texts are hashed together, each distinct one is looked up once in a bounded
-    table of ids (and encoded if it is not there), and the ids are gathered back by position."""
+    The chunks of a slice of texts are hashed together, each distinct one is looked up once in a table
+    of ids, bounded in entries and bytes (and encoded if it is not there), and the ids are gathered back by position."""
 
     def __init__(self, path: str, memo_size: int = 400_000):
         from tokenizers import Tokenizer
@@ -161,10 +161,10 @@ class ByteTokenizer:
                 for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, chunks: list[bytes]) -> None:
-        young, plain, odd = self.memo.young, [], []
+        put, plain, odd = self.memo.put, [], []
         for c in chunks:
             (plain if _JOINABLE.fullmatch(c) else odd).append(c)
-        young.update(zip(odd, self._whole([c.decode() for c in odd]), strict=True))
+        put(zip(odd, self._whole([c.decode() for c in odd]), strict=True))
         # plain chunks in rows of about 64 kB: one library call each, cut by the tokens' byte lengths
         for s in range(0, len(plain), 8000):
             part = plain[s : s + 8000]
@@ -174,12 +174,10 @@ class ByteTokenizer:
             want = np.cumsum([len(c) for c in part])
             cut = np.searchsorted(ends, want) + 1
             if not len(ids) or not np.array_equal(ends[np.minimum(cut, len(ends)) - 1], want):
-                young.update(zip(part, self._whole([c.decode() for c in part]), strict=True))  # encode each
+                put(zip(part, self._whole([c.decode() for c in part]), strict=True))  # encode each
                 continue
-            raw, a = ids.tobytes(), 0
-            for chunk, b in zip(part, (cut * 4).tolist(), strict=True):
-                young[chunk] = raw[a:b]
-                a = b
+            raw, to = ids.tobytes(), (cut * 4).tolist()
+            put((chunk, raw[a:b]) for chunk, a, b in zip(part, [0, *to[:-1]], to, strict=True))
 
     def _joined(self, raw: list[bytes]) -> list[np.ndarray]:
         """Ids of texts without other white space, none of them empty."""

@@ -61,6 +61,21 @@ def test_code_lengths_follow_the_definition(sp):
             assert got[k] == pytest.approx(want, rel=1e-5)
 
 
+def test_many_languages_keep_their_contexts(sp):
+    """Sixty languages of the same letters: the code lengths in the last ones follow the definition."""
+    rnd = random.Random(2)
+    own = {f"l{i:02}": ["".join(rnd.choices("abcdefgh ", weights=[rnd.random() ** 3 + 0.01 for _ in range(9)], k=150))
+                        for _ in range(4)] for i in range(60)}
+    rows = [(i, t, k) for i, (k, t) in enumerate((k, t) for k, ts in own.items() for t in ts)]
+    model = language_id.train(sp.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts_ = ["abc hged", "", *own["l59"][:2], *own["l07"][:2]]
+    got = model.code_lengths([t.encode() for t in texts_])
+    for k in (0, 7, 59):
+        for i, text in enumerate(texts_):
+            assert got[i, k] == pytest.approx(_slow_bits([t.encode() for t in own[model.languages[k]]], text.encode(), set()))
+    assert got[2:].argmin(1).tolist() == [59, 59, 7, 7]
+
+
 def test_language_edge_cases(sp, awkward, nothing):
     docs = awkward.unionByName(table(sp, SMALL, "documents"), allowMissingColumns=True)
     got = {(r["doc_id"], r["lang_pred"]) for r in language_id.identify(docs).where("doc_id IN (1, 2, 3, 4)").collect()}
@@ -111,6 +126,59 @@ def test_quality_edge_cases(sp, awkward, nothing):
     assert np.isfinite(quality.statistics([t for _, t in AWKWARD])).all()
 
 
+def _slow_statistics(text: str | None) -> list[float]:
+    """The numbers of quality.STATS one by one."""
+    raw = (text or "").encode()
+    words, lines = raw.split(), [ln.split() for ln in raw.split(b"\n")]
+    lines = [ln for ln in lines if ln]
+
+    def kind(b: int) -> str:
+        c = chr(b)
+        if b >= 128:
+            return "high"
+        return ("upper" if "A" <= c <= "Z" else "lower" if "a" <= c <= "z" else "digit" if "0" <= c <= "9" else
+                "space" if c in " \t\n\v\f\r" else "mark" if c in ".,;:!?'\"()-" else "other")
+
+    def share(name):
+        return sum(kind(b) == name for b in raw) / max(len(raw), 1)
+
+    def of_words(test):
+        return sum(map(test, words)) / max(len(words), 1)
+
+    w, n_lines = max(len(words), 1), max(len(lines), 1)
+    return [math.log1p(len(raw)), math.log1p(len(words)), math.log1p(len(lines)), sum(map(len, words)) / w, of_words(lambda x: len(x) > 15),
+            share("upper"), share("lower"), share("digit"), share("space"), share("mark"), sum(raw.count(c) for c in b".!?") / w,
+            raw.count(b"|") / w, share("other"), share("high"), len(set(words)) / w, max(map(words.count, set(words)), default=0) / w,
+            sum(a == b for a, b in zip(words, words[1:], strict=False)) / w, len({tuple(sorted(ln)) for ln in lines}) / n_lines,
+            sum(len(ln) < 4 for ln in lines) / n_lines, of_words(lambda x: len(x) > 1 and kind(x[0]) == kind(x[1]) == "upper"),
+            of_words(lambda x: kind(x[-1]) in ("other", "digit")), len(words) / n_lines]
+
+
+def test_statistics_follow_their_definitions(sp):
+    sample = [r["text"] for r in table(sp, SMALL, "documents").limit(60).collect()]
+    rnd = random.Random(9)
+    made = ["".join(rnd.choices("AB ab\n .,|#1é", k=rnd.randint(0, 80))) for _ in range(80)]
+    texts_ = [t for _, t in AWKWARD if t is None or len(t) < 1000] + sample + made
+    got = quality.statistics(texts_)
+    for row, text in zip(got, texts_, strict=True):
+        assert dict(zip(quality.STATS, row, strict=True)) == pytest.approx(dict(zip(quality.STATS, _slow_statistics(text), strict=True)))
+
+
+def test_an_id_on_many_rows_is_learnt_once(sp, monkeypatch):
+    """A labelled id on many rows with other texts gives one training row, whatever the order of the rows."""
+    rows = [(1, f"text number {i} of many " * (i % 5 + 1)) for i in range(400)] + [(k, f"plain {k} words") for k in range(2, 40)]
+    labels = sp.createDataFrame([(k, k % 2) for k in range(1, 40)] * 2, "doc_id long, quality int")
+    seen = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda x, y, *a: (seen.append((x, y)), fit(x, y, *a))[1])
+    got = quality.score_quality(texts(sp, rows), labels)
+    assert got.count() == len(rows)
+    quality.score_quality(texts(sp, rows[::-1]).repartition(3), labels)
+    own = [k for k in range(1, 40) if zlib.crc32(str(k).encode()) % 5 != 0]
+    assert all(x.shape == (len(own), len(quality.STATS)) for x, _ in seen)
+    assert (seen[0][0] == seen[1][0]).all() and (seen[0][1] == seen[1][1]).all()
+
+
 # --- nearest neighbours ----------------------------------------------------------------------------
 
 
@@ -145,8 +213,7 @@ def test_vectors_edge_cases(sp):
     got: dict = {}
     for r in ann_search.nearest(vectors).collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
-    usable = [(i, v) for i, v in rows if v is None or len(v) == 2]
-    want = ann_search.brute_force(usable)
+    want = ann_search.brute_force(rows)
     assert got.keys() == want.keys() == {0, 50, 200, 300}
     for q, found in got.items():
         assert [(i, pytest.approx(s)) for _, i, s in sorted(found)] == want[q]
@@ -156,6 +223,30 @@ def test_vectors_edge_cases(sp):
     assert ann_search.nearest(vectors.where("vec_id IN (3, 4)")).count() == 0
 
 
+def test_repeated_rows_and_lengths_against_brute_force(sp):
+    """Repeated query rows, ids with several vectors (near by the nearest one), one vector on many ids, two lengths."""
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.integers(-4, 5, 3 + 2 * (i % 5 == 0)).astype(float).tolist()) for i in range(160)]
+    rows += [rows[50], rows[50], rows[100], rows[7], rows[14]]  # row 50 three times
+    rows += [(i, rng.integers(-4, 5, 3 + 2 * (i % 2)).astype(float).tolist()) for i in (0, 50, 50, 3, 3, 3, 9)]
+    rows += [(200 + i, rows[1][1]) for i in range(20)] + [(11, (np.array(rows[1][1]) * 2).tolist())] * 3
+    rows += [(12, (np.array(rows[50][1]) + rng.normal(0, 0.01, len(rows[50][1]))).tolist()) for _ in range(10)]
+    want = ann_search.brute_force(rows)
+    vectors = sp.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    for block, each in ((8192, 2048), (20, 2)):
+        got: dict = {}
+        for r in ann_search.nearest(vectors, target=1.0, block=block, queries_each=each).collect():
+            got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+        assert got.keys() == want.keys() == {0, 50, 100, 150, 200}
+        for q, found in got.items():
+            assert [r for r, _, _ in sorted(found)] == [1, 2, 3, 4, 5]
+            assert len({i for _, i, _ in found}) == 5
+            # every neighbour has its true score; a neighbour beyond the learnt radius may be missed
+            assert [s for _, _, s in sorted(found)] == pytest.approx([s for _, s in want[q]], abs=0.35)
+            hits = {i for _, i, _ in found} & {i for i, _ in want[q]}
+            assert len(hits) >= 4 and all(s == pytest.approx(dict(want[q])[i]) for _, i, s in found if i in hits)
+
+
 # --- decontamination -------------------------------------------------------------------------------
 
 ITEMS = [(1, "What is the capital of the old land, and who does rule it today?"), (2, "Short item!"), (3, "..."), (4, None),

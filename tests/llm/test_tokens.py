@@ -113,3 +113,30 @@ def test_merge_order_of_equal_ranks_is_leftmost():
     assert token_counts.merge_count("aaa", {"a": 9.0, "aa": 1.0}) == 2
     assert token_counts.merge_count("aaaa", {"a": 9.0, "aa": 1.0, "aaaa": 2.0}) == 1
     assert token_counts.merge_count("日a", {"a": 1.0}) == 4  # three bytes and one piece
+
+
+def test_tables_stay_below_their_bytes(byte_bpe, counter, codec):
+    """Texts without spaces, short and long: no table passes its bound, the long chunks leave with their batch."""
+    rnd = random.Random(3)
+    lib = counter.model.lib
+    for memo in (byte_bpe.memo, counter.memo, codec.memo):
+        memo.size, memo.max_bytes = 10**6, 50_000
+    largest = 0  # what one batch may add: ids and their decimals take up to eight bytes for a byte
+    try:
+        for size in (20, 200, 257, 20_000):
+            for _ in range(6):
+                batch = ["".join(rnd.choices("abcdefghij日本", k=size)) for _ in range(40 if size < 1000 else 3)]
+                assert [x.tolist() for x in byte_bpe.encode(batch)] == [
+                    e.ids for e in byte_bpe.tok.encode_batch(batch, add_special_tokens=False)]
+                largest = max(largest, 8 * sum(len(t.encode()) for t in batch if len(t) <= 256))
+                want = [lib.encode(t) for t in batch]
+                assert counter.counts(batch) == [len(w) for w in want]
+                assert codec.encode(batch) == want
+                for memo in (byte_bpe.memo, counter.memo, codec.memo):
+                    for part in (memo.young, memo.old):
+                        held = sum(len(k) + (len(v) if isinstance(v, (str, bytes)) else 0) for k, v in part.items())
+                        assert held <= memo.max_bytes + largest
+                        assert all(len(k) <= memo.longest for k in part)
+    finally:
+        for memo in (byte_bpe.memo, counter.memo, codec.memo):
+            memo.size, memo.max_bytes = 50, 96 << 20
