@@ -240,6 +240,19 @@ def _components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
 
+def _texts_of(source: DataFrame, wanted: DataFrame, bits: int = 1 << 24) -> DataFrame:
+    """(node, text), once for each node of ``wanted``.  The texts meet bitmaps of the wanted nodes' hashes first,
+    ``bits`` bits in all (2 MB broadcast at any size of the corpus), so the join that decides exchanges the wanted
+    texts and few others; with far more nodes than bits it exchanges all texts, with the same result."""
+    spot = F.pmod(F.xxhash64("node"), F.lit(bits))
+    marks = wanted.select(spot.alias("spot")).groupBy(F.expr("spot div 32768").alias("map")) \
+        .agg(F.expr("bitmap_construct_agg(spot % 32768)").alias("marks"))
+    byte = "cast(conv(hex(substring(marks, cast(spot % 32768 div 8 as int) + 1, 1)), 16, 10) as int)"
+    likely = source.select("node", "text", spot.alias("spot")).join(
+        F.broadcast(marks), F.expr(f"spot div 32768 = map AND shiftright({byte}, cast(spot % 8 as int)) & 1 = 1"))
+    return likely.select("node", "text").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+
+
 def _verify(pairs: DataFrame, texts: DataFrame, idf, shingle: int, threshold: float, block: int = 256) -> DataFrame:
     """Pairs (key, n, a, b) whose weighted Jaccard similarity is at least ``threshold``.  The pairs of a bucket
     are compared where its texts meet; a bucket of many nodes (``n``) is cut into pairs of groups of about
@@ -332,8 +345,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, m
         if n:
             # texts of the nodes that are really compared, a small share of those that share a bucket with others
             compared = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-            texts = source.select("node", "text").join(compared, "node", "left_semi").dropDuplicates(["node"])
-            links, n, _ = stored_and_measured(_verify(pairs, texts, idf, shingle, threshold), "near-links")
+            links, n, _ = stored_and_measured(_verify(pairs, _texts_of(source, compared), idf, shingle, threshold), "near-links")
             if n:
                 comp = parts.select("node", "comp")
                 edges = links.join(comp.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a") \

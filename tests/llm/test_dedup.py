@@ -227,3 +227,22 @@ def test_near_copies_of_uneven_weights(sp):
     want = sorted(near_dedup.brute_force(rows))
     assert len({c for _, c in want}) == 20
     assert sorted(tuple(r)[:2] for r in near_dedup.classes(near_dedup.near_duplicates(texts(sp, rows))).collect()) == want
+
+
+@pytest.mark.parametrize("bits", [1 << 24, 1 << 15, 32])
+def test_texts_of_wanted_nodes_only(sp, bits):
+    rows = [(i, f"some text {i % 300}") for i in range(400)]
+    source = near_dedup.with_nodes(texts(sp, rows))
+    wanted = source.where("row_id % 7 = 0").select("node").distinct()
+    got = [(bytes(r["node"]), r["text"]) for r in near_dedup._texts_of(source, wanted, bits).collect()]
+    keep = {bytes(r["node"]) for r in wanted.collect()}
+    want = {(bytes(r["node"]), r["text"]) for r in source.collect() if bytes(r["node"]) in keep}
+    assert len(got) == len(want) and set(got) == want
+    assert near_dedup._texts_of(source, wanted.limit(0), bits).count() == 0
+
+
+def test_few_other_texts_meet_the_wanted_nodes(sp):
+    source = near_dedup.with_nodes(texts(sp, [(i, f"some text {i}") for i in range(3000)]))
+    wanted = source.where("row_id < 30").select("node")
+    plan = near_dedup._texts_of(source, wanted)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 1 and "CartesianProduct" not in plan and "NestedLoop" not in plan
