@@ -102,7 +102,7 @@ def _same_everywhere(x: np.ndarray) -> np.ndarray:
 
 
 _R, _LN_C = _same_everywhere(_gamma_draws(0)), _same_everywhere(np.log(_gamma_draws(2)))
-_BETA = (np.arange(1 << 16) + 0.5) / (1 << 16)
+_BETA = (np.arange(1 << 16) + 0.5) / (1 << 16)  # computed in place where samples are drawn
 
 
 def signatures(doc: np.ndarray, hashes: np.ndarray, w: np.ndarray, n_docs: int, n_samples: int) -> np.ndarray:
@@ -114,6 +114,7 @@ def signatures(doc: np.ndarray, hashes: np.ndarray, w: np.ndarray, n_docs: int,
     first = np.flatnonzero(np.diff(doc, prepend=-1))
     rows, ln_w = doc[first], np.log(w)
     x, y = np.empty_like(hashes), np.empty_like(hashes)
+    at, (r, beta, v) = y.view(np.int64), np.empty((3, len(hashes)))
     fields = x.astype("<u8", copy=False).view("<u2").reshape(-1, 4)
     for k in range(n_samples):
         # a hash of shingle and sample in place, as in mix()
@@ -124,9 +125,20 @@ def signatures(doc: np.ndarray, hashes: np.ndarray, w: np.ndarray, n_docs: int,
         np.right_shift(x, np.uint64(27), out=y)
         np.bitwise_xor(x, y, out=x)
         np.multiply(x, np.uint64(0x94D049BB133111EB), out=x)
-        r, ln_c, beta = (t.take(fields[:, i].astype(np.intp)) for t, i in ((_R, 3), (_LN_C, 1), (_BETA, 2)))
-        level = np.floor(ln_w / r + beta)
-        out[rows, k] = np.minimum.reduceat(ln_c - r * (level - beta + 1.0), first).view(np.uint64)
+        np.right_shift(x, np.uint64(48), out=y)
+        np.take(_R, at, out=r, mode="clip")
+        np.add(fields[:, 2], 0.5, out=beta)
+        beta *= 1.0 / (1 << 16)  # a power of two: exact
+        np.divide(ln_w, r, out=v)
+        v += beta
+        np.floor(v, out=v)  # the level
+        v -= beta
+        v += 1.0
+        v *= r
+        np.copyto(at, fields[:, 1], casting="unsafe")
+        np.take(_LN_C, at, out=r, mode="clip")
+        np.subtract(r, v, out=v)
+        out[rows, k] = np.minimum.reduceat(v, first).view(np.uint64)
     out[rows] = mix(out[rows])
     return out
 
