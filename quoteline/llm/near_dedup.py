@@ -262,7 +262,8 @@ def _texts_of(source: DataFrame, wanted: DataFrame, bits: int = 1 << 24) -> Data
     byte = "cast(conv(hex(substring(marks, cast(spot % 32768 div 8 as int) + 1, 1)), 16, 10) as int)"
     likely = source.select("node", "text", spot.alias("spot")).join(
         F.broadcast(marks), F.expr(f"spot div 32768 = map AND shiftright({byte}, cast(spot % 8 as int)) & 1 = 1"))
-    return likely.select("node", "text").join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    # an inner join: a semi join would be moved below the bitmaps and exchange all texts
+    return likely.select("node", "text").join(wanted.distinct(), "node").dropDuplicates(["node"])
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, idf, shingle: int, threshold: float, block: int = 256) -> DataFrame:

@@ -241,8 +241,14 @@ def test_texts_of_wanted_nodes_only(sp, bits):
     assert near_dedup._texts_of(source, wanted.limit(0), bits).count() == 0
 
 
-def test_few_other_texts_meet_the_wanted_nodes(sp):
+def test_bitmaps_are_met_before_texts_are_exchanged(sp):
     source = near_dedup.with_nodes(texts(sp, [(i, f"some text {i}") for i in range(3000)]))
     wanted = source.where("row_id < 30").select("node")
-    plan = near_dedup._texts_of(source, wanted)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("BroadcastHashJoin") >= 1 and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    before = sp.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    sp.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = near_dedup._texts_of(source, wanted)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        sp.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert 0 < plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
