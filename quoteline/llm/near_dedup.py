@@ -20,7 +20,8 @@ compare.  So a bucket of ``n`` copies costs ``n`` comparisons, no link between c
 group is gathered in one task: pivots are minima (combined before the shuffle) and members meet them in a
 join that Spark may split.
 
-*Verification.*  A pair is compared in the first bucket that it shares.  If its total weights already exclude
+*Verification.*  A pair is compared in the first bucket that it shares.  If its total weights or the parities of
+its shingles (512 cells a text; a lower bound of what only one text has, so nothing is lost) exclude
 the threshold, or its 128 samples put it below ``min_agree`` (four bits of each are compared), it is left out: at a
 similarity of 0.8 the estimate has a standard deviation of 0.037, and a pair falls below 0.65 or meets no
 bucket about three times in 10,000.  All others are verified by the exact weighted Jaccard similarity of their whole texts, bucket by bucket, a large bucket cut into blocks of bounded size.
@@ -45,6 +46,7 @@ from .words import sequence_hashes, signed, split_words
 
 CELLS = 1 << 20
 SMOOTHING = 0.25
+PARITIES, HEAVY = 512, 1.5
 _SCALE = 1.0 / (1 << 53)
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -143,6 +145,15 @@ def signatures(doc: np.ndarray, hashes: np.ndarray, w: np.ndarray, n_docs: int,
     return out
 
 
+def parities(doc: np.ndarray, hashes: np.ndarray, idf: np.ndarray, n_docs: int) -> np.ndarray:
+    """For each text, as longs, the parities of its shingles of an idf of ``HEAVY`` or more in ``PARITIES`` cells.
+    Each cell that differs between two texts holds a shingle that only one of them has."""
+    some = idf[cells(hashes)] >= HEAVY
+    at = doc[some] * PARITIES + (hashes[some] % np.uint64(PARITIES)).astype(np.int64)
+    odd = (np.bincount(at, minlength=n_docs * PARITIES) & 1).astype(np.uint8).reshape(n_docs, PARITIES)
+    return np.packbits(odd, axis=1, bitorder="little").view("<i8")
+
+
 def band_keys(samples: np.ndarray, rows: int) -> np.ndarray:
     """A 64-bit key for each band of ``rows`` samples."""
     bands = samples.shape[1] // rows
@@ -157,7 +168,7 @@ def band_keys(samples: np.ndarray, rows: int) -> np.ndarray:
 
 SAMPLES, ROWS, BANDS, MIN_AGREE = 128, 4, 16, 0.65
 _SLICES = 256
-_SIGNED = "row_id long, node binary, weight double, bands array<long>, samples array<long>"
+_SIGNED = "row_id long, node binary, weight double, bands array<long>, samples array<long>, odd array<long>"
 
 
 def _document_frequencies(source: DataFrame, shingle: int) -> tuple[np.ndarray, int]:
@@ -195,7 +206,7 @@ def _document_frequencies(source: DataFrame, shingle: int) -> tuple[np.ndarray,
 
 
 def _sign(source: DataFrame, idf, shingle: int) -> DataFrame:
-    """Per row its total weight, band keys and samples (four bits each, 16 in a long)."""
+    """Per row its total weight, band keys, samples (four bits each, 16 in a long) and parities."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = idf.value
@@ -208,12 +219,14 @@ def _sign(source: DataFrame, idf, shingle: int) -> DataFrame:
                 total = np.bincount(doc, weights=w, minlength=b - a).astype(np.float64)
                 keys = band_keys(samples[:, : ROWS * BANDS], ROWS)
                 bits = (samples >> np.uint64(60)).astype(np.uint8)
+                odd = parities(doc, hashes, table, b - a)
                 packed = (bits[:, 0::2] | bits[:, 1::2] << 4).view("<i8")
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(total),
                      pa.FixedSizeListArray.from_arrays(pa.array(signed(keys).ravel()), BANDS).cast(pa.list_(pa.int64())),
-                     pa.FixedSizeListArray.from_arrays(pa.array(packed.ravel()), SAMPLES // 16).cast(pa.list_(pa.int64()))],
-                    ["row_id", "node", "weight", "bands", "samples"])
+                     pa.FixedSizeListArray.from_arrays(pa.array(packed.ravel()), SAMPLES // 16).cast(pa.list_(pa.int64())),
+                     pa.FixedSizeListArray.from_arrays(pa.array(odd.ravel()), PARITIES // 64).cast(pa.list_(pa.int64()))],
+                    ["row_id", "node", "weight", "bands", "samples", "odd"])
 
     return source.select("row_id", "node", "text").mapInArrow(run, _SIGNED)
 
@@ -229,6 +242,14 @@ def _agreement(a: str, b: str) -> str:
     return f"(1 - ({' + '.join(parts)}) * {16 / 15 / SAMPLES})"
 
 
+def _within_reach(a: str, b: str, threshold: float) -> str:
+    """SQL: whether the parities leave a similarity of ``threshold`` possible.  Texts of total weights u and v share
+    at most (u + v - d) / 2, d being the weight that only one of them has: ``HEAVY`` or more for each cell that
+    differs."""
+    cells_ = " + ".join(f"bit_count({a}.odd[{i}] ^ {b}.odd[{i}])" for i in range(PARITIES // 64))
+    return f"({cells_}) * {HEAVY * (1 + threshold)} <= ({a}.weight + {b}.weight) * {(1 - threshold) * (1 + 1e-9)} + 1e-9"
+
+
 def _first_common_band(a: str, b: str) -> str:
     return "CASE " + " ".join(f"WHEN {a}.bands[{i}] = {b}.bands[{i}] THEN {i}" for i in range(BANDS)) + " END"
 
@@ -327,7 +348,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, m
     counts, n_docs = _document_frequencies(source, shingle)
     idf = spark.sparkContext.broadcast(idf_table(counts, n_docs))
     signed_rows = stored(_sign(source, idf, shingle), "near-signed")
-    nodes = signed_rows.where("weight > 0").select("node", "weight", "bands", "samples").dropDuplicates(["node"])
+    nodes = signed_rows.where("weight > 0").select("node", "weight", "bands", "samples", "odd").dropDuplicates(["node"])
     banded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     sizes = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     met = stored(banded.join(sizes, "key"), "near-buckets")
@@ -345,14 +366,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, m
             break
         slot = F.pmod(F.xxhash64("node"), F.lit(width))
         pivots = stored(active.groupBy("key", slot.alias("slot")).agg(
-            F.max(F.struct("pop", "node", "n", "band", "comp", "weight", "bands", "samples")).alias("p")).select("key", "p.*"), "near-pivots")
+            F.max(F.struct("pop", "node", "n", "band", "comp", "weight", "bands", "samples", "odd")).alias("p")).select("key", "p.*"), "near-pivots")
         rest = stored(active.join(pivots.select("key", "node"), ["key", "node"], "left_anti"), "near-rest")
-        columns = ("key", "n", "band", "node", "pop", "weight", "bands", "samples", "comp")
+        columns = ("key", "n", "band", "node", "pop", "weight", "bands", "samples", "odd", "comp")
         both = rest.select(*columns, F.lit(True).alias("other")) \
             .unionByName(pivots.select(*columns, F.lit(False).alias("other")))  # pivots meet each other once
         met_now = both.alias("m").join(pivots.alias("p"), F.expr(
             f"m.key = p.key AND m.comp <> p.comp AND (m.other OR m.node < p.node) AND least(m.weight, p.weight) >= {threshold * (1 - 1e-9)} * greatest(m.weight, p.weight)"
-            f" AND {first_band} = m.band AND {agree} >= {min_agree}"))
+            f" AND {first_band} = m.band AND {agree} >= {min_agree} AND {_within_reach('m', 'p', threshold)}"))
         pairs, n, _ = stored_and_measured(met_now.select(F.col("m.key").alias("key"), "m.n", F.least("m.node", "p.node").alias("a"),
                                       F.greatest("m.node", "p.node").alias("b")).distinct(), "near-pairs")
         if n:

@@ -252,3 +252,21 @@ def test_bitmaps_are_met_before_texts_are_exchanged(sp):
         sp.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert 0 < plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_parities_never_exclude_a_similar_pair():
+    rnd = random.Random(8)
+    idf = near_dedup.idf_table(np.array([rnd.choice([0, 10, 400]) for _ in range(1 << 10)] * (near_dedup.CELLS >> 10)), 1000)
+    reach, below = [], []
+    for _ in range(300):
+        a = rnd.choices(range(60 if rnd.random() < 0.2 else 5000), k=rnd.randint(5, 300))
+        b = [rnd.randint(0, 5000) if rnd.random() < 0.02 * rnd.random() else w for w in a]
+        two = [" ".join(map(str, x)) for x in (a, b + a[: rnd.randint(0, 9)])]
+        doc, hashes, tf = near_dedup.shingles(two)
+        total = np.bincount(doc, weights=near_dedup.weights(hashes, tf, idf), minlength=2)
+        x, y = near_dedup.parities(doc, hashes, idf, 2)
+        apart = sum(bin(int(v) & (1 << 64) - 1).count("1") for v in (x ^ y).tolist())
+        ok = apart * near_dedup.HEAVY * 1.8 <= total.sum() * 0.2 * (1 + 1e-9) + 1e-9
+        (reach if near_dedup.similarity(*two, idf) >= 0.8 else below).append(ok)
+    assert len(reach) > 50 and all(reach)
+    assert len(below) > 50 and not all(below)
