@@ -21,7 +21,7 @@ group is gathered in one task: pivots are minima (combined before the shuffle) a
 join that Spark may split.
 
 *Verification.*  A pair is compared in the first bucket that it shares.  If its total weights or the parities of
-its shingles (512 cells a text; a lower bound of what only one text has, so nothing is lost) exclude
+its shingles (256 cells for each of three tiers of idf; a lower bound of what only one text has, so nothing is lost) exclude
 the threshold, or its 128 samples put it below ``min_agree`` (four bits of each are compared), it is left out: at a
 similarity of 0.8 the estimate has a standard deviation of 0.037, and a pair falls below 0.65 or meets no
 bucket about three times in 10,000.  All others are verified by the exact weighted Jaccard similarity of their whole texts, bucket by bucket, a large bucket cut into blocks of bounded size.
@@ -46,7 +46,9 @@ from .words import sequence_hashes, signed, split_words
 
 CELLS = 1 << 20
 SMOOTHING = 0.25
-PARITIES, HEAVY = 512, 1.5
+#: Shingles are told apart by the least idf of their tier, each a tenth below the one before, from the largest idf down
+FLOORS = tuple(float(np.log1p(1.0 / SMOOTHING)) * 0.9**k for k in (1, 2, 3))
+PARITIES = 256  # cells of a tier
 _SCALE = 1.0 / (1 << 53)
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -146,11 +148,13 @@ def signatures(doc: np.ndarray, hashes: np.ndarray, w: np.ndarray, n_docs: int,
 
 
 def parities(doc: np.ndarray, hashes: np.ndarray, idf: np.ndarray, n_docs: int) -> np.ndarray:
-    """For each text, as longs, the parities of its shingles of an idf of ``HEAVY`` or more in ``PARITIES`` cells.
-    Each cell that differs between two texts holds a shingle that only one of them has."""
-    some = idf[cells(hashes)] >= HEAVY
-    at = doc[some] * PARITIES + (hashes[some] % np.uint64(PARITIES)).astype(np.int64)
-    odd = (np.bincount(at, minlength=n_docs * PARITIES) & 1).astype(np.uint8).reshape(n_docs, PARITIES)
+    """For each text, as longs, the parities of its shingles in ``PARITIES`` cells for each of ``FLOORS`` (those of a
+    lower idf are left out).  Each cell that differs between two texts holds a shingle that only one of them has."""
+    own = idf[cells(hashes)]
+    tier = sum((own < f).astype(np.int64) for f in FLOORS)
+    some, width = tier < len(FLOORS), len(FLOORS) * PARITIES
+    at = doc[some] * width + tier[some] * PARITIES + (hashes[some] % np.uint64(PARITIES)).astype(np.int64)
+    odd = (np.bincount(at, minlength=n_docs * width) & 1).astype(np.uint8).reshape(n_docs, width)
     return np.packbits(odd, axis=1, bitorder="little").view("<i8")
 
 
@@ -225,7 +229,7 @@ def _sign(source: DataFrame, idf, shingle: int) -> DataFrame:
                     [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(total),
                      pa.FixedSizeListArray.from_arrays(pa.array(signed(keys).ravel()), BANDS).cast(pa.list_(pa.int64())),
                      pa.FixedSizeListArray.from_arrays(pa.array(packed.ravel()), SAMPLES // 16).cast(pa.list_(pa.int64())),
-                     pa.FixedSizeListArray.from_arrays(pa.array(odd.ravel()), PARITIES // 64).cast(pa.list_(pa.int64()))],
+                     pa.FixedSizeListArray.from_arrays(pa.array(odd.ravel()), odd.shape[1]).cast(pa.list_(pa.int64()))],
                     ["row_id", "node", "weight", "bands", "samples", "odd"])
 
     return source.select("row_id", "node", "text").mapInArrow(run, _SIGNED)
@@ -244,10 +248,12 @@ def _agreement(a: str, b: str) -> str:
 
 def _within_reach(a: str, b: str, threshold: float) -> str:
     """SQL: whether the parities leave a similarity of ``threshold`` possible.  Texts of total weights u and v share
-    at most (u + v - d) / 2, d being the weight that only one of them has: ``HEAVY`` or more for each cell that
-    differs."""
-    cells_ = " + ".join(f"bit_count({a}.odd[{i}] ^ {b}.odd[{i}])" for i in range(PARITIES // 64))
-    return f"({cells_}) * {HEAVY * (1 + threshold)} <= ({a}.weight + {b}.weight) * {(1 - threshold) * (1 + 1e-9)} + 1e-9"
+    at most (u + v - d) / 2, d being the weight that only one of them has: the least idf of the tier or more
+    for each cell that differs."""
+    each = PARITIES // 64
+    apart = " + ".join(f"({' + '.join(f'bit_count({a}.odd[{k * each + i}] ^ {b}.odd[{k * each + i}])' for i in range(each))}) * "
+                       f"{least * (1 + threshold)!r}D" for k, least in enumerate(FLOORS))
+    return f"{apart} <= ({a}.weight + {b}.weight) * {(1 - threshold) * (1 + 1e-9)!r}D + 1e-9D"
 
 
 def _first_common_band(a: str, b: str) -> str:
