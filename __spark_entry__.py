@@ -138,8 +138,7 @@ def q_grid_expand(spark, d):
 
 def q_grid_expand_long(spark, d):
     # more than 65,536 grid points; every expanded row is counted and summed by price level
-    rows = liq.grid_expand(q_scan_orders(spark, d), CURVE_START, CURVE_END, LONG_INTERVAL)
-    return rows.groupBy("side", "price").agg(*_level_sums())
+    return _level_sums(liq.grid_expand(q_scan_orders(spark, d), CURVE_START, CURVE_END, LONG_INTERVAL))
 
 
 def q_depth_by_price(spark, d):
@@ -148,14 +147,23 @@ def q_depth_by_price(spark, d):
 
 def q_depth_long(spark, d):
     # more than 65,536 grid points: several chunks a price level
-    depth = liq.depth_by_price(bookmap.curve_orders(spark, d, CURVE_END), CURVE_START, CURVE_END, LONG_INTERVAL)
-    return depth.groupBy("side", "price").agg(*_level_sums())
+    return _level_sums(liq.depth_by_price(bookmap.curve_orders(spark, d, CURVE_END), CURVE_START, CURVE_END, LONG_INTERVAL))
 
 
-def _level_sums():
-    return (F.count(F.lit(1)).alias("n_points"), F.min("timestamp").alias("first_ms"), F.max("timestamp").alias("last_ms"),
-            F.sum("quantity").alias("quantity"),
-            F.sum(F.col("quantity") * F.pmod(F.col("timestamp").cast("bigint"), F.lit(1000003))).alias("checksum"))
+def _level_sums(rows):
+    """Count, time range and sums of each price level.  The checksum is summed in two parts, so no sum on the way is
+    beyond a bigint; it is a bigint, as in the SQL, unless a level's exact sum is beyond one (the SQL then has no
+    value): then the column is a decimal(38,0)."""
+    term, low_bits = F.col("quantity") * F.pmod(F.col("timestamp").cast("bigint"), F.lit(1000003)), 24
+    parts = rows.groupBy("side", "price").agg(
+        F.count(F.lit(1)).alias("n_points"), F.min("timestamp").alias("first_ms"), F.max("timestamp").alias("last_ms"),
+        F.sum("quantity").alias("quantity"), F.sum(F.shiftright(term, low_bits)).alias("high"),
+        F.sum(term.bitwiseAND(F.lit((1 << low_bits) - 1))).alias("low"))
+    exact = F.expr(f"CAST(CAST(high AS DECIMAL(38,0)) * {1 << low_bits} + low AS DECIMAL(38,0))")
+    sums = cut_lineage(parts.withColumn("checksum", exact).drop("high", "low"))  # a row a price level
+    if sums.where(~F.col("checksum").between(-(1 << 63), (1 << 63) - 1)).isEmpty():
+        sums = sums.withColumn("checksum", F.col("checksum").cast("bigint"))
+    return sums
 
 
 def _side_curve_text(spark, d, side):
@@ -391,8 +399,7 @@ def q_grid_expand_one_order(spark, d):
     one = bookmap.book_orders(spark, d).agg(
         F.min("created").alias("created"), F.lit(CURVE_END).cast("long").alias("destroyed"), F.lit(liq.BUY).alias("side"),
         F.max("price").alias("price"), F.sum("quantity").alias("quantity"))
-    rows = liq.grid_expand(one, CURVE_START, CURVE_END, LONG_INTERVAL)
-    return rows.groupBy("side", "price").agg(*_level_sums())
+    return _level_sums(liq.grid_expand(one, CURVE_START, CURVE_END, LONG_INTERVAL))
 
 
 def q_dataset_parent_pages(spark, d):

@@ -42,6 +42,20 @@ def test_query_matches_oracle(spark, name):
     assert compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF)
 
 
+@pytest.mark.parametrize("quantity, dtype", [(1000.0, "bigint"), (2.0e9, "decimal(38,0)")])
+def test_level_sums_beyond_a_bigint(spark, workdir, quantity, dtype):
+    spark.sql(f"""SELECT 1L AS l_orderkey, 7L AS l_partkey, 1L AS l_suppkey, 1 AS l_linenumber, {quantity}D AS l_quantity,
+                         'A' AS l_returnflag, TIMESTAMP_NTZ'1995-01-02 00:00:00' AS l_shipdate""").write.parquet(f"{workdir}/lineitem.parquet")
+    spark.sql("SELECT 1L AS o_orderkey, 1L AS o_custkey, TIMESTAMP_NTZ'1995-01-01 00:00:00' AS o_orderdate"
+              ).write.parquet(f"{workdir}/orders.parquet")
+    df = E.q_grid_expand_one_order(spark, workdir)
+    points = range(E.CURVE_START, E.CURVE_END, E.LONG_INTERVAL)
+    q = int(quantity)
+    assert dict(df.dtypes)["checksum"] == dtype
+    assert [tuple(map(int, r)) for r in df.collect()] == [
+        (66, 7, len(points), points[0], points[-1], q * len(points), sum(q * (t % 1000003) for t in points))]
+
+
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonUDF", "MapInArrow",
              "FlatMapGroupsInArrow", "FlatMapCoGroupsInArrow", "FlatMapCoGroupsInPandas",
              "CartesianProduct", "BroadcastNestedLoopJoin")
