@@ -17,7 +17,8 @@ single files lack is found by the write itself (a missing column is read as a va
 
 *Files.*  Rows are exchanged by source before they are written, so a source is not scattered over all tasks: by default
 with Spark's REBALANCE (small sources share a task, a large one is split; about ``bytes / advisory partition
-size`` files a source), or over a given number of ``partitions``, a source getting as many of them as its share of the rows.
+size`` files a source), or over a given number of ``partitions``, a source getting as many of them as its share of the rows;
+over more where a task would get above :data:`TASK_ROWS` rows, as its sort grows with them.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ _INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
 # What a column that a Parquet file lacks is read as: an int column cannot hold it, and as epoch
 # milliseconds it names no time.
 _ABSENT = -(1 << 63)
+# Rows that one task of a write is dealt where ``partitions`` is given: more rows take more tasks.
+TASK_ROWS = 1_000_000
 
 
 def _table_name(table: str) -> str:
@@ -174,7 +177,8 @@ def import_dataset(spark: SparkSession, catalog: Catalog, paths: Sequence[str],
     ``<target>/import-<id>/<TABLE>/identifier=<identifier>``, each folder being one dataset (the sources without
     a row in a table share ``<TABLE>-empty``).  ``layout="by_source"`` writes
     ``<target>/import-<id>/<identifier>/<identifier>_<TABLE>.parquet``, one job per (source, table), for few sources.
-    ``partitions`` is the number of tasks that write a table: a source with a third of the rows is written by a
+    ``partitions`` is the number of tasks that write a table (in the partitioned layout more, if its rows are more than
+    :data:`TASK_ROWS` for each): a source with a third of the rows is written by a
     third of them, a small one by one; by default Spark decides by bytes (see the module's text).
     Without ``target_dir`` the data goes under ``<catalogue root>/files``.  Every failure is a
     :class:`CatalogError`, after which nothing is recorded.
@@ -226,11 +230,12 @@ def import_dataset(spark: SparkSession, catalog: Catalog, paths: Sequence[str],
 
 
 def deal_by_source(rows: DataFrame, partitions: int) -> DataFrame:
-    """``rows`` over ``partitions`` tasks by their ``identifier``: a source of ``n`` rows goes to
-    ``ceil(n / (all / partitions))`` different tasks, row by row in turn.  Fewer than ``partitions`` sources get more
-    than one task, so what is broadcast is bounded by that number."""
+    """``rows`` over ``partitions`` tasks, or one for each :data:`TASK_ROWS` rows if that is more, by their
+    ``identifier``: a source of ``n`` rows goes to ``ceil(n / (all / partitions))`` different tasks, row by row in turn.
+    Fewer sources than tasks get more than one of them, so what is broadcast is bounded by that number."""
     counts = rows.groupBy("identifier").agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n")).first()[0] or 0
+    partitions = max(partitions, -(-total // TASK_ROWS))
     share = max(1, -(-total // partitions))
     large = counts.selectExpr("identifier", f"CAST(ceil(n / {share}) AS INT) AS _tasks").where("_tasks > 1")
     # numbered within each scan task: the same rows get the same task if the scan is repeated

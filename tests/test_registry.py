@@ -525,3 +525,15 @@ def test_orphans_are_listed_and_written_over(spark, workdir, monkeypatch):
             save_features(catalog, df, files, name, "EventCount", {}, ["AB00_ORDERS"], over_orphan=True)
     catalog.drop_dataset("AB00_TRADES")
     assert f"{files}/AB00/AB00_TRADES.parquet" in {r["folder"] for r in orphan_folders(catalog, files).collect()}
+
+
+def test_more_rows_take_more_writing_tasks(spark, monkeypatch):
+    from quoteline.sources import importing
+
+    monkeypatch.setattr(importing, "TASK_ROWS", 500)
+    rows = spark.range(10_000).selectExpr("IF(id % 3 = 0, 'a', 'b') AS identifier", "id")
+    dealt = importing.deal_by_source(rows, 4)
+    sizes = dealt.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()
+    assert sum(sizes) == 10_000 and max(sizes) <= 2 * 500 + 100  # two sources may share a task
+    assert dealt.distinct().count() == 10_000
+    assert importing.deal_by_source(rows.limit(1_500), 4).rdd.getNumPartitions() == 4
