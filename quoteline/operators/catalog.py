@@ -31,6 +31,13 @@ def contains_match(col: Column, pattern: str) -> Column:
     return col.ilike(f"%{escaped}%")
 
 
+def by_sorting(datasets: DataFrame) -> DataFrame:
+    """Rows of the catalogue's datasets for a join that exchanges and sorts them.  Spark's estimate for a few columns
+    of a Parquet table is a small part of what their rows take, so millions of names would pass for a broadcast and
+    go through the driver."""
+    return datasets.hint("merge")
+
+
 def latest_state(log: DataFrame, key: str | Sequence[str], order: Sequence[str], dropped: Column,
                  keep: Sequence[str]) -> DataFrame:
     """The current row per key of an append-only log, or nothing if it was dropped.
@@ -80,7 +87,7 @@ def dataset_listing(datasets: DataFrame, analyses: DataFrame, lineage: DataFrame
     hits = datasets.where(contains_match(F.col("name"), pattern))
     modules = analyses.select(F.col("id").alias("module_id"), F.col("name").alias("module_name"))
     # only the edges of matching feature sets are aggregated (semi join before the grouping)
-    hit_edges = lineage.join(hits.select(F.col("id").alias("left_fs_id")), "left_fs_id", "left_semi")
+    hit_edges = lineage.join(by_sorting(hits.select(F.col("id").alias("left_fs_id"))), "left_fs_id", "left_semi")
     parents = dataset_parents(datasets, hit_edges).select("id", "parent_names", "n_parents")
     extra = [c for c in ("description", "details", "module_parameters") if c in datasets.columns]
     return (
@@ -113,13 +120,13 @@ def dataset_parents(datasets: DataFrame, lineage: DataFrame, page_size: int = PA
     the number is counted apart.  :func:`parent_pages` gives all names.
     """
     names = datasets.select("id", "name")
-    parents = lineage.join(names.selectExpr("id AS right_ds_id", "name AS parent_name"), "right_ds_id").select(
+    parents = lineage.join(by_sorting(names.selectExpr("id AS right_ds_id", "name AS parent_name")), "right_ds_id").select(
         F.col("left_fs_id").alias("id"), "parent_name")
     order = Window.partitionBy("id").orderBy("parent_name")
     first = (parents.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= page_size)
              .groupBy("id").agg(F.sort_array(F.collect_list("parent_name")).alias("parent_names")))
     counts = parents.groupBy("id").agg(F.count(F.lit(1)).alias("n_parents"))
-    return names.join(first.join(counts, "id"), "id")
+    return by_sorting(names).join(first.join(counts, "id"), "id")
 
 
 def parent_pages(datasets: DataFrame, lineage: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:

@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from ..functions.paths import join_path
 from ..operators.catalog import (
     CatalogError,
+    by_sorting,
     contains_match,
     dataset_listing,
     latest_state,
@@ -224,7 +225,7 @@ class Catalog:
 
     def lineage(self) -> DataFrame:
         """Edges whose feature set and parent are both current."""
-        ids = self.datasets().select("id")
+        ids = by_sorting(self.datasets().select("id"))
         edges = self.log("lineage").select("left_fs_id", "right_ds_id").distinct()
         return (
             edges.join(ids.withColumnRenamed("id", "left_fs_id"), "left_fs_id", "left_semi")
@@ -384,7 +385,7 @@ class Catalog:
         """Every name must be free: one join of the names with the current state, however many they are (the message
         names the first twenty)."""
         wanted = requested_names(self.spark, names).distinct()
-        taken = [r["name"] for r in wanted.join(self.datasets().select("name"), "name", "left_semi").orderBy("name").limit(21).collect()]
+        taken = [r["name"] for r in wanted.join(by_sorting(self.datasets().select("name")), "name", "left_semi").orderBy("name").limit(21).collect()]
         if taken:
             raise CatalogError(f"dataset name taken: {', '.join(taken[:20])}{' and others' if len(taken) > 20 else ''}")
 

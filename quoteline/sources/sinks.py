@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import base_name, dataset_name, identifier_of, join_path
 from ..functions.timegrid import MS_PER_DAY, epoch_ms_sql
-from ..operators.catalog import CatalogError
+from ..operators.catalog import CatalogError, by_sorting
 from .registry import Catalog, Known
 
 
@@ -46,7 +46,7 @@ def _under(recorded: DataFrame, folders: DataFrame) -> DataFrame:
     parts = F.split("folder", "/")
     steps = F.sequence(F.lit(1), F.size(parts))
     above = folders.select("folder", F.explode(F.transform(steps, lambda n: F.array_join(F.slice(parts, 1, n), "/"))).alias("path"))
-    return above.join(recorded, "path", "left_semi").select("folder").distinct()
+    return above.join(by_sorting(recorded), "path", "left_semi").select("folder").distinct()
 
 
 def orphan_folders(catalog: Catalog, target_dir: str) -> DataFrame:

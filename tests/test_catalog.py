@@ -90,3 +90,17 @@ def test_parent_pages_of_a_large_set(spark):
     assert first[n + 1]["n_parents"] == 2 and len(first) == 2
     with pytest.raises(ValueError):
         cat.parent_pages(datasets, lineage, 0)
+
+
+def test_datasets_are_not_broadcast_on_an_estimate(spark, workdir):
+    from quoteline.sources.registry import Catalog
+
+    catalog = Catalog(spark, f"{workdir}/catalog")
+    catalog.record_datasets(spark.range(20).selectExpr("concat('d', id) AS name", "'' AS filepath"))
+    ids = [catalog.dataset(n)["id"] for n in ("d1", "d2")]
+    catalog.create_relation(ids[0], ids[1:])
+    catalog.snapshot()
+    assert "BroadcastHashJoin" not in catalog.lineage()._jdf.queryExecution().executedPlan().toString()
+    assert [[r["left_fs_id"], r["right_ds_id"]] for r in catalog.lineage().collect()] == [ids]
+    rows = {r["name"]: r["parent_names"] for r in catalog.list_datasets().collect()}
+    assert len(rows) == 20 and {n: p for n, p in rows.items() if p} == {"d1": ["d2"]}
