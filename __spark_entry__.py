@@ -492,7 +492,7 @@ def q_stream_import_roundtrip(spark, d):
     root = scratch_path(spark, "stream-import")
     orders = bookmap.book_orders(spark, d)
     month = F.date_format(F.timestamp_millis(F.col("created")), "yyyy-MM")
-    flagged = orders.withColumn("month", month)
+    flagged = orders.withColumn("month", month).hint("rebalance", "month")  # a month's rows in few files
     flagged.where(F.col("side") == 66).write.partitionBy("month").parquet(f"{root}/incoming/buys.src/ORDERS")
     flagged.where(F.col("side") != 66).write.partitionBy("month").parquet(f"{root}/incoming/rest.src/ORDERS")
     orders.where(F.col("side").isNull()).write.parquet(f"{root}/incoming/rest.src/ORDERS/nulls")

@@ -88,7 +88,7 @@ def _stored_schema(spark: SparkSession, sources: Sequence[str], table: str, fmt:
         raise
 
 
-def _wide(stored: T.StructType | None, table: str) -> T.StructType:
+def wide_schema(stored: T.StructType | None, table: str) -> T.StructType:
     """The table's columns as stored; integers as bigint, which :data:`_ABSENT` stands in for where a file
     lacks the column."""
     have = {f.name.lower(): f for f in stored.fields} if stored is not None else {}
@@ -101,6 +101,15 @@ def _wide(stored: T.StructType | None, table: str) -> T.StructType:
     return T.StructType(fields)
 
 
+def require_stored(raw: DataFrame, wide: T.StructType) -> DataFrame:
+    """``raw``, read from Parquet files with the schema ``wide``, failing where a file lacks one of its columns."""
+    whole = [f.name for f in wide.fields if isinstance(f.dataType, T.LongType)]
+    return raw.withColumns({
+        c: F.when(F.col(c) == F.lit(_ABSENT), F.raise_error(
+            F.concat(F.lit(f"missing columns ['{c}'] in "), F.input_file_name())).cast("long")).otherwise(F.col(c))
+        for c in whole})
+
+
 def read_book_tables(spark: SparkSession, sources: Sequence[str], table: str, fmt: str = "parquet",
                      options: Mapping[str, str] | None = None) -> DataFrame:
     """One table of many sources in one scan, with an ``identifier`` column taken from each
@@ -113,13 +122,9 @@ def read_book_tables(spark: SparkSession, sources: Sequence[str], table: str, fm
         stored = _stored_schema(spark, sources, table, fmt, options)
         if stored is not None:
             conform(spark.createDataFrame([], stored), TABLE_SCHEMAS[table])  # a column that every file lacks
-        wide = _wide(stored, table)
+        wide = wide_schema(stored, table)
         raw = reader.schema(wide).load([join_path(src, table) for src in sources])
-        whole = [f.name for f in wide.fields if isinstance(f.dataType, T.LongType)]
-        raw = raw.withColumns({
-            c: F.when(F.col(c) == F.lit(_ABSENT),
-                      F.raise_error(F.concat(F.lit(f"missing columns ['{c}'] in "), path)).cast("long")).otherwise(F.col(c))
-            for c in whole})
+        raw = require_stored(raw, wide)
     else:
         raw = reader.load([join_path(src, table) for src in sources])
     source_dir = F.regexp_extract(path, rf"^(.*)/{table}/", 1)

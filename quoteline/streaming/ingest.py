@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.paths import identifier_col, join_path
 from ..session import scratch_path
+from ..sources.importing import require_stored, wide_schema
 from ..sources.schemas import TABLE_SCHEMAS, conform
 from ..sources.sinks import SinkError
 
@@ -39,7 +40,9 @@ def ingest_table(spark: SparkSession, source: str, table: str, target_path: str,
 
     ``source`` may be a glob over many sources (``/incoming/*.h5``); with ``by_identifier`` each
     row gets its source's identifier and every batch is partitioned by it, so one query serves
-    every source.  A file without one of the table's columns stops the query with a ``SchemaError``.
+    every source.  A file without one of the table's columns stops the query: in Parquet the task that reads
+    it reports that, so a batch of many files needs no pass over them before; files of other self-describing formats
+    are opened one by one first.  Parquet files may store integers in different widths.
     ``checkpoint`` must be a shared folder; by default a new folder under the session's
     ``spark.checkpoint.dir``.
     """
@@ -47,23 +50,27 @@ def ingest_table(spark: SparkSession, source: str, table: str, target_path: str,
     schema = TABLE_SCHEMAS[table]
     _refuse_other_data(spark, target_path)
     # Per-day files may sit in per-day folders of any name, so the listing is recursive.
-    reader = spark.readStream.schema(schema).format(fmt).option("recursiveFileLookup", "true")
+    wide = wide_schema(None, table) if fmt == "parquet" else None
+    reader = spark.readStream.schema(wide or schema).format(fmt).option("recursiveFileLookup", "true")
     if fmt in ("csv", "json"):
         reader = reader.option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    typed = conform(reader.load(join_path(source, table)), schema)
+    raw = reader.load(join_path(source, table))
+    typed = conform(require_stored(raw, wide) if wide else raw, schema)
     if by_identifier:
         source_dir = F.regexp_extract(F.input_file_name(), rf"^(.*)/{table}/", 1)
         typed = typed.withColumn("identifier", identifier_col(source_dir))
 
-    typed = typed.withColumn("_file", F.input_file_name())
+    one_by_one = fmt not in ("parquet", "csv", "json")
+    if one_by_one:
+        typed = typed.withColumn("_file", F.input_file_name())
 
     def save(batch: DataFrame, number: int) -> None:
-        if fmt not in ("csv", "json"):  # the stream's schema is given, so each file's own one is checked here
+        if one_by_one:  # the stream's schema is given, so each file's own one is checked here
             for row in batch.select("_file").distinct().collect():  # the files of one micro-batch
                 conform(batch.sparkSession.read.format(fmt).load(row["_file"]), schema)
-        batch = batch.drop("_file")
+            batch = batch.drop("_file")
         writer = batch.write.mode("overwrite")
         if by_identifier:
             writer = writer.partitionBy("identifier")

@@ -43,3 +43,20 @@ def test_file_without_a_column_stops_the_ingest(spark, workdir):
     query = ingest_table(spark, f"{workdir}/AB00.h5", "orders", f"{workdir}/out")
     with pytest.raises(Exception, match="missing columns"):
         query.awaitTermination(120)
+
+
+def test_one_lacking_file_among_many(spark, workdir):
+    """The files of a batch are not opened one by one on the driver; one that lacks a column is still found."""
+    rows = spark.range(40).selectExpr("CAST(id AS INT) AS id", *(
+        f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in ORDERS_SCHEMA.fields[1:]))
+    rows.repartition(40).write.parquet(f"{workdir}/AB00.h5/ORDERS/day1")
+    tracker = spark.sparkContext.statusTracker()
+    query = ingest_table(spark, f"{workdir}/AB00.h5", "orders", f"{workdir}/out", checkpoint=f"{workdir}/ckpt")
+    query.awaitTermination(120)
+    assert len(tracker.getJobIdsForGroup(str(query.runId))) < 10
+    assert sorted(r["id"] for r in spark.read.parquet(f"{workdir}/out").collect()) == list(range(40))
+    spark.createDataFrame([ROW], ORDERS_SCHEMA).drop("created").write.parquet(f"{workdir}/AB00.h5/ORDERS/day2")
+    query = ingest_table(spark, f"{workdir}/AB00.h5", "orders", f"{workdir}/out", checkpoint=f"{workdir}/ckpt")
+    with pytest.raises(Exception, match=r"missing columns \['created'\]"):
+        query.awaitTermination(120)
+    assert spark.read.parquet(f"{workdir}/out").count() == 40
