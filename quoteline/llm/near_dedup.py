@@ -35,6 +35,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -66,8 +67,10 @@ def shingles(texts: list[str | None], n: int = 5) -> tuple[np.ndarray, np.ndarra
     starts = np.flatnonzero(at <= (counts - size)[doc])
     doc = doc[starts]
     hashes = sequence_hashes(words.hashes, starts, starts + size[doc])
-    order = np.lexsort((hashes, doc))
-    doc, hashes = doc[order], hashes[order]
+    border = np.searchsorted(doc, np.arange(len(counts) + 1)).tolist()
+    for a, b in pairwise(border):  # texts are in order: each one's hashes are sorted in place
+        if b - a > 1:
+            hashes[a:b].sort()
     new = np.ones(len(doc), dtype=bool)
     new[1:] = (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1])
     first = np.flatnonzero(new)

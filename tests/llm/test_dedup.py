@@ -270,3 +270,18 @@ def test_parities_never_exclude_a_similar_pair():
         (reach if near_dedup.similarity(*two, idf) >= 0.8 else below).append(ok)
     assert len(reach) > 50 and all(reach)
     assert len(below) > 50 and not all(below)
+
+
+def test_shingles_are_sorted_text_by_text(monkeypatch):
+    texts = ["b a b a b a b a", None, "one two", "", "c d e f g h c d e f g x", "b a b a b a b a"]
+    # no sort over all texts at once, whose index array and two passes took half of the time
+    monkeypatch.setattr(near_dedup.np, "lexsort", None)
+    doc, hashes, tf = near_dedup.shingles(texts)
+    want = []
+    for i, text in enumerate(texts):
+        _, own, n = near_dedup.shingles([text])
+        assert (np.diff(own.view(np.uint64).astype(object)) > 0).all()
+        want += [(i, h, k) for h, k in zip(own.tolist(), n.tolist(), strict=True)]
+    assert list(zip(doc.tolist(), hashes.tolist(), tf.tolist(), strict=True)) == want
+    assert [int(tf[doc == i].sum()) for i in range(6)] == [4, 0, 1, 0, 8, 4]
+    assert [int((doc == i).sum()) for i in range(6)] == [2, 0, 1, 0, 7, 2]
